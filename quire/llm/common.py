@@ -61,7 +61,7 @@ def utf8(batch, name: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """An Arrow batch's string column as one byte array and n + 1 offsets; nulls are empty."""
     import pyarrow as pa
 
-    col = batch.column(name) if isinstance(name, str) else name
+    col = batch.column(name) if isinstance(name, (str, int)) else name
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     if col.null_count:
