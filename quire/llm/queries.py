@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import bpe
-from quire.llm.common import documents
+from quire.llm import bpe, jpeg, ppm, warc
+from quire.llm.common import crc_mod, documents, materialize, scratch_dir
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -16,11 +16,31 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op6_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = ppm.Model(ppm.sample(docs.where(crc_mod("doc_id", 5) != 0)))
+    return ppm.identify(docs, model, ["doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out")])
+
+
+def op7_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    media = materialize(jpeg.write_media(documents(spark, sf_dir), "doc_id", "text"), "media")
+    return jpeg.read_media(media, "doc_id").select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height")
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "warc")
+    warc.write_archives(warc.with_revisits(spark.read.parquet(f"{sf_dir}/pages.parquet")), path)
+    return warc.read_archives(spark, path).where("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(documents(spark, sf_dir), tokenizer_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_ppm": op6_ppm,
+    "op7_jpeg": op7_jpeg,
+    "op8_warc": op8_warc,
     "op9_bpe": op9_bpe,
 }
 
