@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import bpe, jpeg, ppm, warc
-from quire.llm.common import crc_mod, documents, materialize, scratch_dir
+from quire.llm import bpe, jpeg, nbsvm, ppm, subword, warc
+from quire.llm.common import crc_mod, documents, labels, materialize, scratch_dir
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -16,6 +16,18 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = nbsvm.train(docs, labels(spark, sf_dir).where(crc_mod("doc_id", 4) != 2), "quality")
+    return nbsvm.score(docs, model, ["doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out")], 0.7)
+
+
+def op4_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = subword.train(docs, labels(spark, sf_dir).where(crc_mod("doc_id", 4) != 2), "toxic")
+    return nbsvm.score(docs, model, ["doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out")], 0.3)
+
+
 def op6_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = ppm.Model(ppm.sample(docs.where(crc_mod("doc_id", 5) != 0)))
@@ -38,6 +50,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_nbsvm": op2_nbsvm,
+    "op4_subword": op4_subword,
     "op6_ppm": op6_ppm,
     "op7_jpeg": op7_jpeg,
     "op8_warc": op8_warc,
