@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import mix, slices, utf8, word_hashes, words
+from quire.llm.common import slices, utf8, word_hashes, words
 
 BITS = 18
 SHAPE = np.zeros(256, np.uint8)
@@ -33,19 +33,20 @@ for _c in range(33, 127):
         SHAPE[_c] = _c
 
 
+def bucket(x: np.ndarray) -> np.ndarray:
+    return ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
 def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct feature numbers row by row, and n + 1 offsets into them."""
     rows = len(off) - 1
-    keys, owner = [], []
-    row = np.repeat(np.arange(rows, dtype=np.int64), np.diff(off))
-    value = data.astype(np.uint64)
-    gram = value.copy()
+    value, grams = data.astype(np.uint64), []
+    gram = value
     for n in (2, 3, 4):
         gram = gram[:-1] * np.uint64(257) + value[n - 1 :] + np.uint64(1) if len(value) >= n else gram[:0]
-        inside = row[: len(gram)] == row[n - 1 : n - 1 + len(gram)]
-        keys.append(mix(gram * np.uint64(8) + np.uint64(n))[inside])
-        owner.append(row[: len(gram)][inside])
+        grams.append((n, bucket(gram * np.uint64(8) + np.uint64(n))))
     start, end, at = words(data, off)
+    single = pair = np.zeros(0, np.int64)
     if len(start):
         shape = SHAPE[data]
         squeezed = np.ones(len(data), bool)
@@ -54,20 +55,22 @@ def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         # a word's shape without repeats: hash of the first of each run of equal shapes
         kept = np.flatnonzero(squeezed)
         place = np.cumsum(squeezed) - squeezed
-        short, bounds = shape[kept], np.concatenate([place[start], [len(kept)]])
-        ends = place[end - 1] + squeezed[end - 1]
-        shapes = word_hashes(short, bounds[:-1], np.maximum(ends, bounds[:-1] + 1))
-        own = np.repeat(np.arange(rows, dtype=np.int64), np.diff(at))
-        keys.append(mix(shapes + np.uint64(11)))
-        owner.append(own)
+        short, begin = shape[kept], place[start]
+        shapes = word_hashes(short, begin, np.maximum(place[end - 1] + squeezed[end - 1], begin + 1))
         hashes = word_hashes(data, start, end)
-        pair = own[1:] == own[:-1]
         second = np.where(hashes[1:] == hashes[:-1], np.uint64(1), shapes[1:])
-        keys.append(mix(shapes[:-1] * np.uint64(3) + second)[pair])
-        owner.append(own[1:][pair])
-    number = (np.concatenate(keys) & np.uint64((1 << BITS) - 1)).astype(np.int64)
-    both = np.unique((np.concatenate(owner) << BITS) | number)
-    return both & ((1 << BITS) - 1), np.searchsorted(both >> BITS, np.arange(rows + 1))
+        single, pair = bucket(shapes + np.uint64(11)), bucket(shapes[:-1] * np.uint64(3) + second)
+    present, found = np.zeros(1 << BITS, bool), []
+    for s, e, i, j in zip(off[:-1].tolist(), off[1:].tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+        for n, own in grams:
+            if e - s >= n:
+                present[own[s : e - n + 1]] = True
+        if j > i:
+            present[single[i:j]] = True
+            present[pair[i : j - 1]] = True
+        found.append(own := np.flatnonzero(present))
+        present[own] = False
+    return np.concatenate([np.zeros(0, np.int64), *found]), np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
 
 
 class Model:
