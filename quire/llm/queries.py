@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import bpe, jpeg, nbsvm, ppm, subword, warc
+from quire.llm import bpe, decontaminate, jpeg, nbsvm, ppm, subword, warc
 from quire.llm.common import crc_mod, documents, labels, materialize, scratch_dir
 
 
@@ -49,6 +49,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(documents(spark, sf_dir), tokenizer_path())
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_nbsvm": op2_nbsvm,
     "op4_subword": op4_subword,
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_jpeg": op7_jpeg,
     "op8_warc": op8_warc,
     "op9_bpe": op9_bpe,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {}

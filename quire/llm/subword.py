@@ -20,35 +20,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import mix, word_hashes, words
+from quire.llm.common import mix, trimmed, word_hashes
 from quire.llm.nbsvm import logistic, sampled_ids
 
 BITS, DIM = 18, 16
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[ord("A") : ord("Z") + 1] += 32
-#: Characters at a word's ends that aren't part of it.
-EDGE = np.zeros(256, bool)
-EDGE[[*map(ord, ".,;:!?()[]\"'|*&%$#<>-_=+~`^/\\@{}")]] = True
 NO_WORD = -20.0
 
 
-def trimmed(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-case bytes; starts and ends of words without punctuation at their ends; n + 1 offsets into the words."""
-    low = LOWER[data]
-    start, end, at = words(low, off)
-    if not len(start):
-        return low, start, end, at
-    solid = ~EDGE[low]
-    place = np.where(solid, np.arange(len(low)), len(low))
-    following = np.minimum.accumulate(place[::-1])[::-1]
-    place = np.where(solid, np.arange(len(low)), -1)
-    preceding = np.maximum.accumulate(place)
-    s, e = np.minimum(following[start], end), preceding[end - 1] + 1
-    ok = s < e
-    kept = np.concatenate([[0], np.cumsum(ok)])
-    return low, s[ok], e[ok], kept[at]
-
-
 def bags(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bucket numbers of each word's n-grams and of the word, word by word, and n + 1 offsets."""
     # words with a border byte on each side, one after another
