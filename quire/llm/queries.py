@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import bpe, decontaminate, jpeg, nbsvm, ppm, subword, warc
+from quire.llm import bpe, decontaminate, jaccard, jpeg, nbsvm, ppm, subword, warc
 from quire.llm.common import crc_mod, documents, labels, materialize, scratch_dir
 
 
@@ -28,6 +28,10 @@ def op4_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.score(docs, model, ["doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out")], 0.3)
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(documents(spark, sf_dir))
+
+
 def op6_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = ppm.Model(ppm.sample(docs.where(crc_mod("doc_id", 5) != 0)))
@@ -56,6 +60,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_nbsvm": op2_nbsvm,
     "op4_subword": op4_subword,
+    "op5_jaccard": op5_jaccard,
     "op6_ppm": op6_ppm,
     "op7_jpeg": op7_jpeg,
     "op8_warc": op8_warc,
