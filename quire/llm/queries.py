@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import bpe, decontaminate, jaccard, jpeg, nbsvm, ppm, subword, warc
+from quire.llm import automaton, bpe, decontaminate, jaccard, jpeg, nbsvm, ppm, subword, warc
 from quire.llm.common import crc_mod, documents, labels, materialize, scratch_dir
 
 
@@ -16,6 +16,10 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return automaton.remove_repeats(documents(spark, sf_dir))
+
+
 def op2_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = nbsvm.train(docs, labels(spark, sf_dir).where(crc_mod("doc_id", 4) != 2), "quality")
@@ -58,6 +62,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_automaton": op1_automaton,
     "op2_nbsvm": op2_nbsvm,
     "op4_subword": op4_subword,
     "op5_jaccard": op5_jaccard,
