@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import automaton, bpe, decontaminate, jaccard, jpeg, nbsvm, ppm, subword, warc
+from quire.llm import automaton, bpe, decontaminate, jaccard, jpeg, nbsvm, ppm, subword, suffixes, warc
 from quire.llm.common import crc_mod, documents, labels, materialize, scratch_dir
 
 
@@ -26,6 +26,10 @@ def op2_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.score(docs, model, ["doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out")], 0.7)
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removed_passages(documents(spark, sf_dir))
+
+
 def op4_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = subword.train(docs, labels(spark, sf_dir).where(crc_mod("doc_id", 4) != 2), "toxic")
@@ -64,6 +68,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_automaton": op1_automaton,
     "op2_nbsvm": op2_nbsvm,
+    "op3_suffixes": op3_suffixes,
     "op4_subword": op4_subword,
     "op5_jaccard": op5_jaccard,
     "op6_ppm": op6_ppm,
