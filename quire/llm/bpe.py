@@ -233,6 +233,11 @@ def codec(path: str) -> ChunkCodec:
     return _codec[path]
 
 
+def listed(lists: list[np.ndarray]) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *lists])))
+
+
 def encode_documents(docs: DataFrame, tokenizer_path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
     """Columns `keep`, then n_tokens, ids_sha256, decoded_sha256, and token_ids (array<int>) if asked for.
 
@@ -259,8 +264,8 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, text: str = "text", k
                     ids.append(hashlib.sha256(text_ids.encode()).hexdigest())
                     decoded.append(hashlib.sha256(own.decoded(texts[i]).decode("utf-8", "replace").encode()).hexdigest())
                     if with_ids:
-                        lists.append([int(x) for x in text_ids.split(",") if x])
-            made = [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string()), *[pa.array(lists, pa.list_(pa.int32()))] * with_ids]
+                        lists.append(np.array(text_ids.split(",") if text_ids else [], dtype=np.int32))
+            made = [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string()), *[listed(lists)] * with_ids]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *made], [*names, "n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * with_ids])
 
     return docs.select(*[docs[c] for c in keep], docs[text].alias("__text")).mapInArrow(run, schema)
