@@ -1 +1 @@
-"""quire: document knowledge-base analytics on Spark."""
+"""Readers: knowledge bases and manifests as JSON, approvals as CSV, DOCX containers, page caches, picture folders."""
