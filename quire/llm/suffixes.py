@@ -31,7 +31,7 @@ class SuffixArray:
         self.names: dict[bytes, int] = {}
         rows = [self.coded(r, True) for r in homes]
         order = sorted(range(len(rows)), key=lambda i: rows[i][1].tolist())
-        self.left, self.right = (np.array([rows[i][k] for i in order], np.int64) for k in (0, 1))
+        self.left, self.right = (np.array([rows[i][k] for i in order], np.int64).reshape(len(order), n) for k, n in ((0, self.left_most), (1, length)))
         self.place = {homes[i]["span"]: at for at, i in enumerate(order)}
         same = (self.right[1:] == self.right[:-1]) & (self.right[1:] > 0)
         self.common = np.logical_and.accumulate(same, axis=1).sum(1) if len(order) > 1 else np.zeros(0, np.int64)
@@ -67,6 +67,8 @@ class SuffixArray:
     def repeated(self, row: dict, home: bool) -> list[tuple]:
         """Intervals of the class's windows that occur elsewhere: a, b, then the first document and its place of window a."""
         j, m, mine = row["j"], row["m"], self.owner_of(row)
+        if not self.place:  # no class is at home in this shard
+            return []
         if home and len(self.right) == 1:
             return [(0, m - 1, row["id"], row["s"])] if row["weight"] > 1 else []
         left, right = self.coded(row, False)
@@ -128,9 +130,9 @@ def removed_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", l
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 50, gram: int = 8) -> DataFrame:
     """docs with the repeated stretches cut out of their texts, white space around kept words as it was."""
     own = keyed(docs, key, text)
-    cuts = repeats(own, length, gram).groupBy("uid").agg(F.collect_set(F.struct("a", "b")).alias("__cuts"))
+    cuts = repeats(own, length, gram).groupBy(F.col("uid").alias("__of")).agg(F.collect_set(F.struct("a", "b")).alias("__cuts"))
     whole = docs.withColumn("__uid", F.xxhash64(docs[key].alias("id"), F.coalesce(docs[text], F.lit(""))))
-    joined = whole.join(cuts, whole["__uid"] == cuts["uid"], "left").drop("uid", "__uid")
+    joined = whole.join(cuts, F.col("__uid") == F.col("__of"), "left").drop("__of", "__uid")
     spot = docs.columns.index(text)
 
     def run(batches):
