@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-VERSION = re.compile(rb"^WARC/1\.[01]\r\n", re.M)
+VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 MAGIC = b"\x1f\x8b\x08"
 URN = "urn:quire:page:"
 END = "\r\n\r\n"
@@ -91,8 +91,8 @@ def record_at(data: bytes, at: int) -> tuple[dict[str, str], bytes, bytes, int]:
         if not sep:
             raise Bad("a header has no colon")
         headers[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
-    if "warc-type" not in headers or not headers.get("content-length", "").isdigit():
-        raise Bad("type or length is missing")
+    if not {"warc-type", "warc-record-id"} <= headers.keys() or not headers.get("content-length", "").isdigit():
+        raise Bad("type, id or length is missing")
     end = stop + 4 + int(headers["content-length"])
     if data[end : end + 4] != b"\r\n\r\n":
         raise Bad("the record doesn't end where its length says")
