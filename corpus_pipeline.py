@@ -3,8 +3,8 @@
 Every stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns the columns of `documents`;
 the last returns tokens. Each is judged on its own input:
 
-1. language ID: a document without a letter, or one that takes more than 9 bits a byte under every language's model (more
-   than bytes by chance would), is rejected and goes;
+1. language ID: a document without a letter is rejected and goes; so does one of 64 bytes or more that takes more than 9
+   bits a byte under every language's model, which is more than bytes by chance would;
 2. n-gram Jaccard join: of each group of linked documents the one with the smallest id stays;
 3. suffix-array dedup: passages of 50 words or more stay where they are first; elsewhere they are cut out of the text;
 4. benchmark decontamination: a document that holds a benchmark item, as a copy or edited, goes;
@@ -24,13 +24,14 @@ from quire.llm import bpe, decontaminate, jaccard, ppm, suffixes
 from quire.llm.common import crc_mod, documents, materialize
 from quire.llm.queries import tokenizer_path
 
-MOST_BITS = 9.0
+MOST_BITS, LEAST_BYTES = 9.0, 64
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = ppm.Model(ppm.sample(docs.where(crc_mod("doc_id", 5) != 0)))
     found = ppm.identify(docs, model, [F.struct(*docs.columns).alias("__doc")])
-    kept = found.where((F.col("lang_pred") != ppm.UNKNOWN) & (F.col("bits") <= MOST_BITS))
+    fits = (F.col("bits") <= MOST_BITS) | (F.octet_length(F.col("__doc")["text"]) < LEAST_BYTES)
+    kept = found.where((F.col("lang_pred") != ppm.UNKNOWN) & fits)
     return kept.select(*[F.col("__doc")[c].alias(c) for c in docs.columns])
 
 
