@@ -11,7 +11,7 @@ from quire.functions import geometry as geo
 from quire.functions import roles
 from quire.functions import text as tx
 from quire.operators import adapters as ad
-from quire.operators import align, layout, metrics, references, repetition, retrieve, segment, tables
+from quire.operators import align, kb, layout, metrics, references, repetition, retrieve, segment, tables
 from quire.plans import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -511,3 +511,69 @@ def _(spark, d):
 @query("html_blocks")
 def _(spark, d):
     return ad.html_blocks(ad.table(spark, d, "pages"))
+
+
+# entries and assets
+
+
+@query("p06_in_scope", sql.IN_SCOPE)
+def _(spark, d):
+    return ad.table(spark, d, "part").where(kb.in_scope(F.col("p_brand"), F.col("p_name"), F.col("p_partkey").cast("string"), ("1", "2"), ("a", "e"), ("1", "3"))).select("p_partkey")
+
+
+@query("p07_effective_candidate", sql.EFFECTIVE)
+def _(spark, d):
+    own = ad.line_blocks(docs(spark, d)).withColumn("ok", kb.effective_candidate(F.col("text")))
+    return own.groupBy("ok").agg(F.count("*").alias("n"))
+
+
+@query("j09_fallback_entries", sql.FALLBACK)
+def _(spark, d):
+    part = ad.table(spark, d, "part")
+    items = part.where("p_partkey % 7 = 0").select((F.col("p_partkey") % 10).alias("document_id"), F.col("p_partkey").alias("item_id"), (F.col("p_partkey") % 30).alias("page_number"), F.element_at(F.split("p_name", " "), 1).alias("heading"))
+    entries = part.select((F.col("p_partkey") % 10).alias("document_id"), F.col("p_partkey").alias("entry_id"), (F.col("p_partkey") % 30).alias("page_number"), F.col("p_name").alias("title"), F.col("p_type").alias("content"), (F.col("p_size") % 30).cast("long").alias("dominant_page"), F.col("p_size").alias("position"))
+    return kb.fallback_entries(items, entries).select("item_id", "entry_id", "method")
+
+
+@query("j26_page_owners", sql.PAGE_OWNERS)
+def _(spark, d):
+    own = boxes(spark, d)
+    blocks = own.select((F.col("document_id") % 500).alias("document_id"), F.col("document_id").alias("entry_id"), "seq", (F.col("x") % 9).alias("block_page"), (F.col("document_id") % 7).alias("entry_page"))
+    entries = ad.table(spark, d, "orders").select((F.col("o_orderkey") % 500).alias("document_id"), F.col("o_orderkey").alias("entry_id"), (F.col("o_orderkey") % 7).alias("page_number"), F.col("o_orderkey").alias("position"))
+    return kb.page_owners(blocks, entries).groupBy("entry_id").agg(F.count("*").alias("n"), F.count_if("moved").alias("n_moved"))
+
+
+@query("j27_attached_snapshots", sql.ATTACHED)
+def _(spark, d):
+    own = boxes(spark, d).withColumnRenamed("document_id", "entry_id")
+    blocks = own.where("kind = 'text'").select("entry_id", "seq", F.when(F.col("x") % 3 == 0, "uri").alias("uri"))
+    return kb.attached_snapshots(blocks, own.where("kind = 'figure'").select("entry_id", "seq", F.col("x").cast("string").alias("uri"))).withColumn("block_seq", F.coalesce("block_seq", F.lit(-1)))
+
+
+@query("a21_weighted_index", sql.WEIGHTED)
+def _(spark, d):
+    part = ad.table(spark, d, "part").withColumn("role", F.when(F.col("p_size") % 4 == 0, "heading").when(F.col("p_size") % 4 == 1, "body").when(F.col("p_size") % 4 == 2, "artifact").otherwise("caption"))
+    return retrieve.counts(kb.ranking_rows(part), "p_brand", "p_name", "weight").groupBy("key").agg(F.count("*").alias("grams"), F.sum("tf").alias("weight"))
+
+
+@query("w15_next_numbers", sql.NEXT_NUMBERS)
+def _(spark, d):
+    chapter, current = F.col("p_size").cast("string"), F.concat((F.col("p_size") + F.col("p_partkey") % 2).cast("string"), F.lit("."), (F.col("p_partkey") % 30).cast("string"))
+    return ad.table(spark, d, "part").select("p_partkey", tx.next_section_number(chapter, current).alias("next"), kb.full_clause(F.concat(F.lit("."), F.col("p_partkey") % 9, F.lit(".2 x")), chapter, current).alias("clause"))
+
+
+@query("j21_heading_hints")
+def _(spark, d):
+    own = boxes(spark, d).withColumn("page_number", F.col("seq"))
+    return kb.heading_hints(own.where("kind <> 'text'"), own.where("kind = 'text'").withColumn("text", F.concat(F.lit("t"), F.col("seq").cast("string"))))
+
+
+@query("o08_merged_to_fixpoint")
+def _(spark, d):
+    return kb.merged_to_fixpoint(boxes(spark, d).drop("score"), gap=40, align=0.3)
+
+
+@query("j12_overlaid")
+def _(spark, d):
+    own = ad.line_blocks(docs(spark, d)).where("reading_order <= 8").select("document_id", "page_number", F.col("reading_order").alias("seq"), F.substring("text", 1, 60).alias("text"))
+    return kb.overlaid(own, own.withColumn("text", F.upper(F.substring("text", 3, 40))))

@@ -243,3 +243,24 @@ PRELIMINARY = r"""WITH own AS (
   SELECT doc_id % 6 + 1 AS page, len(regexp_extract_all(text, '[.·…]{4,}\s*[0-9]+')) >= 3 AS toc, len(list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g') <> '')) AS n, regexp_matches(text, '(?m)^[0-9]{1,3}[.、)]') AS numbered FROM documents),
 p AS (SELECT toc, NOT numbered AND (toc OR page <= 3 AND n <= 2) AS preliminary FROM own)
 SELECT preliminary, CAST(CASE WHEN preliminary AND toc THEN 0.0 WHEN preliminary THEN 0.15 ELSE 1.0 END AS DOUBLE) AS search_weight, count(*) AS n FROM p GROUP BY ALL"""
+IN_SCOPE = "SELECT p_partkey FROM part WHERE (contains(p_brand, '1') OR contains(p_brand, '2')) AND (contains(p_name, 'a') OR contains(p_name, 'e')) AND (CAST(p_partkey AS VARCHAR) LIKE '1%' OR CAST(p_partkey AS VARCHAR) LIKE '3%')"
+EFFECTIVE = rf"""WITH {LINES}, o AS (
+  SELECT text, length(regexp_replace(text, '[^0-9A-Za-z]', '', 'g')) AS alnum, length(regexp_replace(text, '[\p{{L}}\p{{N}}_一-鿿]', '', 'g')) AS odd FROM lines)
+SELECT text NOT IN ('[]', '{{}}', 'null', 'None', 'nan', 'N/A') AND length(text) > 1 AND (regexp_matches(text, '[一-鿿]') OR alnum >= 3 AND odd <= greatest(2, length(text) // 2)) AS ok, count(*) AS n FROM o GROUP BY 1"""
+FALLBACK = r"""WITH n AS (SELECT *, trim(regexp_replace(regexp_replace(p_name, '[^\p{L}\p{N}]', ' ', 'g'), ' +', ' ', 'g')) AS name, trim(regexp_replace(regexp_replace(p_type, '[^\p{L}\p{N}]', ' ', 'g'), ' +', ' ', 'g')) AS kind,
+  trim(regexp_replace(regexp_replace(string_split(p_name, ' ')[1], '[^\p{L}\p{N}]', ' ', 'g'), ' +', ' ', 'g')) AS key FROM part),
+p AS (SELECT i.p_partkey AS item_id, e.p_partkey AS entry_id, e.p_size AS position, e.p_size % 30 = i.p_partkey % 30 AS dominant,
+  floor((CASE WHEN i.key <> '' AND contains(e.name, i.key) THEN 120 ELSE 0 END + CASE WHEN i.key <> '' AND contains(e.kind, i.key) THEN 60 ELSE 0 END) * CASE WHEN length(i.key) < 3 THEN 0.5 ELSE 1 END) AS score
+  FROM n i JOIN n e ON i.p_partkey % 10 = e.p_partkey % 10 AND i.p_partkey % 30 = e.p_partkey % 30 WHERE i.p_partkey % 7 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, dominant DESC, position, entry_id) AS r FROM p)
+SELECT item_id, entry_id, CASE WHEN score > 0 THEN 'heading' WHEN dominant THEN 'dominant_page' ELSE 'position' END AS method FROM r WHERE r = 1"""
+PAGE_OWNERS = f"""WITH {BOXES}, o AS (SELECT o_orderkey % 500 AS doc, o_orderkey % 7 AS page, max(o_orderkey) AS owner FROM orders GROUP BY 1, 2),
+b AS (SELECT boxes.document_id AS entry_id, abs(x % 9 - boxes.document_id % 7) > 1 AND owner IS NOT NULL AND owner <> boxes.document_id AS moved, owner FROM boxes LEFT JOIN o ON boxes.document_id % 500 = doc AND x % 9 = page)
+SELECT CASE WHEN moved THEN owner ELSE entry_id END AS entry_id, count(*) AS n, count(*) FILTER (moved) AS n_moved FROM b GROUP BY 1"""
+ATTACHED = f"""WITH {BOXES}, m AS (SELECT document_id, seq AS block_seq, row_number() OVER (PARTITION BY document_id ORDER BY seq) AS n FROM boxes WHERE kind = 'text' AND x % 3 <> 0),
+s AS (SELECT document_id, seq, CAST(x AS VARCHAR) AS uri, row_number() OVER (PARTITION BY document_id ORDER BY seq) AS n FROM boxes WHERE kind = 'figure')
+SELECT s.document_id AS entry_id, s.seq, s.uri, coalesce(m.block_seq, -1) AS block_seq FROM s LEFT JOIN m USING (document_id, n)"""
+WEIGHTED = r"""WITH t AS (SELECT p_brand AS key, regexp_replace(lower(p_name), '\s\s+', ' ', 'g') AS t, CASE p_size % 4 WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 1 END AS w FROM part WHERE p_size % 4 <> 2),
+g AS (SELECT key, w, unnest(list_concat(list_concat(list_transform(range(1, length(t)), lambda i: substr(t, i, 2)), list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))), list_transform(range(1, length(t) - 2), lambda i: substr(t, i, 4)))) AS gram FROM t)
+SELECT key, count(DISTINCT gram) AS grams, CAST(sum(w) AS BIGINT) AS weight FROM g GROUP BY key"""
+NEXT_NUMBERS = """SELECT p_partkey, p_size || '.' || CASE WHEN p_partkey % 2 = 0 THEN p_partkey % 30 + 1 ELSE 1 END AS next, p_size || '.' || (p_partkey % 9) || '.2' AS clause FROM part"""
