@@ -9,28 +9,31 @@ counts. Only pairs that may reach t by that bound survive, and only they are ver
 
 Blocks hold unrelated documents that share a common line, or large groups of near copies. The bound drops the former.
 For the latter, blocks of more than SMALL classes first compare each member to a few pivots (the points nearest to the
-block's median, and the smallest id), links are verified and components formed; then all surviving pairs of different
-components are compared. So links within a component needn't all be listed, and none between different ones is lost.
+block's median, and the smallest id; in blocks of the first STARS tokens), links are verified and components formed; then
+all surviving pairs of different components are compared. So links within a component needn't all be listed, and none
+between different ones is lost. A pair that shares several tokens is compared in the block of the first one only.
 Blocks of more than CHUNK classes are dealt out by pairs of chunks, so no task holds more than two chunks.
 
 Defined results: null texts and texts without words have empty sets and link with nothing; with fewer words than a
 shingle the whole sequence is the one shingle; rows of equal id count as one document; a null id links nothing.
+Ids are taken as unique; of rows with equal ids and different texts one text is used.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from quire.llm.common import LOWER, gram_hashes, materialize, mix, slices, utf8, word_hashes, words
 from quire.llm.links import components
 
-TOKENS, GROUPS, SMALL, CHUNK, PIVOTS, LEAF = 24, 128, 16, 4096, 3, 32
+TOKENS, GROUPS, SMALL, CHUNK, PIVOTS, STARS, LEAF, TILE = 24, 128, 16, 4096, 3, 4, 32, 600
 _rng = np.random.default_rng(20240229)
 FLIP = _rng.integers(0, 1 << 63, TOKENS, dtype=np.uint64)
 ODD = _rng.integers(0, 1 << 62, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -115,24 +118,32 @@ class Tree:
         return self.order[own[bound * (num + den) >= num * (n + self.n[own])]]
 
 
-def pairs_in(block: dict[str, np.ndarray], num: int, den: int, pivots: bool) -> Iterator[tuple[int, int]]:
-    """Surviving pairs of a block's rows; with pivots, of the pivots and the rest; else of different components."""
-    n, points, slack, chunk, comp = (block[k] for k in ("n", "point", "slack", "chunk", "component"))
+def pairs_in(block: dict[str, np.ndarray], num: int, den: int, first: bool) -> Iterator[tuple[int, int]]:
+    """Surviving pairs of a block's rows. first: pivots with the rest in large blocks of the first tokens, all pairs in small
+    ones; else pairs of different components. All pairs are left to the block of their first common token."""
+    n, points, slack, chunk, comp, sig = (block[k] for k in ("n", "point", "slack", "chunk", "component", "tokens"))
+    j, pivots = int(block["at"][0]), first and int(block["size"][0]) > SMALL
+    if pivots and j >= STARS or not first and (comp[0] == comp).all():
+        return
     if pivots:
         middle = np.median(points, axis=0)
         far = np.abs(points - middle).sum(1)
         queries = {*np.argsort(far, kind="stable")[:PIVOTS].tolist(), int(block["id"].argmin())}
-    elif (comp[0] == comp).all():
-        return
     else:
         queries = range(len(n))
     tree = Tree(n, points, slack)
     split = chunk.min() != chunk.max()
     for q in queries:
-        for r in tree.near(int(n[q]), points[q], int(slack[q]), num, den).tolist():
-            if r == q or not pivots and (r < q or comp[r] == comp[q] or split and chunk[r] == chunk[q]):
-                continue
-            yield q, r
+        near = tree.near(int(n[q]), points[q], int(slack[q]), num, den)
+        if not pivots:
+            near = near[(near > q) & (comp[near] != comp[q])]
+            if split:
+                near = near[chunk[near] != chunk[q]]
+            if j and len(near):
+                near = near[~(sig[near, :j] == sig[q, :j]).any(1)]
+        for r in near.tolist():
+            if r != q:
+                yield q, r
 
 
 def blocks(batches, columns: list[str]) -> Iterator[dict[str, np.ndarray]]:
@@ -141,7 +152,8 @@ def blocks(batches, columns: list[str]) -> Iterator[dict[str, np.ndarray]]:
 
     def made() -> dict[str, np.ndarray]:
         t = pa.Table.from_batches(held).combine_chunks()
-        out = {c: t.column(c).to_numpy(zero_copy_only=False) for c in columns if c != "point"}
+        out = {c: t.column(c).to_numpy(zero_copy_only=False) for c in columns if c not in ("point", "tokens")}
+        out["tokens"] = t.column("tokens").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, TOKENS)
         out["point"] = np.frombuffer(b"".join(t.column("point").to_pylist()), np.uint8).reshape(-1, GROUPS)
         return out
 
@@ -162,8 +174,8 @@ def blocks(batches, columns: list[str]) -> Iterator[dict[str, np.ndarray]]:
         yield made()
 
 
-def survivors(rows: DataFrame, num: int, den: int, pivots: Callable[[int], bool], kind: str) -> DataFrame:
-    """Distinct pairs a < b that the blocks' trees leave. rows: token, i, j, chunk, id, n, point, slack, component."""
+def survivors(rows: DataFrame, num: int, den: int, first: bool, kind: str) -> DataFrame:
+    """Distinct pairs a < b that the blocks' trees leave. rows: token, at (its number), i, j, chunk, size, id, n, point, slack, tokens, component."""
     dealt = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
 
     def run(batches):
@@ -172,7 +184,7 @@ def survivors(rows: DataFrame, num: int, den: int, pivots: Callable[[int], bool]
             ids = block["id"]
             if len(ids) < 2:
                 continue
-            for q, r in pairs_in(block, num, den, pivots(len(ids))):
+            for q, r in pairs_in(block, num, den, first):
                 x, y = ids[q], ids[r]
                 if x != y:
                     a.append(min(x, y))
@@ -188,10 +200,17 @@ def survivors(rows: DataFrame, num: int, den: int, pivots: Callable[[int], bool]
 
 
 def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, num: int, den: int, k: int) -> DataFrame:
-    """Pairs whose sets meet the threshold. Only the texts of documents in a pair are taken again."""
+    """Pairs whose sets meet the threshold. Only the texts of documents in a pair are taken again.
+
+    Pairs are dealt by the components that they form, and components of more than TILE documents by pairs of chunks; a set
+    travels once to each tile, not with each pair, and a task holds two chunks of sets at most.
+    """
     kind = docs.schema[key].dataType.simpleString()
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    own = docs.select(docs[key].alias("id"), docs[text].alias("text")).join(ids, "id", "left_semi")
+    groups = components(pairs)
+    sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / TILE).cast("int").alias("chunks"))
+    placed = groups.join(sizes, "component").select(F.col("node").alias("id"), "component", "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"))
+    placed = materialize(placed, "placed")
+    own = docs.select(docs[key].alias("id"), docs[text].alias("text")).join(placed.select("id"), "id", "left_semi")
 
     def sets(batches):
         for batch in batches:
@@ -200,21 +219,34 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, num: int, d
                 made = [u.tobytes() for u in shingle_sets(data[off[a] : off[b]], off[a : b + 1] - off[a], k)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(made, pa.binary())], ["id", "shingles"])
 
-    own = materialize(own.mapInArrow(sets, f"id {kind}, shingles binary"), "shingles")
-    both = pairs.join(own.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(own.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+    held = own.mapInArrow(sets, f"id {kind}, shingles binary").join(placed, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    tile = lambda x, y: [F.least(x, y).alias("i"), F.greatest(x, y).alias("j")]
+    held = held.select("component", *tile("chunk", "other"), F.col("id").alias("a"), F.lit(None).cast(kind).alias("b"), "shingles")
+    asked = pairs.join(placed.select(F.col("id").alias("a"), "component", F.col("chunk").alias("x")), "a").join(placed.select(F.col("id").alias("b"), F.col("chunk").alias("y")), "b")
+    asked = asked.select("component", *tile("x", "y"), "a", "b", F.lit(None).cast("binary").alias("shingles"))
+    both = held.unionByName(asked).repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", F.asc_nulls_first("b"))
 
     def check(batches):
+        now, found = None, {}
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.searchsorted(v, u)
-                common = int((v[np.minimum(at, len(v) - 1)] == u).sum()) if len(u) and len(v) else 0
-                keep.append(den * common >= num * (len(u) + len(v) - common))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
-
-    return materialize(both.select("a", "b", "x", "y").mapInArrow(check, f"a {kind}, b {kind}").distinct(), "links")
+            columns = [batch.column(c).to_pylist() for c in range(5)]
+            raw, left, right = batch.column(5), [], []
+            for n, (c, i, j, a, b) in enumerate(zip(*columns, strict=True)):
+                if (c, i, j) != now:
+                    now, found = (c, i, j), {}
+                if b is None:
+                    found[a] = np.frombuffer(raw[n].as_py(), np.uint64)
+                elif a in found and b in found:
+                    u, v = sorted((found[a], found[b]), key=len)
+                    at = np.searchsorted(v, u)
+                    common = int((v[np.minimum(at, len(v) - 1)] == u).sum()) if len(u) else 0
+                    if len(u) and den * common >= num * (len(u) + len(v) - common):
+                        left.append(a)
+                        right.append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(left, schema.field(0).type), pa.array(right, schema.field(1).type)], ["a", "b"])
+
+    schema = to_arrow_schema(pairs.select("a", "b").schema)
+    return materialize(both.mapInArrow(check, f"a {kind}, b {kind}").distinct(), "links")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = 75, den: int = 100, k: int = 5) -> DataFrame:
@@ -222,19 +254,21 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = 75
     kind = docs.schema[key].dataType.simpleString()
     drawn = materialize(sketches(docs, key, text, k), "sketches")
     classes = drawn.where("digest is not null and id is not null").groupBy("digest").agg(F.min("id").alias("id"))
-    points = drawn.join(classes, ["digest", "id"], "left_semi").dropDuplicates(["id"])
-    rows = points.select("id", "n", "point", "slack", F.explode("tokens").alias("token"))
-    sizes = points.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
-    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
-    rows = rows.join(sizes, "token").withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    points = drawn.join(classes, ["digest", "id"], "left_semi").dropDuplicates(["id"]).select("id", "n", "tokens", "point", "slack")
+    points = materialize(points, "points")
+    # tokens travel without their points until it is known which are shared
+    light = points.select("id", F.posexplode("tokens").alias("at", "token"))
+    sizes = light.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
+    rows = light.join(sizes, "token").withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.select("token", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "id", "n", "point", "slack", "size")
+    rows = rows.select("token", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "at", "size", "id")
     rows = materialize(rows, "blocks")
-    first = materialize(survivors(rows.withColumn("component", F.col("id")), num, den, lambda m: m > SMALL, kind), "pairs")
+    starred = rows.where((F.col("size") <= SMALL) | (F.col("at") < STARS)).withColumn("component", F.col("id"))
+    first = materialize(survivors(starred.join(points, "id"), num, den, True, kind), "pairs")
     links = verified(first, docs, key, text, num, den, k)
     labels = components(links)
     large = rows.where(F.col("size") > SMALL).join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    second = survivors(large, num, den, lambda m: False, kind).join(first, ["a", "b"], "left_anti")
+    second = survivors(large.join(points, "id"), num, den, False, kind).join(first, ["a", "b"], "left_anti")
     second = materialize(second, "pairs")
     if second.limit(1).count():
         links = links.union(verified(second, docs, key, text, num, den, k))

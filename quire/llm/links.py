@@ -11,19 +11,30 @@ from quire.llm.common import materialize
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Columns node and component (the smallest node reachable) for each node of an edge.
 
-    Each round takes the smallest label among a node and its neighbours, then the label's own label, so paths shorten by
-    half at least; both are aggregated before their shuffle. Rounds end when no label changes. A round's labels are
-    written to the shared folder, so lost executors cost one round. Loops and repeated edges do no harm; no edges, no rows.
+    In a round each node hooks to the smallest of itself and its neighbours; the trees that gives are flattened by taking
+    parents' parents, each time half as deep; then each tree is one node, and only edges between trees are left for the
+    next round. Hooks are aggregated before their shuffle. Every step's table is written to the shared folder, so lost
+    executors cost one step. Loops and repeated edges do no harm; no edges, no rows.
     """
-    both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(F.col(b), F.col(a))).where("u <> v").distinct()
-    both = materialize(both, "edges")
-    labels = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("component")), "labels")
-    while True:
-        near = both.join(labels, F.col("v") == F.col("node")).groupBy(F.col("u").alias("node")).agg(F.min("component").alias("near"))
-        new = labels.join(near, "node").select("node", "component", F.least("component", "near").alias("least"))
-        jump = labels.select(F.col("node").alias("least"), F.col("component").alias("far"))
-        new = new.join(jump, "least", "left").select("node", F.least("least", F.coalesce("far", "least")).alias("component"), (F.least("least", F.coalesce("far", "least")) != F.col("component")).alias("moved"))
-        new = materialize(new, "labels")
-        labels = new.drop("moved")
-        if new.where("moved").limit(1).count() == 0:
-            return labels
+    low, high = F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")
+    left = edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
+    left = materialize(left.where("u <> v").select(low, high).distinct(), "edges")
+    found = None
+    while found is None or left.limit(1).count():
+        both = left.union(left.select("v", "u"))
+        parent = materialize(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")).select("node", F.least("node", "m").alias("parent")), "parents")
+        while True:
+            up = parent.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
+            higher = materialize(parent.join(up, "parent").select("node", F.col("above").alias("parent"), (F.col("above") != F.col("parent")).alias("moved")), "parents")
+            parent = higher.drop("moved")
+            if not higher.where("moved").limit(1).count():
+                break
+        tops = parent.select(F.col("node").alias("component"), F.col("parent").alias("top"))
+        if found is None:
+            found = parent.withColumnRenamed("parent", "component")
+        else:
+            found = materialize(found.join(tops, "component", "left").select("node", F.coalesce("top", "component").alias("component")), "components")
+        named = left.join(parent.select(F.col("node").alias("u"), F.col("parent").alias("x")), "u").join(parent.select(F.col("node").alias("v"), F.col("parent").alias("y")), "v")
+        left = named.where("x <> y").select(F.col("x").alias("u"), F.col("y").alias("v"))
+        left = materialize(left.select(low, high).distinct(), "edges")
+    return found
