@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,8 +49,6 @@ def matches_of(c: Column, pattern: str) -> Column:
 
 def nfc(c: Column) -> Column:
     """Canonical composition; Spark has no function for it, so this one runs in Arrow batches. Most text is composed already."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
         return s.str.normalize("NFC")

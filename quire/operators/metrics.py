@@ -44,10 +44,11 @@ def structure_confidence(entries: DataFrame, by: str = "document_id") -> DataFra
 
 
 def document_style(paragraphs: DataFrame, article: str, appendix: str, chapter: str, section: str) -> DataFrame:
-    """Provisions, standard or plain, by how many paragraphs match each pattern."""
+    """A14, by patterns of one's own: how many paragraphs match each, and the style that gives."""
     n = {k: F.count_if(F.col("text").rlike(p)) for k, p in (("articles", article), ("appendices", appendix), ("chapters", chapter), ("sections", section))}
     own = paragraphs.groupBy("document_id").agg(*[c.alias(k) for k, c in n.items()])
-    style = F.when((F.col("articles") >= 3) & (F.col("appendices") >= 1), "table_appended").when(F.col("articles") >= 3, "provisions").when((F.col("chapters") >= 1) | (F.col("sections") >= 2), "standard").otherwise("plain")
+    provisions = (F.col("articles") >= 3) | (F.col("chapters") >= 1) | (F.col("sections") >= 2)
+    style = F.when((F.col("articles") >= 3) & (F.col("appendices") >= 1), "table_appended_regulatory").when(provisions, "rule_provisions").otherwise("standard_text")
     return own.withColumn("style", style)
 
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quire.functions import captions, roles
 from quire.functions import geometry as geo
-from quire.functions import roles
 from quire.functions import text as tx
 from quire.operators import adapters as ad
 from quire.operators import align, kb, layout, metrics, references, repetition, retrieve, segment, tables
@@ -577,3 +577,30 @@ def _(spark, d):
 def _(spark, d):
     own = ad.line_blocks(docs(spark, d)).where("reading_order <= 8").select("document_id", "page_number", F.col("reading_order").alias("seq"), F.substring("text", 1, 60).alias("text"))
     return kb.overlaid(own, own.withColumn("text", F.upper(F.substring("text", 3, 40))))
+
+
+# documents
+
+
+@query("a14_document_style", sql.STYLE)
+def _(spark, d):
+    # English lines stand in for articles and chapters
+    own = ad.line_blocks(docs(spark, d))
+    return metrics.document_style(own, "^[AT]", "^[EO]n", "(?i)^the ", "[0-9]").select("document_id", "articles", "appendices", "chapters", "sections", "style")
+
+
+@query("sf11_cluster_keys", sql.CLUSTER_KEYS)
+def _(spark, d):
+    title = F.concat(F.col("p_type"), F.lit(" / "), F.col("p_name"))
+    return ad.table(spark, d, "part").groupBy(captions.cluster_key(title).alias("key")).agg(F.count("*").alias("n"))
+
+
+@query("sf06_clean_text")
+def _(spark, d):
+    return ad.table(spark, d, "pages").select("page_id", captions.clean_text(F.concat(F.col("url"), F.lit(" a\nb c\n"), F.substring("html", 1, 200))).alias("text"))
+
+
+@query("sf23_difflib_ratio")
+def _(spark, d):
+    nation = ad.table(spark, d, "nation").select("n_nationkey", "n_name", F.lag("n_name").over(Window.partitionBy("n_regionkey").orderBy("n_nationkey")).alias("other"))
+    return nation.select("n_nationkey", F.round(captions.difflib_ratio(F.col("n_name"), F.col("other")), 6).alias("ratio"))

@@ -264,3 +264,7 @@ WEIGHTED = r"""WITH t AS (SELECT p_brand AS key, regexp_replace(lower(p_name), '
 g AS (SELECT key, w, unnest(list_concat(list_concat(list_transform(range(1, length(t)), lambda i: substr(t, i, 2)), list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))), list_transform(range(1, length(t) - 2), lambda i: substr(t, i, 4)))) AS gram FROM t)
 SELECT key, count(DISTINCT gram) AS grams, CAST(sum(w) AS BIGINT) AS weight FROM g GROUP BY key"""
 NEXT_NUMBERS = """SELECT p_partkey, p_size || '.' || CASE WHEN p_partkey % 2 = 0 THEN p_partkey % 30 + 1 ELSE 1 END AS next, p_size || '.' || (p_partkey % 9) || '.2' AS clause FROM part"""
+STYLE = rf"""WITH {LINES}, n AS (
+  SELECT doc_id AS document_id, count(*) FILTER (regexp_matches(text, '^[AT]')) AS articles, count(*) FILTER (regexp_matches(text, '^[EO]n')) AS appendices, count(*) FILTER (regexp_matches(text, '(?i)^the ')) AS chapters, count(*) FILTER (regexp_matches(text, '[0-9]')) AS sections FROM lines GROUP BY 1)
+SELECT *, CASE WHEN articles >= 3 AND appendices >= 1 THEN 'table_appended_regulatory' WHEN articles >= 3 OR chapters >= 1 OR sections >= 2 THEN 'rule_provisions' ELSE 'standard_text' END AS style FROM n"""
+CLUSTER_KEYS = "SELECT replace(p_type, ' ', '') AS key, count(*) AS n FROM part GROUP BY 1"

@@ -22,6 +22,10 @@ def test_search_normal(spark):
     assert values(spark, ["a,b  c\n d!", None, "  ", "图 1-1：说明", "x_y"], tx.search_normal) == ["a b c\nd", "", "", "图 1 1 说明", "x y"]
 
 
+def test_composition(spark):
+    assert values(spark, ["e\u0301", None], tx.nfc) == ["\u00e9", None]
+
+
 def test_labels_of_different_writing_share_a_key(spark):
     assert values(spark, ["图1-1", "图1.1", "图11"], tx.anchor_key) == ["图11"] * 3
     assert values(spark, ["图1-1", "图1.1", "图11"], lambda c: tx.anchor_key(c, strict_labels=True)) == ["图1-1", "图1-1", "图11"]
