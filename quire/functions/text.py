@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
@@ -77,8 +78,7 @@ def anchor_key(c: Column, strict_labels: bool = False) -> Column:
 
 def fingerprint(c: Column) -> Column:
     """What is left of a title for matching: cut to its first mark, without leading labels and white space."""
-    c = single_line(c)
-    c = F.when(c.rlike(FIRST_MARK), strip(F.regexp_extract(c, f"((?:{FIRST_MARK}).*)$", 1))).otherwise(c)
+    c = let(single_line(c), lambda t: F.when(t.rlike(FIRST_MARK), strip(F.regexp_extract(t, f"((?:{FIRST_MARK}).*)$", 1))).otherwise(t))
     for _ in range(3):  # a round that changes nothing is the same as none
         c = reduce(lambda x, p: F.regexp_replace(x, p, ""), LEADING_LABELS, strip(c))
     return compact(c)
@@ -98,16 +98,20 @@ def watermark_plausible(c: Column) -> Column:
 
 def levenshtein_similarity(a: Column, b: Column, cutoff: float = 0.0) -> Column:
     """1 - distance / longer length; 0 if a text is empty or the distance is over the cutoff's bound."""
-    a, b = text_or_empty(a), text_or_empty(b)
-    longer = F.greatest(F.length(a), F.length(b))
-    bound = F.floor(longer * (1.0 - cutoff)).cast("int") + 1
-    distance = F.levenshtein(a, b)
-    return F.when((a == "") | (b == ""), 0.0).when(distance > bound, 0.0).otherwise(1.0 - distance / longer)
+
+    def ratio(v: Column) -> Column:
+        longer = F.greatest(F.length(v["a"]), F.length(v["b"]))
+        bound = F.floor(longer * (1.0 - cutoff)).cast("int") + 1
+        # the distance is the length difference at least, so most pairs of a short and a long text need none
+        hopeless = (v["a"] == "") | (v["b"] == "") | (F.abs(F.length(v["a"]) - F.length(v["b"])) > bound)
+        return F.when(hopeless, 0.0).otherwise(let(F.levenshtein(v["a"], v["b"]), lambda d: F.when(d > bound, 0.0).otherwise(1.0 - d / longer)))
+
+    return let(F.struct(text_or_empty(a).alias("a"), text_or_empty(b).alias("b")), ratio)
 
 
 def semantic_similarity(a: Column, b: Column, cutoff: float = 0.0) -> Column:
     by_mark = levenshtein_similarity(fingerprint(a), fingerprint(b), cutoff)
-    return F.when(by_mark > 0, by_mark).otherwise(levenshtein_similarity(single_line(a), single_line(b), cutoff))
+    return let(by_mark, lambda m: F.when(m > 0, m).otherwise(levenshtein_similarity(single_line(a), single_line(b), cutoff)))
 
 
 def match_tokens(c: Column) -> Column:
@@ -161,40 +165,54 @@ def label_pairs(c: Column) -> Column:
     return F.aggregate(pairs, F.slice(pairs, 1, 0), lambda acc, x: F.when(F.exists(acc, lambda y: y["key"] == x["key"]), acc).otherwise(F.concat(acc, F.array(x))))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with the value computed once, however often the body names it."""
+    return F.transform(F.array(value), lambda v: body(v))[0]
+
+
 def suspicion(c: Column) -> Column:
     """How much a text looks like garbled recognition: struct of score, reasons and counts."""
     raw = F.regexp_replace(strip(text_or_empty(c)), r"\[IMAGE_REF:[^\]]+\]", "")
-    own = compact(raw)
-    n = F.greatest(F.length(own), F.lit(1))
+    return let(raw, lambda r: let(compact(r), lambda own: let(_counts(r, own), lambda n: _judged(own, n))))
+
+
+def _counts(raw: Column, own: Column) -> Column:
     replaced, private = matches_of(own, "�"), matches_of(own, r"\p{Co}")
-    control = matches_of(own, r"\p{C}")
-    odd = replaced + private + matches_of(own, f"[{in_class(SUSPICIOUS)}]")
-    weird = matches_of(own, rf"[^\p{{L}}\p{{N}}{CJK}{in_class(ALLOWED_PUNCTUATION)}]")
-    symbols = matches_of(own, rf"[^\p{{L}}\p{{N}}{CJK}]")
-    latin = F.regexp_extract_all(own, F.lit(f"([{CJK}][A-Za-z]{{1,4}}[{CJK}])"), 1)
+    return F.struct(
+        F.length(own).alias("length"), replaced.alias("replaced"), private.alias("private"), matches_of(own, r"\p{C}").alias("control"),
+        (replaced + private + matches_of(own, f"[{in_class(SUSPICIOUS)}]")).alias("odd"),
+        matches_of(own, rf"[^\p{{L}}\p{{N}}{CJK}{in_class(ALLOWED_PUNCTUATION)}]").alias("weird"), matches_of(own, rf"[^\p{{L}}\p{{N}}{CJK}]").alias("symbols"),
+        F.regexp_extract_all(own, F.lit(f"([{CJK}][A-Za-z]{{1,4}}[{CJK}])"), 1).alias("latin"),
+        own.rlike("[:：；;]{2,}|[·•]{2,}|-{3,}").alias("cluster"), raw.rlike(r"(?U)(?:^|[\s（(])[A-Za-z][）)]").alias("marker"),
+        raw.rlike(rf"(?U)(?:[{CJK}]\s+){{3,}}[{CJK}]").alias("spaced"), own.rlike(rf"([^\p{{L}}\p{{N}}_{CJK}])\1{{2,}}").alias("run"),
+    )
+
+
+def _judged(own: Column, n: Column) -> Column:
+    size, latin, odd = F.greatest(n["length"], F.lit(1)), F.size(n["latin"]), n["odd"]
     rules = [
-        ("replacement_char", replaced > 0, F.lit(6.0)),
-        ("private_use_char", private > 0, F.least(F.lit(6.0), private * 2.5)),
-        ("control_char", control > 0, F.least(F.lit(4.0), control * 2.0)),
+        ("replacement_char", n["replaced"] > 0, F.lit(6.0)),
+        ("private_use_char", n["private"] > 0, F.least(F.lit(6.0), n["private"] * 2.5)),
+        ("control_char", n["control"] > 0, F.least(F.lit(4.0), n["control"] * 2.0)),
         ("garbled_symbol_cluster", odd >= 2, F.least(F.lit(4.0), odd * 0.8)),
-        ("unexpected_symbol_ratio", weird / n >= 0.08, F.lit(2.0)),
-        ("symbol_heavy", (symbols / n >= 0.35) & (F.length(own) >= 10), F.lit(1.5)),
-        ("cjk_inline_latin_fragment", F.size(latin) > 0, F.lit(3.5) + F.when(F.size(latin) >= 2, F.least(F.lit(4), F.size(latin) - 1) * 0.5).otherwise(0.0)),
-        ("lowercase_inline_latin", F.exists(latin, lambda x: x.rlike("[a-z]")), F.lit(1.0)),
-        ("abnormal_punctuation_cluster", own.rlike("[:：；;]{2,}|[·•]{2,}|-{3,}"), F.lit(2.0)),
-        ("single_letter_subfigure_marker", raw.rlike(r"(?U)(?:^|[\s（(])[A-Za-z][）)]"), F.lit(1.5)),
-        ("spaced_cjk", raw.rlike(rf"(?U)(?:[{CJK}]\s+){{3,}}[{CJK}]"), F.lit(2.5)),
-        ("repeated_symbol_run", own.rlike(rf"([^\p{{L}}\p{{N}}_{CJK}])\1{{2,}}"), F.lit(1.5)),
+        ("unexpected_symbol_ratio", n["weird"] / size >= 0.08, F.lit(2.0)),
+        ("symbol_heavy", (n["symbols"] / size >= 0.35) & (n["length"] >= 10), F.lit(1.5)),
+        ("cjk_inline_latin_fragment", latin > 0, F.lit(3.5) + F.when(latin >= 2, F.least(F.lit(4), latin - 1) * 0.5).otherwise(0.0)),
+        ("lowercase_inline_latin", F.exists(n["latin"], lambda x: x.rlike("[a-z]")), F.lit(1.0)),
+        ("abnormal_punctuation_cluster", n["cluster"], F.lit(2.0)),
+        ("single_letter_subfigure_marker", n["marker"], F.lit(1.5)),
+        ("spaced_cjk", n["spaced"], F.lit(2.5)),
+        ("repeated_symbol_run", n["run"], F.lit(1.5)),
     ]
     score = reduce(lambda a, b: a + b, [F.when(test, points).otherwise(0.0) for _, test, points in rules])
     reasons = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test, _ in rules]))
-    some = F.length(own) > 0
+    some = n["length"] > 0
     return F.struct(
-        F.length(own).alias("compact_length"),
+        n["length"].alias("compact_length"),
         F.when(some, F.bround(score, 3)).otherwise(0.0).alias("score"),
         F.when(some, reasons).otherwise(F.array().cast("array<string>")).alias("reasons"),
         F.when(some, odd).otherwise(0).alias("suspicious_chars"),
-        F.when(some, F.bround(odd / n, 4)).otherwise(0.0).alias("suspicious_ratio"),
+        F.when(some, F.bround(odd / size, 4)).otherwise(0.0).alias("suspicious_ratio"),
         own.rlike(f"[{CJK}]").alias("contains_cjk"),
     )
 
