@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import fingerprint, match_tokens, semantic_similarity, single_line, strip, text_or_empty
+from quire.functions.text import fingerprint, let, levenshtein_similarity, match_tokens, single_line, strip, text_or_empty
 
 
 def page_window(items: DataFrame, entries: DataFrame, radius: int = 3) -> DataFrame:
@@ -20,24 +20,45 @@ def page_bonus(a: Column, b: Column) -> Column:
     return F.when((a > 0) & (b > 0), F.when(far == 0, 90).when(far <= 2, 40).when(far <= 6, 15).otherwise(0)).otherwise(0)
 
 
-def signal_score(signal: Column, title: Column, content: Column, item_kind: Column, has_table: Column, item_page: Column, entry_page: Column, cutoff: float = 0.6) -> Column:
-    """SF50: score and evidence of a signal text for an entry: the best containment, token hits, similarity, page and kind."""
-    norm, mark, short, long = single_line(signal), fingerprint(signal), single_line(title), single_line(content)
-    short_mark, long_mark = fingerprint(title), fingerprint(content)
+def signal_profile(signal: Column) -> Column:
+    """What a signal is compared by; computed once an item, before the join."""
+    return F.struct(single_line(signal).alias("norm"), fingerprint(signal).alias("mark"), F.slice(match_tokens(signal), 1, 12).alias("tokens"), (strip(text_or_empty(signal)) != "").alias("given"))
+
+
+def entry_profile(title: Column, content: Column) -> Column:
+    """What an entry is compared by. The long side of a similarity is its first 2400 characters, as the score is defined."""
+    long = single_line(content)
+    cut = F.substring(long, 1, 2400)
+    return F.struct(
+        single_line(title).alias("short"), fingerprint(title).alias("short_mark"), long.alias("long"), fingerprint(content).alias("long_mark"),
+        F.regexp_replace(long, r"(?U)\s+", "").alias("compact"), strip(cut).alias("cut"), fingerprint(cut).alias("cut_mark"),
+    )
+
+
+def signal_score(signal: Column, entry: Column, item_kind: Column, has_table: Column, item_page: Column, entry_page: Column, cutoff: float = 0.6) -> Column:
+    """SF50: score and evidence of a signal's profile for an entry's: the best containment, token hits, similarity, page and kind."""
+    norm, mark = signal["norm"], signal["mark"]
     within = lambda a, b: (a != "") & F.contains(b, a)
     contained = F.greatest(
-        F.when((mark != "") & (short_mark != "") & (F.contains(short_mark, mark) | F.contains(mark, short_mark)), 980).otherwise(0),
-        F.when(within(norm, short), 900).otherwise(0), F.when(within(mark, long_mark), 760).otherwise(0), F.when(within(norm, long), 620).otherwise(0),
+        F.when((mark != "") & (entry["short_mark"] != "") & (F.contains(entry["short_mark"], mark) | F.contains(mark, entry["short_mark"])), 980).otherwise(0),
+        F.when(within(norm, entry["short"]), 900).otherwise(0), F.when(within(mark, entry["long_mark"]), 760).otherwise(0), F.when(within(norm, entry["long"]), 620).otherwise(0),
     )
-    compacted = F.regexp_replace(long, r"(?U)\s+", "")
-    hits = F.size(F.filter(F.slice(match_tokens(signal), 1, 12), lambda t: F.contains(short, t) | F.contains(compacted, t)))
-    # the long side of a comparison is its first 2400 characters, as the score is defined
-    like = F.greatest(semantic_similarity(signal, title, cutoff), semantic_similarity(signal, F.substring(long, 1, 2400), cutoff))
+    hits = F.size(F.filter(signal["tokens"], lambda t: F.contains(entry["short"], t) | F.contains(entry["compact"], t)))
+
+    def like(other_mark: Column, other: Column) -> Column:
+        by_mark = levenshtein_similarity(mark, other_mark, cutoff)
+        return let(by_mark, lambda m: F.when(m > 0, m).otherwise(levenshtein_similarity(norm, other, cutoff)))
+
     kind = F.when(item_kind == "table", F.when(has_table, 220).otherwise(-80)).when(item_kind == "legend", F.when(has_table, -90).otherwise(40)).otherwise(0)
-    score = contained + hits * 55 + F.floor(like * 220).cast("int") + page_bonus(item_page, entry_page) + kind
-    evidence = (contained > 0).cast("int") + (hits > 0).cast("int") + (like > 0).cast("int")
-    given = strip(text_or_empty(signal)) != ""
-    return F.struct(F.when(given, score).otherwise(0).alias("score"), F.when(given, evidence).otherwise(0).alias("evidence"), F.when(given, like).otherwise(0.0).alias("similarity"))
+    parts = F.struct(contained.alias("contained"), hits.alias("hits"), F.greatest(like(entry["short_mark"], entry["short"]), like(entry["cut_mark"], entry["cut"])).alias("like"))
+
+    def total(p: Column) -> Column:
+        score = p["contained"] + p["hits"] * 55 + F.floor(p["like"] * 220).cast("int") + page_bonus(item_page, entry_page) + kind
+        evidence = (p["contained"] > 0).cast("int") + (p["hits"] > 0).cast("int") + (p["like"] > 0).cast("int")
+        return F.struct(score.alias("score"), evidence.alias("evidence"), p["like"].alias("similarity"))
+
+    none = F.struct(F.lit(0).alias("score"), F.lit(0).alias("evidence"), F.lit(0.0).alias("similarity"))
+    return F.when(signal["given"], let(parts, total)).otherwise(none)
 
 
 def align_items(items: DataFrame, entries: DataFrame, radius: int = 3, cutoff: float = 0.6) -> DataFrame:
@@ -47,8 +68,10 @@ def align_items(items: DataFrame, entries: DataFrame, radius: int = 3, cutoff: f
     has_table. Order: score, evidence, similarity, then the entry's id. An item whose best entry is weak keeps it, as
     `first_candidate`; one without entries in the window has none.
     """
-    pairs = page_window(items, entries, radius)
-    scored = pairs.withColumn("s", signal_score(F.col("i_signal"), F.col("e_title"), F.col("e_content"), F.col("i_kind"), F.col("e_has_table"), F.col("i_page_number"), F.col("e_page_number"), cutoff))
+    left = items.select("document_id", "item_id", "page_number", "kind", signal_profile(F.col("signal")).alias("profile"))
+    right = entries.select("document_id", "entry_id", "page_number", "has_table", entry_profile(F.col("title"), F.col("content")).alias("profile"))
+    pairs = page_window(left, right, radius)
+    scored = pairs.withColumn("s", signal_score(F.col("i_profile"), F.col("e_profile"), F.col("i_kind"), F.col("e_has_table"), F.col("i_page_number"), F.col("e_page_number"), cutoff))
     order = Window.partitionBy("i_document_id", "i_item_id").orderBy(F.desc("s.score"), F.desc("s.evidence"), F.desc("s.similarity"), "e_entry_id")
     best = scored.withColumn("r", F.row_number().over(order)).where("r = 1")
     strong = (F.col("s.score") >= F.greatest(F.lit(120.0), F.lit(220.0 * cutoff))) | (F.col("s.evidence") >= 2) | (F.col("s.similarity") >= cutoff)
