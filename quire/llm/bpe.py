@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quire.llm.common import mix, power_table, slices, utf8
+from quire.llm.common import mix, power_table, slices, small_batches, utf8
 
 #: A chunk ends where the rolling hash of ROLL bytes has MASK bits zero: 512 bytes on average.
 ROLL, MASK = 16, 511
@@ -243,6 +243,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, text: str = "text", k
 
     `tokenizer_path` is read on the executors, where the vocabulary files are installed.
     """
+    small_batches(docs.sparkSession)
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "n_tokens long, ids_sha256 string, decoded_sha256 string", *["token_ids array<int>"] * with_ids])
     names = [*keep]
 

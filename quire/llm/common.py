@@ -35,9 +35,23 @@ def _clean() -> None:
             pass
 
 
+BATCH_BYTES = 16 << 20
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Holds what goes to Python at once to 16 MB, whatever the rows' length; a session's smaller bound stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).lower().rstrip("b")
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(now[-1:], 1)
+    size = int(now.rstrip("kmg")) * unit
+    if size <= 0 or size > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+    return spark
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage: a Parquet table in the shared folder, read again."""
-    spark = df.sparkSession
+    spark = small_batches(df.sparkSession)
     path = scratch_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -50,7 +64,7 @@ def crc_mod(col: Column | str, m: int) -> Column:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import gram_hashes, slices, trimmed, utf8, word_hashes
+from quire.llm.common import gram_hashes, slices, small_batches, trimmed, utf8, word_hashes
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 SEED = 3
@@ -161,6 +161,7 @@ def matches(index: Index, data: np.ndarray, off: np.ndarray, threshold: float) -
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.4, common: int = 20, block: int = 20_000, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """Rows key, item_id, score, start_word, n_words: documents that hold an item, as a copy, edited or paraphrased."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     kind, item_kind = docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     schema = f"`{key}` {kind}, item_id {item_kind}, score double, start_word long, n_words long"

@@ -33,7 +33,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from quire.llm.common import LOWER, gram_hashes, materialize, mix, slices, utf8, word_hashes, words
 from quire.llm.links import components
 
-TOKENS, GROUPS, SMALL, CHUNK, PIVOTS, STARS, LEAF, TILE = 24, 128, 16, 4096, 3, 4, 32, 600
+TOKENS, GROUPS, SMALL, CHUNK, PIVOTS, STARS, LEAF, TILE = 24, 128, 16, 4096, 3, 4, 32, 200
 _rng = np.random.default_rng(20240229)
 FLIP = _rng.integers(0, 1 << 63, TOKENS, dtype=np.uint64)
 ODD = _rng.integers(0, 1 << 62, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

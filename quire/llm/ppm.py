@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import slices, utf8
+from quire.llm.common import slices, small_batches, utf8
 
 UNKNOWN = "und"
 
@@ -98,6 +98,7 @@ def sample(docs: DataFrame, docs_per_lang: int = 150, longest: int = 20_000, key
 
 def identify(docs: DataFrame, model: Model, keep: list[Column | str], text: str = "text") -> DataFrame:
     """Columns keep, then lang_pred, score, and bits (the best code length a byte; null for `und`)."""
+    small_batches(docs.sparkSession)
     frame = docs.select(*keep, F.col(text).alias("__text"), F.coalesce(F.col(text).rlike("\\p{L}"), F.lit(False)).alias("__letters"))
     names = frame.columns[:-2]
     fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-2]), "lang_pred string, score double, bits double"])
