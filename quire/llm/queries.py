@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import automaton, bpe, decontaminate, jaccard, jpeg, nbsvm, ppm, subword, suffixes, warc
+from quire.llm import automaton, bpe, decontaminate, jaccard, jpeg, nbsvm, ppm, sql, subword, suffixes, warc
 from quire.llm.common import crc_mod, documents, labels, materialize, scratch_dir
 
 
@@ -78,4 +78,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_automaton": sql.REPEATS, "op5_jaccard": sql.LINKS, "op8_warc": sql.ARCHIVE}
