@@ -267,3 +267,19 @@ def ranking_rows(blocks: DataFrame) -> DataFrame:
     """Blocks with the weight that their role has in ranking; weight 0 is left out. For retrieve.index(weight=...)."""
     weight = F.element_at(F.create_map(*[F.lit(x) for kv in ROLE_WEIGHTS.items() for x in kv]), F.col("role"))
     return blocks.withColumn("weight", F.coalesce(weight, F.lit(1))).where("weight > 0")
+
+
+def cacheable(status: Column, reason: Column) -> Column:
+    """P10: results that another run would give again; none that a missing engine, a time limit or an error made."""
+    passing = F.lower(text_or_empty(reason)).rlike("timeout|timed out|unavailable|not installed|exception|error")
+    return text_or_empty(status).isin("linked", "label_only", "empty", "rejected", "ambiguous_multiple_labels") & ~passing
+
+
+def label_only(c: Column) -> Column:
+    """A text that is a part's label alone, as (a) or 1)."""
+    return compact(text_or_empty(c)).rlike("^[（(]?[0-9A-Za-z一二三四五六七八九十]{1,3}[)）.、]?$")
+
+
+def panel_markers(c: Column) -> Column:
+    """How many different panel marks, as (a) and (b), a text has; a callout of two or more is a legend."""
+    return F.size(F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty(c)), F.lit("[（(]([a-z])[）)]"), 1)))

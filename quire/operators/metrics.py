@@ -130,3 +130,24 @@ def preliminary(entries: DataFrame) -> DataFrame:
     cover = (F.col("page_number") <= 3) & (lines <= 2)
     pre = ~numbered & (toc | cover)
     return entries.withColumns({"preliminary": pre, "search_weight": F.when(pre & toc, 0.0).when(pre, 0.15).otherwise(1.0)})
+
+
+def semantic_audit(blocks: DataFrame) -> DataFrame:
+    """Of each document: blocks, those without a role, headings, artifacts, captions, and suspicious texts."""
+    from quire.functions.text import suspicion
+
+    role = text_or_empty(F.col("role"))
+    counts = {"blocks": F.count("*"), "without_role": F.count_if(role == ""), "headings": F.count_if(role == "heading"), "artifacts": F.count_if(role == "artifact"), "captions": F.count_if(role == "caption"), "suspicious": F.count_if(suspicion(F.col("text"))["score"] >= 4.0)}
+    return blocks.groupBy("document_id").agg(*[c.alias(n) for n, c in counts.items()])
+
+
+def category_index(entries: DataFrame, category: str = "category") -> DataFrame:
+    """Entries, documents and characters of each category; a blank one counts as none."""
+    name = F.coalesce(F.nullif(strip(text_or_empty(F.col(category))), F.lit("")), F.lit("none"))
+    return entries.groupBy(name.alias("category")).agg(F.count("*").alias("entries"), F.countDistinct("document_id").alias("documents"), F.coalesce(F.sum(F.length("content")), F.lit(0)).alias("chars"))
+
+
+def visual_documents(blocks: DataFrame) -> DataFrame:
+    """Whether a document has a block with a picture or a table."""
+    seen = (strip(text_or_empty(F.col("uri"))) != "") | F.lower(text_or_empty(F.col("kind"))).isin("image", "figure", "table")
+    return blocks.groupBy("document_id").agg(F.some(seen).alias("has_visuals"))

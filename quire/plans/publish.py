@@ -94,3 +94,8 @@ def manifest(items: DataFrame) -> DataFrame:
 
     n = F.row_number().over(Window.partitionBy("document_id", "kind", "page_number").orderBy("seq"))
     return items.withColumn("out_file", F.concat("kind", F.lit("_p"), F.lpad(F.col("page_number").cast("string"), 3, "0"), F.lit("_"), n.cast("string"), F.lit(".png")))
+
+
+def without_inline_payloads(rows: DataFrame, uri: str = "uri") -> DataFrame:
+    """Pictures that were put into a field as data: addresses are taken out."""
+    return rows.withColumn(uri, F.when(~F.lower(F.col(uri)).startswith("data:"), F.col(uri)))

@@ -85,3 +85,22 @@ def test_stacked_boxes_merge_until_none_is_left(spark):
     rows = [box(1, 1, 0, 0, 100, 20), box(1, 2, 0, 25, 100, 20), box(1, 3, 5, 50, 90, 20), box(1, 4, 300, 0, 50, 20), box(1, 5, 0, 75, 100, 20, kind="text")]
     got = {r.seq: (r.x, r.y, r.w, r.h) for r in both_orders(spark, rows, BOXES, lambda d: kb.merged_to_fixpoint(d.drop("score")))}
     assert got == {1: (0, 0, 100, 70), 4: (300, 0, 50, 20), 5: (0, 75, 100, 20)}
+
+
+def test_marks_and_caches(spark):
+    assert values(spark, ["(a)", "1)", "图注", None], kb.label_only) == [True, True, False, False]
+    assert values(spark, ["(a)气道通畅(b) 气道阻塞", "（A） (a)", "none"], kb.panel_markers) == [2, 1, 0]
+    frame = spark.createDataFrame([("linked", None), ("error", None), ("rejected", "OCR timeout"), ("rejected", "low_confidence")], "s string, r string")
+    assert [r[0] for r in frame.select(kb.cacheable(F.col("s"), F.col("r"))).collect()] == [True, False, False, True]
+
+
+def test_audits(spark):
+    from quire.operators import metrics
+    from quire.plans import publish
+
+    blocks = spark.createDataFrame([(1, "heading", "总则", "text", None), (1, None, "电力�管理", "text", "data:image/png;base64,xx"), (2, "caption", "图1", "text", None)], "document_id int, role string, text string, kind string, uri string")
+    assert sorted(map(tuple, metrics.semantic_audit(blocks).collect())) == [(1, 2, 1, 1, 0, 0, 1), (2, 1, 0, 0, 0, 1, 0)]
+    assert sorted(map(tuple, metrics.visual_documents(blocks).collect())) == [(1, True), (2, False)]
+    assert publish.without_inline_payloads(blocks).where("uri is not null").count() == 0
+    entries = spark.createDataFrame([(1, "a", "xy"), (2, " ", "z"), (2, None, None)], "document_id int, category string, content string")
+    assert sorted(map(tuple, metrics.category_index(entries).collect())) == [("a", 1, 1, 2), ("none", 2, 1, 1)]
