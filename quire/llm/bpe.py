@@ -1,7 +1,7 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
 Texts are cut into chunks where a rolling hash of the last 16 bytes meets a mask, so copied passages give the same
-chunks wherever they stand. A chunk is encoded once per worker and reused. Its tokens are final only between its first
+chunks wherever they stand. A chunk is encoded once per task and reused. Its tokens are final only between its first
 and its last *safe cut*: a position before a single space that stands between two characters that are no white space.
 The pre-tokenizer always begins a token there and never looks back, so the tokens of both sides don't depend on each
 other. The text between the last safe cut of one chunk and the first of the next is the join: it is encoded again as
@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quire.llm.common import mix, power_table, slices, small_batches, utf8
+from quire.llm.common import give_back, mix, power_table, slices, small_batches, utf8
 
 #: A chunk ends where the rolling hash of ROLL bytes has MASK bits zero: 512 bytes on average.
 ROLL, MASK = 16, 511
@@ -48,7 +48,7 @@ def byte_values() -> dict[str, int]:
 class ChunkCodec:
     """Encodes as tokenizers' Tokenizer does with add_special_tokens=False, and decodes as it does with skip_special_tokens=False."""
 
-    def __init__(self, path: str, cache_entries: int = 250_000, chunk_bytes: int = 16 << 20):
+    def __init__(self, path: str, cache_entries: int = 120_000, chunk_bytes: int = 8 << 20):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -90,6 +90,10 @@ class ChunkCodec:
             return None
         return tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks={self.bytes_of[i]: i for i in own.values()}, special_tokens={})
 
+    def forget(self) -> None:
+        """Empties the caches; the vocabulary stays."""
+        self.new, self.old, self.odd, self.chunks, self.chunk_size = {}, {}, {}, {}, 0
+
     def encode(self, text: str) -> list[int]:
         return [int(i) for part in self.parts(text) for i in part.split(",") if i]
 
@@ -227,7 +231,7 @@ _codec: dict[str, ChunkCodec] = {}
 
 
 def codec(path: str) -> ChunkCodec:
-    """One for each Python worker; workers are reused, and so are its caches."""
+    """One for each Python worker; workers are reused, and so is its vocabulary. Caches are a task's own."""
     if path not in _codec:
         _codec[path] = ChunkCodec(path)
     return _codec[path]
@@ -268,5 +272,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, text: str = "text", k
                         lists.append(np.array(text_ids.split(",") if text_ids else [], dtype=np.int32))
             made = [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string()), *[listed(lists)] * with_ids]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *made], [*names, "n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * with_ids])
+        own.forget()
+        give_back()
 
     return docs.select(*[docs[c] for c in keep], docs[text].alias("__text")).mapInArrow(run, schema)

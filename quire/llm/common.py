@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text is taken through numpy in slices of about this many bytes, so a batch's temporaries stay small.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _scratch: dict[str, SparkSession] = {}
 
 
@@ -71,6 +72,17 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def give_back() -> None:
+    """Memory that a task has freed goes back to the system, as Python workers live on between tasks."""
+    import ctypes
+
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def utf8(batch, name: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """An Arrow batch's string column as one byte array and n + 1 offsets; nulls are empty."""
     import pyarrow as pa
@@ -125,9 +137,9 @@ _tables: dict[str, np.ndarray] = {}
 def power_table(base: np.uint64, n: int) -> np.ndarray:
     key = str(int(base))
     if key not in _tables or len(_tables[key]) <= n:
-        _tables[key] = powers(base, max(n, 2 * SLICE_BYTES))
-        if n > 8 * SLICE_BYTES:
-            return _tables.pop(key)
+        if n > 2 * SLICE_BYTES:  # a very long row's table isn't kept
+            return powers(base, n)
+        _tables[key] = powers(base, 1 << max(14, n.bit_length()))
     return _tables[key]
 
 

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from quire.llm.common import slices, utf8
 
 INTERVAL = 8
+#: Bytes decoded side by side.
+BATCH = 1 << 20
 #: Bits of amplitude -> length of its code, for coefficients 1 to 256; AC_END ends a block.
 AC_LENGTHS = {7: 1, 6: 2, 5: 3, 4: 4, 3: 5, 2: 6, 1: 7, 8: 8, 9: 15}
 AC_END, AC_END_LENGTH = 0x00, 16
@@ -336,7 +338,7 @@ def write_media(df: DataFrame, key: str, payload: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             data, off = utf8(batch, 1)
-            for a, b in slices(off):
+            for a, b in slices(off, BATCH):
                 made = encode_payloads(data[off[a] : off[b]], off[a : b + 1] - off[a])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(made, pa.binary())], [key, "media"])
 
@@ -351,7 +353,7 @@ def read_media(df: DataFrame, key: str, media: str = "media") -> DataFrame:
     def run(batches):
         for batch in batches:
             off = utf8(batch, 1)[1]
-            for a, b in slices(off):
+            for a, b in slices(off, BATCH):
                 raws = [x or b"" for x in batch.column(1).slice(a, b - a).to_pylist()]
                 rows = []
                 for raw, got in zip(raws, read_images(raws), strict=True):
