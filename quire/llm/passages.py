@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import gram_hashes, materialize, mix, power_table, slices, utf8, word_hashes, words
+from quire.llm.common import give_back, gram_hashes, materialize, mix, power_table, slices, utf8, word_hashes, words
 
 CHUNK = 1000
 SPAN_BASE = np.uint64(0xA24BAED4963EE407)
@@ -88,23 +88,26 @@ def repeated_runs(own: DataFrame, length: int, gram: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *made], ["uid", "id", "anchor", "span", "s", "m", "j"])
 
     every = materialize(own.mapInArrow(run, f"uid long, id {kind}, anchor long, span long, s int, m int, j int"), "runs")
-    many = every.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
+    # written, so the join reads two plain shuffles, and a hot anchor's rows are split among tasks
+    many = materialize(every.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"), "anchors")
     return materialize(every.join(many, "anchor", "left_semi"), "repeated")
 
 
 def classes_of(runs: DataFrame) -> DataFrame:
-    """One row a distinct span: anchor, span, how often (weight), its first place (id, s, uid), m and j."""
+    """One row a distinct span: anchor, span, how often (weight), its first place (id, s, uid), m, j, and its anchor's shards."""
     first = F.min(F.struct("id", "s", "uid", "m", "j")).alias("first")
-    return runs.groupBy("anchor", "span").agg(F.count("*").alias("weight"), first).select("anchor", "span", "weight", "first.*")
+    own = materialize(runs.groupBy("anchor", "span").agg(F.count("*").alias("weight"), first).select("anchor", "span", "weight", "first.*"), "classes")
+    sizes = materialize(own.groupBy("anchor").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("shards")).where("shards > 1"), "sizes")
+    return own.join(sizes, "anchor", "left").withColumn("shards", F.coalesce("shards", F.lit(1)))
 
 
 def with_words(classes: DataFrame, own: DataFrame, length: int) -> DataFrame:
     """Classes with the bytes of their span, cut out of the document of their first place."""
     kind = own.schema["id"].dataType.simpleString()
-    fields = ["anchor", "span", "weight", "s", "m", "j"]
+    fields = ["anchor", "span", "weight", "s", "m", "j", "shards"]
     lists = classes.groupBy("uid").agg(F.collect_list(F.struct(*fields)).alias("spans"))
     joined = own.join(lists, "uid").select("uid", "id", "text", "spans")
-    schema = pa.schema([("anchor", pa.int64()), ("span", pa.int64()), ("weight", pa.int64()), ("s", pa.int32()), ("m", pa.int32()), ("j", pa.int32())])
+    schema = pa.schema([("anchor", pa.int64()), ("span", pa.int64()), ("weight", pa.int64()), ("s", pa.int32()), ("m", pa.int32()), ("j", pa.int32()), ("shards", pa.int32())])
 
     def run(batches):
         for batch in batches:
@@ -126,8 +129,8 @@ def with_words(classes: DataFrame, own: DataFrame, length: int) -> DataFrame:
                 cut = [raw[x:y] for x, y in zip(start[first[pick]].tolist(), end[last[pick] - 1].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(row[pick] + a)), *(pa.array(cols[f][pick], schema.field(f).type) for f in fields), pa.array(cut, pa.binary())], ["id", *fields, "words"])
 
-    found = joined.mapInArrow(run, f"id {kind}, anchor long, span long, weight long, s int, m int, j int, words binary")
-    return found.dropDuplicates(["anchor", "span"])
+    found = joined.mapInArrow(run, f"id {kind}, anchor long, span long, weight long, s int, m int, j int, shards int, words binary")
+    return found
 
 
 def decided(classes: DataFrame, decide: Callable[[list[dict]], Callable[[dict, bool], list[tuple]]], out: str, names: list[str]) -> DataFrame:
@@ -136,10 +139,8 @@ def decided(classes: DataFrame, decide: Callable[[list[dict]], Callable[[dict, b
     Rows: anchor, span, intervals (array of struct of `out`). Within a task, an anchor's homes come first, then the
     classes at home elsewhere one by one, so a task holds CHUNK classes at most.
     """
-    sizes = classes.groupBy("anchor").agg(F.count("*").alias("size"))
-    dealt = classes.join(sizes, "anchor").withColumn("shards", F.ceil(F.col("size") / CHUNK).cast("int"))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("span"), F.col("shards")).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-    dealt = dealt.withColumn("visits", F.col("own") != F.col("shard")).drop("size", "shards", "own")
+    dealt = classes.withColumn("own", F.pmod(F.xxhash64("span"), F.col("shards")).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    dealt = dealt.withColumn("visits", F.col("own") != F.col("shard")).drop("shards", "own")
     dealt = dealt.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard", "visits", "span")
     types = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
     struct = pa.struct([(n, types[t.split(":")[1].strip()]) for n, t in zip(names, out.split(","), strict=True)])
@@ -165,9 +166,13 @@ def decided(classes: DataFrame, decide: Callable[[list[dict]], Callable[[dict, b
             anchors.clear(), spans.clear(), found.clear()
             return made
 
+        last = None
         for batch in batches:
             for row in batch.to_pylist():
                 now = (row["anchor"], row["shard"])
+                if (now, row["span"]) == last:  # rows of equal id and text cut out the same span
+                    continue
+                last = (now, row["span"])
                 if now != key:
                     if homes and judge is None:
                         settle()
@@ -183,6 +188,8 @@ def decided(classes: DataFrame, decide: Callable[[list[dict]], Callable[[dict, b
         if homes and judge is None:
             settle()
         yield batch_out()
+        homes = []
+        give_back()
 
     return dealt.mapInArrow(run, f"anchor long, span long, intervals array<struct<{out}>>")
 
