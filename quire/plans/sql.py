@@ -216,7 +216,7 @@ KB_METRICS = rf"""{ENTRIES}, c AS (SELECT regexp_replace(regexp_replace(content,
 SELECT 'entries' AS name, CAST(count(*) AS DOUBLE) AS value FROM c UNION ALL SELECT 'pages', count(DISTINCT page_number) FROM c UNION ALL SELECT 'text_chars', sum(length(t)) FROM c UNION ALL SELECT 'empty_entries', count(*) FILTER (t = '') FROM c
 UNION ALL SELECT 'blocks', count(*) FROM turns UNION ALL SELECT 'headings', count(*) FILTER (role = 'heading') FROM turns UNION ALL SELECT 'bodies', count(*) FILTER (role = 'body') FROM turns
 UNION ALL SELECT 'assets', count(event_type) FROM events UNION ALL SELECT 'distinct_assets', count(DISTINCT event_type) FROM events UNION ALL SELECT 'repeated_assets', count(event_type) - count(DISTINCT event_type) FROM events"""
-ENTRY_QUALITY = rf"{ENTRIES} SELECT document_id, position, round(least(0.98, 0.35 + CAST(trim(job_title) <> '' AS INT) * 0.30 + CAST(length(regexp_replace(content, '^\s+|\s+$', '', 'g')) >= 8 AS INT) * 0.25 + 0.10), 3) AS quality FROM entries"
+ENTRY_QUALITY = rf"{ENTRIES} SELECT document_id, position, CAST(round(least(0.98, 0.35 + CAST(trim(job_title) <> '' AS INT) * 0.30 + CAST(length(regexp_replace(content, '^\s+|\s+$', '', 'g')) >= 8 AS INT) * 0.25 + 0.10), 3) AS DOUBLE) AS quality FROM entries"
 STRUCTURE = rf"{ENTRIES} SELECT document_id, round(least(0.99, 0.1 + 0.55 * avg(CAST(job_title NOT LIKE 'Page %' AS INT)) + 0.35 * avg(CAST(length(regexp_replace(content, '^\s+|\s+$', '', 'g')) >= 8 AS INT))), 6) AS confidence, count(*) AS entries FROM entries GROUP BY document_id"
 DIGEST = rf"{ENTRIES} SELECT document_id, sha256(string_agg(regexp_replace(regexp_replace(content, '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g'), chr(10) ORDER BY position)) AS sha256 FROM entries GROUP BY document_id"
 TABLE_GEOMETRY = f"WITH {CELLS} SELECT table_id, max(row + row_span) AS rows, max(col + col_span) AS cols, count(*) AS physical, count(*) FILTER (row_span > 1 OR col_span > 1) AS spanned, count(*) FILTER (text <> '') AS nonempty FROM other GROUP BY table_id"
