@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize, slices, utf8
+from quire.llm.common import lean, materialize, slices, utf8
 from quire.llm.passages import classes_of, covered, decided, intervals_of, keyed, repeated_runs, with_words
 
 
@@ -149,4 +149,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                         kept.append(joined_words.decode())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string()), *[pa.array(kept, pa.string())] * with_text], names)
 
-    return joined.mapInArrow(run, f"`{key}` {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text)
+    return joined.mapInArrow(lean(run), f"`{key}` {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quire.llm.common import LOWER, gram_hashes, materialize, mix, slices, utf8, word_hashes, words
+from quire.llm.common import LOWER, gram_hashes, lean, materialize, mix, slices, utf8, word_hashes, words
 from quire.llm.links import components
 
 TOKENS, GROUPS, SMALL, CHUNK, PIVOTS, STARS, LEAF, TILE = 24, 128, 16, 4096, 3, 4, 32, 200
@@ -88,7 +88,7 @@ def sketches(docs: DataFrame, key: str, text: str, k: int = 5) -> DataFrame:
                     slack.append(s)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.list_(pa.int64())), pa.array(points, pa.binary()), pa.array(slack, pa.int64())], ["id", "n", "digest", "tokens", "point", "slack"])
 
-    return docs.select(docs[key].alias("id"), docs[text].alias("text")).mapInArrow(run, f"id {kind}, n long, digest binary, tokens array<long>, point binary, slack long")
+    return docs.select(docs[key].alias("id"), docs[text].alias("text")).mapInArrow(lean(run), f"id {kind}, n long, digest binary, tokens array<long>, point binary, slack long")
 
 
 class Tree:
@@ -196,7 +196,7 @@ def survivors(rows: DataFrame, num: int, den: int, first: bool, kind: str) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     rows_columns = rows.columns
-    return dealt.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return dealt.mapInArrow(lean(run), f"a {kind}, b {kind}").distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, num: int, den: int, k: int) -> DataFrame:
@@ -219,7 +219,7 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, num: int, d
                 made = [u.tobytes() for u in shingle_sets(data[off[a] : off[b]], off[a : b + 1] - off[a], k)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(made, pa.binary())], ["id", "shingles"])
 
-    held = own.mapInArrow(sets, f"id {kind}, shingles binary").join(placed, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    held = own.mapInArrow(lean(sets), f"id {kind}, shingles binary").join(placed, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     tile = lambda x, y: [F.least(x, y).alias("i"), F.greatest(x, y).alias("j")]
     held = held.select("component", *tile("chunk", "other"), F.col("id").alias("a"), F.lit(None).cast(kind).alias("b"), "shingles")
     asked = pairs.join(placed.select(F.col("id").alias("a"), "component", F.col("chunk").alias("x")), "a").join(placed.select(F.col("id").alias("b"), F.col("chunk").alias("y")), "b")
@@ -246,7 +246,7 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, num: int, d
             yield pa.RecordBatch.from_arrays([pa.array(left, schema.field(0).type), pa.array(right, schema.field(1).type)], ["a", "b"])
 
     schema = to_arrow_schema(pairs.select("a", "b").schema)
-    return materialize(both.mapInArrow(check, f"a {kind}, b {kind}").distinct(), "links")
+    return materialize(both.mapInArrow(lean(check), f"a {kind}, b {kind}").distinct(), "links")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = 75, den: int = 100, k: int = 5) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import give_back, gram_hashes, materialize, mix, power_table, slices, utf8, word_hashes, words
+from quire.llm.common import give_back, gram_hashes, lean, materialize, mix, power_table, slices, utf8, word_hashes, words
 
 CHUNK = 1000
 SPAN_BASE = np.uint64(0xA24BAED4963EE407)
@@ -87,7 +87,7 @@ def repeated_runs(own: DataFrame, length: int, gram: int) -> DataFrame:
                 made = [pa.array(anchor), pa.array(span), *(pa.array(x, pa.int32()) for x in (s.astype(np.int32), m.astype(np.int32), j.astype(np.int32)))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *made], ["uid", "id", "anchor", "span", "s", "m", "j"])
 
-    every = materialize(own.mapInArrow(run, f"uid long, id {kind}, anchor long, span long, s int, m int, j int"), "runs")
+    every = materialize(own.mapInArrow(lean(run), f"uid long, id {kind}, anchor long, span long, s int, m int, j int"), "runs")
     # written, so the join reads two plain shuffles, and a hot anchor's rows are split among tasks
     many = materialize(every.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"), "anchors")
     return materialize(every.join(many, "anchor", "left_semi"), "repeated")
@@ -129,7 +129,7 @@ def with_words(classes: DataFrame, own: DataFrame, length: int) -> DataFrame:
                 cut = [raw[x:y] for x, y in zip(start[first[pick]].tolist(), end[last[pick] - 1].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(row[pick] + a)), *(pa.array(cols[f][pick], schema.field(f).type) for f in fields), pa.array(cut, pa.binary())], ["id", *fields, "words"])
 
-    found = joined.mapInArrow(run, f"id {kind}, anchor long, span long, weight long, s int, m int, j int, shards int, words binary")
+    found = joined.mapInArrow(lean(run), f"id {kind}, anchor long, span long, weight long, s int, m int, j int, shards int, words binary")
     return found
 
 
@@ -191,7 +191,7 @@ def decided(classes: DataFrame, decide: Callable[[list[dict]], Callable[[dict, b
         homes = []
         give_back()
 
-    return dealt.mapInArrow(run, f"anchor long, span long, intervals array<struct<{out}>>")
+    return dealt.mapInArrow(lean(run), f"anchor long, span long, intervals array<struct<{out}>>")
 
 
 def intervals_of(numbers: list[int]) -> Iterator[tuple[int, int]]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize, slices, utf8, words
+from quire.llm.common import lean, materialize, slices, utf8, words
 from quire.llm.passages import classes_of, covered, decided, keyed, repeated_runs, with_words
 
 
@@ -159,4 +159,4 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
             yield pa.RecordBatch.from_arrays(columns, docs_columns)
 
     docs_columns = docs.columns
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(lean(run), docs.schema)
