@@ -1,11 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
-Words are lower-cased and lose punctuation at their ends. Seeds are an item's word trigrams. How many documents hold
-each seed is counted over the whole corpus; a seed is commonplace, and not used, if it is in more than `common` times as
-many documents as the item's median seed (and in more than `common`), so each item keeps half of its seeds at least,
-however often it leaked. Every place where a document holds a seed gives a window of the document, windows that meet are
-one, and each is aligned with the item: match 2, mismatch -1, gap -1, local. The score is the best alignment's part of the
-item's perfect score; from `threshold` on the document is contaminated by the item.
+Words are lower-cased and lose punctuation at their ends. Seeds are an item's word trigrams, all of them, however many
+documents hold them: an edited or partial leak that is in many documents has no others. Every place where a document
+holds a seed gives a window of the document, windows that meet are one, and each whose words could reach the threshold is
+aligned with the item: match 2, mismatch -1, gap -1, local. The score is the best alignment's part of the item's perfect
+score; from `threshold` on the document is contaminated by the item.
 
 The items are taken in blocks of `block` rows, so what is broadcast has a bound; all documents are read for each block.
 
@@ -48,22 +47,12 @@ class Index:
                 items.append(np.full(len(g), i))
                 places.append(np.arange(len(g)))
         self.sizes = sorted({min(SEED, len(w)) for w in self.words} - {0}, reverse=True)
-        self.fill(np.concatenate([np.zeros(0, np.uint64), *seeds]), np.concatenate([np.zeros(0, np.int64), *items]), np.concatenate([np.zeros(0, np.int64), *places]))
-
-    def fill(self, seeds: np.ndarray, items: np.ndarray, places: np.ndarray) -> None:
-        order = np.argsort(seeds, kind="stable")
-        self.seeds, self.items, self.places = seeds[order], items[order], places[order]
+        own = np.concatenate([np.zeros(0, np.uint64), *seeds])
+        order = np.argsort(own, kind="stable")
+        self.seeds, self.items, self.places = own[order], np.concatenate([np.zeros(0, np.int64), *items])[order], np.concatenate([np.zeros(0, np.int64), *places])[order]
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[(self.seeds & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)] = True
 
-    def without_common(self, counts: dict[int, int], common: int) -> None:
-        n = np.array([counts.get(int(np.int64(s.astype(np.int64))), 0) for s in self.seeds], np.int64)
-        keep = np.ones(len(n), bool)
-        for i in np.unique(self.items):
-            own = self.items == i
-            keep[own] = n[own] <= common * max(1.0, float(np.median(n[own])))
-        self.fill(self.seeds[keep], self.items[keep], self.places[keep])
-
     def hits(self, hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Word positions whose n-gram, within its row, is a seed, and the seeds' hashes."""
         found, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
@@ -159,7 +148,7 @@ def matches(index: Index, data: np.ndarray, off: np.ndarray, threshold: float) -
     return [(r, i, *x) for (r, i), x in sorted(best.items())]
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.4, common: int = 20, block: int = 20_000, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.4, block: int = 20_000, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """Rows key, item_id, score, start_word, n_words: documents that hold an item, as a copy, edited or paraphrased."""
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
@@ -170,26 +159,10 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.4, comm
 
     def flush() -> None:
         index = Index(list(ids), list(texts))
-        first = spark.sparkContext.broadcast(index)
-
-        def count(batches):
-            idx = first.value
-            for batch in batches:
-                data, off = utf8(batch, 0)
-                for a, b in slices(off):
-                    low, start, end, at = trimmed(data[off[a] : off[b]], off[a : b + 1] - off[a])
-                    pos, key_ = idx.hits(word_hashes(low, start, end), at)
-                    row = np.searchsorted(at, pos, "right")
-                    pair = np.unique(np.stack([key_.view(np.int64), row], 1), axis=0)[:, 0] if len(pos) else np.zeros(0, np.int64)
-                    seed, n = np.unique(pair, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(seed, pa.int64()), pa.array(n, pa.int64())], ["seed", "n"])
-
-        counts = own.select("__text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-        index.without_common({r["seed"]: r["n"] for r in counts.toLocalIterator()}, common)  # one row a seed of the block
-        second = spark.sparkContext.broadcast(index)
+        shared = spark.sparkContext.broadcast(index)
 
         def run(batches):
-            idx = second.value
+            idx = shared.value
             for batch in batches:
                 data, off = utf8(batch, 1)
                 for a, b in slices(off):

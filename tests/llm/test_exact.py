@@ -372,3 +372,15 @@ def test_decontaminate(spark):
     assert got[123, 0].start_word == 0 and got[123, 0].n_words == len(items[0])
     assert decontaminate.contaminated(empty(spark), bench).count() == 0
     assert decontaminate.contaminated(spark.createDataFrame(rows, SCHEMA), bench.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("copies", [50, 1000])
+def test_decontaminate_leaks_in_many_documents(spark, copies):
+    item = [f"q{i}" for i in range(30)]
+    edited = [w if k % 5 < 4 else f"e{k}" for k, w in enumerate(item)]
+    half = [f"h{i}" for i in range(31)]
+    texts = [f"a{i} b{i} {' '.join(edited)} c{i}" for i in range(copies)] + [f"a{i} {' '.join(half[:14])} d{i} e{i}" for i in range(copies)] + ["clean text q1 h1"]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(half))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): round(r.score, 9) for r in decontaminate.contaminated(spark.createDataFrame(rows_of(texts), SCHEMA), bench).collect()}
+    scores = [round(best_alignment(edited, item) / 60, 9), round(best_alignment(half[:14], half) / 62, 9)]
+    assert got == {(i, 1 if i < copies else 2): scores[i >= copies] for i in range(2 * copies)}
