@@ -368,10 +368,9 @@ def _(spark, d):
 
 @query("j08_align_items")
 def _(spark, d):
-    items = ad.table(spark, d, "benchmark").select(F.lit(1).alias("document_id"), "item_id", (F.col("item_id") % 40 + 1).cast("long").alias("page_number"), F.when(F.col("item_id") % 2 == 0, "table").otherwise("legend").alias("kind"), F.substring("text", 1, 60).alias("signal"))
-    lines_ = ad.line_blocks(docs(spark, d)).where("reading_order = 1")
-    entries = lines_.select(F.lit(1).alias("document_id"), F.col("document_id").alias("entry_id"), (F.col("document_id") % 40 + 1).cast("long").alias("page_number"), F.substring("text", 1, 80).alias("title"), F.col("text").alias("content"), (F.col("document_id") % 3 == 0).alias("has_table"))
-    return align.align_items(items, entries, radius=0)
+    items = ad.table(spark, d, "benchmark").select(F.lit(1).alias("document_id"), "item_id", (F.col("item_id") % 40 + 1).cast("long").alias("page_number"), F.when(F.col("item_id") % 2 == 0, "table").otherwise("legend").alias("kind"), F.col("text").alias("signal"))
+    entries = docs(spark, d).select(F.lit(1).alias("document_id"), F.col("doc_id").alias("entry_id"), (F.col("doc_id") % 40 + 1).cast("long").alias("page_number"), F.element_at(F.split("text", "\n"), 1).alias("title"), F.col("text").alias("content"), (F.col("doc_id") % 3 == 0).alias("has_table"))
+    return align.align_items(items, entries)
 
 
 @query("j13_fragment_matches", sql.FRAGMENT_MATCHES)
