@@ -596,7 +596,7 @@ def _(spark, d):
 
 @query("sf06_clean_text")
 def _(spark, d):
-    return ad.table(spark, d, "pages").select("page_id", captions.clean_text(F.concat(F.col("url"), F.lit(" a\nb c\n"), F.substring("html", 1, 200))).alias("text"))
+    return ad.table(spark, d, "pages").select("page_id", captions.clean_text(F.concat(F.col("url"), F.lit(" a\nb c\n"), F.col("html"))).alias("text"))
 
 
 @query("sf23_difflib_ratio")
