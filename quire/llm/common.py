@@ -17,8 +17,16 @@ _scratch: dict[str, SparkSession] = {}
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors share; deleted when the driver's Python ends."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/quire-checkpoints"
+    """A new folder below spark.checkpoint.dir, which all executors share; deleted by free(), or when the driver's Python ends.
+
+    Where the setting is missing, a local session, as in tests, is given a folder of this machine; on a cluster that is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = f"{tempfile.gettempdir()}/quire-checkpoints"
+        spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/quire-{name}-{uuid.uuid4().hex}"
     if not _scratch:
         atexit.register(_clean)
@@ -26,16 +34,27 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _delete(path: str, spark: SparkSession) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _clean() -> None:
     for path, spark in _scratch.items():
         try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(path, spark)
         except Exception:  # noqa: BLE001, S110  the JVM may have gone first
             pass
 
 
+def free(*tables: DataFrame) -> None:
+    """Deletes materialize()'s tables, once all that was read from them has been written elsewhere."""
+    for df in tables:
+        path = getattr(df, "scratch_path", None)
+        if path in _scratch:
+            _delete(path, _scratch.pop(path))
+
+
 BATCH_BYTES = 16 << 20
 
 
@@ -55,7 +74,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = small_batches(df.sparkSession)
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
 
 
 def crc_mod(col: Column | str, m: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize
+from quire.llm.common import free, materialize
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -25,16 +25,22 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         parent = materialize(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")).select("node", F.least("node", "m").alias("parent")), "parents")
         while True:
             up = parent.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
-            higher = materialize(parent.join(up, "parent").select("node", F.col("above").alias("parent"), (F.col("above") != F.col("parent")).alias("moved")), "parents")
-            parent = higher.drop("moved")
+            higher = materialize(parent.select("node", "parent").join(up, "parent").select("node", F.col("above").alias("parent"), (F.col("above") != F.col("parent")).alias("moved")), "parents")
+            free(parent)
+            parent = higher
             if not higher.where("moved").limit(1).count():
                 break
-        tops = parent.select(F.col("node").alias("component"), F.col("parent").alias("top"))
         if found is None:
-            found = parent.withColumnRenamed("parent", "component")
+            found = materialize(parent.select("node", F.col("parent").alias("component")), "components")
         else:
-            found = materialize(found.join(tops, "component", "left").select("node", F.coalesce("top", "component").alias("component")), "components")
+            tops = parent.select(F.col("node").alias("component"), F.col("parent").alias("top"))
+            wider = materialize(found.join(tops, "component", "left").select("node", F.coalesce("top", "component").alias("component")), "components")
+            free(found)
+            found = wider
         named = left.join(parent.select(F.col("node").alias("u"), F.col("parent").alias("x")), "u").join(parent.select(F.col("node").alias("v"), F.col("parent").alias("y")), "v")
-        left = named.where("x <> y").select(F.col("x").alias("u"), F.col("y").alias("v"))
-        left = materialize(left.select(low, high).distinct(), "edges")
+        merged = named.where("x <> y").select(F.col("x").alias("u"), F.col("y").alias("v"))
+        merged = materialize(merged.select(low, high).distinct(), "edges")
+        free(left, parent)
+        left = merged
+    free(left)
     return found
