@@ -1,23 +1,26 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
 Texts are cut into chunks where a rolling hash of the last 16 bytes meets a mask, so copied passages give the same
-chunks wherever they stand. A chunk is encoded once per task and reused. Its tokens are final only between its first
-and its last *safe cut*: a position before a single space that stands between two characters that are no white space.
-The pre-tokenizer always begins a token there and never looks back, so the tokens of both sides don't depend on each
-other. The text between the last safe cut of one chunk and the first of the next is the join: it is encoded again as
-one text, and a chunk without a safe cut is taken into the join, until both ends are safe cuts and the tokens agree
-exactly with those of the whole text. Misses reuse at a second level: the pieces between safe cuts are encoded once.
+chunks wherever they stand. A chunk is encoded once and reused by all documents that its worker meets. Its tokens are
+final only between its first and its last *safe cut*: a position before a single space that stands between two
+characters that are no white space. What lies between the last safe cut of one chunk and the first of the next is the
+join: it is encoded again as one text (a chunk without a safe cut is taken into it), and then once more in a window that
+is wider by a piece of either chunk. The join is good if the wider window's tokens are exactly the one chunk's last
+tokens, the join's and the other's first; a text with a join that doesn't agree is encoded as a whole by the library.
+
+Decoding takes a document's ids, one after another, as the library does.
 
 Defined results: a null text counts as empty; an empty text has no tokens; repeated rows give repeated results; extra
-columns are kept out of the digests. Caches are bounded (two generations of `cache_entries` pieces, `chunk_bytes` of
-chunks), and only save work: results don't depend on them.
+columns are kept out of the digests; a text of any length is held once, with its tokens. Caches are bounded (two
+generations of `chunk_bytes` each), live as long as their worker, and only save work: results don't depend on them.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
-from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +32,8 @@ from quire.llm.common import give_back, mix, power_table, slices, small_batches,
 ROLL, MASK = 16, 511
 #: A single space between characters that are no white space; before it, a pre-token ends.
 SAFE = re.compile(r"(?<=\S) (?=\S)")
-#: Marks a piece that begins a text; no other piece begins with a space, as its own was taken off.
-START = " "
-#: Beyond Latin letters, libraries may differ in their Unicode tables.
-OTHER = re.compile("[^\\x00-\\u024f]")
+#: Beyond Latin letters and common white space, libraries may differ in their Unicode tables.
+OTHER = re.compile("[^\\x00-\\u024f]|[\\x1c-\\x1f\\x85\\xa0]")
 #: Fixed value: the pre-tokenizing pattern of byte-level vocabularies of this kind.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 ROLL_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -48,7 +49,7 @@ def byte_values() -> dict[str, int]:
 class ChunkCodec:
     """Encodes as tokenizers' Tokenizer does with add_special_tokens=False, and decodes as it does with skip_special_tokens=False."""
 
-    def __init__(self, path: str, cache_entries: int = 120_000, chunk_bytes: int = 8 << 20):
+    def __init__(self, path: str, chunk_bytes: int = 24 << 20):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -63,12 +64,14 @@ class ChunkCodec:
         self.bytes_of = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.bytes_of[i] = token.encode() if token in special else bytes(values[c] for c in token)
-        self.lengths = np.array([len(x) for x in self.bytes_of], np.int64)
         self.decimal = [str(i) for i in range(len(self.bytes_of))]
         self.special = sorted(special)
-        self.fast = self._ranked(vocab, special)
-        self.new, self.old, self.odd, self.cache_entries = {}, {}, {}, cache_entries
-        self.chunks, self.chunk_size, self.chunk_bytes = {}, 0, chunk_bytes
+        stated = json.loads(Path(path).read_text(encoding="utf-8"))
+        before = stated.get("pre_tokenizer") or {}
+        # safe cuts are safe where nothing but the byte-level pattern looks at a text before the merges
+        self.cuttable = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and not stated.get("normalizer") and not any(x.isspace() for t in special for x in t)
+        self.fast = self._ranked(vocab, special) if self.cuttable else None
+        self.new, self.old, self.size, self.chunk_bytes = {}, {}, 0, chunk_bytes
 
     def _ranked(self, vocab: dict[str, int], special: set[str]):
         """A rank-driven encoder of the same vocabulary, for pieces of Latin letters; None if it can't be proved equal.
@@ -90,127 +93,91 @@ class ChunkCodec:
             return None
         return tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks={self.bytes_of[i]: i for i in own.values()}, special_tokens={})
 
-    def forget(self) -> None:
-        """Empties the caches; the vocabulary stays."""
-        self.new, self.old, self.odd, self.chunks, self.chunk_size = {}, {}, {}, {}, 0
-
-    def encode(self, text: str) -> list[int]:
-        return [int(i) for part in self.parts(text) for i in part.split(",") if i]
-
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+    def library(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def learn(self, pieces: set[str]) -> None:
-        """Encodes the pieces that the cache lacks: many as one text, whose tokens are split at the pieces' ends.
+    def beyond(self, text: str) -> bool:
+        """Whether a text is for the library alone."""
+        return OTHER.search(text) is not None or any(x in text for x in self.special)
 
-        A piece is kept without the space that begins it; one that begins a text, and so has none, is marked by START.
-        """
-        new, old, missing = self.new, self.old, []
-        for p in pieces:
-            if p not in new:
-                if p in old:
-                    new[p] = old[p]
-                else:
-                    missing.append(p)
-        if not missing:
-            return
-        if len(new) + len(missing) > self.cache_entries:
-            self.old, self.new = new, {p: new[p] for p in pieces if p in new}
-            new = self.new
-        plain, alone = [], []
-        for p in missing:
-            (alone if p[-1].isspace() or p[0] == START or OTHER.search(p) or any(x in p for x in self.special) else plain).append(p)
-        if self.fast is None:
-            alone += plain
-            plain = []
-        for i in range(0, len(plain), 3000):
-            some = plain[i : i + 3000]
-            ids = np.array(self.fast.encode_ordinary(" " + " ".join(some)), np.int64)
-            ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(p.encode()) + 1 for p in some]), "left") + 1
-            ids, at = ids.tolist(), 0
-            for p, e in zip(some, ends.tolist(), strict=True):
-                new[p] = self._made(p, ids[at:e])
-                at = e
-        for p, e in zip(alone, self.tokenizer.encode_batch_fast([p[1:] if p[0] == START else " " + p for p in alone], add_special_tokens=False), strict=True):
-            new[p] = self._made(p, e.ids)
-
-    def _made(self, piece: str, ids: list[int]) -> str:
-        """Decimal ids. Each piece is decoded once; one that doesn't come back as it was is kept among the odd ones."""
-        plain = piece[1:] if piece[0] == START else " " + piece
-        if (back := b"".join(map(self.bytes_of.__getitem__, ids))) != plain.encode():
-            self.odd[piece] = back
-        return ",".join(map(self.decimal.__getitem__, ids))
-
-    def decoded(self, text: str) -> bytes:
-        """What the text's tokens decode to, from its pieces' decodings."""
-        if not self.odd or not text:
-            return text.encode()
-        return b"".join(self.odd.get(p) or (p[1:] if p[0] == START else " " + p).encode() for p in self.pieces(text, True))
-
-    def pieces(self, text: str, first: bool) -> list[str]:
-        """Of a text between safe cuts. first: it begins a document; else a safe cut's space begins it."""
-        if not first:
-            return SAFE.split(text[1:])
-        own = SAFE.split(text)
-        own[0] = START + own[0]
-        return own
-
-    def joined(self, text: str, first: bool) -> str:
-        """The tokens of a text between safe cuts, by its pieces, as decimal ids."""
+    def ids_of(self, text: str) -> list[int]:
+        """Tokens of a text that begins and ends at safe cuts or at a document's ends."""
         if not text:
-            return ""
-        own = self.pieces(text, first)
-        try:
-            return ",".join(map(self.new.__getitem__, own))
-        except KeyError:
-            self.learn(set(own))
-            return ",".join(map(self.new.__getitem__, own))
-
-    def chunk(self, text: str) -> tuple[str, str | None, str]:
-        """Head before the first safe cut, tokens between the first and the last, tail; without a safe cut all is head."""
-        if (found := self.chunks.get(text)) is not None:
+            return []
+        if self.fast is None:
+            return self.library(text)
+        if not self.beyond(text):
+            return self.fast.encode_ordinary(text)
+        out, begin, odd = [], 0, None
+        edges = [0, *(m.start() for m in SAFE.finditer(text) if m.start()), len(text)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if (now := self.beyond(text[a:b])) != odd:
+                if a:
+                    out += self.library(text[begin:a]) if odd else self.fast.encode_ordinary(text[begin:a])
+                begin, odd = a, now
+        return out + (self.library(text[begin:]) if odd else self.fast.encode_ordinary(text[begin:]))
+
+    def chunk(self, text: str) -> tuple:
+        """Head before the first safe cut, tokens from there to the last, tail; the first and the last piece between safe
+        cuts, each with its tokens. Without a safe cut all is head, and there are no tokens."""
+        if (found := self.new.get(text)) is not None:
             return found
-        first = SAFE.search(text)
-        if first is None:
-            out = (text, None, "")
-        else:
-            a = b = first.start()
-            at = text.rfind(" ", a)
-            while at > a:
-                if SAFE.match(text, at):
-                    b = at
-                    break
-                at = text.rfind(" ", a, at)
-            out = (text[:a], self.joined(text[a:b], False), text[b:])
-        size = 4 * len(text) + 400
-        if self.chunk_size + size > self.chunk_bytes:
-            self.chunks, self.chunk_size = {}, 0
-        self.chunks[text] = out
-        self.chunk_size += size
-        return out
-
-    def parts(self, text: str, cuts: list[int] | None = None) -> Iterator[str]:
-        """A text's tokens, part by part. cuts: the chunks' ends as byte offsets into the text's UTF-8."""
+        if (found := self.old.get(text)) is None:
+            cuts = [m.start() for m in SAFE.finditer(text)]
+            if not cuts:
+                found = (text, None, "", "", [], "", [])
+            else:
+                a, b = cuts[0], cuts[-1]
+                core = self.ids_of(text[a:b])
+                opening, closing = (text[a : cuts[1]], text[cuts[-2] : b]) if len(cuts) > 1 else ("", "")
+                found = (text[:a], core, text[b:], opening, self.begins(core, opening), closing, self.begins(core[::-1], closing)[::-1])
+        size = 12 * len(text) + 800
+        if self.size + size > self.chunk_bytes:
+            self.old, self.new, self.size = self.new, {}, 0
+        self.new[text] = found
+        self.size += size
+        return found
+
+    def begins(self, ids: list[int], text: str) -> list[int]:
+        """The first ids, as many as hold the text's bytes or more."""
+        n, left = 0, len(text.encode())
+        while left > 0 and n < len(ids):
+            left -= len(self.bytes_of[ids[n]])
+            n += 1
+        return ids[:n]
+
+    def encode(self, text: str, cuts: list[int] | None = None) -> list[int]:
+        """A text's tokens. cuts: the chunks' ends as byte offsets into the text's UTF-8."""
+        if not self.cuttable:
+            return self.library(text)
         raw = text.encode("utf-8")
         if cuts is None:
-            data = np.frombuffer(raw, np.uint8)
-            cuts = chunk_ends(data, np.array([0, len(data)]))[1]
-        at, join, first = 0, "", True
+            cuts = chunk_ends(np.frombuffer(raw, np.uint8))[1]
+        ids, at, join, before, last = [], 0, "", "", []
         for end in [*cuts, len(raw)]:
             if end <= at:
                 continue
-            head, core, tail = self.chunk(raw[at:end].decode("utf-8"))
+            head, core, tail, opening, first, closing, ending = self.chunk(raw[at:end].decode("utf-8"))
             at = end
             join += head
             if core is None:
                 continue  # no safe cut: the join goes on into the next chunk
-            yield self.joined(join, first)
-            yield core
-            join, first = tail, False
-        yield self.joined(join, first)
+            own = self.ids_of(join)
+            if self.ids_of(before + join + opening) != last + own + first:
+                return self.library(text)
+            ids += own
+            ids += core
+            join, before, last = tail, closing, ending
+        own = self.ids_of(join)
+        if before and self.ids_of(before + join) != last + own:
+            return self.library(text)
+        return ids + own
+
+    def decode(self, ids: list[int]) -> str:
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def chunk_ends(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, list[int]]:
+def chunk_ends(data: np.ndarray) -> tuple[np.ndarray, list[int]]:
     """Positions where chunks end by content: after ROLL bytes whose hash meets the mask, moved on to the next character."""
     if len(data) <= ROLL:
         return np.zeros(0, np.int64), []
@@ -231,7 +198,7 @@ _codec: dict[str, ChunkCodec] = {}
 
 
 def codec(path: str) -> ChunkCodec:
-    """One for each Python worker; workers are reused, and so is its vocabulary. Caches are a task's own."""
+    """One for each Python worker; workers are reused, and so are the vocabulary and the chunks."""
     if path not in _codec:
         _codec[path] = ChunkCodec(path)
     return _codec[path]
@@ -255,24 +222,21 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, text: str = "text", k
         own = codec(tokenizer_path)
         for batch in batches:
             data, off = utf8(batch, len(names))
-            n, ids, decoded, lists = [], [], [], []
+            n, digests, decoded, lists = [], [], [], []
             for a, b in slices(off):
                 part, at = data[off[a] : off[b]], off[a : b + 1] - off[a]
-                ends = chunk_ends(part, at)[0]
+                ends = chunk_ends(part)[0]
                 raw, lo = part.tobytes(), np.searchsorted(ends, at)
-                texts = [raw[s:e].decode("utf-8") for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                own.learn({p for t in texts if t for p in own.pieces(t, True)})
                 for i in range(b - a):
                     s = int(at[i])
-                    text_ids = ",".join(filter(None, own.parts(texts[i], (ends[lo[i] : lo[i + 1]] - s).tolist())))
-                    n.append(text_ids.count(",") + 1 if text_ids else 0)
-                    ids.append(hashlib.sha256(text_ids.encode()).hexdigest())
-                    decoded.append(hashlib.sha256(own.decoded(texts[i]).decode("utf-8", "replace").encode()).hexdigest())
+                    ids = own.encode(raw[s : int(at[i + 1])].decode("utf-8"), (ends[lo[i] : lo[i + 1]] - s).tolist())
+                    n.append(len(ids))
+                    digests.append(hashlib.sha256(",".join(map(own.decimal.__getitem__, ids)).encode()).hexdigest())
+                    decoded.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
                     if with_ids:
-                        lists.append(np.array(text_ids.split(",") if text_ids else [], dtype=np.int32))
-            made = [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string()), *[listed(lists)] * with_ids]
+                        lists.append(np.array(ids, np.int32))
+            made = [pa.array(n, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string()), *[listed(lists)] * with_ids]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *made], [*names, "n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * with_ids])
-        own.forget()
         give_back()
 
     return docs.select(*[docs[c] for c in keep], docs[text].alias("__text")).mapInArrow(run, schema)
