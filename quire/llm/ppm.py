@@ -1,16 +1,20 @@
 """Language identification by prediction by partial matching.
 
-For each language a context tree over bytes holds what follows the last 0, 1 and 2 bytes. A symbol's probability comes
-from the longest context that has seen it; every longer context costs its escape, d / (n + d) with d distinct symbols
-among n, and symbols of the longer context are excluded from the shorter ones' mass. Below order 0 all 257 byte values
-are equal. Statistics are frozen after training, so the exact code length of each (context, byte) is tabled once, and
-a text's code length is a sum of table entries, one a byte.
+For each language a context tree over bytes holds what follows the last 0 to `order` bytes of a text. A symbol's
+probability comes from the longest context that has seen it; every longer context costs its escape, d / (n + d) with d
+distinct symbols among n, and symbols of the longer context are excluded from the shorter ones' mass. Below order 0 all
+256 byte values are equal. A text's first bytes have only the contexts that they have; a context that was never seen
+costs nothing. Statistics are frozen after training, so each node's code length is computed once, for all languages:
+the tree is a hash table from byte strings to rows of code lengths, and a text's code length is a sum of rows.
 
 Training takes at most `docs_per_lang` labelled documents a language, whole texts of at most `longest` characters,
-picked by a hash of their id: a documented bound, the same for any input. Everything else covers whole texts of all rows.
+picked by a hash of their id: a documented bound, the same for any input. The tree has as many orders, up to `order`, as
+fit in `most_values` code lengths over all languages, so that what is broadcast has a bound. Everything else covers whole
+texts of all rows, a very long text piece by piece.
 
 Defined results: null texts and texts without a letter are `und` with score 0; so is everything if nothing is labelled;
-ties go to the first language by name; null ids and repeated rows are scored like any other.
+ties go to the first language by name; null ids and repeated rows are scored like any other; extra columns, whatever
+their names, are neither read nor returned unless asked for.
 """
 
 from __future__ import annotations
@@ -20,68 +24,143 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import slices, small_batches, utf8
+from quire.llm.common import SLICE_BYTES, slices, small_batches, utf8
 
 UNKNOWN = "und"
 
 
+ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Index:
+    """Places of keys, which are sorted by the bucket that their hash gives."""
+
+    def __init__(self, keys: np.ndarray):
+        self.shift = np.uint64(64 - max(1, (2 * len(keys)).bit_length()))
+        bucket = (keys * ODD) >> self.shift
+        self.order = np.argsort(bucket, kind="stable")
+        self.keys, bucket = keys[self.order], bucket[self.order]
+        self.start = np.searchsorted(bucket, np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Each key's place in `order`; -1 if it isn't there."""
+        bucket = ((keys * ODD) >> self.shift).astype(np.int64)
+        at, end = self.start[bucket], self.start[bucket + 1]
+        out, todo = np.full(len(keys), -1, np.int32), np.flatnonzero(at < end)
+        while len(todo):
+            spot = at[todo]
+            hit = self.keys[spot] == keys[todo]
+            out[todo[hit]] = spot[hit]
+            at[todo] += 1
+            todo = todo[~hit & (at[todo] < end[todo])]
+        return out
+
+
+def grams(data: np.ndarray, longest: int) -> list[np.ndarray]:
+    """For k from 0: the last k + 1 bytes at each place from k on, as a number times 8 plus k."""
+    value = data.astype(np.uint64)
+    out, gram = [], np.zeros(len(data), np.uint64)
+    for k in range(longest + 1):
+        gram = gram[1:] if k else gram
+        gram = gram + (value[: len(value) - k] << np.uint64(8 * k)) if len(value) > k else gram[:0]
+        out.append(gram * np.uint64(8) + np.uint64(k))
+    return out
+
+
+def suffix(keys: np.ndarray, k: int) -> np.ndarray:
+    """Keys of order k without their first byte."""
+    return ((keys >> np.uint64(3)) & np.uint64((1 << 8 * k) - 1)) * np.uint64(8) + np.uint64(k - 1)
+
+
+def context(keys: np.ndarray, k: int) -> np.ndarray:
+    """Keys of order k without their last byte, which names a context of k bytes."""
+    return (keys >> np.uint64(11)) * np.uint64(8) + np.uint64(k)
+
+
 class Model:
-    """Code lengths in bits: lengths[(second last, last, byte), language] over symbols; symbol 0 stands for unseen bytes."""
+    """rows[k][place]: code lengths of a string of k + 1 bytes' last byte after the others, a language a column; escapes
+    likewise for contexts of k bytes, 0 where a language never saw the context."""
 
-    def __init__(self, texts: dict[str, list[bytes]]):
+    def __init__(self, texts: dict[str, list[bytes]], order: int = 4, most_values: int = 1 << 25):
         self.langs = sorted(texts)
-        joined = {lang: [np.frombuffer(t, np.uint8) for t in own if t] for lang, own in texts.items()}
-        seen = np.zeros(256, bool)
-        for own in joined.values():
-            for t in own:
-                seen[t] = True
-        self.symbol = np.zeros(256, np.int32)
-        self.symbol[seen] = np.arange(1, seen.sum() + 1)
-        a = self.size = int(seen.sum()) + 1
-        self.lengths = np.stack([self._tabled(joined[lang], a) for lang in self.langs], 1) if self.langs else np.zeros((a**3, 0), np.float32)
-
-    def _tabled(self, texts: list[np.ndarray], a: int) -> np.ndarray:
-        two, one = np.zeros(a**3, np.int64), np.zeros(a**2, np.int64)
-        for t in texts:
-            s = self.symbol[t].astype(np.int64)
-            s = np.concatenate([[0, 0], s])
-            two += np.bincount((s[:-2] * a + s[1:-1]) * a + s[2:], minlength=a**3)
-            one += np.bincount(s[1:-1] * a + s[2:], minlength=a**2)
-        # symbol 0 covers the byte values never seen: each of them has one share of the uniform floor
-        floor = np.full(a, 1 / 257)
-        zero = self._mixed(one.reshape(a, a).sum(0)[None, :], floor[None, :])
-        first = self._mixed(one.reshape(a, a), zero)
-        table = np.empty((a, a, a), np.float32)
-        for i, counts in enumerate(two.reshape(a, a, a)):
-            table[i] = -np.log2(self._mixed(counts, first))
-        return table.reshape(-1)
+        width = max(1, len(self.langs))
+        counted = [self._counted([np.frombuffer(t, np.uint8) for t in texts[lang] if t], order) for lang in self.langs]
+        self.base = np.full((256, width), 8, np.float32)  # of single bytes: a language's own, or its escape and a share of the rest
+        shares = []
+        for i, c in enumerate(counted):
+            keys, times = c[0]
+            byte, n, d = (keys >> np.uint64(3)).astype(np.int64), times.sum(), max(1, len(keys))
+            shares.append(times / (n + d))
+            if len(keys):
+                self.base[:, i] += -np.log2(d / (n + d) / max(1e-9, 1 - d / 256))
+                self.base[byte, i] = -np.log2(shares[i])
+        self.index, self.rows, self.contexts, self.escapes = [], [], [], []
+        shorter, lower, size = np.arange(256, dtype=np.uint64) * np.uint64(8), self.base, 0
+        for k in range(1, order + 1):
+            union = np.unique(np.concatenate([np.zeros(0, np.uint64), *(c[k][0] for c in counted)]))
+            above = np.unique(context(union, k))
+            size += (len(union) + len(above)) * width
+            if not len(union) or size > most_values:
+                break
+            rows, escapes = lower[np.searchsorted(shorter, suffix(union, k))], np.zeros((len(above), width), np.float32)
+            for i, c in enumerate(counted):
+                keys, times = c[k]
+                own, which, d = np.unique(context(keys, k), return_inverse=True, return_counts=True)
+                n = np.bincount(which, weights=times, minlength=len(own))
+                # a string that was seen was seen without its first byte too, so exclusion takes those shares off
+                taken = shares[i][np.searchsorted(c[k - 1][0], suffix(keys, k))]
+                rest = np.maximum(1 - np.bincount(which, weights=taken, minlength=len(own)), 1e-9)
+                escapes[np.searchsorted(above, own), i] = -np.log2(d / (n + d) / rest)
+                rows[:, i] += escapes[np.searchsorted(above, context(union, k)), i]
+                shares[i] = times / (n + d)[which]
+                rows[np.searchsorted(union, keys), i] = -np.log2(shares[i])
+            index, places = Index(union), Index(above)
+            self.index.append(index)
+            self.rows.append(rows[index.order])
+            self.contexts.append(places)
+            self.escapes.append(escapes[places.order])
+            shorter, lower = union, rows
+        self.order = len(self.index)
 
     @staticmethod
-    def _mixed(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        n, d = counts.sum(1, keepdims=True), (counts > 0).sum(1, keepdims=True)
-        known = counts > 0
-        rest = 1 - np.where(known, lower, 0).sum(1, keepdims=True)  # what exclusion leaves of the shorter context
-        escape = np.where(n > 0, d / np.maximum(n + d, 1), 1.0)
-        return np.where(known, counts / np.maximum(n + d, 1), escape * lower / np.maximum(rest, 1e-9))
+    def _counted(texts: list[np.ndarray], order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By order: the sorted strings that were seen, and how often."""
+        found = [grams(t, order) for t in texts]
+        return [np.unique(np.concatenate([np.zeros(0, np.uint64), *(g[k] for g in found)]), return_counts=True) for k in range(order + 1)]
 
     def code_lengths(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Bits of each row under each language."""
-        rows = len(off) - 1
-        out = np.zeros((rows, len(self.langs)))
+        out = np.zeros((len(off) - 1, len(self.langs)))
         if not len(data) or not self.langs:
             return out
-        s, a = self.symbol[data], self.size
-        last, before = np.zeros_like(s), np.zeros_like(s)
-        last[1:], before[2:] = s[:-1], s[:-2]
-        full = off[:-1] < off[1:]
-        begin = off[:-1][full]
-        last[begin] = 0
-        before[begin] = 0
-        second = begin[begin + 1 < len(s)] + 1
-        before[second[~np.isin(second, begin)]] = 0
-        index = (before * a + last) * a + s
-        for i in range(len(self.langs)):
-            out[full, i] = np.add.reduceat(np.ascontiguousarray(self.lengths[:, i])[index].astype(np.float64), begin)
+        step = max(1 << 12, 4 * SLICE_BYTES // max(4, len(self.langs)))
+        for s in range(0, len(data), step):
+            e = min(len(data), s + step)
+            row = np.searchsorted(off, np.arange(s, e), "right") - 1
+            bits = self._bits(data[max(0, s - self.order) : e], np.arange(s, e) - off[row])[-(e - s) :]
+            edge = np.flatnonzero(np.diff(row, prepend=-1))
+            out[row[edge]] += np.add.reduceat(bits, edge, axis=0, dtype=np.float64)
+        return out
+
+    def _bits(self, data: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Code lengths of the last len(place) bytes; place: how many bytes of its row stand before each."""
+        n, have = len(place), len(data) - len(place)
+        out = np.zeros((n, len(self.langs)), np.float32)
+        strings = grams(data, self.order)
+        todo = np.arange(n)
+        for k in range(self.order, 0, -1):
+            able = place[todo] >= k
+            own = todo[able]
+            keys = strings[k][own + have - k]
+            found = self.index[k - 1].find(keys)
+            hit = found >= 0
+            out[own[hit]] += self.rows[k - 1][found[hit]]
+            lost, rest = keys[~hit], own[~hit]
+            spot = self.contexts[k - 1].find(context(lost, k))
+            known = spot >= 0
+            out[rest[known]] += self.escapes[k - 1][spot[known]]
+            todo = np.sort(np.concatenate([todo[~able], rest]))
+        out[todo] += self.base[data[todo + have]]
         return out
 
 
@@ -102,7 +181,7 @@ def identify(docs: DataFrame, model: Model, keep: list[Column | str], text: str
     frame = docs.select(*keep, F.col(text).alias("__text"), F.coalesce(F.col(text).rlike("\\p{L}"), F.lit(False)).alias("__letters"))
     names = frame.columns[:-2]
     fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-2]), "lang_pred string, score double, bits double"])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a^3 entries a language, however large the input
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # most_values code lengths at most, however large the input
 
     def run(batches):
         own = shared.value
