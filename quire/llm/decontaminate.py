@@ -6,11 +6,12 @@ holds a seed gives a window of the document, windows that meet are one, and each
 aligned with the item: match 2, mismatch -1, gap -1, local. The score is the best alignment's part of the item's perfect
 score; from `threshold` on the document is contaminated by the item.
 
-The items are taken in blocks of `block` rows, so what is broadcast has a bound; all documents are read for each block.
+The items are taken in blocks of `block` rows and `block_bytes` of text at most (a longer item is a block of its own), so
+what is broadcast has a bound; all documents are read for each block.
 
 Defined results: null and empty texts and items have no words and match nothing; items of fewer than three words use
 their whole sequence as the seed; equal items are scored each; among equal alignments the first in the document counts;
-repeated documents give repeated rows.
+repeated documents give repeated rows; extra columns, whatever their names, are not read, and stay where documents do.
 """
 
 from __future__ import annotations
@@ -148,17 +149,29 @@ def matches(index: Index, data: np.ndarray, off: np.ndarray, threshold: float) -
     return [(r, i, *x) for (r, i), x in sorted(best.items())]
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.4, block: int = 20_000, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+def indexes(items: DataFrame, block: int, block_bytes: int, item_key: str, item_text: str) -> Iterator[Index]:
+    ids, texts, size = [], [], 0
+    for row in items.where(F.col(item_text).isNotNull()).select(F.col(item_key).alias("i"), F.lower(F.col(item_text)).alias("t")).orderBy("i", "t").toLocalIterator():
+        text = row["t"].encode()
+        if ids and (len(ids) == block or size + len(text) > block_bytes):
+            yield Index(ids, texts)
+            ids, texts, size = [], [], 0
+        ids.append(row["i"])
+        texts.append(text)
+        size += len(text)
+    if ids:
+        yield Index(ids, texts)
+
+
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.4, block: int = 20_000, block_bytes: int = 8 << 20, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """Rows key, item_id, score, start_word, n_words: documents that hold an item, as a copy, edited or paraphrased."""
-    small_batches(docs.sparkSession)
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     kind, item_kind = docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     schema = f"`{key}` {kind}, item_id {item_kind}, score double, start_word long, n_words long"
     own = docs.select(docs[key].alias(key), F.lower(docs[text]).alias("__text"))
-    parts, ids, texts = [], [], []
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_kind]
 
-    def flush() -> None:
-        index = Index(list(ids), list(texts))
+    def found_by(index: Index) -> DataFrame:
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches):
@@ -171,16 +184,31 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.4, bloc
                     made = [pa.array([f[k] for f in found], t) for k, t in ((2, pa.float64()), (3, pa.int64()), (4, pa.int64()))]
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array([idx.ids[f[1]] for f in found], kinds), *made], [key, "item_id", "score", "start_word", "n_words"])
 
-        kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(item_kind)
-        parts.append(own.mapInArrow(run, schema))
-        ids.clear()
-        texts.clear()
+        return own.mapInArrow(run, schema)
 
-    for row in items.where(F.col(item_text).isNotNull()).select(F.col(item_key).alias("i"), F.lower(F.col(item_text)).alias("t")).orderBy("i", "t").toLocalIterator():
-        ids.append(row["i"])
-        texts.append(row["t"].encode())
-        if len(ids) == block:
-            flush()
-    if ids:
-        flush()
+    parts = [found_by(i) for i in indexes(items, block, block_bytes, item_key, item_text)]
     return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], schema)
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.4, block: int = 20_000, block_bytes: int = 8 << 20, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+    """docs without the rows whose text holds an item: each row by its own text, so ids may be missing or repeated."""
+    spark = small_batches(docs.sparkSession)
+    names, schema = docs.columns, docs.schema
+
+    def kept_by(rows: DataFrame, index: Index) -> DataFrame:
+        shared = spark.sparkContext.broadcast(index)
+
+        def run(batches):
+            idx = shared.value
+            for batch in batches:
+                data, off = utf8(batch, len(names))
+                keep = np.ones(batch.num_rows, bool)
+                for a, b in slices(off):
+                    keep[[a + f[0] for f in matches(idx, data[off[a] : off[b]], off[a : b + 1] - off[a], threshold)]] = False
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[: len(names)]], names)
+
+        return rows.select("*", F.lower(rows[text]).alias("__lower")).mapInArrow(run, schema)
+
+    for index in indexes(items, block, block_bytes, item_key, item_text):
+        docs = kept_by(docs, index)
+    return docs
