@@ -5,12 +5,13 @@ equal word is written as a back-reference, so that stuttering shows whatever the
 its log-count ratio between the classes; a linear hinge-loss model on the scaled indicators (each row of length one) is fitted by dual
 coordinate descent; margins become probabilities by a logistic fit on rows held back from the descent.
 
-The classifier is fitted on at most `per_class` labelled documents a class, picked by a hash of their id: a documented
-bound. Their features are taken on the executors, from whole texts; every document is scored by its whole text.
+The classifier is fitted on at most `per_class` labelled documents a class, picked by a hash of their id, those of at
+most `longest` characters among them: a documented bound. Their features are taken on the executors, from whole texts; every document is scored by its whole text.
 
 Defined results: null and empty texts have no features and get the model's bias; with fewer than two classes to learn
 from every score is the share of label 1, or 0.5 if nothing is labelled; null labels are left out; of a document labelled
-twice each distinct label counts; repeated rows are scored alike.
+twice each distinct label counts; repeated rows are scored alike; ids may be of any type; extra columns, whatever their
+names, are not read.
 """
 
 from __future__ import annotations
@@ -148,9 +149,9 @@ def sampled_ids(labels: DataFrame, label: str, per_class: int, key: str = "doc_i
     return own.withColumn("__r", rank).where(F.col("__r") <= per_class).drop("__r")
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = 1500, key: str = "doc_id", text: str = "text") -> Model:
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = 1500, longest: int = 100_000, key: str = "doc_id", text: str = "text") -> Model:
     """docs and labels: what may be learnt from. The ids, two times per_class at most, are broadcast."""
-    picked = docs.join(F.broadcast(sampled_ids(labels, label, per_class, key)), docs[key] == F.col("__id")).select("__id", "__y", F.col(text).alias("__text"))
+    picked = docs.join(F.broadcast(sampled_ids(labels, label, per_class, key)), docs[key] == F.col("__id")).where(F.length(text) <= longest).select(F.col("__id").cast("string"), "__y", F.col(text).alias("__text"))
 
     def run(batches):
         for batch in batches:
@@ -158,9 +159,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
             for a, b in slices(off):
                 found, at = features(data[off[a] : off[b]], off[a : b + 1] - off[a])
                 lists = [found[s:e].astype(np.int32).tobytes() for s, e in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).cast(pa.int64()), batch.column(1).slice(a, b - a), pa.array(lists, pa.binary())], ["id", "y", "found"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(lists, pa.binary())], ["id", "y", "found"])
 
-    rows = sorted((r["id"], r["y"], bytes(r["found"])) for r in picked.mapInArrow(run, "id long, y int, found binary").toLocalIterator())
+    rows = sorted((r["id"], r["y"], bytes(r["found"])) for r in picked.mapInArrow(run, "id string, y int, found binary").toLocalIterator())
     return Model([np.frombuffer(f, np.int32) for _, _, f in rows], np.array([y for _, y, _ in rows], np.int64))
 
 
