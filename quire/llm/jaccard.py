@@ -36,8 +36,8 @@ from quire.llm.common import LOWER, free, gram_hashes, lean, materialize, mix, s
 from quire.llm.links import components
 
 TOKENS, COARSE, SMALL, CHUNK, PIVOTS, STARS, LEAF = 24, 64, 16, 4096, 3, 4, 32
-#: Shingles in a chunk of sets, of which a task that verifies holds two: 4 MB each.
-TILE = 1 << 19
+#: Shingles in a chunk of sets, of which a task that verifies holds two: half a MB each, or one larger set.
+TILE = 1 << 16
 _rng = np.random.default_rng(20240229)
 FLIP = _rng.integers(0, 1 << 63, TOKENS, dtype=np.uint64)
 ODD = _rng.integers(0, 1 << 62, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
