@@ -3,16 +3,17 @@
 Every stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns the columns of `documents`;
 the last returns tokens. Each is judged on its own input:
 
-1. language ID: a document without a letter is rejected and goes; so does one of 64 bytes or more that takes more than 9
-   bits a byte under every language's model, which is more than bytes by chance would;
+1. language ID: a document without a letter, which has no language, is rejected and goes; all others stay, those of
+   languages that no label names too;
 2. n-gram Jaccard join: of each group of linked documents the one with the smallest id stays;
 3. suffix-array dedup: passages of 50 words or more stay where they are first; elsewhere they are cut out of the text;
 4. benchmark decontamination: a document that holds a benchmark item, as a copy or edited, goes;
 5. BPE encoding and decoding: token ids, their digest, and the digest of what they decode to.
 
 Defined results: null and empty texts go in stage 1; so stages 2 to 5 see none but texts that stage 3 emptied, which
-stay as empty texts; documents without an id are kept apart by stages 1 to 3, and go in stage 4 if any of them is
-contaminated; extra columns pass through all stages but the last; an empty table gives an empty result.
+stay as empty texts; of rows of equal id and text one stays in stage 2; documents without an id are judged like all
+others, each by its own text, and yield to those with one where they are copies; extra columns pass through all stages
+but the last; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,15 +25,11 @@ from quire.llm import bpe, decontaminate, jaccard, ppm, suffixes
 from quire.llm.common import crc_mod, documents, materialize
 from quire.llm.queries import tokenizer_path
 
-MOST_BITS, LEAST_BYTES = 9.0, 64
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = ppm.Model(ppm.sample(docs.where(crc_mod("doc_id", 5) != 0)))
     found = ppm.identify(docs, model, [F.struct(*docs.columns).alias("__doc")])
-    fits = (F.col("bits") <= MOST_BITS) | (F.octet_length(F.col("__doc")["text"]) < LEAST_BYTES)
-    kept = found.where((F.col("lang_pred") != ppm.UNKNOWN) & fits)
-    return kept.select(*[F.col("__doc")[c].alias(c) for c in docs.columns])
+    return found.where(F.col("lang_pred") != ppm.UNKNOWN).select(*[F.col("__doc")[c].alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,9 +42,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    bad = decontaminate.contaminated(docs, items).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad"]), "left_anti")
+    return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
