@@ -24,26 +24,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import SLICE_BYTES, slices, small_batches, utf8
+from quire.llm.common import lean, slices, small_batches, utf8
 
 UNKNOWN = "und"
+#: Code lengths that are held at once: bytes times languages.
+PIECE = 1 << 18
 
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Index:
-    """Places of keys, which are sorted by the bucket that their hash gives."""
+    """A hash table: keys sorted by the bucket that their hash gives, and a row of values for each."""
 
-    def __init__(self, keys: np.ndarray):
+    def __init__(self, keys: np.ndarray, rows: np.ndarray):
         self.shift = np.uint64(64 - max(1, (2 * len(keys)).bit_length()))
         bucket = (keys * ODD) >> self.shift
-        self.order = np.argsort(bucket, kind="stable")
-        self.keys, bucket = keys[self.order], bucket[self.order]
+        order = np.argsort(bucket, kind="stable")
+        self.keys, self.rows, bucket = keys[order], rows[order], bucket[order]
         self.start = np.searchsorted(bucket, np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64)).astype(np.int32)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """Each key's place in `order`; -1 if it isn't there."""
+        """Each key's place in the table; -1 if it isn't there."""
         bucket = ((keys * ODD) >> self.shift).astype(np.int64)
         at, end = self.start[bucket], self.start[bucket + 1]
         out, todo = np.full(len(keys), -1, np.int32), np.flatnonzero(at < end)
@@ -78,8 +80,8 @@ def context(keys: np.ndarray, k: int) -> np.ndarray:
 
 
 class Model:
-    """rows[k][place]: code lengths of a string of k + 1 bytes' last byte after the others, a language a column; escapes
-    likewise for contexts of k bytes, 0 where a language never saw the context."""
+    """strings[k - 1]: code lengths of a string of k + 1 bytes' last byte after the others, a language a column; contexts[k - 1]:
+    escapes of contexts of k bytes, 0 where a language never saw one; base: code lengths of single bytes."""
 
     def __init__(self, texts: dict[str, list[bytes]], order: int = 4, most_values: int = 1 << 25):
         self.langs = sorted(texts)
@@ -94,7 +96,7 @@ class Model:
             if len(keys):
                 self.base[:, i] += -np.log2(d / (n + d) / max(1e-9, 1 - d / 256))
                 self.base[byte, i] = -np.log2(shares[i])
-        self.index, self.rows, self.contexts, self.escapes = [], [], [], []
+        self.strings, self.contexts = [], []
         shorter, lower, size = np.arange(256, dtype=np.uint64) * np.uint64(8), self.base, 0
         for k in range(1, order + 1):
             union = np.unique(np.concatenate([np.zeros(0, np.uint64), *(c[k][0] for c in counted)]))
@@ -114,13 +116,10 @@ class Model:
                 rows[:, i] += escapes[np.searchsorted(above, context(union, k)), i]
                 shares[i] = times / (n + d)[which]
                 rows[np.searchsorted(union, keys), i] = -np.log2(shares[i])
-            index, places = Index(union), Index(above)
-            self.index.append(index)
-            self.rows.append(rows[index.order])
-            self.contexts.append(places)
-            self.escapes.append(escapes[places.order])
+            self.strings.append(Index(union, rows))
+            self.contexts.append(Index(above, escapes))
             shorter, lower = union, rows
-        self.order = len(self.index)
+        self.order = len(self.strings)
 
     @staticmethod
     def _counted(texts: list[np.ndarray], order: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -133,7 +132,7 @@ class Model:
         out = np.zeros((len(off) - 1, len(self.langs)))
         if not len(data) or not self.langs:
             return out
-        step = max(1 << 12, 4 * SLICE_BYTES // max(4, len(self.langs)))
+        step = max(1 << 12, PIECE // max(4, len(self.langs)))
         for s in range(0, len(data), step):
             e = min(len(data), s + step)
             row = np.searchsorted(off, np.arange(s, e), "right") - 1
@@ -144,22 +143,26 @@ class Model:
 
     def _bits(self, data: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Code lengths of the last len(place) bytes; place: how many bytes of its row stand before each."""
-        n, have = len(place), len(data) - len(place)
+        n, have, least = len(place), len(data) - len(place), int(place.min())
         out = np.zeros((n, len(self.langs)), np.float32)
-        strings = grams(data, self.order)
+        keys = grams(data, self.order)
         todo = np.arange(n)
         for k in range(self.order, 0, -1):
-            able = place[todo] >= k
-            own = todo[able]
-            keys = strings[k][own + have - k]
-            found = self.index[k - 1].find(keys)
-            hit = found >= 0
-            out[own[hit]] += self.rows[k - 1][found[hit]]
-            lost, rest = keys[~hit], own[~hit]
-            spot = self.contexts[k - 1].find(context(lost, k))
-            known = spot >= 0
-            out[rest[known]] += self.escapes[k - 1][spot[known]]
-            todo = np.sort(np.concatenate([todo[~able], rest]))
+            able = place[todo] >= k if k > least else None
+            own = todo if able is None else todo[able]
+            string = keys[k][own + have - k]
+            found = self.strings[k - 1].find(string)
+            lost = found < 0
+            if not lost.any():
+                out[own] += self.strings[k - 1].rows[found]
+                rest = own[:0]
+            else:
+                out[own[~lost]] += self.strings[k - 1].rows[found[~lost]]
+                rest = own[lost]
+                spot = self.contexts[k - 1].find(context(string[lost], k))
+                known = spot >= 0
+                out[rest[known]] += self.contexts[k - 1].rows[spot[known]]
+            todo = rest if able is None else np.sort(np.concatenate([todo[~able], rest]))
         out[todo] += self.base[data[todo + have]]
         return out
 
@@ -197,4 +200,4 @@ def identify(docs: DataFrame, model: Model, keep: list[Column | str], text: str
             made = [pa.array(pred, pa.string()), pa.array(np.where(able, share, 0.0), pa.float64()), pa.array(per, pa.float64(), mask=~able)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *made], [*names, "lang_pred", "score", "bits"])
 
-    return frame.mapInArrow(run, fields)
+    return frame.mapInArrow(lean(run), fields)

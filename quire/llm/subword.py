@@ -2,16 +2,18 @@
 
 A word is the bag of its character n-grams (3 to 5 bytes, with word borders) and itself; its vector is the mean of their
 embeddings, and a linear softmax scores it. Unseen misspellings share most n-grams with what was seen. A text's label
-says only that some of its words are toxic, so a text is as toxic as its most toxic word: training picks, in each
+says only that some of its words are toxic, and a few words wash out in the average of a whole text or of a window (the
+README gives held-out figures of both), so a text is as toxic as its most toxic word: training picks, in each
 round, the words of a toxic text that the model holds likeliest (at first those with the highest log-odds between the
 classes) against all words of the other texts, and a logistic fit on held back texts turns the text's top margin into
 a probability.
 
-The classifier is fitted on at most `per_class` labelled documents a class, picked by a hash of their id: a documented
-bound. All texts are scored whole. As the softmax is linear, each n-gram's part of the margin is tabled once.
+The classifier is fitted on at most `per_class` labelled documents a class, picked by a hash of their id, those of at
+most `longest` characters among them: a documented bound. All texts are scored whole. As the softmax is linear, each n-gram's part of the margin is tabled once.
 
 Defined results: null and empty texts have no words and get the lowest margin; with fewer than two classes to learn
-from every score is the share of label 1, or 0.5 if nothing is labelled; null labels are left out.
+from every score is the share of label 1, or 0.5 if nothing is labelled; null labels are left out; extra columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations
