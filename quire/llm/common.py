@@ -55,11 +55,11 @@ def free(*tables: DataFrame) -> None:
             _delete(path, _scratch.pop(path))
 
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
-    """Holds what goes to Python at once to 16 MB, whatever the rows' length; a session's smaller bound stays."""
+    """Holds what goes to Python at once to 4 MB, whatever the rows' length; a session's smaller bound stays."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark.conf.get(name).lower().rstrip("b")
     unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(now[-1:], 1)
