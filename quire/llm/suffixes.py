@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import lean, materialize, slices, utf8, words
@@ -115,16 +115,15 @@ def repeats(own: DataFrame, length: int, gram: int) -> DataFrame:
 def removed_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 50, gram: int = 8) -> DataFrame:
     """A row for each maximal removed stretch: key, start_word, n_words, and where its first window stands first."""
     own = keyed(docs, key, text)
-    kind = own.schema["id"].dataType.simpleString()
-    cuts = repeats(own, length, gram).groupBy("uid", "id").agg(F.array_sort(F.collect_set(F.struct("a", "b", "first_id", "first_a"))).alias("cuts"))
-    # stretches that meet are one; the fold walks a document's ranges in order of their starts
-    step = lambda acc, x: F.when(
-        (F.size(acc) > 0) & (x["a"] <= F.element_at(acc, -1)["b"]),
-        F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["a"].alias("a"), F.greatest(F.element_at(acc, -1)["b"], x["b"]).alias("b"), F.element_at(acc, -1)["first_id"].alias("first_id"), F.element_at(acc, -1)["first_a"].alias("first_a")))),
-    ).otherwise(F.concat(acc, F.array(x)))
-    merged = F.aggregate("cuts", F.array().cast(f"array<struct<a:int,b:int,first_id:{kind},first_a:int>>"), step)
-    rows = cuts.select("id", F.explode(merged).alias("c"))
-    return rows.select(F.col("id").alias(key), F.col("c.a").cast("long").alias("start_word"), (F.col("c.b") - F.col("c.a")).cast("long").alias("n_words"), F.col("c.first_id").alias(f"first_{key}"), F.col("c.first_a").cast("long").alias("first_start_word"))
+    cuts = repeats(own, length, gram)
+    # stretches that meet are one: a new one begins where no earlier range of the document reaches
+    order = Window.partitionBy("uid", "id").orderBy("a", "b", "first_id", "first_a")
+    reach = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    cuts = cuts.withColumn("begins", (reach.isNull() | (F.col("a") > reach)).cast("int")).withColumn("stretch", F.sum("begins").over(order))
+    first = F.min(F.struct("a", "b", "first_id", "first_a")).alias("first")
+    rows = cuts.groupBy("uid", "id", "stretch").agg(first, F.max("b").alias("end"))
+    start = F.col("first.a")
+    return rows.select(F.col("id").alias(key), start.cast("long").alias("start_word"), (F.col("end") - start).cast("long").alias("n_words"), F.col("first.first_id").alias(f"first_{key}"), F.col("first.first_a").cast("long").alias("first_start_word"))
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 50, gram: int = 8) -> DataFrame:
