@@ -1,11 +1,10 @@
-"""Text expressions: normalisation, labels, similarity, suspicion. All are built-in column functions, except nfc()."""
+"""Text expressions: normalisation, labels, similarity, suspicion. All run in the JVM."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +19,9 @@ LEADING_LABELS = (r"^(?:附件|附表|表|图)\s*[0-9一二三四五六七八九
 ALLOWED_PUNCTUATION = "，。；：？！、,.:;!?%（）()[]【】<>《》“”‘’+-—_/\\|=~*&@#·…'\""
 SUSPICIOUS = "�□■▢◻◼◾◽¦¤§"
 CJK = "一-鿿"
+#: White space, as the inside of a regex class.
+WHITE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WHITE_CHARS = "".join(map(chr, [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def in_class(chars: str) -> str:
@@ -28,15 +30,15 @@ def in_class(chars: str) -> str:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_CHARS))
 
 
 def squeeze(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\s+", " ")
+    return F.regexp_replace(c, f"[{WHITE}]+", " ")
 
 
 def compact(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\s+", "")
+    return F.regexp_replace(c, f"[{WHITE}]+", "")
 
 
 def text_or_empty(c: Column) -> Column:
@@ -48,19 +50,25 @@ def matches_of(c: Column, pattern: str) -> Column:
     return F.regexp_count(c, F.lit(pattern))
 
 
-def nfc(c: Column) -> Column:
-    """Canonical composition; Spark has no function for it, so this one runs in Arrow batches. Most text is composed already."""
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.str.normalize("NFC")
+def chars_of(c: Column, chars: str) -> Column:
+    """How many characters are of a class, given as a regex of one character."""
+    return F.length(c) - F.length(F.regexp_replace(c, f"{chars}+", ""))
 
-    return run(c)
+
+def normal_form(c: Column, compatible: bool = False) -> Column:
+    """Unicode's composed form (NFC, or NFKC if compatible), by the library that Spark's collations use.
+
+    Only texts with characters that it may change are handed over. Reflection makes the expression one that Spark won't
+    move, so it can't stand in a join's condition.
+    """
+    own = text_or_empty(c)
+    made = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), own, F.lit(compatible))
+    return F.when(own.rlike(r"[^\x00-\x9f]" if compatible else r"[^\x00-\u02ff]"), made).otherwise(own)
 
 
 def search_normal(c: Column) -> Column:
-    """Letters, digits and line breaks stay, all else is a space; spaces are squeezed and dropped around line breaks."""
-    c = F.regexp_replace(text_or_empty(c), r"[^\p{L}\p{N}\n]", " ")
-    c = F.regexp_replace(c, r" +", " ")
+    """Composed letters, digits and line breaks stay, all else is a space; spaces are squeezed and dropped around line breaks."""
+    c = F.regexp_replace(normal_form(c), r"[^\p{L}\p{N}\n]+", " ")
     return strip(F.regexp_replace(c, r" *\n *", "\n"))
 
 
@@ -84,16 +92,39 @@ def fingerprint(c: Column) -> Column:
     return compact(c)
 
 
+#: What parts the characters of a printed watermark, as the inside of a regex class.
+WATERMARK_GAP = rf"{WHITE}\-_—–~〜·•,，.。:：;；|/\\（）()"
+
+
 def watermark_compact(c: Column) -> Column:
-    return F.regexp_replace(text_or_empty(c), r"(?U)[\s\-_—–~〜·•,，.。:：;；|/\\（）()]+", "")
+    return F.regexp_replace(text_or_empty(c), f"[{WATERMARK_GAP}]+", "")
 
 
 def watermark_plausible(c: Column) -> Column:
     """Could a line be a printed page watermark: 5 to 24 characters, three digits at least, a letter, not a heading."""
-    own = watermark_compact(c)
     heading = r"(?i)^(图|表)\s*[0-9一二三四五六七八九十零〇\-—_.．]+|^第[一二三四五六七八九十百零〇0-9]+[章节]|^[一二三四五六七八九十]+、"
-    letters, cjk = matches_of(own, "[A-Za-z]"), matches_of(own, f"[{CJK}]")
-    return F.length(own).between(5, 24) & ~text_or_empty(c).rlike("[。！？!?；;]") & ~own.rlike(heading) & (matches_of(own, r"\p{Nd}") >= 3) & (letters + cjk >= 1) & (cjk <= 10)
+
+    def judged(own: Column) -> Column:
+        cjk = chars_of(own, f"[{CJK}]")
+        fits = F.length(own).between(5, 24) & (chars_of(own, r"\p{Nd}") >= 3) & (chars_of(own, "[A-Za-z]") + cjk >= 1) & (cjk <= 10)
+        return fits & ~own.rlike(heading) & ~text_or_empty(c).rlike("[。！？!?；;]")
+
+    return let(watermark_compact(c), judged)
+
+
+def watermark_like(c: Column, known: Column) -> Column:
+    """SF07: is a line, of watermark_compact()'s form, one of a document's watermarks, a part of one, or one with a little more."""
+    digits = lambda x: F.regexp_replace(x, r"[^\p{Nd}]+", "")
+    lettered, word = c.rlike(f"[{CJK}A-Za-z]"), c.rlike(f"^[{CJK}A-Za-z]+$")
+
+    def same(k: Column) -> Column:
+        part = F.contains(k, c) & (F.length(c) >= F.greatest(F.lit(5), F.floor(F.length(k) * 0.45)))
+        begins = word & F.startswith(k, c) & (F.length(c) >= 3)
+        more = F.contains(c, k) & (F.length(k) >= 5) & (F.length(c) - F.length(k) <= 2)
+        number = (F.length(digits(c)) >= 3) & F.contains(digits(k), digits(c)) & (F.length(c) <= 8) & lettered
+        return (c == k) | part | begins | more | number
+
+    return F.exists(known, same)
 
 
 def levenshtein_similarity(a: Column, b: Column, cutoff: float = 0.0) -> Column:
@@ -110,8 +141,9 @@ def levenshtein_similarity(a: Column, b: Column, cutoff: float = 0.0) -> Column:
 
 
 def semantic_similarity(a: Column, b: Column, cutoff: float = 0.0) -> Column:
-    by_mark = levenshtein_similarity(fingerprint(a), fingerprint(b), cutoff)
-    return let(by_mark, lambda m: F.when(m > 0, m).otherwise(levenshtein_similarity(single_line(a), single_line(b), cutoff)))
+    marks = levenshtein_similarity(fingerprint(a), fingerprint(b), cutoff)
+    lines = F.struct(marks.alias("marks"), single_line(a).alias("a"), single_line(b).alias("b"))
+    return let(lines, lambda v: F.when(v["marks"] > 0, v["marks"]).otherwise(levenshtein_similarity(v["a"], v["b"], cutoff)))
 
 
 def match_tokens(c: Column) -> Column:
@@ -171,20 +203,30 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def suspicion(c: Column) -> Column:
-    """How much a text looks like garbled recognition: struct of score, reasons and counts."""
-    raw = F.regexp_replace(strip(text_or_empty(c)), r"\[IMAGE_REF:[^\]]+\]", "")
-    return let(raw, lambda r: let(compact(r), lambda own: let(_counts(r, own), lambda n: _judged(own, n))))
-
-
-def _counts(raw: Column, own: Column) -> Column:
-    replaced, private = matches_of(own, "�"), matches_of(own, r"\p{Co}")
+    """How much a text looks like garbled recognition: struct of score, reasons and counts.
+
+    Letters and digits are most of a text, and no count needs them: symbols are taken out once, and counted in turn in what
+    the count before left. Runs of symbols in the text are runs among them too, so they are looked for there first.
+    """
+    own = text_or_empty(c)
+    raw = F.when(F.contains(own, F.lit("[IMAGE_REF:")), F.regexp_replace(own, r"\[IMAGE_REF:[^\]]+\]", "")).otherwise(own)
+    symbols = lambda v: F.struct(v["raw"].alias("raw"), v["own"].alias("own"), F.regexp_replace(v["own"], rf"[\p{{L}}\p{{N}}{CJK}]+", "").alias("symbols"))
+    weird = lambda v: F.struct(v["raw"].alias("raw"), v["own"].alias("own"), v["symbols"].alias("symbols"), F.regexp_replace(v["symbols"], f"[{in_class(ALLOWED_PUNCTUATION)}]+", "").alias("weird"))
+    parts = let(let(let(raw, lambda r: F.struct(r.alias("raw"), compact(r).alias("own"))), symbols), weird)
+    return let(parts, lambda v: let(_counts(v["raw"], v["own"], v["symbols"], v["weird"]), lambda n: _judged(v["own"], n)))
+
+
+def _counts(raw: Column, own: Column, symbols: Column, weird: Column) -> Column:
+    replaced, private = chars_of(weird, "�"), chars_of(weird, r"\p{Co}")
+    chinese = own.rlike(f"[{CJK}]")
+    cluster, run = "[:：；;]{2,}|[·•]{2,}|-{3,}", rf"([^\p{{L}}\p{{N}}_{CJK}])\1{{2,}}"
+    latin = F.regexp_extract_all(own, F.lit(f"([{CJK}][A-Za-z]{{1,4}}[{CJK}])"), 1)
     return F.struct(
-        F.length(own).alias("length"), replaced.alias("replaced"), private.alias("private"), matches_of(own, r"\p{C}").alias("control"),
-        (replaced + private + matches_of(own, f"[{in_class(SUSPICIOUS)}]")).alias("odd"),
-        matches_of(own, rf"[^\p{{L}}\p{{N}}{CJK}{in_class(ALLOWED_PUNCTUATION)}]").alias("weird"), matches_of(own, rf"[^\p{{L}}\p{{N}}{CJK}]").alias("symbols"),
-        F.regexp_extract_all(own, F.lit(f"([{CJK}][A-Za-z]{{1,4}}[{CJK}])"), 1).alias("latin"),
-        own.rlike("[:：；;]{2,}|[·•]{2,}|-{3,}").alias("cluster"), raw.rlike(r"(?U)(?:^|[\s（(])[A-Za-z][）)]").alias("marker"),
-        raw.rlike(rf"(?U)(?:[{CJK}]\s+){{3,}}[{CJK}]").alias("spaced"), own.rlike(rf"([^\p{{L}}\p{{N}}_{CJK}])\1{{2,}}").alias("run"),
+        F.length(own).alias("length"), replaced.alias("replaced"), private.alias("private"), chars_of(weird, r"\p{C}").alias("control"),
+        (replaced + private + chars_of(weird, f"[{in_class(SUSPICIOUS)}]")).alias("odd"), F.length(weird).alias("weird"), F.length(symbols).alias("symbols"),
+        F.when(chinese, latin).otherwise(F.array().cast("array<string>")).alias("latin"), (symbols.rlike(cluster) & own.rlike(cluster)).alias("cluster"),
+        (symbols.rlike("[）)]") & raw.rlike(rf"(?:^|[{WHITE}（(])[A-Za-z][）)]")).alias("marker"), (chinese & raw.rlike(rf"(?:[{CJK}][{WHITE}]+){{3,}}[{CJK}]")).alias("spaced"),
+        (symbols.rlike(run) & own.rlike(run)).alias("run"), chinese.alias("chinese"),
     )
 
 
@@ -213,7 +255,7 @@ def _judged(own: Column, n: Column) -> Column:
         F.when(some, reasons).otherwise(F.array().cast("array<string>")).alias("reasons"),
         F.when(some, odd).otherwise(0).alias("suspicious_chars"),
         F.when(some, F.bround(odd / size, 4)).otherwise(0.0).alias("suspicious_ratio"),
-        own.rlike(f"[{CJK}]").alias("contains_cjk"),
+        n["chinese"].alias("contains_cjk"),
     )
 
 

@@ -13,7 +13,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def line_blocks(documents: DataFrame) -> DataFrame:
     """Lines as text blocks, eight to a page; empty ones are left out."""
     lines = documents.select(F.col("doc_id").alias("document_id"), "source", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
-    out = lines.select("document_id", "source", (F.col("pos") + 1).cast("long").alias("reading_order"), F.floor(F.col("pos") / 8).cast("long").alias("p"), F.regexp_replace("raw", r"^\s+|\s+$", "").alias("text"))
+    out = lines.select("document_id", "source", (F.col("pos") + 1).cast("long").alias("reading_order"), F.floor(F.col("pos") / 8).cast("long").alias("p"), F.btrim("raw", F.lit(" \t\n\x0b\f\r")).alias("text"))
     return out.where("text <> ''").withColumn("page_number", F.col("p") + 1).drop("p")
 
 
@@ -37,6 +37,18 @@ def boxes(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def mixed_blocks(lineitem: DataFrame) -> DataFrame:
+    """Line items as blocks of all kinds: document is the supplier; texts of each role, tables with and without cells, pictures with and without files."""
+    order = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
+    k = F.col("l_partkey") % 10
+    return lineitem.withColumn("n", F.row_number().over(order)).select(
+        F.col("l_suppkey").alias("document_id"), (F.col("l_orderkey") % 97 + 1).cast("long").alias("page_number"), F.col("n").cast("long").alias("reading_order"), F.concat(F.lit("b"), F.col("n").cast("string")).alias("id"),
+        F.when(k <= 1, "heading").when(k <= 4, "legend").when(k == 5, "artifact").otherwise("body").alias("role"), F.when(F.col("l_quantity") == 7, "").otherwise(F.concat(F.lit("p"), F.col("l_partkey").cast("string"))).alias("text"),
+        F.when(F.col("l_linenumber") == 3, "table").when(F.col("l_linenumber") >= 5, "figure").otherwise("text").alias("type"), F.when(F.col("l_suppkey") % 2 == F.col("l_linenumber") % 2, F.lit("uri")).alias("image_uri"),
+        F.when(F.col("l_quantity") > 40, "missing").alias("asset_status"), F.when(k < 7, F.lit("|t|")).alias("markdown"),
+    )
+
+
 def references(lineitem: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Figures with a label, and blocks that refer to one: document is the supplier, label the part modulo 40."""
     order = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")

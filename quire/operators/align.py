@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import fingerprint, let, levenshtein_similarity, match_tokens, single_line, strip, text_or_empty
+from quire.functions.text import compact, fingerprint, labels, let, levenshtein_similarity, match_tokens, single_line, strip, text_or_empty
 
 
 def page_window(items: DataFrame, entries: DataFrame, radius: int = 3) -> DataFrame:
     """Pairs of an item and the entries within `radius` pages: an equi-join, as each item is sent to the pages of its window."""
-    pages = F.explode(F.sequence(F.greatest(F.lit(1).cast("long"), F.col("page_number") - radius), F.col("page_number") + radius))
+    pages = F.explode(F.sequence(F.greatest(F.least(F.lit(1).cast("long"), F.col("page_number")), F.col("page_number") - radius), F.col("page_number") + radius))
     sent = items.select(*[F.col(c).alias(f"i_{c}") for c in items.columns], pages.alias("e_page_number"), F.col("document_id").alias("e_document_id"))
     return sent.join(entries.select(*[F.col(c).alias(f"e_{c}") for c in entries.columns]), ["e_document_id", "e_page_number"])
 
@@ -20,23 +22,35 @@ def page_bonus(a: Column, b: Column) -> Column:
     return F.when((a > 0) & (b > 0), F.when(far == 0, 90).when(far <= 2, 40).when(far <= 6, 15).otherwise(0)).otherwise(0)
 
 
+# Words before and after the label of a figure or table that a text refers to.
+CUES_BEFORE, CUES_AFTER = "见|如|按|所示|示例图|示意图|接线图|布置图", "所示|示例图|示意图|接线图|布置图|明细表"
+
+
 def signal_profile(signal: Column) -> Column:
     """What a signal is compared by; computed once an item, before the join."""
-    return F.struct(single_line(signal).alias("norm"), fingerprint(signal).alias("mark"), F.slice(match_tokens(signal), 1, 12).alias("tokens"), (strip(text_or_empty(signal)) != "").alias("given"))
+    return F.struct(single_line(signal).alias("norm"), fingerprint(signal).alias("mark"), F.slice(match_tokens(signal), 1, 12).alias("tokens"), labels(signal).alias("labels"), (strip(text_or_empty(signal)) != "").alias("given"))
 
 
 def entry_profile(title: Column, content: Column) -> Column:
     """What an entry is compared by. The long side of a similarity is its first 2400 characters, as the score is defined."""
-    long = single_line(content)
+    short, long = single_line(title), single_line(content)
     cut = F.substring(long, 1, 2400)
     return F.struct(
-        single_line(title).alias("short"), fingerprint(title).alias("short_mark"), long.alias("long"), fingerprint(content).alias("long_mark"),
-        F.regexp_replace(long, r"(?U)\s+", "").alias("compact"), strip(cut).alias("cut"), fingerprint(cut).alias("cut_mark"),
+        short.alias("short"), fingerprint(title).alias("short_mark"), long.alias("long"), fingerprint(content).alias("long_mark"), compact(short).alias("key"),
+        compact(long).alias("compact"), strip(cut).alias("cut"), fingerprint(cut).alias("cut_mark"), F.contains(text_or_empty(content), F.lit("[IMAGE_REF:")).alias("images"),
     )
 
 
-def signal_score(signal: Column, entry: Column, item_kind: Column, has_table: Column, item_page: Column, entry_page: Column, cutoff: float = 0.6) -> Column:
-    """SF50: score and evidence of a signal's profile for an entry's: the best containment, token hits, similarity, page and kind."""
+def referred(text: Column, label: Column) -> Column:
+    """How a text (without spaces) refers to a label: 280 after a cue, 240 before one, 120 at all."""
+    after = F.substring(text, F.instr(text, label) + F.length(label), F.length(text))
+    last = F.length(text) - F.length(F.call_function("substring_index", text, label, F.lit(-1))) - F.length(label)
+    return F.when(~F.contains(text, label), 0).when(F.substring(text, F.lit(1), last).rlike(CUES_BEFORE), 280).when(after.rlike(CUES_AFTER), 240).otherwise(120)
+
+
+def signal_score(signal: Column, entry: Column, item_kind: Column, has_table: Column, item_page: Column, entry_page: Column, cutoff: float = 0.5) -> Column:
+    """SF50: score and evidence of a signal's profile for an entry's: the best containment, token hits, similarity, page, kind
+    and the best reference to one of the signal's labels."""
     norm, mark = signal["norm"], signal["mark"]
     within = lambda a, b: (a != "") & F.contains(b, a)
     contained = F.greatest(
@@ -49,36 +63,56 @@ def signal_score(signal: Column, entry: Column, item_kind: Column, has_table: Co
         by_mark = levenshtein_similarity(mark, other_mark, cutoff)
         return let(by_mark, lambda m: F.when(m > 0, m).otherwise(levenshtein_similarity(norm, other, cutoff)))
 
-    kind = F.when(item_kind == "table", F.when(has_table, 220).otherwise(-80)).when(item_kind == "legend", F.when(has_table, -90).otherwise(40)).otherwise(0)
-    parts = F.struct(contained.alias("contained"), hits.alias("hits"), F.greatest(like(entry["short_mark"], entry["short"]), like(entry["cut_mark"], entry["cut"])).alias("like"))
+    kind = F.when(item_kind == "table", F.when(has_table, 220).otherwise(-80)).when(item_kind == "legend", F.when(has_table, -90).otherwise(40) + F.when(entry["images"], 95).otherwise(0)).otherwise(0)
+    reference = F.coalesce(F.array_max(F.transform(signal["labels"], lambda x: F.greatest(referred(entry["key"], x), referred(entry["compact"], x)))), F.lit(0))
+    parts = F.struct(contained.alias("contained"), hits.alias("hits"), F.greatest(like(entry["short_mark"], entry["short"]), like(entry["cut_mark"], entry["cut"])).alias("like"), reference.alias("reference"))
 
     def total(p: Column) -> Column:
-        score = p["contained"] + p["hits"] * 55 + F.floor(p["like"] * 220).cast("int") + page_bonus(item_page, entry_page) + kind
-        evidence = (p["contained"] > 0).cast("int") + (p["hits"] > 0).cast("int") + (p["like"] > 0).cast("int")
+        score = p["contained"] + p["hits"] * 55 + F.floor(p["like"] * 220).cast("int") + page_bonus(item_page, entry_page) + kind + p["reference"]
+        evidence = (p["contained"] > 0).cast("int") + (p["hits"] > 0).cast("int") + (p["like"] > 0).cast("int") + (p["reference"] >= 240).cast("int")
         return F.struct(score.alias("score"), evidence.alias("evidence"), p["like"].alias("similarity"))
 
     none = F.struct(F.lit(0).alias("score"), F.lit(0).alias("evidence"), F.lit(0.0).alias("similarity"))
     return F.when(signal["given"], let(parts, total)).otherwise(none)
 
 
-def align_items(items: DataFrame, entries: DataFrame, radius: int = 3, cutoff: float = 0.6) -> DataFrame:
+def page_rank(rows: DataFrame, order: str) -> DataFrame:
+    """rank: a row's place on its page from 0 to 1; null on pages of one row, or without a page."""
+    page = Window.partitionBy("document_id", "page_number")
+    rank = F.percent_rank().over(page.orderBy(order))
+    return rows.withColumn("rank", F.when((F.count("*").over(page) > 1) & (F.col("page_number") > 0), rank))
+
+
+def align_items(items: DataFrame, entries: DataFrame, radius: int = 3, cutoff: float = 0.5) -> DataFrame:
     """The best entry of each item within its page window, with score, evidence and how it was accepted.
 
     items: document_id, item_id, page_number, kind, signal. entries: document_id, entry_id, page_number, title, content,
-    has_table. Order: score, evidence, similarity, then the entry's id. An item whose best entry is weak keeps it, as
-    `first_candidate`; one without entries in the window has none.
+    has_table. Both may have seq, their order on a page (else their ids). To the score comes 75 times how well the item's
+    place on its page fits the entry's on its own. Entries without evidence and below the cutoff don't count. Order: total,
+    evidence, similarity, then the entry's id. Where the best is too weak, or none counts, the item goes to an entry of its
+    page (`page`: the one whose title or content holds the signal, else the first), else to the first candidate
+    (`first_candidate`); one without entries in the window has none.
     """
-    left = items.select("document_id", "item_id", "page_number", "kind", signal_profile(F.col("signal")).alias("profile"))
-    right = entries.select("document_id", "entry_id", "page_number", "has_table", entry_profile(F.col("title"), F.col("content")).alias("profile"))
+    ordered = lambda rows, key: page_rank(rows if "seq" in rows.columns else rows.withColumn("seq", F.col(key)), "seq")
+    left = ordered(items, "item_id").select("document_id", "item_id", "page_number", "kind", "rank", signal_profile(F.col("signal")).alias("profile"))
+    right = ordered(entries, "entry_id").select("document_id", "entry_id", "page_number", "has_table", "rank", "seq", entry_profile(F.col("title"), F.col("content")).alias("profile"))
     pairs = page_window(left, right, radius)
     scored = pairs.withColumn("s", signal_score(F.col("i_profile"), F.col("e_profile"), F.col("i_kind"), F.col("e_has_table"), F.col("i_page_number"), F.col("e_page_number"), cutoff))
-    order = Window.partitionBy("i_document_id", "i_item_id").orderBy(F.desc("s.score"), F.desc("s.evidence"), F.desc("s.similarity"), "e_entry_id")
-    best = scored.withColumn("r", F.row_number().over(order)).where("r = 1")
-    strong = (F.col("s.score") >= F.greatest(F.lit(120.0), F.lit(220.0 * cutoff))) | (F.col("s.evidence") >= 2) | (F.col("s.similarity") >= cutoff)
-    return best.select(
-        F.col("i_document_id").alias("document_id"), F.col("i_item_id").alias("item_id"), F.col("e_entry_id").alias("entry_id"), F.col("s.score").cast("long").alias("score"),
-        F.col("s.evidence").cast("long").alias("evidence"), F.round("s.similarity", 6).alias("similarity"), F.when(strong, "accepted").otherwise("first_candidate").alias("match_method"),
+    fit = F.coalesce(F.greatest(F.lit(0.0), 1.0 - F.abs(F.col("i_rank") - F.col("e_rank"))), F.lit(0.0))
+    key = F.col("i_profile.norm")
+    half = F.when(F.length(key) < 3, 0.5).otherwise(1.0)
+    named = F.when((key != "") & F.contains("e_profile.short", key), 120).otherwise(0) + F.when((key != "") & F.contains("e_profile.long", key), 60).otherwise(0)
+    own = scored.select(
+        "i_document_id", "i_item_id", "e_entry_id", "s", (F.col("s.score") + fit * 75.0).alias("total"), ((F.col("s.evidence") > 0) | (F.col("s.similarity") >= cutoff)).alias("counts"),
+        (F.col("e_page_number") == F.col("i_page_number")).alias("here"), F.floor(named * half).alias("named"), "e_page_number", "e_seq",
     )
+    shown = [F.col("e_entry_id").alias("entry_id"), F.col("s").alias("s"), F.col("total").alias("total"), F.col("counts").alias("counts")]
+    best = F.min(F.struct((~F.col("counts")).alias("k0"), (-F.col("total")).alias("k1"), (-F.col("s.evidence")).alias("k2"), (-F.col("s.similarity")).alias("k3"), *shown)).alias("best")
+    first = F.min(F.struct((~F.col("here")).alias("k0"), F.when(F.col("here"), -F.col("named")).otherwise(0).alias("k1"), F.col("e_page_number").alias("k2"), F.col("e_seq").alias("k3"), *shown)).alias("first")
+    found = own.groupBy("i_document_id", "i_item_id").agg(best, first)
+    strong = F.col("best.counts") & ((F.col("best.total") >= max(120.0, 220.0 * cutoff)) | (F.col("best.s.evidence") >= 2) | (F.col("best.s.similarity") >= cutoff))
+    pick = found.select(F.col("i_document_id").alias("document_id"), F.col("i_item_id").alias("item_id"), F.when(strong, "accepted").when(F.col("first.k0"), "first_candidate").otherwise("page").alias("match_method"), F.when(strong, F.struct("best.entry_id", "best.s", "best.total")).otherwise(F.struct("first.entry_id", "first.s", "first.total")).alias("p"))
+    return pick.select("document_id", "item_id", F.col("p.entry_id").alias("entry_id"), F.floor("p.total").cast("long").alias("score"), F.col("p.s.evidence").cast("long").alias("evidence"), F.round("p.s.similarity", 6).alias("similarity"), "match_method")
 
 
 def dominant_pages(block_pages: DataFrame) -> DataFrame:
@@ -87,16 +121,35 @@ def dominant_pages(block_pages: DataFrame) -> DataFrame:
     return own.groupBy("entry_id").agg(F.max_by("page_number", F.struct("n", -F.col("page_number"))).alias("page_number"))
 
 
+def grams(c: Column, n: int) -> Column:
+    """The distinct runs of n characters of a text."""
+    chars = F.regexp_extract_all(c, F.lit("(?s)."), 0)
+    run = lambda a: F.transform(F.sequence(F.lit(0), F.size(a) - n), lambda i: F.concat(*[a[i + k] for k in range(n)]))
+    return let(chars, lambda a: F.when(F.size(a) >= n, F.array_distinct(run(a))).otherwise(F.array().cast("array<string>")))
+
+
 def fragment_matches(fragments: DataFrame, entries: DataFrame) -> DataFrame:
-    """The table entry that holds most of a fragment's tokens: min(length, 12) points a token, and 6, 3 or 1 for pages
-    that are equal, next or second; accepted from two hits or ten points on. Tokens are joined, not searched for in pairs."""
-    tokens = fragments.select("document_id", "fragment_id", F.col("page_number").alias("f_page"), F.explode(F.array_distinct(match_tokens(F.col("text")))).alias("token"))
-    held = entries.select("document_id", "entry_id", F.col("page_number").alias("e_page"), F.explode(F.array_distinct(match_tokens(F.col("text")))).alias("token"))
-    hits = tokens.join(held, ["document_id", "token"]).groupBy("document_id", "fragment_id", "f_page", "entry_id", "e_page").agg(F.count("*").alias("hits"), F.sum(F.least(F.length("token"), F.lit(12))).alias("points"))
+    """The table entry whose text, without spaces, holds most of a fragment's tokens: min(length, 12) points a token, and
+    6, 3 or 1 for pages at most 1, 3 or 6 apart; of equal points the one with more hits, then the first. It is accepted from
+    two hits or ten points on. A fragment without tokens is looked for as a whole, if it has six characters.
+
+    Tokens meet entries by their first three characters (two, of shorter ones); longer tokens are then searched for.
+    """
+    own = fragments.select("document_id", "fragment_id", F.col("page_number").alias("f_page"), match_tokens(F.col("text")).alias("tokens"), F.regexp_replace(single_line(F.col("text")), " ", "").alias("whole"))
+    tokens = F.when(F.size("tokens") > 0, F.col("tokens")).when(F.length("whole") >= 6, F.array("whole"))
+    own = own.select("document_id", "fragment_id", "f_page", F.explode(tokens).alias("token")).groupBy("document_id", "fragment_id", "f_page", "token").agg(F.count("*").alias("times"))
+    texts = entries.select("document_id", "entry_id", F.col("page_number").alias("e_page"), F.regexp_replace(single_line(F.col("text")), " ", "").alias("whole"))
+    keys = texts.select("document_id", "entry_id", "e_page", F.explode(F.concat(grams(F.col("whole"), 2), grams(F.col("whole"), 3))).alias("key"))
+    met = own.withColumn("key", F.substring("token", 1, 3)).join(keys, ["document_id", "key"]).drop("key")
+    long = met.where(F.length("token") > 3).join(texts.drop("e_page"), ["document_id", "entry_id"]).where(F.contains("whole", "token")).drop("whole")
+    held = met.where(F.length("token") <= 3).unionByName(long)
+    points = F.sum(F.least(F.length("token"), F.lit(12)) * F.col("times"))
+    hits = held.groupBy("document_id", "fragment_id", "f_page", "entry_id", "e_page").agg(F.sum("times").alias("hits"), points.alias("points"))
     far = F.abs(F.col("f_page") - F.col("e_page"))
-    hits = hits.withColumn("score", F.col("points") + F.when(far == 0, 6).when(far == 1, 3).when(far == 2, 1).otherwise(0)).where("hits >= 2 or score >= 10")
-    best = F.max(F.struct("score", "hits", (-F.col("entry_id")).alias("neg"))).alias("best")
-    return hits.groupBy("document_id", "fragment_id").agg(best).select("document_id", "fragment_id", (-F.col("best.neg")).alias("entry_id"), F.col("best.score").alias("score"), F.col("best.hits").alias("hits"))
+    near = F.when((F.col("f_page") > 0) & (F.col("e_page") > 0), F.when(far <= 1, 6).when(far <= 3, 3).when(far <= 6, 1).otherwise(0)).otherwise(0)
+    best = F.max(F.struct((F.col("points") + near).alias("score"), "hits", (-F.col("entry_id")).alias("neg"))).alias("best")
+    found = hits.groupBy("document_id", "fragment_id").agg(best).where("best.hits >= 2 or best.score >= 10")
+    return found.select("document_id", "fragment_id", (-F.col("best.neg")).alias("entry_id"), F.col("best.score").alias("score"), F.col("best.hits").alias("hits"))
 
 
 def filled_anchors(items: DataFrame) -> DataFrame:
@@ -115,12 +168,19 @@ def synced_clauses(clauses: DataFrame, sources: DataFrame, factor: float = 1.2)
 
 
 def approved(entries: DataFrame, fixes: DataFrame, least: float = 1.0) -> DataFrame:
-    """The first occurrence of a fix's `before` in its entry's content becomes `after`, if its confidence is above least."""
-    own = entries.join(fixes.where(F.col("confidence") > least).select("entry_id", "before", "after"), "entry_id", "left")
-    at = F.expr("locate(`before`, content)")
-    changed = F.expr("concat(substring(content, 1, locate(`before`, content) - 1), `after`, substring(content, locate(`before`, content) + length(`before`)))")
-    hit = F.coalesce((F.col("before") != "") & (at > 0), F.lit(False))
-    return own.withColumns({"content": F.when(hit, changed).otherwise(F.col("content")), "fixed": hit}).drop("before", "after")
+    """For each fix of an entry whose confidence is above least, in order of seq (or of before, without one), the first
+    occurrence of `before` in the content so far becomes `after`. One row an entry."""
+    seq = F.col("seq") if "seq" in fixes.columns else F.lit(0)
+    listed = fixes.where((F.col("confidence") > least) & (F.col("before") != "")).groupBy("entry_id").agg(F.array_sort(F.collect_list(F.struct(seq.alias("seq"), "before", F.coalesce("after", F.lit("")).alias("after")))).alias("__fixes"))
+
+    def fold(acc: Column, x: Column) -> Column:
+        at = F.instr(acc["content"], x["before"])
+        changed = F.concat(F.substring(acc["content"], F.lit(1), at - 1), x["after"], F.substring(acc["content"], at + F.length(x["before"]), F.length(acc["content"])))
+        return F.when(at > 0, F.struct(changed.alias("content"), F.lit(True).alias("fixed"))).otherwise(acc)
+
+    start = F.struct(F.col("content").alias("content"), F.lit(False).alias("fixed"))
+    own = entries.join(listed, "entry_id", "left").withColumn("__new", F.when(F.col("__fixes").isNull(), start).otherwise(F.aggregate("__fixes", start, fold)))
+    return own.withColumns({"content": F.col("__new.content"), "fixed": F.col("__new.fixed")}).drop("__fixes", "__new")
 
 
 def linked_titles(refs: DataFrame, toc: DataFrame) -> DataFrame:
@@ -129,6 +189,46 @@ def linked_titles(refs: DataFrame, toc: DataFrame) -> DataFrame:
     return refs.join(last, "title", "left")
 
 
+# References to figures and tables, and to chapters, sections and articles.
+FIGURE_LINK = r"([见详见]?[图表]\s*(\d+[-—.]\d+|\d+))"
+CLAUSE_LINK = r"([见详见]?(第\s*(\d+(\.\d+)*|[0-9一二三四五六七八九十百]+)\s*[章节条款]))"
+
+
+def linked_by(text: Column, pattern: str, target: Callable[[Column, Column], Column]) -> Column:
+    """A text in which each match of a pattern is a link to target(group 2, group 3), where that isn't null."""
+    pattern = f"(?U){pattern}"
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), 1), lambda m: F.struct(m.alias("m"), F.regexp_extract(m, f"^{pattern}$", 2).alias("a"), F.regexp_extract(m, f"^{pattern}$", 3).alias("b") if pattern.count("(") > 4 else F.lit("").alias("b")))
+    shown = F.transform(found, lambda m: let(target(m["a"], m["b"]), lambda t: F.when(t.isNull(), m["m"]).otherwise(F.concat(F.lit("["), m["m"], F.lit("](#"), t, F.lit(")")))))
+    pairs = F.zip_with(F.split(text, pattern, -1), shown, lambda part, link: F.concat(part, F.coalesce(link, F.lit(""))))
+    return F.when(text.rlike(pattern), F.array_join(pairs, "")).otherwise(text)
+
+
+def cross_references(entries: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Links in the contents of entries: 图 and 表 with a number to the first block of the entry whose caption holds the
+    number; chapters, sections and articles to the entry of the document that is named so: by its title, the title's last
+    part, or a heading's text, each with or without 条 at its end; of several the last.
+
+    entries: document_id, entry_id, position, title, content. blocks: document_id, entry_id, seq, id, role, text, caption.
+    """
+    key = ["document_id", "entry_id"]
+    parts = F.filter(F.transform(F.split("title", "/"), strip), lambda x: x != "")
+    leaf = F.try_element_at(parts, F.lit(-1))
+    short = lambda c: F.when(c.endswith("条"), strip(F.regexp_replace(c, "条$", "")))
+    named = entries.select("document_id", "entry_id", "position", F.posexplode(F.array(strip(text_or_empty(F.col("title"))), leaf, short(leaf))).alias("n", "name"))
+    heads = blocks.where("role = 'heading'").join(entries.select(*key, "position"), key).withColumn("t", strip(text_or_empty(F.col("text"))))
+    heads = heads.select("document_id", "entry_id", "position", "seq", F.posexplode(F.array("t", short(F.col("t")))).alias("k", "name")).select("document_id", "entry_id", "position", (F.col("seq") * 2 + 3 + F.col("k")).alias("n"), "name")
+    index = named.unionByName(heads).where("name <> ''").groupBy("document_id", "name").agg(F.max_by("entry_id", F.struct("position", "n")).cast("string").alias("target"))
+    asked = F.transform(F.regexp_extract_all("content", F.lit(f"(?U){CLAUSE_LINK}"), 1), lambda m: F.array(F.regexp_extract(m, f"(?U){CLAUSE_LINK}", 2), F.regexp_extract(m, f"(?U){CLAUSE_LINK}", 3)))
+    names = entries.select(*key, F.explode(F.array_distinct(F.flatten(asked))).alias("name")).join(index, ["document_id", "name"])
+    names = names.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("name", "target"))).alias("__names"))
+    shown = blocks.where(strip(text_or_empty(F.col("caption"))) != "").groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("seq", F.col("id").cast("string").alias("id"), "caption"))).alias("__captions"))
+    own = entries.join(names, key, "left").join(shown, key, "left")
+    captioned = lambda a, _: F.try_element_at(F.filter("__captions", lambda b: F.contains(b["caption"], a)), F.lit(1))["id"]
+    own = own.withColumn("content", linked_by(text_or_empty(F.col("content")), FIGURE_LINK, captioned))
+    own = own.withColumn("content", linked_by(F.col("content"), CLAUSE_LINK, lambda a, b: F.coalesce(F.try_element_at("__names", a), F.try_element_at("__names", b))))
+    return own.drop("__names", "__captions")
+
+
 def borrowed_captions(entries: DataFrame) -> DataFrame:
     """A label that an entry wants and lacks is taken from the next entry, if that is on the next page and has it."""
     order = Window.partitionBy("document_id").orderBy("position")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.roles import anchor
+from quire.functions.roles import anchor, loose_page_marker
 from quire.functions.text import CJK, FIGURE_LABEL, LABEL, compact, fingerprint, labels, match_tokens, matches_of, number_chain, replace_leading_number, semantic_similarity, single_line, strip, text_or_empty
 from quire.operators.align import align_items
 from quire.operators.groups import by_group
@@ -142,8 +142,14 @@ def fallback_entries(items: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def reattached(orphans: DataFrame, entries: DataFrame, radius: int = 8) -> DataFrame:
-    """Orphan assets to the best entry within `radius` pages, from a score of 220 (tables) or 180 on."""
-    found = align_items(orphans, entries, radius).drop("match_method")
+    """Orphan assets to the best entry within `radius` pages (of all the document's, where none is so near), from a score of
+    220 (tables) or 180 on."""
+    near = align_items(orphans, entries, radius)
+    far = orphans.join(near.select("document_id", "item_id"), ["document_id", "item_id"], "left_anti")
+    # all entries are candidates where every one stands on the orphan's page; scores of place don't count there
+    none = F.lit(0).cast("long")
+    wide = align_items(far.withColumn("page_number", none), entries.withColumn("page_number", none), 0)
+    found = near.unionByName(wide).drop("match_method")
     kinds = orphans.select("document_id", "item_id", "kind")
     return found.join(kinds, ["document_id", "item_id"]).where(F.col("score") >= F.when(F.col("kind") == "table", 220).otherwise(180))
 
@@ -283,3 +289,55 @@ def label_only(c: Column) -> Column:
 def panel_markers(c: Column) -> Column:
     """How many different panel marks, as (a) and (b), a text has; a callout of two or more is a legend."""
     return F.size(F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty(c)), F.lit("[（(]([a-z])[）)]"), 1)))
+
+
+def without_part_labels(blocks: DataFrame) -> DataFrame:
+    """Blocks without page numbers, and without the only block of an entry that is a part's name alone, as 第二篇.
+
+    blocks: document_id, entry_id, text, other columns.
+    """
+    kept = blocks.where(~loose_page_marker(F.col("text")) | (compact(text_or_empty(F.col("text"))) == ""))
+    alone = F.count("*").over(Window.partitionBy("document_id", "entry_id")) == 1
+    part = compact(text_or_empty(F.col("text"))).rlike("^第[一二三四五六七八九十百0-9]+篇$")
+    return kept.withColumn("__gone", alone & part).where("not __gone").drop("__gone")
+
+
+def without_empty_splits(entries: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Entries whose title says [SPLIT], and which have neither a text in their blocks nor a picture, go.
+
+    entries: document_id, entry_id, job_title. blocks: document_id, entry_id, text, image_uri.
+    """
+    key = ["document_id", "entry_id"]
+    filled = blocks.where((strip(text_or_empty(F.col("text"))) != "") | (strip(text_or_empty(F.col("image_uri"))) != "")).select(*key).distinct().withColumn("__filled", F.lit(True))
+    title = strip(text_or_empty(F.col("job_title")))
+    split = F.contains(title, F.lit(" [SPLIT ")) | title.endswith(" [SPLIT]")
+    return entries.join(filled, key, "left").where(~split | F.coalesce("__filled", F.lit(False))).drop("__filled")
+
+
+def file_metadata(entries: DataFrame, blocks: DataFrame) -> DataFrame:
+    """A document's entries and tables, and its different pictures. entries: document_id, entry_id, kind. blocks:
+    document_id, image_uri."""
+    counts = entries.groupBy("document_id").agg(F.count("*").alias("entries_count"), F.count_if(F.col("kind") == "table").alias("tables_count"))
+    uri = strip(text_or_empty(F.col("image_uri")))
+    pictures = blocks.where(uri != "").groupBy("document_id").agg(F.countDistinct(uri).alias("images_count"))
+    return counts.join(pictures, "document_id", "left").withColumn("images_count", F.coalesce("images_count", F.lit(0).cast("long")))
+
+
+def visual_streams(tables: DataFrame, legends: DataFrame) -> DataFrame:
+    """The candidates of both kinds as one stream; a column that one of them lacks is null there."""
+    return tables.withColumn("stream", F.lit("table")).unionByName(legends.withColumn("stream", F.lit("legend")), allowMissingColumns=True)
+
+
+def first_of_each(texts: Column) -> Column:
+    """Different texts of a list that aren't blank, in order of first appearance."""
+    return F.array_distinct(F.filter(F.transform(texts, lambda t: strip(text_or_empty(t))), lambda t: t != ""))
+
+
+def nearest_pages(entries: DataFrame, targets: DataFrame, limit: int = 6) -> DataFrame:
+    """For a report, the `limit` entries of a document whose pages are nearest to a target's; the smaller page of equals.
+
+    targets: document_id, target_page, few rows. Keeping k rows a task, no document's entries are sorted as a whole.
+    """
+    pairs = entries.join(targets, "document_id").withColumn("apart", F.abs(F.col("page_number") - F.col("target_page")))
+    order = Window.partitionBy("document_id", "target_page").orderBy("apart", "page_number", "entry_id")
+    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.functions.captions import caption_candidate
 from quire.functions.geometry import Box, center_distance, inside, intersection, overlap_ratio
 from quire.operators.groups import by_group
 
@@ -247,11 +248,26 @@ def fragments(boxes: DataFrame, pad: int = 6, gap: int = 18) -> DataFrame:
     return by_group(edges, PAGE, ["a_seq", "b_seq"], run, f"{key_types(edges)}, group_seq long, members long, x long, y long, w long, h long")
 
 
-def nearest_caption(visuals: DataFrame, captions: DataFrame, within: float = 120.0) -> DataFrame:
-    """The caption of the page whose centre is nearest to a visual's, up to `within` points; the first of equals."""
-    pairs = page_pairs(visuals, captions).withColumn("distance", center_distance(Box.of("a_"), Box.of("b_"))).where(F.col("distance") <= within)
-    best = F.min(F.struct("distance", "b_seq")).alias("best")
-    return pairs.groupBy(*PAGE, F.col("a_seq").alias("seq")).agg(best).select(*PAGE, "seq", F.col("best.b_seq").alias("caption_seq"), F.col("best.distance").alias("distance"))
+def nearest_caption(blocks: DataFrame, allowed: tuple[str, ...] = ("caption",)) -> DataFrame:
+    """The caption of each table and figure of an entry: the nearest block before it that can be one, up to the visual of
+    the same type before; else the nearest after it, up to the next one. blocks: entry_id, seq, type, role, text.
+
+    Rows entry_id, seq, caption_seq, caption; visuals without a caption are left out.
+    """
+    order = Window.partitionBy("entry_id").orderBy("seq")
+    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    type_, role = F.lower(F.coalesce("type", F.lit(""))), F.lower(F.coalesce("role", F.lit("")))
+    out = []
+    for kind in ("table", "figure"):
+        text = F.when(role.isin(*[r for r in allowed if r != "artifact"]), caption_candidate(F.col("text"), kind))
+        own = blocks.select("entry_id", "seq", (type_ == kind).alias("visual"), text.alias("text"))
+        candidate = F.when((F.col("text") != "") & ~F.col("visual"), F.struct(F.col("seq").alias("caption_seq"), F.col("text").alias("caption")))
+        same = F.when(F.col("visual"), F.col("seq"))
+        own = own.withColumns({"up": F.last(candidate, ignorenulls=True).over(before), "down": F.first(candidate, ignorenulls=True).over(after), "above": F.max(same).over(before), "below": F.min(same).over(after)}).where("visual")
+        up = F.when(F.col("above").isNull() | (F.col("up.caption_seq") > F.col("above")), F.col("up"))
+        down = F.when(F.col("below").isNull() | (F.col("down.caption_seq") < F.col("below")), F.col("down"))
+        out.append(own.withColumn("c", F.coalesce(up, down)).where("c is not null").select("entry_id", "seq", "c.caption_seq", "c.caption"))
+    return out[0].unionByName(out[1])
 
 
 def outside_regions(texts: DataFrame, regions: DataFrame, keep: Column | None = None, margin: float = 0) -> DataFrame:

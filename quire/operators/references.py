@@ -17,27 +17,27 @@ def resolve(refs: DataFrame, figures: DataFrame) -> DataFrame:
     """The figure that a reference means. Both: document_id, label, page_number, block_id, cx, cy (centre).
 
     No figure with the label: unresolved. One: it. Several: the nearest centre on the same page, else the smallest page
-    distance; an exact tie is ambiguous, never the first. A pair is scored and reduced per reference, map-side first.
+    distance; an exact tie is ambiguous, never the first. Targets and references meet by (document, label), and a reference's
+    targets are counted by score, then reduced, where they met.
     """
     key = ["document_id", "label"]
     targets = figures.select(*key, F.col("block_id").alias("t_id"), F.col("page_number").alias("t_page"), F.col("cx").alias("t_cx"), F.col("cy").alias("t_cy")).distinct()
     counted = targets.withColumn("n_targets", F.count("*").over(Window.partitionBy(*key)))
-    pairs = refs.join(counted, key)
+    ref = ["document_id", "block_id", "label", "page_number"]
+    pairs = refs.select(*ref, "cx", "cy").distinct().join(counted, key, "left")
     dx, dy = F.col("cx") - F.col("t_cx"), F.col("cy") - F.col("t_cy")
     same = F.col("t_page") == F.col("page_number")
     # same-page targets come first, by centre distance; then others, by pages between
     far = F.when(F.col("n_targets") == 1, 0.0).when(same, F.sqrt(dx * dx + dy * dy)).otherwise(F.abs(F.col("t_page") - F.col("page_number")).cast("double"))
-    score = F.struct(F.when(same, 0).otherwise(1).alias("other"), far.alias("far"))
-    ref = ["document_id", "block_id", "label", "page_number"]
-    best = pairs.select(*ref, "t_id", "t_page", "n_targets", score.alias("score"))
-    lowest = best.groupBy(*ref).agg(F.min("score").alias("least"), F.max("n_targets").alias("n_targets"))
-    winners = best.drop("n_targets").join(lowest, ref).where("score = least").groupBy(*ref, "n_targets", "least").agg(F.count("*").alias("ties"), F.min(F.struct("t_id", "t_page")).alias("t"))
-    found = refs.select(*ref).distinct().join(winners, ref, "left")
+    scored = pairs.select(*ref, "t_id", "t_page", "n_targets", F.when(same, 0).otherwise(1).alias("other"), far.alias("far"))
+    by_score = scored.groupBy(*ref, "other", "far").agg(F.count("t_id").alias("ties"), F.max("n_targets").alias("n_targets"), F.min("t_id").alias("t_id"), F.min("t_page").alias("t_page"))
+    found = by_score.groupBy(*ref).agg(F.min(F.struct("other", "far", "ties", "n_targets", "t_id", "t_page")).alias("best")).select(*ref, "best.*")
     clear = F.col("ties") == 1
-    near = F.when(F.col("least.other") == 0, "same_page").otherwise("page")
-    reason = F.when(F.col("ties").isNull(), "no_label_in_index").when(F.col("n_targets") == 1, "unique_target").when(clear, F.concat(F.lit("nearest_"), near)).otherwise(F.concat(F.lit("tied_"), near, F.lit("_distance:"), F.col("ties").cast("string")))
-    status = F.when(F.col("ties").isNull(), "unresolved").when(clear, "resolved").otherwise("ambiguous")
-    return found.select(*ref, status.alias("status"), F.when(clear, F.col("t.t_id")).alias("target_id"), reason.alias("reason"), F.when(clear, F.col("t.t_page") - F.col("page_number")).alias("page_delta"))
+    near = F.when(F.col("other") == 0, "same_page").otherwise("page")
+    none = F.col("ties") == 0
+    reason = F.when(none, "no_label_in_index").when(F.col("n_targets") == 1, "unique_target").when(clear, F.concat(F.lit("nearest_"), near)).otherwise(F.concat(F.lit("tied_"), near, F.lit("_distance:"), F.col("ties").cast("string")))
+    status = F.when(none, "unresolved").when(clear, "resolved").otherwise("ambiguous")
+    return found.select(*ref, status.alias("status"), F.when(clear, F.col("t_id")).alias("target_id"), reason.alias("reason"), F.when(clear, F.col("t_page") - F.col("page_number")).alias("page_delta"))
 
 
 def referenced_by(resolved: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import compact, watermark_compact, watermark_plausible
+from quire.functions.geometry import Box
+from quire.functions.roles import page_marker
+from quire.functions.text import WATERMARK_GAP, compact, strip, watermark_compact, watermark_like, watermark_plausible
 
 
 def page_counts(lines: DataFrame) -> DataFrame:
@@ -25,8 +27,9 @@ def watermarks(lines: DataFrame, plausible_only: bool = True) -> DataFrame:
 
     Distinct (line, page) pairs are found before they are counted, so a line on every page is summed map-side.
     """
-    own = lines.where(watermark_plausible(F.col("text"))) if plausible_only else lines
-    own = own.select("document_id", "page_number", watermark_compact(F.col("text")).alias("line")).where("line <> ''").distinct()
+    # any other character: what is left is no empty line, and that needs no second normalisation
+    own = lines.where(watermark_plausible(F.col("text")) if plausible_only else F.col("text").rlike(f"[^{WATERMARK_GAP}]"))
+    own = own.select("document_id", "page_number", watermark_compact(F.col("text")).alias("line")).distinct()
     hits = own.groupBy("document_id", "line").agg(F.count("*").alias("n_pages"))
     joined = hits.join(page_counts(lines), "document_id")
     return joined.where(F.col("n_pages") >= watermark_threshold(F.col("pages"))).select("document_id", "line", "n_pages")
@@ -37,7 +40,7 @@ def zone(top: Column, bottom: Column, page_height: Column) -> Column:
 
 
 def signature(text: Column) -> Column:
-    return F.regexp_replace(compact(text), "[0-9]+", "#")
+    return F.regexp_replace(compact(text), r"\p{Nd}+", "#")
 
 
 def dynamic_signatures(lines: DataFrame) -> DataFrame:
@@ -53,9 +56,33 @@ def dynamic_signatures(lines: DataFrame) -> DataFrame:
     return joined.where(F.col("n_pages") >= signature_threshold(F.col("pages"))).select("document_id", "signature", "n_pages")
 
 
+def artifacts(lines: DataFrame) -> DataFrame:
+    """A01 and A02 in one pass: document_id, kind (watermark or signature) and key of what repeats on pages enough.
+
+    A line gives up to three facts, its page among them; they are made distinct and counted once, and each document's number
+    of pages is one of the counts.
+    """
+    packed, zoned = F.length(compact(F.col("text"))), F.col("zone").isNotNull()
+    fact = lambda kind, key: F.struct(F.lit(kind).alias("kind"), key.alias("key"))
+    facts = F.array_compact(F.array(
+        fact("page", F.lit("")), F.when(watermark_plausible(F.col("text")), fact("watermark", watermark_compact(F.col("text")))),
+        F.when(zoned & packed.between(1, 40), fact("signature", F.concat("zone", F.lit("|"), signature(F.col("text"))))),
+    ))
+    hits = lines.select("document_id", "page_number", F.explode(facts).alias("f")).select("document_id", "page_number", "f.*").distinct().groupBy("document_id", "kind", "key").agg(F.count("*").alias("n"))
+    pages = F.max(F.when(F.col("kind") == "page", F.col("n"))).over(Window.partitionBy("document_id"))
+    enough = (F.col("kind") == "watermark") & (F.col("n") >= watermark_threshold(F.col("pages"))) | (F.col("kind") == "signature") & (F.col("pages") > 2) & (F.col("n") >= signature_threshold(F.col("pages")))
+    return hits.withColumn("pages", pages).where(enough).select("document_id", "kind", "key")
+
+
 def without_artifacts(lines: DataFrame) -> DataFrame:
-    """Lines that are neither watermarks nor running headers or footers of their document."""
-    own = lines.withColumns({"__line": watermark_compact(F.col("text")), "__sig": F.concat("zone", F.lit("|"), signature(F.col("text")))})
-    marks = watermarks(lines).select("document_id", F.col("line").alias("__line"))
-    running = dynamic_signatures(lines).select("document_id", F.col("signature").alias("__sig"))
-    return own.where(compact(F.col("text")) != "").join(marks, ["document_id", "__line"], "left_anti").join(running, ["document_id", "__sig"], "left_anti").drop("__line", "__sig")
+    """Lines that are neither like a watermark of their document, nor page numbers (where lines have y, h and page_height),
+    nor its running headers or footers. A document's watermarks are few, as each is on a share of its pages."""
+    found = artifacts(lines)
+    marks = found.where("kind = 'watermark'").groupBy("document_id").agg(F.collect_list("key").alias("__marks"))
+    running = found.where("kind = 'signature'").select("document_id", F.col("key").alias("__sig"))
+    own = lines.where(strip(F.col("text")) != "")
+    if {"y", "h", "page_height"} <= set(lines.columns):
+        own = own.where(~page_marker(F.col("text"), Box(F.lit(0), F.col("y"), F.lit(0), F.col("h")), F.col("page_height")))
+    own = own.join(marks, "document_id", "left").where(F.col("__marks").isNull() | ~watermark_like(watermark_compact(F.col("text")), F.col("__marks"))).drop("__marks")
+    edge = own.withColumn("__sig", F.when(F.col("zone").isNotNull(), F.concat("zone", F.lit("|"), signature(F.col("text")))))
+    return edge.join(running, ["document_id", "__sig"], "left_anti").drop("__sig")

@@ -10,37 +10,66 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.roles import projection_class
-from quire.functions.text import strip
+from quire.functions.text import compact, strip, text_or_empty
 
 
 def entries(blocks: DataFrame, strategy: str = "heading") -> DataFrame:
-    """W01 for text: searchable blocks open an entry at headings, or at each page; supporting ones join their page's entry.
+    """Blocks become entries. Searchable texts open one at headings, or at each page; tables open one on a page that
+    has none yet; what only supports them joins its page's host.
 
-    A document's first searchable block always opens one. Supporting blocks before any searchable one of their page are
-    dropped from the entries; excluded blocks always are. Content is the searchable texts, joined by an empty line.
+    blocks may also have type (text where missing), image_uri, asset_status and markdown (of tables that have cells). A
+    supporting text or a figure joins the current entry if that began on its page, else the next searchable text or table
+    of its page, before whose block it then stands (texts first). Where the page has none, supporting texts are left out,
+    and ready figures become an entry of kind `figure`, if no other entry touches the page. Excluded texts are always left
+    out. Content is the searchable texts and the tables' Markdown, joined by an empty line, from the first that isn't empty.
+
+    position counts the entries that were complete when an entry began, so an entry of figures between two pages of
+    another shares that one's number.
     """
-    own = blocks.withColumn("class", projection_class(F.col("role"))).where("class <> 'excluded'")
+    if strategy not in ("heading", "page"):
+        raise ValueError(f"no such strategy: {strategy}")
+    given = set(blocks.columns)
+    own = blocks.withColumns({c: F.lit(None).cast("string") for c in ("type", "image_uri", "asset_status", "markdown") if c not in given})
+    kind = F.lower(F.coalesce("type", F.lit("text")))
+    textual, figure = kind.isin("text", "heading", "caption"), kind.isin("image", "figure")
+    own = own.withColumn("class", F.when(textual, projection_class(F.col("role"))).when(figure, "figure").otherwise("table")).where("class <> 'excluded'")
+    uri = F.coalesce("image_uri", F.lit(""))
+    own = own.withColumns({
+        "text": F.coalesce("text", F.lit("")), "head": (F.col("class") == "searchable") & ((F.col("role") == "heading") | (kind == "heading")),
+        "host": F.col("class").isin("searchable", "table"), "ready": (figure & (uri != "") & (F.coalesce(F.nullif("asset_status", F.lit("")), F.lit("ready")) == "ready")),
+    }).fillna({"head": False})
     order = Window.partitionBy("document_id").orderBy("page_number", "reading_order", "id")
-    searchable = F.col("class") == "searchable"
-    before = F.sum(F.when(searchable, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    first = F.coalesce(before, F.lit(0)) == 0
+    page = Window.partitionBy("document_id", "page_number").orderBy("reading_order", "id")
+    before = lambda c, w: F.coalesce(F.count_if(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) > 0
     if strategy == "heading":
-        start = searchable & ((F.col("role") == "heading") | first)
-    elif strategy == "page":
-        last_page = F.last(F.when(searchable, F.col("page_number")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
-        start = searchable & (first | (last_page != F.col("page_number")))
+        own = own.withColumn("opens", F.col("head") | (F.col("class") == "searchable") & ~before(F.col("host"), order))
+        start = F.col("opens") | (F.col("class") == "table") & ~before(F.col("opens") | (F.col("class") == "table"), page)
     else:
-        raise ValueError(f"no such strategy: {strategy}")
-    own = own.withColumn("start", start).withColumn("entry_no", F.sum(F.col("start").cast("long")).over(order))
-    own = own.where("entry_no > 0")
-    item = F.struct("page_number", "reading_order", "id", "text", "role", searchable.alias("searchable"))
-    grouped = own.groupBy("document_id", "entry_no").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    shown = F.filter("items", lambda i: i["searchable"])
-    head = F.element_at(shown, 1)
-    return grouped.select(
-        "document_id", F.concat(F.col("document_id").cast("string"), F.lit("_"), head["id"]).alias("entry_id"), F.col("entry_no").alias("position"), head["page_number"].alias("page_number"),
-        F.when(head["role"] == "heading", head["text"]).otherwise(F.concat(F.lit("Page "), head["page_number"].cast("string"))).alias("job_title"),
-        F.array_join(F.transform(shown, lambda i: i["text"]), "\n\n").alias("content"), F.size("items").cast("long").alias("n_blocks"),
+        start = F.col("host") & ~before(F.col("host"), page)
+    whole = page.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    after = page.rowsBetween(1, Window.unboundedFollowing)
+    own = own.withColumn("start", start).withColumns({"at": F.row_number().over(order), "entry_no": F.count_if("start").over(order), "here": before(F.col("start"), page), "hosted": F.max("host").over(whole)})
+    alone = F.col("ready") & ~F.col("hosted")
+    own = own.withColumns({"next": F.first(F.when(F.col("host"), F.struct("at", "entry_no")), ignorenulls=True).over(after), "alone": alone, "opens_page": alone & ~before(alone, page)})
+    own = own.withColumn("figure_no", F.count_if("opens_page").over(order))
+    stays = F.col("host") | F.col("here")
+    own = own.withColumns({
+        "joined": F.when(stays, F.col("entry_no")).otherwise(F.col("next.entry_no")), "figure_page": F.when(F.col("alone"), F.col("page_number")),
+        "spot": F.when(stays, F.col("at")).otherwise(F.coalesce("next.at", "at")), "tier": F.when(stays, 2).when(F.col("class") == "figure", 1).otherwise(0),
+    }).where("joined is not null or alone")
+    position = F.when(F.col("alone"), F.greatest(F.col("entry_no") - 1, F.lit(0)) + F.col("figure_no")).otherwise(F.col("entry_no") + F.col("figure_no"))
+    shown = F.when(F.col("class") == "searchable", F.col("text")).when(F.col("class") == "table", F.nullif("markdown", F.lit("")))
+    item = F.struct("spot", "tier", "at", "id", "page_number", position.alias("position"), (F.col("start") | F.col("opens_page")).alias("start"), F.when(F.col("head"), F.col("text")).alias("title"), shown.alias("shown"), F.col("class"))
+    grouped = own.groupBy("document_id", "joined", "figure_page").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    first = F.element_at(F.filter("items", lambda i: i["start"]), 1)
+    texts = F.filter(F.transform("items", lambda i: i["shown"]), lambda t: t.isNotNull())
+    filled = F.array_position(F.transform(texts, lambda t: t != ""), True)
+    return grouped.withColumn("first", first).select(
+        "document_id", F.concat(F.col("document_id").cast("string"), F.lit("_"), F.col("first.id")).alias("entry_id"), F.col("first.position").cast("long").alias("position"), F.col("first.page_number").alias("page_number"),
+        F.when(F.col("figure_page").isNotNull(), "figure").when(F.exists("items", lambda i: i["class"] == "table"), "table").otherwise("text").alias("kind"),
+        F.coalesce("first.title", F.concat(F.lit("Page "), F.col("first.page_number").cast("string"))).alias("job_title"),
+        F.when(filled > 0, F.array_join(F.slice(texts, filled.cast("int"), F.size(texts)), "\n\n")).otherwise("").alias("content"),
+        F.size("items").cast("long").alias("n_blocks"), F.transform("items", lambda i: i["id"]).alias("block_ids"),
     )
 
 
@@ -110,17 +139,28 @@ def coalesce_pages(own: DataFrame) -> DataFrame:
 
 
 def continuations(own: DataFrame) -> DataFrame:
-    """W08, the rule on numbers: an entry whose first number follows the last of the entry on the page before is merged into it.
+    """An entry whose first number follows the last of the entry on the page before is merged into it; so is one whose
+    prose goes on from the entry before, where own has first_text and last_text.
 
     own: document_id, page_number, position, first_number, last_number. Adds merged_into: the position of the chain's first.
     """
     order = Window.partitionBy("document_id").orderBy("page_number", "position")
     follows = (F.col("page_number") == F.lag("page_number").over(order) + 1) & (F.col("first_number") == F.lag("last_number").over(order) + 1)
+    if {"first_text", "last_text"} <= set(own.columns):
+        follows = F.coalesce(follows, F.lit(False)) | prose_continues(F.lag("last_text").over(order), F.col("first_text"), F.col("page_number"), F.lag("page_number").over(order))
     chain = F.sum((~F.coalesce(F.col("__follows"), F.lit(False))).cast("long")).over(order)
     own = own.withColumn("__follows", follows).withColumn("__chain", chain)
     return own.withColumn("merged_into", F.first("position").over(Window.partitionBy("document_id", "__chain").orderBy("page_number", "position"))).drop("__follows", "__chain")
 
 
+def prose_continues(before: Column, first: Column, page: Column, page_before: Column) -> Column:
+    """W08, the rule on prose: does an entry's first body text go on from the last of the entry before: that ends no sentence, and
+    this stands on the next page at most and begins neither a list nor a caption."""
+    own, last = strip(text_or_empty(first)), strip(text_or_empty(before))
+    listed = compact(own).rlike("^[一二三四五六七八九十]+、") | own.rlike(r"^(图|表)\s*[0-9]")
+    return (own != "") & (last != "") & (page <= page_before + 1) & ~listed & ~last.rlike("[。！？!?；;]$")
+
+
 def soft_wrapped(lines: Column, sentence_end: str = r"[。！？!?；;：:.]$") -> Column:
     """Lines are joined to the line so far unless it ends a sentence or the next begins a list item."""
     def fold(acc: Column, line: Column) -> Column:

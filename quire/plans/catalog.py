@@ -61,14 +61,28 @@ def turn_entries(spark: SparkSession, d: str) -> DataFrame:
 # entries and order
 
 
+def listed(own: DataFrame) -> DataFrame:
+    return own.withColumn("block_ids", F.array_join("block_ids", ","))
+
+
 @query("w01_entries_heading", sql.ENTRIES_HEADING)
 def _(spark, d):
-    return turn_entries(spark, d)
+    return listed(turn_entries(spark, d))
 
 
 @query("w01_entries_page", sql.ENTRIES_PAGE)
 def _(spark, d):
-    return segment.entries(line_blocks(spark, d), "page")
+    return listed(segment.entries(line_blocks(spark, d), "page"))
+
+
+@query("w01_mixed_heading", sql.MIXED_HEADING)
+def _(spark, d):
+    return listed(segment.entries(ad.mixed_blocks(ad.table(spark, d, "lineitem")), "heading"))
+
+
+@query("w01_mixed_page", sql.MIXED_PAGE)
+def _(spark, d):
+    return listed(segment.entries(ad.mixed_blocks(ad.table(spark, d, "lineitem")), "page"))
 
 
 @query("p02_projection_class", sql.PROJECTION)
@@ -158,7 +172,8 @@ def _(spark, d):
 
 
 def zoned(spark: SparkSession, d: str) -> DataFrame:
-    return lines(spark, d).withColumn("zone", F.when(F.col("reading_order") == 1, "top").when(F.col("reading_order") % 7 == 0, "bottom"))
+    zone = F.when(F.col("reading_order") == 1, "top").when(F.col("reading_order") % 7 == 0, "bottom")
+    return lines(spark, d).withColumns({"zone": zone, "y": F.when(zone == "top", 20).when(zone == "bottom", 960).otherwise(500), "h": F.lit(12), "page_height": F.lit(1000)})
 
 
 @query("a02_dynamic_signatures", sql.SIGNATURES)
@@ -181,8 +196,7 @@ def _(spark, d):
 
 @query("sf04_fingerprint", sql.FINGERPRINT)
 def _(spark, d):
-    first = F.element_at(F.split("text", "\n"), 1)
-    return docs(spark, d).select("doc_id", tx.fingerprint(F.concat(F.lit("说明 图3-2 "), first)).alias("fingerprint"), tx.anchor_key(F.lit("图1-1")).alias("anchor"))
+    return docs(spark, d).select("doc_id", tx.fingerprint(F.concat(F.lit("说明 图3-2 "), F.coalesce("text", F.lit("")))).alias("fingerprint"), tx.anchor_key(F.lit("图1-1")).alias("anchor"))
 
 
 @query("sf08_path_safe", sql.PATH_SAFE)
@@ -224,6 +238,55 @@ def _(spark, d):
     return own.select("doc_id", F.col("r.score").alias("score"), F.concat_ws(",", "r.reasons").alias("reasons"), F.col("r.compact_length").cast("long").alias("n"), tx.needs_correction(F.col("r")).alias("needs_correction"))
 
 
+def literal_rows(spark: SparkSession, d: str, *lists: tuple) -> DataFrame:
+    """Parts, each with one of some fixed texts (and what belongs to it), in turn: c0, c1, ..."""
+    at = (F.col("p_partkey") % len(lists[0]) + 1).cast("int")
+    return ad.table(spark, d, "part").select("p_partkey", *[F.element_at(F.array(*map(F.lit, values)), at).alias(f"c{i}") for i, values in enumerate(lists)])
+
+
+@query("sf01_chinese", sql.CHINESE_NORMAL)
+def _(spark, d):
+    own = literal_rows(spark, d, sql.TEXTS)
+    return own.select("p_partkey", tx.search_normal(F.col("c0")).alias("normal"), tx.anchor_key(F.col("c0")).alias("anchor"), F.array_join(tx.labels(F.col("c0")), ",").alias("labels"), F.array_join(tx.match_tokens(F.col("c0")), ",").alias("tokens"))
+
+
+@query("sf33_anchors", sql.ANCHORS)
+def _(spark, d):
+    n, k = (F.col("p_size") % 20 + 1).cast("string"), F.col("p_partkey") % 4
+    text = F.when(k == 0, F.concat(F.lit("第"), n, F.lit("条规定"))).when(k == 1, F.concat(F.lit("第 "), n, F.lit(" 条 规定"))).when(k == 2, F.concat(F.lit("附录"), n, F.lit("：说明"))).otherwise(F.concat(F.lit("附表"), n, F.lit("明细")))
+    a = roles.anchor(text)
+    return ad.table(spark, d, "part").select("p_partkey", F.coalesce(a["kind"], F.lit("none")).alias("kind"), F.coalesce(a["value"], F.lit(0)).cast("long").alias("value"), F.coalesce(a["rest"], F.lit("")).alias("rest"))
+
+
+@query("sf37_page_roles", sql.PAGE_ROLES)
+def _(spark, d):
+    own = literal_rows(spark, d, sql.BLOCK_TEXTS, sql.BLOCK_SIZES)
+    text, width = F.col("c0"), F.lit(300)
+    shown = roles.display_heading(text, geo.Box(F.lit(34.0), F.lit(64.0), F.lit(175.0), F.lit(22.0)), F.lit(360.0), F.col("c1"), F.lit(False))
+    role = lambda display: roles.page_role(text, F.lit(1), F.length(text).cast("double"), width, F.lit(False), display)
+    return own.select("p_partkey", role(shown).alias("role"), role(None).alias("plain_role"), captions.document_role(text).alias("document_role"))
+
+
+@query("sf38_page_markers", sql.PAGE_MARKERS)
+def _(spark, d):
+    own = literal_rows(spark, d, sql.MARK_TEXTS, sql.MARK_PLACES)
+    marker = roles.page_marker(F.col("c0"), geo.Box(F.lit(216.0), F.col("c1"), F.lit(5.0), F.lit(12.0)), F.lit(360.0))
+    return own.select("p_partkey", marker.alias("marker"), roles.loose_page_marker(F.col("c0")).alias("loose"))
+
+
+@query("sf42_captions", sql.CAPTIONS)
+def _(spark, d):
+    own = literal_rows(spark, d, sql.CAPTION_TEXTS)
+    return own.select("p_partkey", captions.caption_candidate(F.col("c0")).alias("figure"), captions.caption_candidate(F.col("c0"), "table").alias("table"))
+
+
+@query("j19_approved", sql.APPROVED)
+def _(spark, d):
+    part = ad.table(spark, d, "part")
+    fixes = [part.select(F.col("p_partkey").alias("entry_id"), F.lit(i).alias("seq"), before.alias("before"), F.lit(after).alias("after"), (F.col("p_size") % 3 + i % 2).cast("double").alias("confidence")) for i, (before, after) in enumerate([(F.element_at(F.split("p_name", " "), 1), "FIRST"), (F.lit("FIRST"), "once"), (F.lit("e"), "E")])]
+    return align.approved(part.select(F.col("p_partkey").alias("entry_id"), F.col("p_name").alias("content")), fixes[0].unionByName(fixes[1]).unionByName(fixes[2])).select("entry_id", "content", "fixed")
+
+
 @query("p01_page_route", sql.PAGE_ROUTE)
 def _(spark, d):
     return metrics.page_route(docs(spark, d)).select("doc_id", "native_chars", "route")
@@ -311,7 +374,9 @@ def _(spark, d):
 
 @query("j25_nearest_caption", sql.NEAREST_CAPTION)
 def _(spark, d):
-    return layout.nearest_caption(boxes(spark, d, "figure"), boxes(spark, d, "caption")).withColumn("distance", F.round("distance", 6))
+    # every third caption block holds none
+    text = F.when(F.col("x") % 3 == 0, "no label").otherwise(F.concat(F.lit("图"), (F.col("x") % 9).cast("string"), F.lit(" name")))
+    return layout.nearest_caption(boxes(spark, d).select(F.col("document_id").alias("entry_id"), "seq", F.col("kind").alias("type"), F.col("kind").alias("role"), text.alias("text")))
 
 
 @query("sf61_edges", sql.EDGES)
@@ -361,15 +426,15 @@ def _(spark, d):
 
 @query("j08_page_window", sql.PAGE_WINDOW)
 def _(spark, d):
-    own = boxes(spark, d).where("seq <= 4").select(F.floor(F.col("document_id") / 100).cast("long").alias("document_id"), (F.col("document_id") % 100 + 1).alias("page_number"), (F.col("document_id") * 100 + F.col("seq")).alias("item_id"), "kind")
+    own = boxes(spark, d).select(F.floor(F.col("document_id") / 100).cast("long").alias("document_id"), (F.col("document_id") % 100 + 1).alias("page_number"), (F.col("document_id") * 100 + F.col("seq")).alias("item_id"), "kind")
     pairs = align.page_window(own.where("kind = 'figure'"), own.where("kind = 'text'").withColumnRenamed("item_id", "entry_id"))
     return pairs.groupBy(F.col("i_item_id").alias("item_id")).agg(F.count("*").alias("candidates"), F.sum(align.page_bonus(F.col("i_page_number"), F.col("e_page_number"))).alias("bonus"))
 
 
 @query("j08_align_items")
 def _(spark, d):
-    items = ad.table(spark, d, "benchmark").select(F.lit(1).alias("document_id"), "item_id", (F.col("item_id") % 40 + 1).cast("long").alias("page_number"), F.when(F.col("item_id") % 2 == 0, "table").otherwise("legend").alias("kind"), F.col("text").alias("signal"))
-    entries = docs(spark, d).select(F.lit(1).alias("document_id"), F.col("doc_id").alias("entry_id"), (F.col("doc_id") % 40 + 1).cast("long").alias("page_number"), F.element_at(F.split("text", "\n"), 1).alias("title"), F.col("text").alias("content"), (F.col("doc_id") % 3 == 0).alias("has_table"))
+    items = ad.table(spark, d, "benchmark").select((F.col("item_id") % 25).alias("document_id"), "item_id", (F.col("item_id") % 40 + 1).cast("long").alias("page_number"), F.when(F.col("item_id") % 2 == 0, "table").otherwise("legend").alias("kind"), F.col("text").alias("signal"))
+    entries = docs(spark, d).select(F.floor(F.col("doc_id") / 40).cast("long").alias("document_id"), F.col("doc_id").alias("entry_id"), (F.col("doc_id") % 40 + 1).cast("long").alias("page_number"), F.element_at(F.split("text", "\n"), 1).alias("title"), F.col("text").alias("content"), (F.col("doc_id") % 3 == 0).alias("has_table"))
     return align.align_items(items, entries)
 
 
@@ -467,7 +532,7 @@ def _(spark, d):
 @query("a13_adjudicated", sql.ADJUDICATED)
 def _(spark, d):
     own = ad.table(spark, d, "events").select(F.col("user_id").alias("figure_id"), F.when(F.col("event_type") == "view", "").otherwise(F.col("event_type")).alias("label"), (F.col("event_id") % 101).cast("double").alias("confidence"), (F.col("event_id") % 7).cast("double").alias("roi"), F.col("event_id").alias("psm"))
-    return metrics.adjudicated(own.where("figure_id % 3 = 0 or psm % 20 = 0"))
+    return metrics.adjudicated(own)
 
 
 @query("j22_shadow_diff", sql.SHADOW)
@@ -529,8 +594,9 @@ def _(spark, d):
 @query("j09_fallback_entries", sql.FALLBACK)
 def _(spark, d):
     part = ad.table(spark, d, "part")
-    items = part.where("p_partkey % 7 = 0").select((F.col("p_partkey") % 10).alias("document_id"), F.col("p_partkey").alias("item_id"), (F.col("p_partkey") % 30).alias("page_number"), F.element_at(F.split("p_name", " "), 1).alias("heading"))
-    entries = part.select((F.col("p_partkey") % 10).alias("document_id"), F.col("p_partkey").alias("entry_id"), (F.col("p_partkey") % 30).alias("page_number"), F.col("p_name").alias("title"), F.col("p_type").alias("content"), (F.col("p_size") % 30).cast("long").alias("dominant_page"), F.col("p_size").alias("position"))
+    # three entries a page, however large the table
+    items = part.select(F.floor(F.col("p_partkey") / 90).alias("document_id"), F.col("p_partkey").alias("item_id"), (F.col("p_partkey") % 30).alias("page_number"), F.element_at(F.split("p_name", " "), 1).alias("heading"))
+    entries = part.select(F.floor(F.col("p_partkey") / 90).alias("document_id"), F.col("p_partkey").alias("entry_id"), (F.col("p_partkey") % 30).alias("page_number"), F.col("p_name").alias("title"), F.col("p_type").alias("content"), (F.col("p_size") % 30).cast("long").alias("dominant_page"), F.col("p_size").alias("position"))
     return kb.fallback_entries(items, entries).select("item_id", "entry_id", "method")
 
 
@@ -574,8 +640,8 @@ def _(spark, d):
 
 @query("j12_overlaid")
 def _(spark, d):
-    own = ad.line_blocks(docs(spark, d)).where("reading_order <= 8").select("document_id", "page_number", F.col("reading_order").alias("seq"), F.substring("text", 1, 60).alias("text"))
-    return kb.overlaid(own, own.withColumn("text", F.upper(F.substring("text", 3, 40))))
+    own = ad.line_blocks(docs(spark, d)).select("document_id", "page_number", F.col("reading_order").alias("seq"), "text")
+    return kb.overlaid(own, own.withColumn("text", F.upper("text")))
 
 
 # documents
@@ -601,5 +667,5 @@ def _(spark, d):
 
 @query("sf23_difflib_ratio")
 def _(spark, d):
-    nation = ad.table(spark, d, "nation").select("n_nationkey", "n_name", F.lag("n_name").over(Window.partitionBy("n_regionkey").orderBy("n_nationkey")).alias("other"))
-    return nation.select("n_nationkey", F.round(captions.difflib_ratio(F.col("n_name"), F.col("other")), 6).alias("ratio"))
+    part = ad.table(spark, d, "part").select("p_partkey", "p_name", F.lag("p_name").over(Window.partitionBy("p_brand").orderBy("p_partkey")).alias("other"))
+    return part.select("p_partkey", F.round(captions.difflib_ratio(F.col("p_name"), F.col("other")), 6).alias("ratio"))

@@ -35,14 +35,48 @@ numbered AS (SELECT *, CAST(sum(CAST(start AS INT)) OVER (PARTITION BY document_
 entries AS (
   SELECT document_id, document_id || '_' || arg_min(id, reading_order) AS entry_id, position, min(page_number) AS page_number,
     CASE WHEN arg_min(role, reading_order) = 'heading' THEN arg_min(text, reading_order) ELSE 'Page ' || min(page_number) END AS job_title,
-    string_agg(text, chr(10) || chr(10) ORDER BY reading_order) AS content, count(*) AS n_blocks
+    string_agg(text, chr(10) || chr(10) ORDER BY reading_order) AS content, count(*) AS n_blocks, 'text' AS kind, string_agg(id, ',' ORDER BY reading_order) AS block_ids
   FROM numbered GROUP BY document_id, position)"""
 )
 ENTRIES_HEADING = f"{ENTRIES} SELECT * FROM entries"
 ENTRIES_PAGE = f"""WITH {LINES}
 SELECT doc_id AS document_id, doc_id || '_b' || min(reading_order) AS entry_id, row_number() OVER (PARTITION BY doc_id ORDER BY page_number) AS position, page_number,
-  'Page ' || page_number AS job_title, string_agg(text, chr(10) || chr(10) ORDER BY reading_order) AS content, count(*) AS n_blocks
+  'Page ' || page_number AS job_title, string_agg(text, chr(10) || chr(10) ORDER BY reading_order) AS content, count(*) AS n_blocks, 'text' AS kind, string_agg('b' || reading_order, ',' ORDER BY reading_order) AS block_ids
 FROM lines GROUP BY doc_id, page_number"""
+#: Entries as a machine that walks a document's blocks one by one and knows its current entry, that entry's page, whether
+#: the page at hand has a host, and how many entries are complete; what waits for a host is joined afterwards.
+MIXED = """WITH RECURSIVE raw AS (
+  SELECT l_suppkey AS d, l_orderkey % 97 + 1 AS page, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_shipdate) AS n,
+    CASE WHEN l_partkey % 10 <= 1 THEN 'heading' WHEN l_partkey % 10 <= 4 THEN 'legend' WHEN l_partkey % 10 = 5 THEN 'artifact' ELSE 'body' END AS role, CASE WHEN l_quantity = 7 THEN '' ELSE 'p' || l_partkey END AS text,
+    CASE WHEN l_linenumber = 3 THEN 'T' WHEN l_linenumber >= 5 THEN 'F' ELSE 'S' END AS type, l_suppkey % 2 = l_linenumber % 2 AND l_quantity <= 40 AS ready, CASE WHEN l_partkey % 10 < 7 THEN '|t|' ELSE '' END AS md
+  FROM lineitem),
+b AS (SELECT *, row_number() OVER (PARTITION BY d ORDER BY page, n) AS i FROM (SELECT d, page, n, text, ready, md, role = 'heading' AND type = 'S' AS head, CASE WHEN type = 'S' AND role = 'legend' THEN 'U' ELSE type END AS c FROM raw WHERE type <> 'S' OR role <> 'artifact')),
+pages AS (SELECT d, page, bool_or(c IN ('S', 'T')) AS hosted, bool_or(c = 'F' AND ready) AS pictured FROM b GROUP BY d, page),
+alone AS (SELECT d, page FROM pages WHERE pictured AND NOT hosted),
+walk AS (
+  SELECT d, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS entry, CAST(0 AS BIGINT) AS entry_page, CAST(0 AS BIGINT) AS page, FALSE AS has, FALSE AS starts FROM b GROUP BY d
+  UNION ALL
+  SELECT d, i, entry + CAST(starts AS INT), CASE WHEN starts THEN page ELSE entry_page END, page, has OR starts OR c = 'S', starts FROM (
+    SELECT w.d, b.i, b.page, b.c, w.entry, w.entry_page, w.has AND w.page = b.page AS has,
+      CASE WHEN b.c = 'S' THEN {start} WHEN b.c = 'T' THEN w.entry = 0 OR w.entry_page <> b.page ELSE FALSE END AS starts
+    FROM walk w JOIN b ON b.d = w.d AND b.i = w.i + 1)),
+placed AS (SELECT b.*, w.entry, w.starts, b.c IN ('S', 'T') OR w.has AND w.entry_page = b.page AS stays FROM walk w JOIN b USING (d, i)),
+hosts AS (SELECT d, page, i, entry FROM placed WHERE c IN ('S', 'T')),
+waiting AS (SELECT p.d, p.i, min(h.i) AS host FROM placed p JOIN hosts h ON h.d = p.d AND h.page = p.page AND h.i > p.i WHERE NOT p.stays GROUP BY p.d, p.i),
+member AS (
+  SELECT d, entry, CAST(NULL AS BIGINT) AS fpage, i AS spot, 2 AS tier, i, n, page, c, head, starts, text, md FROM placed WHERE stays
+  UNION ALL SELECT p.d, h.entry, NULL, w.host, CASE p.c WHEN 'U' THEN 0 ELSE 1 END, p.i, p.n, p.page, p.c, p.head, p.starts, p.text, p.md FROM placed p JOIN waiting w USING (d, i) JOIN hosts h ON h.d = p.d AND h.i = w.host
+  UNION ALL SELECT p.d, greatest(p.entry - 1, 0), p.page, p.i, 2, p.i, p.n, p.page, p.c, p.head, FALSE, p.text, p.md FROM placed p JOIN alone USING (d, page) WHERE p.c = 'F' AND p.ready),
+grouped AS (
+  SELECT d, entry, fpage, arg_min(n, i) FILTER (starts OR fpage IS NOT NULL) AS n, arg_min(page, i) FILTER (starts OR fpage IS NOT NULL) AS page, arg_min(CASE WHEN head THEN text ELSE 'Page ' || page END, i) FILTER (starts OR fpage IS NOT NULL) AS title,
+    CASE WHEN fpage IS NOT NULL THEN 'figure' WHEN bool_or(c = 'T') THEN 'table' ELSE 'text' END AS kind, count(*) AS n_blocks, string_agg('b' || n, ',' ORDER BY spot, tier, i) AS block_ids,
+    coalesce(list(CASE c WHEN 'S' THEN text ELSE md END ORDER BY i) FILTER (c = 'S' OR c = 'T' AND md <> ''), []) AS parts
+  FROM member GROUP BY d, entry, fpage)
+SELECT g.d AS document_id, g.d || '_b' || g.n AS entry_id, CASE WHEN fpage IS NULL THEN g.entry ELSE g.entry + 1 END + (SELECT count(*) FROM alone a WHERE a.d = g.d AND a.page < g.page) AS position, g.page AS page_number, kind, title AS job_title,
+  coalesce(array_to_string(parts[nullif(list_position(list_transform(parts, lambda x: x <> ''), TRUE), 0):], chr(10) || chr(10)), '') AS content, n_blocks, block_ids
+FROM grouped g"""
+MIXED_HEADING = MIXED.replace("{start}", "b.head OR w.entry = 0")
+MIXED_PAGE = MIXED.replace("{start}", "w.entry = 0 OR w.entry_page <> b.page")
 PROJECTION = "SELECT CASE role WHEN 'system' THEN 'supporting' WHEN 'user' THEN 'excluded' ELSE 'searchable' END AS projection, count(*) AS n FROM conversations GROUP BY 1"
 READING_ORDER = f"WITH {BOXES} SELECT document_id, page_number, seq, row_number() OVER (PARTITION BY document_id, page_number ORDER BY y // 4 * 4, x, seq) AS reading_order FROM boxes"
 DOCUMENT_ORDER = f"""WITH {BOXES} SELECT document_id, page_number, seq,
@@ -98,13 +132,15 @@ PLAUSIBLE = r"""length(line) BETWEEN 5 AND 24 AND NOT regexp_matches(text, '[。
 WITHOUT_ARTIFACTS = f"""WITH {ZONED}, lined AS (SELECT *, {COMPACT} AS line FROM zoned),
 marks AS (SELECT document_id, line FROM lined JOIN pages USING (document_id) WHERE {PLAUSIBLE} GROUP BY document_id, line, pages HAVING count(DISTINCT page_number) >= greatest(3, least(12, (pages + 9) // 10)))
 SELECT document_id, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM lined l
-WHERE packed <> '' AND NOT EXISTS (SELECT 1 FROM marks m WHERE m.document_id = l.document_id AND m.line = l.line)
+WHERE packed <> '' AND NOT (length(packed) <= 24 AND (regexp_matches(packed, '^[·•∙⋅・][0-9]{{1,4}}[·•∙⋅・]$|^[-—–_]+[0-9]{{1,4}}[-—–_]+$|^第[0-9]{{1,4}}页$|^(?i:p[.]|page)[0-9]{{1,4}}$|^[0-9]{{1,4}}/[0-9]{{1,4}}$') OR zone IS NOT NULL AND regexp_matches(packed, '^[0-9]{{1,4}}$')))
+  AND NOT EXISTS (SELECT 1 FROM marks m WHERE m.document_id = l.document_id AND (m.line = l.line OR contains(m.line, l.line) AND length(l.line) >= greatest(5, floor(length(m.line) * 0.45)) OR regexp_matches(l.line, '^[一-鿿A-Za-z]+$') AND starts_with(m.line, l.line) AND length(l.line) >= 3
+    OR contains(l.line, m.line) AND length(m.line) >= 5 AND length(l.line) - length(m.line) <= 2
+    OR length(regexp_replace(l.line, '[^0-9]', '', 'g')) >= 3 AND contains(regexp_replace(m.line, '[^0-9]', '', 'g'), regexp_replace(l.line, '[^0-9]', '', 'g')) AND length(l.line) <= 8 AND regexp_matches(l.line, '[一-鿿A-Za-z]')))
   AND NOT EXISTS (SELECT 1 FROM sigs s WHERE s.document_id = l.document_id AND s.signature = l.zone || '|' || regexp_replace(l.packed, '[0-9]+', '#', 'g'))
 GROUP BY document_id"""
-NORMAL = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '[^\p{L}\p{N}\n]', ' ', 'g'), ' +', ' ', 'g'), ' *\n *', chr(10), 'g'), '^\s+|\s+$', '', 'g')"
+NORMAL = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(nfc_normalize(coalesce(text, '')), '[^\p{L}\p{N}\n]', ' ', 'g'), ' +', ' ', 'g'), ' *\n *', chr(10), 'g'), '^\s+|\s+$', '', 'g')"
 SEARCH_NORMAL = f"SELECT doc_id, md5({NORMAL}) AS digest, length({NORMAL}) AS n FROM documents"
-FINGERPRINT = r"""SELECT doc_id, '2' || regexp_replace(string_split(text, chr(10))[1], '[^\p{L}\p{N}]', '', 'g') AS fingerprint, '图11' AS anchor FROM documents"""
-FINGERPRINT = FINGERPRINT.replace("'2' || ", "regexp_replace('2' || ").replace("'', 'g') AS fingerprint", "'', 'g'), '^X', '') AS fingerprint")
+FINGERPRINT = r"""SELECT doc_id, regexp_replace('2' || regexp_replace(coalesce(text, ''), '[^\p{L}\p{N}]', '', 'g'), '^X', '') AS fingerprint, '图11' AS anchor FROM documents"""
 PATH_SAFE = r"""SELECT page_id, array_to_string(list_filter(list_transform(string_split(replace(url, chr(92), '/'), '/'), lambda p: lower(regexp_replace(regexp_replace(p, '[^\p{L}\p{N}_]+', '_', 'g'), '^_+|_+$', '', 'g'))), lambda p: p <> ''), '/') AS path,
   list_last(string_split(regexp_replace(url, '[?#].*$', ''), '/')) AS base FROM pages"""
 SIMILARITY = """WITH own AS (SELECT p_partkey, p_name AS a, coalesce(lag(p_name) OVER (PARTITION BY p_brand ORDER BY p_partkey), '') AS b FROM part)
@@ -155,11 +191,10 @@ p AS (SELECT a.document_id, a.page_number, a.seq, a.w AS aw, a.h AS ah, a.w * a.
   FROM o a JOIN o b USING (document_id, page_number) WHERE a.seq <> b.seq AND b.w * b.h < a.w * a.h * 0.9 AND {PAIRS} >= a.w * a.h * 0.18),
 g AS (SELECT document_id, page_number, seq FROM p GROUP BY ALL HAVING count(*) >= 2 AND sum(inter) >= max(area) * 0.88 AND (max(cy) - min(cy) >= greatest(90.0, max(ah) * 0.18) OR max(cx) - min(cx) >= greatest(90.0, max(aw) * 0.18)))
 SELECT document_id, page_number, seq FROM o ANTI JOIN g USING (document_id, page_number, seq)"""
-NEAREST_CAPTION = f"""WITH {BOXES}, p AS (
-  SELECT a.document_id, a.page_number, a.seq, b.seq AS caption_seq, sqrt(((a.x + a.w / 2.0) - (b.x + b.w / 2.0)) ^ 2 + ((a.y + a.h / 2.0) - (b.y + b.h / 2.0)) ^ 2) AS distance
-  FROM boxes a JOIN boxes b USING (document_id, page_number) WHERE a.kind = 'figure' AND b.kind = 'caption'),
-r AS (SELECT *, row_number() OVER (PARTITION BY document_id, page_number, seq ORDER BY distance, caption_seq) AS r FROM p WHERE distance <= 120)
-SELECT document_id, page_number, seq, caption_seq, round(distance, 6) AS distance FROM r WHERE r = 1"""
+NEAREST_CAPTION = f"""WITH {BOXES}, c AS (SELECT document_id, seq, '图' || (x % 9) || ' name' AS caption FROM boxes WHERE kind = 'caption' AND x % 3 <> 0),
+v AS (SELECT document_id, seq, lag(seq) OVER w AS above, lead(seq) OVER w AS below FROM boxes WHERE kind = 'figure' WINDOW w AS (PARTITION BY document_id ORDER BY seq)),
+p AS (SELECT v.document_id, v.seq, coalesce((SELECT max(c.seq) FROM c WHERE c.document_id = v.document_id AND c.seq < v.seq AND c.seq > coalesce(above, -1)), (SELECT min(c.seq) FROM c WHERE c.document_id = v.document_id AND c.seq > v.seq AND c.seq < coalesce(below, 1000000000))) AS caption_seq FROM v)
+SELECT p.document_id AS entry_id, p.seq, caption_seq, caption FROM p JOIN c ON c.document_id = p.document_id AND c.seq = caption_seq"""
 EDGES = f"""WITH {BOXES}, o AS (
   SELECT document_id, seq, round_even(x / 2.0, 0) AS l, round_even(y / 4.0, 0) AS t, round_even((x + w) / 2.0, 0) AS r, round_even((y + h) / 4.0, 0) AS b FROM boxes),
 c AS (SELECT document_id, seq, greatest(0, least(l, 199)) AS x, greatest(0, least(t, 24)) AS y, greatest(1, r - l) AS w, greatest(1, b - t) AS h FROM o)
@@ -187,14 +222,16 @@ CLUSTERS = """WITH own AS (
 f AS (SELECT *, CASE WHEN page_number - lag(page_number) OVER (PARTITION BY title, label ORDER BY page_number, entry_no) > 2 THEN 1 ELSE 0 END AS new FROM own),
 c AS (SELECT *, 1 + sum(new) OVER (PARTITION BY title, label ORDER BY page_number, entry_no) AS cluster FROM f)
 SELECT title, label, CAST(cluster AS BIGINT) AS cluster, count(*) AS members, min(page_number) AS first_page, max(page_number) AS last_page, first(entry_no ORDER BY n_images DESC, n_captions DESC, page_number, entry_no) AS anchor_entry FROM c GROUP BY title, label, cluster"""
-PAGE_WINDOW = f"""WITH {BOXES}, own AS (SELECT document_id // 100 AS doc, document_id % 100 + 1 AS page, document_id * 100 + seq AS item_id, kind FROM boxes WHERE seq <= 4)
+PAGE_WINDOW = f"""WITH {BOXES}, own AS (SELECT document_id // 100 AS doc, document_id % 100 + 1 AS page, document_id * 100 + seq AS item_id, kind FROM boxes)
 SELECT i.item_id, count(*) AS candidates, CAST(sum(CASE WHEN i.page = e.page THEN 90 WHEN abs(i.page - e.page) <= 2 THEN 40 ELSE 15 END) AS BIGINT) AS bonus
 FROM own i JOIN own e ON i.doc = e.doc AND abs(i.page - e.page) <= 3 WHERE i.kind = 'figure' AND e.kind = 'text' GROUP BY i.item_id"""
-FRAGMENT_MATCHES = rf"""WITH t AS (SELECT conv_id, turn, role, unnest(list_distinct(list_filter(string_split(regexp_replace({NORMAL}, '\s+', ' ', 'g'), ' '), lambda x: length(x) >= 2))) AS token FROM conversations),
-h AS (SELECT a.conv_id, a.turn AS fragment_id, b.turn AS entry_id, count(*) AS hits, sum(least(length(a.token), 12)) + CASE abs(a.turn - b.turn) WHEN 0 THEN 6 WHEN 1 THEN 3 WHEN 2 THEN 1 ELSE 0 END AS score
-  FROM t a JOIN t b USING (conv_id, token) WHERE a.role = 'user' AND b.role <> 'user' GROUP BY a.conv_id, a.turn, b.turn),
-r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, fragment_id ORDER BY score DESC, hits DESC, entry_id) AS r FROM h WHERE hits >= 2 OR score >= 10)
-SELECT conv_id AS document_id, fragment_id, entry_id, CAST(score AS BIGINT) AS score, hits FROM r WHERE r = 1"""
+FRAGMENT_MATCHES = rf"""WITH n AS (SELECT conv_id, turn, role, trim(regexp_replace({NORMAL}, '\s+', ' ', 'g')) AS line FROM conversations),
+w AS (SELECT *, replace(line, ' ', '') AS whole, list_filter(string_split(line, ' '), lambda x: length(x) >= 2) AS found FROM n),
+t AS (SELECT conv_id, turn, unnest(CASE WHEN len(found) > 0 THEN found WHEN length(whole) >= 6 THEN [whole] ELSE [] END) AS token FROM w WHERE role = 'user'),
+h AS (SELECT t.conv_id, t.turn AS fragment_id, e.turn AS entry_id, CAST(count(*) AS BIGINT) AS hits, sum(least(length(token), 12)) + CASE WHEN t.turn <= 0 OR e.turn <= 0 THEN 0 WHEN abs(t.turn - e.turn) <= 1 THEN 6 WHEN abs(t.turn - e.turn) <= 3 THEN 3 WHEN abs(t.turn - e.turn) <= 6 THEN 1 ELSE 0 END AS score
+  FROM t JOIN w e ON e.conv_id = t.conv_id AND e.role <> 'user' AND contains(e.whole, token) GROUP BY t.conv_id, t.turn, e.turn),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, fragment_id ORDER BY score DESC, hits DESC, entry_id) AS r FROM h)
+SELECT conv_id AS document_id, fragment_id, entry_id, CAST(score AS BIGINT) AS score, hits FROM r WHERE r = 1 AND (hits >= 2 OR score >= 10)"""
 DOMINANT_PAGE = """WITH n AS (SELECT l_suppkey AS entry_id, l_orderkey % 30 AS page_number, count(*) AS n FROM lineitem WHERE l_orderkey % 30 > 0 GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY entry_id ORDER BY n DESC, page_number) AS r FROM n) SELECT entry_id, page_number FROM r WHERE r = 1"""
 FILLED_ANCHORS = f"""WITH {BOXES}, o AS (SELECT *, CASE WHEN seq % 2 = 0 THEN 'a' || (x % 2) END AS anchor FROM boxes),
@@ -229,7 +266,7 @@ SELECT table_id, row, col, status, CASE WHEN status = 'changed' THEN f END AS fi
 MARKDOWN = f"""WITH {CELLS} SELECT table_id, string_agg('| ' || text || ' |' || CASE WHEN row = 0 THEN chr(10) || '| --- |' ELSE '' END, chr(10) ORDER BY row) AS markdown, count(*) AS n_rows FROM own GROUP BY table_id"""
 WORD_LINES = f"""WITH {BOXES} SELECT document_id AS figure_id, page_number AS line_num, string_agg('w' || seq, ' ' ORDER BY x, y, 'w' || seq) AS text, round(avg(CASE WHEN score % 100 - 5 >= 0 THEN score % 100 - 5 END), 6) AS mean_confidence,
   min(x) AS x, min(y) AS y, max(x + w) - min(x) AS w, max(y + h) - min(y) AS h FROM boxes GROUP BY document_id, page_number"""
-ADJUDICATED = """WITH own AS (SELECT user_id AS figure_id, CASE WHEN event_type = 'view' THEN '' ELSE event_type END AS label, event_id % 101 AS confidence, event_id % 7 AS roi, event_id AS psm FROM events WHERE user_id % 3 = 0 OR event_id % 20 = 0),
+ADJUDICATED = """WITH own AS (SELECT user_id AS figure_id, CASE WHEN event_type = 'view' THEN '' ELSE event_type END AS label, event_id % 101 AS confidence, event_id % 7 AS roi, event_id AS psm FROM events),
 g AS (SELECT figure_id, count(DISTINCT CASE WHEN confidence >= 60 AND label <> '' THEN label END) AS labels, first(label ORDER BY confidence DESC, roi, psm) AS best, count(*) AS attempts FROM own GROUP BY figure_id),
 s AS (SELECT *, CASE WHEN labels > 1 THEN 'ambiguous_multiple_labels' WHEN best = '' THEN 'empty' WHEN labels = 1 THEN 'linked' ELSE 'rejected' END AS status FROM g)
 SELECT figure_id, status, CASE WHEN status = 'linked' THEN best END AS label, attempts FROM s"""
@@ -251,7 +288,7 @@ FALLBACK = r"""WITH n AS (SELECT *, trim(regexp_replace(regexp_replace(p_name, '
   trim(regexp_replace(regexp_replace(string_split(p_name, ' ')[1], '[^\p{L}\p{N}]', ' ', 'g'), ' +', ' ', 'g')) AS key FROM part),
 p AS (SELECT i.p_partkey AS item_id, e.p_partkey AS entry_id, e.p_size AS position, e.p_size % 30 = i.p_partkey % 30 AS dominant,
   floor((CASE WHEN i.key <> '' AND contains(e.name, i.key) THEN 120 ELSE 0 END + CASE WHEN i.key <> '' AND contains(e.kind, i.key) THEN 60 ELSE 0 END) * CASE WHEN length(i.key) < 3 THEN 0.5 ELSE 1 END) AS score
-  FROM n i JOIN n e ON i.p_partkey % 10 = e.p_partkey % 10 AND i.p_partkey % 30 = e.p_partkey % 30 WHERE i.p_partkey % 7 = 0),
+  FROM n i JOIN n e ON i.p_partkey // 90 = e.p_partkey // 90 AND i.p_partkey % 30 = e.p_partkey % 30),
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, dominant DESC, position, entry_id) AS r FROM p)
 SELECT item_id, entry_id, CASE WHEN score > 0 THEN 'heading' WHEN dominant THEN 'dominant_page' ELSE 'position' END AS method FROM r WHERE r = 1"""
 PAGE_OWNERS = f"""WITH {BOXES}, o AS (SELECT o_orderkey % 500 AS doc, o_orderkey % 7 AS page, max(o_orderkey) AS owner FROM orders GROUP BY 1, 2),
@@ -268,3 +305,38 @@ STYLE = rf"""WITH {LINES}, n AS (
   SELECT doc_id AS document_id, count(*) FILTER (regexp_matches(text, '^[AT]')) AS articles, count(*) FILTER (regexp_matches(text, '^[EO]n')) AS appendices, count(*) FILTER (regexp_matches(text, '(?i)^the ')) AS chapters, count(*) FILTER (regexp_matches(text, '[0-9]')) AS sections FROM lines GROUP BY 1)
 SELECT *, CASE WHEN articles >= 3 AND appendices >= 1 THEN 'table_appended_regulatory' WHEN articles >= 3 OR chapters >= 1 OR sections >= 2 THEN 'rule_provisions' ELSE 'standard_text' END AS style FROM n"""
 CLUSTER_KEYS = "SELECT replace(p_type, ' ', '') AS key, count(*) AS n FROM part GROUP BY 1"
+
+# fixed texts, each with what the rules make of it; parts stand for their rows
+TEXTS = ("Cafe\u0301，图 1-2 与表３", "图1.1 图11 附图二", "检查 设备 隔离开关\u3000的A\u030a", "\uf900\n  - x", "")
+
+
+def literal(values: tuple) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v) for v in values) + "]"
+
+
+def picked(*lists: tuple, table: str = "part") -> str:
+    columns = ", ".join(f"{literal(v)}[1 + p_partkey % {len(v)}] AS c{i}" for i, v in enumerate(lists))
+    return f"SELECT p_partkey, {columns} FROM {table}"
+
+
+CHINESE_NORMAL = picked(("Café 图 1 2 与表３", "图1 1 图11 附图二", "检查 设备 隔离开关 的Å", "豈\nx", ""), ("Café图12与表３", "图11图11附图二", "检查设备隔离开关的Å", "豈x", ""), ("图12", "图11,附图二", "", "", ""), ("Café,与表３", "图1,图11,附图二", "隔离开关,的Å", "", ""))
+CHINESE_NORMAL = f"SELECT p_partkey, c0 AS normal, c1 AS anchor, c2 AS labels, c3 AS tokens FROM ({CHINESE_NORMAL})"
+ANCHORS = """SELECT p_partkey, ['none', 'article', 'appendix', 'none'][1 + p_partkey % 4] AS kind, CAST(CASE WHEN p_partkey % 4 IN (1, 2) THEN p_size % 20 + 1 ELSE 0 END AS BIGINT) AS value, ['', '规定', '说明', ''][1 + p_partkey % 4] AS rest FROM part"""
+BLOCK_TEXTS = ("铁路电力管理规则", "2用于变电所倒闸作业", "5.1一般规定", "规程另发单行本。", "图1 系统结构", "第三章总则", "-2-", "DN100", "附注", "The quick brown fox jumps over the lazy dog again", "（1）检查", "", "铁路电力管理规则")
+BLOCK_SIZES = (21.95, 11.0, 12.0, 11.0, 11.0, 11.0, 11.0, 11.0, 11.0, 11.0, 11.0, 11.0, 10.0)
+_ROLES = ("heading", "body", "heading", "body", "caption", "heading", "figure_callout", "figure_callout", "table_note", "artifact", "body", "artifact", "body")
+_PLAIN = ("body", *_ROLES[1:])
+_DOCUMENT = ("body", "heading", "heading", "body", "caption", "heading", "figure_callout", "figure_callout", "table_note", "body", "figure_callout", "artifact", "body")
+PAGE_ROLES = f"SELECT p_partkey, c0 AS role, c1 AS plain_role, c2 AS document_role FROM ({picked(_ROLES, _PLAIN, _DOCUMENT)})"
+MARK_TEXTS = ("·2·", "第 2 页", "Page 2", "-2-", "2", "2", "１２３", "12/30", "第二页", "p.7", "Page 1 of 10")
+MARK_PLACES = (180.0, 180.0, 180.0, 180.0, 320.0, 180.0, 10.0, 180.0, 180.0, 180.0, 180.0)
+_MARKED = (True, True, True, True, True, False, True, True, False, True, False)
+_LOOSE = (True, True, True, True, False, False, True, True, False, False, True)
+PAGE_MARKERS = f"SELECT p_partkey, c0 AS marker, c1 AS loose FROM ({picked(_MARKED, _LOOSE)})"
+CAPTION_TEXTS = ("图 12 示意图其中开关", "图3", "说明文字图3", "前面很长的说明图3", "图4 布置 ① 开关", "图5 简图", "表6 明细当时", "图7 甲。乙", "附图 八 结构：其中")
+CAPTIONS = f"SELECT p_partkey, c0 AS figure, c1 AS \"table\" FROM ({picked(('图12 示意图', '图3', '图3', '', '图4 布置', '图5 简图', '', '图7', '附图八 结构'), ('', '', '', '', '', '', '表6 明细', '', ''))})"
+APPROVED = """WITH a AS (SELECT p_partkey, p_size % 3 AS c, p_name AS t, string_split(p_name, ' ')[1] AS f FROM part),
+b AS (SELECT *, CASE WHEN c > 1 AND f <> '' THEN 'FIRST' || substr(t, length(f) + 1) ELSE t END AS t1 FROM a),
+d AS (SELECT *, CASE WHEN c + 1 > 1 AND contains(t1, 'FIRST') THEN replace(t1, 'FIRST', 'once') ELSE t1 END AS t2 FROM b)
+SELECT p_partkey AS entry_id, CASE WHEN c > 1 AND contains(t2, 'e') THEN substr(t2, 1, instr(t2, 'e') - 1) || 'E' || substr(t2, instr(t2, 'e') + 1) ELSE t2 END AS content,
+  c > 1 AND f <> '' OR c + 1 > 1 AND contains(t1, 'FIRST') OR c > 1 AND contains(t2, 'e') AS fixed FROM d"""

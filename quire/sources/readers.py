@@ -57,3 +57,24 @@ def page_images(spark: SparkSession, path: str) -> DataFrame:
     own = spark.read.format("binaryFile").option("pathGlobFilter", "*.{png,jpg,jpeg,webp}").load(path)
     number = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"([0-9]+)(?=\.[A-Za-z]+$)", 1)
     return own.where(number != "").withColumn("page_number", number.cast("int"))
+
+
+def table_pictures(files: DataFrame) -> DataFrame:
+    """Files with what their names tell of a table: page (null: for any page), position and idx, and rank: names with a page
+    come first, then png, jpg, jpeg. files: path."""
+    name = F.element_at(F.split("path", "/"), -1)
+    found = lambda pattern: F.nullif(F.regexp_extract(name, rf"(?i)^{pattern}\.(?:png|jpg|jpeg)$", 1), F.lit("")).cast("long")
+    page = F.coalesce(found(r"table_p(\d+)_pos\d+"), found(r"table_p(\d+)_idx\d+"))
+    own = files.withColumns({"page_number": page, "position": F.coalesce(found(r"table_p\d+_pos(\d+)"), found(r"table_pos(\d+)")), "idx": found(r"table_p\d+_idx(\d+)")})
+    kind = F.array_position(F.array(*map(F.lit, ("png", "jpg", "jpeg"))), F.lower(F.regexp_extract(name, r"\.([A-Za-z]+)$", 1)))
+    return own.where("position is not null or idx is not null").withColumn("rank", F.when(page.isNotNull(), 0).otherwise(10) + kind)
+
+
+def table_picture_of(tables: DataFrame, files: DataFrame) -> DataFrame:
+    """Each table's picture by page and position, else by position alone; by page and index where names have that. tables:
+    document_id, page_number, position, idx. files: document_id, path. Adds path."""
+    own = table_pictures(files).withColumnRenamed("page_number", "f_page").withColumnRenamed("position", "f_position").withColumnRenamed("idx", "f_idx")
+    placed = tables.join(own.where("f_position is not null"), "document_id").where("f_position = position and (f_page is null or f_page = page_number)")
+    counted = tables.join(own.where("f_idx is not null"), "document_id").where("f_idx = idx and f_page = page_number")
+    best = placed.unionByName(counted).groupBy("document_id", "page_number", "position", "idx").agg(F.min(F.struct("rank", "path")).alias("b"))
+    return tables.join(best.select("document_id", "page_number", "position", "idx", "b.path"), ["document_id", "page_number", "position", "idx"], "left")

@@ -15,7 +15,7 @@ from tests.test_io import container
 def test_captions(spark):
     assert values(spark, ["图4 人工呼吸", "某某示意图", "正文", None], captions.caption) == [True, True, False, False]
     assert values(spark, ["(a)", "200mm", "中心线", "这是一个完整的句子。", "图4 说明", "第三章 总则"], captions.callout) == [True, True, True, False, False, False]
-    assert values(spark, ["图 4 人工呼吸示意", "图4", "图4 布置如图所示", "说明文字在前 图4", "图4 " + "长" * 40, "正文"], captions.caption_candidate) == ["图 4 人工呼吸示意", "图4", "图4 布置", "", "图4", ""]
+    assert values(spark, ["图 4 人工呼吸示意", "图4", "图4 布置如图所示", "说明文字在前 图4", "图4 " + "长" * 40, "正文"], captions.caption_candidate) == ["图 4 人工呼吸示意", "图4", "图4 布置如图所示", "", "图4", ""]
 
 
 def test_cleaning(spark):

@@ -23,7 +23,8 @@ def test_search_normal(spark):
 
 
 def test_composition(spark):
-    assert values(spark, ["e\u0301", None], tx.nfc) == ["\u00e9", None]
+    assert values(spark, ["e\u0301", "abc", "Å", None], tx.normal_form) == ["\u00e9", "abc", "Å", ""]
+    assert values(spark, ["ｈ５００", "①"], lambda c: tx.normal_form(c, True)) == ["h500", "1"]
 
 
 def test_labels_of_different_writing_share_a_key(spark):

@@ -31,6 +31,42 @@ def test_entries_by_heading(spark):
     assert (got["1_b"].job_title, got["1_b"].content, got["1_b"].n_blocks) == ("H", "H\n\ntwo", 3)
 
 
+FULL = BLOCKS + ", type string, image_uri string, asset_status string, markdown string"
+
+
+def text_block(i, page, role, text, kind="text"):
+    return (1, page, int(i[1:]), i, role, text, kind, None, None, None)
+
+
+def entry_rows(spark, rows, strategy="heading"):
+    got = both_orders(spark, rows, FULL, lambda d: segment.entries(d, strategy))
+    return sorted((r.page_number, r.position, r.kind, r.job_title, r.content, ",".join(r.block_ids)) for r in got)
+
+
+def test_supporting_blocks_join_their_pages_host(spark):
+    rows = [text_block("c1", 1, "figure_callout", "c"), text_block("b2", 1, "heading", "H1"), text_block("c1", 2, "legend", "d"), text_block("b2", 2, "heading", "H2"), text_block("c1", 3, "legend", "e"), text_block("d1", 4, "body", "")]
+    rows = [(*r[:3], f"{r[1]}{r[3]}", *r[4:]) for r in rows]
+    assert entry_rows(spark, rows) == [(1, 1, "text", "H1", "H1", "1c1,1b2"), (2, 2, "text", "H2", "H2\n\n", "2c1,2b2,4d1")]
+    # a text that goes on from the page before hosts what waits on its page, but not what follows it
+    later = [text_block("b1", 1, "body", "one"), text_block("c1", 2, "legend", "x"), text_block("b2", 2, "body", "two"), text_block("c3", 2, "legend", "y")]
+    later = [(*r[:3], f"{r[1]}{r[3]}", *r[4:]) for r in later]
+    assert entry_rows(spark, later) == [(1, 1, "text", "Page 1", "one\n\ntwo", "1b1,2c1,2b2")]
+    assert [r[-1] for r in entry_rows(spark, later, "page")] == ["1b1", "2c1,2b2,2c3"]
+    assert entry_rows(spark, [text_block("c1", 1, "legend", "only"), text_block("x2", 1, "artifact", "noise")]) == []
+
+
+def test_tables_and_figures(spark):
+    picture = lambda i, page, uri="u", status=None: (1, page, int(i[1:]), f"{page}{i}", None, None, "figure", uri, status, None)
+    table = lambda i, page, md: (1, page, int(i[1:]), f"{page}{i}", None, None, "table", None, None, md)
+    text = lambda i, page, role, t: (1, page, int(i[1:]), f"{page}{i}", role, t, "text", None, None, None)
+    assert entry_rows(spark, [picture("f1", 3)]) == [(3, 1, "figure", "Page 3", "", "3f1")]
+    assert entry_rows(spark, [picture("f1", 3, ""), picture("f2", 3, "u", "missing")]) == []
+    rows = [picture("f1", 1), text("c2", 1, "legend", "l"), text("b3", 1, "body", "one"), picture("f4", 1, ""), picture("f1", 2), picture("f2", 2, ""), table("t1", 3, "|a|"), text("b2", 3, "body", "three"), table("t3", 3, ""), text("b1", 4, "body", "four"), picture("f2", 4)]
+    # the table of page 3 opens an entry, as that page has none; the picture after page 4's text has no host left
+    assert entry_rows(spark, rows) == [(1, 1, "text", "Page 1", "one", "1c2,1f1,1b3,1f4"), (2, 1, "figure", "Page 2", "", "2f1"), (3, 3, "table", "Page 3", "|a|\n\nthree\n\nfour", "3t1,3b2,3t3,4b1")]
+    assert [r[-1] for r in entry_rows(spark, rows, "page")] == ["1c2,1f1,1b3,1f4", "2f1", "3t1,3b2,3t3", "4b1,4f2"]
+
+
 def test_entries_by_page(spark):
     rows = [(1, p, o, f"{p}{o}", "body", f"t{p}{o}") for p in (1, 2) for o in (1, 2)]
     got = sorted((r.position, r.page_number, r.job_title, r.content) for r in both_orders(spark, rows, BLOCKS, lambda d: segment.entries(d, "page")))
@@ -246,3 +282,77 @@ def test_word_lines(spark):
     rows = [(1, 0, 0, 1, "b", 80.0, 50, 10, 20, 10), (1, 0, 0, 1, "a", -1.0, 10, 12, 20, 10), (1, 0, 0, 2, "c", 60.0, 10, 40, 5, 5)]
     got = {r.line_num: (r.text, r.mean_confidence, r.x, r.y, r.w, r.h) for r in both_orders(spark, rows, "figure_id int, block_num int, par_num int, line_num int, text string, conf double, x int, y int, w int, h int", metrics.lines_of_words)}
     assert got == {1: ("a b", 80.0, 10, 10, 60, 12), 2: ("c", 60.0, 10, 40, 5, 5)}
+
+
+def test_fragments_meet_entries_by_what_their_text_holds(spark):
+    entries = [(1, 1, 5, "变压器巡视检查内容一览"), (1, 2, 9, "其他 abcdef 事项"), (1, 3, 9, "abcdef 事项")]
+    frags = [(1, 1, 6, "变压器巡视"), (1, 2, 9, "abcd ef 事项"), (1, 3, 5, "一 览 变 压 器 巡 视 检 查"), (1, 4, 9, "qq"), (1, 5, 30, "巡视 检查")]
+    schema = "document_id int, fragment_id int, page_number int, text string"
+    right = spark.createDataFrame(entries, "document_id int, entry_id int, page_number int, text string")
+    got = {r.fragment_id: (r.entry_id, r.score, r.hits) for r in both_orders(spark, frags, schema, lambda d: align.fragment_matches(d, right))}
+    # 1: five characters and the next page; 2: three tokens, in both entries, so the first; 3: no token, and not as a whole
+    assert got == {1: (1, 11, 1), 2: (2, 4 + 2 + 2 + 6, 3)}
+
+
+def test_captions_stand_before_or_after_their_visual(spark):
+    rows = [(1, 1, "code", "caption", "表1 甲"), (1, 2, "table", "table", ""), (1, 3, "image", "body", "图9 正文"), (1, 4, "figure", "figure", ""), (1, 5, "code", "caption", "图2 乙"), (1, 6, "figure", "figure", ""), (1, 7, "code", "artifact", "图3 丙"), (1, 8, "table", "table", "")]
+    got = both_orders(spark, rows, "entry_id int, seq int, type string, role string, text string", layout.nearest_caption)
+    assert {(r.seq, r.caption_seq, r.caption) for r in got} == {(2, 1, "表1 甲"), (4, 5, "图2 乙"), (6, 5, "图2 乙")}
+
+
+def test_fixes_of_an_entry_are_folded(spark):
+    entries = spark.createDataFrame([(1, "a b a"), (2, "x"), (3, None)], "entry_id int, content string")
+    fixes = spark.createDataFrame([(1, 2, "b", "c", 2.0), (1, 1, "a", "bb", 1.5), (1, 3, "zz", "y", 3.0), (2, 1, "x", "y", 1.0), (2, 2, "", "y", 9.0)], "entry_id int, seq int, before string, after string, confidence double")
+    got = {r.entry_id: (r.content, r.fixed) for r in align.approved(entries, fixes).collect()}
+    assert got == {1: ("cb b a", True), 2: ("x", False), 3: (None, False)}
+
+
+def test_cross_references(spark):
+    entries = spark.createDataFrame([(1, "e1", 1, "总则 / 第三条", "见图1-2，按第 2 章与第三条、第9条，图7"), (1, "e2", 2, "第二章", "无"), (1, "e3", 3, "x", "第三条")], "document_id int, entry_id string, position int, title string, content string")
+    blocks = spark.createDataFrame([(1, "e1", 1, "b1", "figure", "", "图1-2 系统"), (1, "e2", 1, "b2", "heading", "第 2 章", None), (1, "e3", 1, "b3", "body", "", "")], "document_id int, entry_id string, seq int, id string, role string, text string, caption string")
+    got = {r.entry_id: r.content for r in align.cross_references(entries, blocks).collect()}
+    assert got == {"e1": "[见图1-2](#b1)，按[第 2 章](#e2)与[第三条](#e1)、第9条，图7", "e2": "无", "e3": "[第三条](#e1)"}
+
+
+def test_prose_goes_on_over_a_page(spark):
+    chain = [(1, 1, 1, None, None, "开头。", "没有句号"), (1, 2, 2, None, None, "接着写", "完了。"), (1, 3, 3, None, None, "新段", "x"), (1, 4, 4, None, None, "一、列表", "y"), (1, 6, 5, None, None, "远", "z")]
+    schema = "document_id int, page_number int, position int, first_number int, last_number int, first_text string, last_text string"
+    assert {r.position: r.merged_into for r in both_orders(spark, chain, schema, segment.continuations)} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+
+
+def test_watermarks_with_a_little_more_or_less(spark):
+    from quire.functions import text as tx
+
+    known = ["安全工程网20230815"]
+    texts = {"安全工程网20230815": True, "程网20230815": True, "安全工程网": True, "安全工程网2023081599": True, "页0815": True, "0815": False, "安全": False, "正文内容没有它": False}
+    frame = spark.createDataFrame([(t, known) for t in texts], "t string, known array<string>")
+    assert {r[0]: r[1] for r in frame.select("t", tx.watermark_like(F.col("t"), F.col("known"))).collect()} == texts
+
+
+def test_alignment_falls_back_and_weighs_order_and_references(spark):
+    entries = spark.createDataFrame([(1, "a", 5, "alpha beta gamma", "x", False), (1, "b", 5, "delta", "见图2-1 布置", False), (1, "c", 7, "other", "y", True)], "document_id int, entry_id string, page_number long, title string, content string, has_table boolean")
+    items = [(1, "i1", 5, "legend", "图2-1"), (1, "i2", 5, "table", "qqqqqqqqq"), (1, "i3", 8, "legend", "zzzzzzzz"), (1, "i4", 50, "legend", "alpha")]
+    got = {r.item_id: (r.entry_id, r.match_method) for r in both_orders(spark, items, "document_id int, item_id string, page_number long, kind string, signal string", lambda d: align.align_items(d, entries))}
+    assert got == {"i1": ("b", "accepted"), "i2": ("a", "page"), "i3": ("a", "first_candidate")}
+    from quire.operators import kb
+
+    again = {r.item_id: r.entry_id for r in kb.reattached(spark.createDataFrame([(1, "i4", 500, "legend", "alpha beta gamma"), (1, "i5", 500, "table", "zzzz")], "document_id int, item_id string, page_number long, kind string, signal string"), entries).collect()}
+    assert again == {"i4": "a"}
+
+
+def test_small_operators_on_entries_and_files(spark):
+    from quire.operators import kb
+    from quire.sources import readers
+
+    blocks = spark.createDataFrame([(1, "a", "第二篇", None), (1, "b", "第二篇", None), (1, "b", "text", "u"), (1, "b", "- 12 -", "u"), (1, "c", "", None)], "document_id int, entry_id string, text string, image_uri string")
+    assert sorted((r.entry_id, r.text) for r in kb.without_part_labels(blocks).collect()) == [("b", "text"), ("b", "第二篇"), ("c", "")]
+    entries = spark.createDataFrame([(1, "a", "t [SPLIT]", "text", 3), (1, "c", "t [SPLIT 2]", "text", 9), (1, "d", "t", "table", 5)], "document_id int, entry_id string, job_title string, kind string, page_number int")
+    assert sorted(r.entry_id for r in kb.without_empty_splits(entries, blocks).collect()) == ["a", "d"]
+    assert [tuple(r) for r in kb.file_metadata(entries, blocks).collect()] == [(1, 3, 1, 1)]
+    assert sorted((r.stream, r.entry_id or "") for r in kb.visual_streams(entries.limit(1), blocks.drop("entry_id").limit(1)).collect()) == [("legend", ""), ("table", "a")]
+    assert spark.range(1).select(kb.first_of_each(F.array(*map(F.lit, ["b ", "a", "", "b"])))).first()[0] == ["b", "a"]
+    assert [r.entry_id for r in sorted(kb.nearest_pages(entries, spark.createDataFrame([(1, 6)], "document_id int, target_page int"), 2).collect(), key=lambda r: r.rank)] == ["d", "a"]
+    files = spark.createDataFrame([(1, "k/table_p3_pos1.jpg"), (1, "k/table_p3_pos1.png"), (1, "k/table_pos1.png"), (1, "k/table_p31_idx2.PNG"), (1, "k/other.png")], "document_id int, path string")
+    tables_ = spark.createDataFrame([(1, 3, 1, None), (1, 4, 1, None), (1, 31, 9, 2), (1, 5, 7, None)], "document_id int, page_number long, position long, idx long")
+    got = {r.page_number: r.path for r in readers.table_picture_of(tables_.fillna({"idx": -1}), files).collect()}
+    assert got == {3: "k/table_p3_pos1.png", 4: "k/table_pos1.png", 31: "k/table_p31_idx2.PNG", 5: None}

@@ -14,8 +14,8 @@ def test_clean_text_reads_whole_html(spark, tmp_path):
 
 def test_align_items_reads_whole_texts_and_neighbouring_pages(spark, tmp_path):
     signal = "quay " * 14 + "lantern harbour winter"
-    rows = [(1, "first line\nplain words"), (3, "first line\n" + "filler " * 60 + "\n" + signal)]
+    rows = [(25, "first line\nplain words"), (27, "first line\n" + "filler " * 60 + "\n" + signal)]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(1, signal)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(25, signal)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = catalog.QUERIES["j08_align_items"](spark, str(tmp_path)).collect()
-    assert [(r.item_id, r.entry_id) for r in got] == [(1, 3)]
+    assert [(r.item_id, r.entry_id) for r in got] == [(25, 27)]
