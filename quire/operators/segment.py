@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.roles import projection_class
-from quire.functions.text import compact, strip, text_or_empty
+from quire.functions.text import compact, let, strip, text_or_empty
 
 
 def entries(blocks: DataFrame, strategy: str = "heading") -> DataFrame:
@@ -161,15 +161,23 @@ def prose_continues(before: Column, first: Column, page: Column, page_before: Co
     return (own != "") & (last != "") & (page <= page_before + 1) & ~listed & ~last.rlike("[。！？!?；;]$")
 
 
+#: A character that no text has, as Unicode sets it aside for use within programs.
+BREAK = "\uffff"
+
+
 def soft_wrapped(lines: Column, sentence_end: str = r"[。！？!?；;：:.]$") -> Column:
-    """Lines are joined to the line so far unless it ends a sentence or the next begins a list item."""
-    def fold(acc: Column, line: Column) -> Column:
-        last = F.element_at(acc, -1)
-        broken = (F.size(acc) == 0) | last.rlike(sentence_end) | line.rlike(r"^([0-9]+[.、)）]|[-•·])")
-        return F.when(broken, F.concat(acc, F.array(line))).otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.concat(last, F.lit(" "), line))))
+    """Lines are joined to the line so far unless it ends a sentence or the next begins a list item.
 
+    A joined line ends as its last part does, so each line is compared to the one before it alone.
+    """
     clean = F.filter(F.transform(lines, strip), lambda x: x != "")
-    return F.aggregate(clean, F.array().cast("array<string>"), fold)
+
+    def joined(own: Column) -> Column:
+        broken = lambda before, line: before.rlike(sentence_end) | line.rlike(r"^([0-9]+[.、)）]|[-•·])")
+        parts = F.transform(own, lambda line, i: F.when(i == 0, line).otherwise(F.concat(F.when(broken(F.get(own, i - 1), line), F.lit(BREAK)).otherwise(F.lit(" ")), line)))
+        return F.when(F.size(own) > 0, F.split(F.array_join(parts, ""), BREAK)).otherwise(own)
+
+    return let(clean, joined)
 
 
 def marker_merges(blocks: DataFrame, marker: str = r"^([0-9]{1,3}[.)、]?|[-•·])$") -> DataFrame:

@@ -132,7 +132,7 @@ def _(spark, d):
     return segment.continuations(own).select("document_id", "position", "merged_into")
 
 
-@query("w09_soft_wrapped")
+@query("w09_soft_wrapped", sql.SOFT_WRAPPED)
 def _(spark, d):
     own = segment.soft_wrapped(F.split(F.coalesce("text", F.lit("")), "\n"))
     return docs(spark, d).select("doc_id", F.size(own).cast("long").alias("n_lines"), F.array_join(own, "\n").alias("text"))
@@ -331,32 +331,33 @@ def _(spark, d):
     return own.select("document_id", "page_number", "a_seq", "b_seq", "kind_rank", "gap", F.round("center", 6).alias("center"))
 
 
-@query("j02_associate")
+@query("j02_associate", sql.ASSOCIATE)
 def _(spark, d):
     return layout.associate(boxes(spark, d, "figure"), boxes(spark, d).where("kind <> 'figure'"), "text")
 
 
-@query("j03_merged_tables")
+@query("j03_merged_tables", sql.MERGED_TABLES)
 def _(spark, d):
     return layout.merged_tables(boxes(spark, d, "figure").drop("score", "kind"), boxes(spark, d, "caption").drop("score", "kind"), 0.1)
 
 
-@query("j06_matched_versions")
+@query("j06_matched_versions", sql.VERSIONS)
 def _(spark, d):
-    return layout.matched_versions(boxes(spark, d, "figure").drop("score", "kind"), boxes(spark, d, "text").drop("score", "kind"))
+    own = layout.matched_versions(boxes(spark, d, "figure").drop("score", "kind"), boxes(spark, d, "text").drop("score", "kind"))
+    return own.withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("old_seq", "new_seq")})
 
 
-@query("o03_nms")
+@query("o03_nms", sql.NMS)
 def _(spark, d):
     return layout.nms(boxes(spark, d), 0.2)
 
 
-@query("o04_pruned")
+@query("o04_pruned", sql.PRUNED)
 def _(spark, d):
     return layout.pruned(boxes(spark, d))
 
 
-@query("o05_without_nested")
+@query("o05_without_nested", sql.NESTED)
 def _(spark, d):
     return layout.without_nested(boxes(spark, d))
 
@@ -367,7 +368,7 @@ def _(spark, d):
     return layout.without_containers(page).select("document_id", "page_number", "seq")
 
 
-@query("o07_fragments")
+@query("o07_fragments", sql.FRAGMENTS)
 def _(spark, d):
     return layout.fragments(boxes(spark, d))
 
@@ -572,7 +573,7 @@ def _(spark, d):
     return metrics.preliminary(own).groupBy("preliminary", "search_weight").agg(F.count("*").alias("n"))
 
 
-@query("html_blocks")
+@query("html_blocks", sql.HTML_BLOCKS)
 def _(spark, d):
     return ad.html_blocks(ad.table(spark, d, "pages"))
 
@@ -660,7 +661,7 @@ def _(spark, d):
     return ad.table(spark, d, "part").groupBy(captions.cluster_key(title).alias("key")).agg(F.count("*").alias("n"))
 
 
-@query("sf06_clean_text")
+@query("sf06_clean_text", sql.CLEAN_TEXT)
 def _(spark, d):
     return ad.table(spark, d, "pages").select("page_id", captions.clean_text(F.concat(F.col("url"), F.lit(" a\nb c\n"), F.col("html"))).alias("text"))
 

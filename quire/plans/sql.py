@@ -340,3 +340,72 @@ b AS (SELECT *, CASE WHEN c > 1 AND f <> '' THEN 'FIRST' || substr(t, length(f)
 d AS (SELECT *, CASE WHEN c + 1 > 1 AND contains(t1, 'FIRST') THEN replace(t1, 'FIRST', 'once') ELSE t1 END AS t2 FROM b)
 SELECT p_partkey AS entry_id, CASE WHEN c > 1 AND contains(t2, 'e') THEN substr(t2, 1, instr(t2, 'e') - 1) || 'E' || substr(t2, instr(t2, 'e') + 1) ELSE t2 END AS content,
   c > 1 AND f <> '' OR c + 1 > 1 AND contains(t1, 'FIRST') OR c > 1 AND contains(t2, 'e') AS fixed FROM d"""
+
+
+def soft_wrapped(own: str, key: str) -> str:
+    """Lines of own(key, t) as rows key, line, in one table `joined` of the lines that stay apart."""
+    return rf"""cut AS (SELECT {key}, unnest(range(1, len(string_split(t, chr(10))) + 1)) AS i, unnest(string_split(t, chr(10))) AS raw FROM ({own})),
+kept AS (SELECT {key}, i, regexp_replace(raw, '^\s+|\s+$', '', 'g') AS line FROM cut WHERE regexp_replace(raw, '^\s+|\s+$', '', 'g') <> ''),
+marked AS (SELECT *, lag(line) OVER (PARTITION BY {key} ORDER BY i) AS before FROM kept),
+broken AS (SELECT *, sum(CASE WHEN before IS NULL OR regexp_matches(before, '[。！？!?；;：:.]$') OR regexp_matches(line, '^([0-9]+[.、)）]|[-•·])') THEN 1 ELSE 0 END) OVER (PARTITION BY {key} ORDER BY i) AS n FROM marked),
+joined AS (SELECT {key}, n, string_agg(line, ' ' ORDER BY i) AS line FROM broken GROUP BY {key}, n)"""
+
+
+SOFT_WRAPPED = f"""WITH {soft_wrapped("SELECT doc_id, coalesce(text, '') AS t FROM documents", "doc_id")}
+SELECT d.doc_id, count(line) AS n_lines, coalesce(string_agg(line, chr(10) ORDER BY n), '') AS text FROM documents d LEFT JOIN joined USING (doc_id) GROUP BY d.doc_id"""
+CLEANED = r"""SELECT page_id, regexp_replace(regexp_replace(url || ' a' || chr(10) || 'b c' || chr(10) || html, '(?i)学兔兔|www\.bzfxw\.com|标准分享网|建设工程教育网|建筑标准库|工标网', '', 'g'), '(?i)(https?://\S+)|(www\.\S+\.\S+)', '', 'g') AS t FROM pages"""
+CLEAN_TEXT = f"""WITH {soft_wrapped(CLEANED, "page_id")} SELECT p.page_id, coalesce(string_agg(line, chr(10) ORDER BY n), '') AS text FROM pages p LEFT JOIN joined USING (page_id) GROUP BY p.page_id"""
+HTML_BLOCKS = r"""WITH f AS (SELECT page_id, regexp_extract_all(html, '(?s)<(?:h1|p|nav|footer)[ >].*?</(?:h1|p|nav|footer)>') AS f FROM pages),
+r AS (SELECT page_id, unnest(f) AS raw, unnest(range(1, len(f) + 1)) AS reading_order FROM f)
+SELECT page_id AS document_id, CAST(1 AS BIGINT) AS page_number, reading_order, CASE regexp_extract(raw, '^<([a-z0-9]+)', 1) WHEN 'h1' THEN 'heading' WHEN 'p' THEN 'body' ELSE 'artifact' END AS role,
+  regexp_replace(regexp_replace(regexp_replace(raw, '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'), '^ | $', '', 'g') AS text FROM r"""
+SHARED = "greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y))"
+KEPT = f"""WITH RECURSIVE {BOXES}, r AS (SELECT *, row_number() OVER (PARTITION BY document_id, page_number ORDER BY (order)) AS n FROM boxes),
+walk AS (
+  SELECT document_id, page_number, CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS kept, FALSE AS stays FROM boxes GROUP BY document_id, page_number
+  UNION ALL
+  SELECT document_id, page_number, n, CASE WHEN gone THEN kept ELSE list_append(kept, n) END, NOT gone FROM (
+    SELECT w.document_id, w.page_number, w.n + 1 AS n, w.kept, EXISTS (SELECT 1 FROM r b WHERE b.document_id = w.document_id AND b.page_number = w.page_number AND list_contains(w.kept, b.n) AND (drops)) AS gone
+    FROM walk w JOIN r a ON a.document_id = w.document_id AND a.page_number = w.page_number AND a.n = w.n + 1))
+SELECT r.document_id, r.page_number, r.seq, r.kind, r.x, r.y, r.w, r.h, r.score FROM r JOIN walk USING (document_id, page_number, n) WHERE stays"""
+UNION_SHARE = f"({SHARED}) / CAST(a.w * a.h + b.w * b.h - {SHARED} AS DOUBLE)"
+WITHIN = "a.x >= b.x - {0} AND a.y >= b.y - {0} AND a.x + a.w <= b.x + b.w + {0} AND a.y + a.h <= b.y + b.h + {0}"
+NMS = KEPT.replace("(order)", "score DESC, seq").replace("(drops)", f"{UNION_SHARE} >= 0.2")
+PRUNED = KEPT.replace("(order)", "w * h DESC, y, x, seq").replace("(drops)", f"({UNION_SHARE} >= 0.82 OR {WITHIN.format(8)})")
+NESTED = KEPT.replace("(order)", "w * h DESC, y, x, seq").replace("(drops)", f"{WITHIN.format(18)} AND a.w * a.h <= 0.8 * greatest(1, b.w * b.h)")
+FIRST_FIT = """q AS (SELECT *, row_number() OVER (PARTITION BY document_id, page_number ORDER BY (order)) AS n FROM p),
+walk AS (
+  SELECT document_id, page_number, CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS left_used, CAST([] AS BIGINT[]) AS right_used, FALSE AS taken FROM p GROUP BY document_id, page_number
+  UNION ALL
+  SELECT document_id, page_number, n, CASE WHEN ok AND counts THEN list_append(left_used, a_seq) ELSE left_used END, CASE WHEN ok THEN list_append(right_used, b_seq) ELSE right_used END, ok FROM (
+    SELECT w.*, q.a_seq, q.b_seq, (counts) AS counts, NOT list_contains(w.right_used, q.b_seq) AND NOT ((counts) AND list_contains(w.left_used, q.a_seq)) AS ok, q.n AS m FROM walk w JOIN q ON q.document_id = w.document_id AND q.page_number = w.page_number AND q.n = w.n + 1)
+    t(document_id, page_number, n0, left_used, right_used, taken, a_seq, b_seq, counts, ok, n)),
+link AS (SELECT q.* FROM q JOIN walk USING (document_id, page_number, n) WHERE taken)"""
+ASSOCIATE = ASSOCIATION.replace("WITH boxes", "WITH RECURSIVE boxes").replace("p AS (", "p0 AS (", 1).replace("center FROM p\n", "center FROM p0\n").replace("\nSELECT document_id, page_number, a_seq", ",\np AS (SELECT document_id, page_number, a_seq", 1).replace("round(center, 6) AS center", "center")
+ASSOCIATE = ASSOCIATE + "),\n" + FIRST_FIT.replace("(order)", "kind_rank, gap, center, a_seq, b_seq").replace("(counts)", "q.kind_rank = 0") + "\nSELECT document_id, page_number, a_seq AS figure_seq, b_seq AS text_seq, CASE kind_rank WHEN 1 THEN 'legend' ELSE 'caption' END AS kind FROM link"
+OVERLAPPING = f"p AS (SELECT a.document_id, a.page_number, a.seq AS a_seq, b.seq AS b_seq FROM boxes a JOIN boxes b USING (document_id, page_number) WHERE a.kind = 'figure' AND b.kind = '(kind)' AND ({SHARED} >= (least) * greatest(1, a.w * a.h) OR {SHARED} >= (least) * greatest(1, b.w * b.h)))"
+MERGED_TABLES = f"""WITH RECURSIVE {BOXES}, {OVERLAPPING.replace("(kind)", "caption").replace("(least)", "0.1")},
+{FIRST_FIT.replace("(order)", "a_seq, b_seq").replace("(counts)", "TRUE")}
+SELECT a.document_id, a.page_number, a.seq, CASE WHEN b.w * b.h > a.w * a.h THEN b.x ELSE a.x END AS x, CASE WHEN b.w * b.h > a.w * a.h THEN b.y ELSE a.y END AS y, CASE WHEN b.w * b.h > a.w * a.h THEN b.w ELSE a.w END AS w, CASE WHEN b.w * b.h > a.w * a.h THEN b.h ELSE a.h END AS h,
+  'structured' AS status, b.seq IS NOT NULL AS visual_matched
+FROM boxes a LEFT JOIN link l ON l.document_id = a.document_id AND l.page_number = a.page_number AND l.a_seq = a.seq LEFT JOIN boxes b ON b.document_id = a.document_id AND b.page_number = a.page_number AND b.seq = l.b_seq WHERE a.kind = 'figure'
+UNION ALL SELECT b.document_id, b.page_number, b.seq, b.x, b.y, b.w, b.h, 'image_only', TRUE FROM boxes b LEFT JOIN link l ON l.document_id = b.document_id AND l.page_number = b.page_number AND l.b_seq = b.seq WHERE b.kind = 'caption' AND l.b_seq IS NULL"""
+VERSIONS = f"""WITH RECURSIVE {BOXES}, o AS (SELECT *, row_number() OVER (PARTITION BY document_id, page_number ORDER BY seq) AS n FROM boxes WHERE kind = 'figure'),
+v AS (SELECT *, row_number() OVER (PARTITION BY document_id, page_number ORDER BY seq) AS n FROM boxes WHERE kind = 'text'),
+walk AS (
+  SELECT document_id, page_number, CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS used, CAST(NULL AS BIGINT) AS match, '' AS method FROM o GROUP BY document_id, page_number
+  UNION ALL
+  SELECT document_id, page_number, n, CASE WHEN hit IS NOT NULL THEN list_append(used, hit) WHEN same THEN list_append(used, n) ELSE used END, CASE WHEN hit IS NOT NULL THEN hit WHEN same THEN n END, CASE WHEN hit IS NOT NULL THEN 'page+bbox' WHEN same THEN 'page+order' ELSE 'unmatched' END FROM (
+    SELECT w.document_id, w.page_number, a.n, w.used, (SELECT min(b.n) FROM v b WHERE b.document_id = a.document_id AND b.page_number = a.page_number AND NOT list_contains(w.used, b.n) AND ({SHARED} > 0 AND ({SHARED} >= 0.3 * greatest(1, a.w * a.h) OR {SHARED} >= 0.3 * greatest(1, b.w * b.h)))) AS hit,
+      EXISTS (SELECT 1 FROM v c WHERE c.document_id = a.document_id AND c.page_number = a.page_number AND c.n = a.n) AND NOT list_contains(w.used, a.n) AS same
+    FROM walk w JOIN o a ON a.document_id = w.document_id AND a.page_number = w.page_number AND a.n = w.n + 1)),
+taken AS (SELECT w.document_id, w.page_number, o.seq AS old_seq, v.seq AS new_seq, w.method FROM walk w JOIN o USING (document_id, page_number, n) LEFT JOIN v ON v.document_id = w.document_id AND v.page_number = w.page_number AND v.n = w.match)
+SELECT document_id, page_number, old_seq, coalesce(new_seq, -1) AS new_seq, method FROM taken
+UNION ALL SELECT document_id, page_number, -1, seq, 'unmatched' FROM v WHERE NOT EXISTS (SELECT 1 FROM taken t WHERE t.document_id = v.document_id AND t.page_number = v.page_number AND t.new_seq = v.seq)"""
+FRAGMENTS = f"""WITH RECURSIVE {BOXES}, e AS (
+  SELECT a.document_id, a.page_number, a.seq AS i, b.seq AS j FROM boxes a JOIN boxes b USING (document_id, page_number) WHERE a.seq = b.seq OR {SHARED} >= 0.3 * greatest(1, a.w * a.h) OR {SHARED} >= 0.3 * greatest(1, b.w * b.h)
+    OR greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) / greatest(1, least(a.h, b.h)) >= 0.28 AND greatest(a.x, b.x) - least(a.x + a.w, b.x + b.w) <= 18
+    OR greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) / greatest(1, least(a.w, b.w)) >= 0.38 AND greatest(a.y, b.y) - least(a.y + a.h, b.y + b.h) <= 18),
+reach AS (SELECT document_id, page_number, i, j FROM e UNION SELECT r.document_id, r.page_number, r.i, e.j FROM reach r JOIN e ON e.document_id = r.document_id AND e.page_number = r.page_number AND e.i = r.j),
+g AS (SELECT document_id, page_number, i AS seq, min(j) AS group_seq FROM reach GROUP BY document_id, page_number, i)
+SELECT document_id, page_number, group_seq, count(*) AS members, min(x) - 6 AS x, min(y) - 6 AS y, max(x + w) + 12 - min(x) AS w, max(y + h) + 12 - min(y) AS h FROM g JOIN boxes USING (document_id, page_number, seq) GROUP BY document_id, page_number, group_seq"""
