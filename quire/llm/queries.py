@@ -82,4 +82,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_automaton": sql.REPEATS, "op5_jaccard": sql.LINKS, "op8_warc": sql.ARCHIVE}
+ORACLE_SQL: dict[str, str] = {"op1_automaton": sql.REPEATS, "op3_suffixes": sql.PASSAGES, "op5_jaccard": sql.LINKS, "op8_warc": sql.ARCHIVE}
