@@ -125,3 +125,23 @@ def entry_kind(block_types: Column, content: Column) -> Column:
 def content_type(kind: Column) -> Column:
     own = F.lower(strip(text_or_empty(kind)))
     return F.when(own == "table", "table").when(own.isin("image", "figure", "equation"), "figure").otherwise("narrative")
+
+
+def visual_kind(block_type: Column) -> Column:
+    """SF46: the manifest's kind of a block: table, legend (figures, equations, pictures), or null."""
+    own = F.lower(strip(text_or_empty(block_type)))
+    return F.when(own == "table", "table").when(own.isin("figure", "equation", "image"), "legend")
+
+
+def generic_caption(c: Column) -> Column:
+    """SF46: a caption that says no more than what it stands at, or nothing."""
+    own = F.lower(strip(text_or_empty(c)))
+    return (own == "") | own.rlike(r"^(table|figure|equation)\s*\d+$") | own.isin("table", "figure", "equation", "image")
+
+
+def chapter_opener(lines: Column) -> Column:
+    """SF44: a page of up to four lines and 80 characters that are headings, one at least, or page numbers."""
+    own = F.filter(F.transform(lines, lambda x: strip(text_or_empty(x))), lambda x: x != "")
+    number = lambda x: compact(x).rlike(r"^\d{1,4}$")
+    named = lambda x: heading(compact(x)).isNotNull() | heading(x).isNotNull()
+    return (F.size(own) > 0) & (F.size(own) <= 4) & F.forall(own, lambda x: number(x) | named(x)) & F.exists(own, lambda x: ~number(x)) & (F.length(compact(F.array_join(own, ""))) <= 80)

@@ -87,3 +87,17 @@ def from_edges(left: Column, top: Column, right: Column, bottom: Column) -> Box:
     """Edges as x, y, w, h, rounded half to even."""
     left, top, right, bottom = (F.bround(c).cast("int") for c in (left, top, right, bottom))
     return Box(left, top, F.greatest(F.lit(1), right - left), F.greatest(F.lit(1), bottom - top))
+
+
+def within_figure(x0: Column, y0: Column, x1: Column, y1: Column, figure: Box) -> Box:
+    """SF63: a box in shares of a figure (0 to 1) as one on the page; a side that has no length is that of the bottom band."""
+    share = lambda c: F.greatest(F.lit(0.0), F.least(F.lit(1.0), c.cast("double")))
+    a0, a1, b0, b1 = share(x0), share(x1), share(y0), share(y1)
+    left, right = F.when(a1 > a0, a0).otherwise(0.0), F.when(a1 > a0, a1).otherwise(1.0)
+    top, bottom = F.when(b1 > b0, b0).otherwise(0.7), F.when(b1 > b0, b1).otherwise(1.0)
+    return Box(figure.x + left * figure.w, figure.y + top * figure.h, F.greatest(F.lit(1.0), (right - left) * figure.w), F.greatest(F.lit(1.0), (bottom - top) * figure.h))
+
+
+def points_of_pixels(box: Box, dpi: float = 144.0) -> Box:
+    """SF63: a box in pixels of a page rendered at dpi, in points."""
+    return Box(*[c * (72.0 / dpi) for c in (box.x, box.y, box.w, box.h)])

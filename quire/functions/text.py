@@ -284,14 +284,71 @@ def page_of_uri(c: Column) -> Column:
     return F.when(found != "", found.cast("int"))
 
 
+def snapshot_index(c: Column) -> Column:
+    """SF09: struct of page and idx that a snapshot's name tells, as visual_p12_3.png; null if it is named otherwise."""
+    name = base_name(c)
+    page, idx = (F.regexp_extract(name, r"(?i)visual_p(\d+)_(\d+)", i) for i in (1, 2))
+    return F.when(page != "", F.struct(page.try_cast("int").alias("page"), idx.try_cast("int").alias("idx")))
+
+
+def physical_page(c: Column) -> Column:
+    """SF09: the page of a name part _p12_."""
+    found = F.regexp_extract(text_or_empty(c), r"(?i)_p(\d+)_", 1)
+    return F.when(found != "", found.try_cast("int"))
+
+
+def page_number(c: Column) -> Column:
+    """SF09: 12 or p12 as an int; null if it is neither."""
+    found = F.regexp_extract(strip(text_or_empty(c)), r"(?i)^p?(\d+)$", 1)
+    return F.when(found != "", found.try_cast("int"))
+
+
+def reference_score(c: Column, label: Column) -> Column:
+    """SF41: how likely a text refers to a label: 3 after 见, 如, 按 or before a verb, 1 before the name of a drawing, else 0."""
+    own, key = anchor_key(c), anchor_key(label)
+
+    def scored(v: Column) -> Column:
+        at = F.instr(v["own"], v["key"])
+        last = F.length(v["own"]) - F.length(F.call_function("substring_index", v["own"], v["key"], F.lit(-1))) - F.length(v["key"])
+        after = F.substring(v["own"], at + F.length(v["key"]), F.length(v["own"]))
+        held = (v["key"] != "") & (at > 0)
+        return F.when(~held, 0).when(F.substring(v["own"], F.lit(1), last).rlike("见|如|按") | after.rlike("所示|规定|要求|安装|采用"), 3).when(after.rlike("示例图|示意图|接线图|布置图|安装图|尺寸图"), 1).otherwise(0)
+
+    return let(F.struct(own.alias("own"), key.alias("key")), scored)
+
+
+def reference_labels(c: Column) -> Column:
+    """SF41: the labels of a text that it refers to."""
+    return F.filter(labels(c), lambda x: reference_score(c, x) >= 2)
+
+
 def first_of(*cols: Column) -> Column:
     """The first text that isn't blank."""
     return F.coalesce(*[F.when(strip(text_or_empty(c)) != "", strip(text_or_empty(c))) for c in cols], F.lit(""))
 
 
 def item_number(c: Column) -> Column:
-    """A number such as 3.2.1 as one sortable int: a * 10000 + b * 100 + c."""
-    own = number_chain(c)
-    part = [F.regexp_extract(own, r"^([0-9]{1,3})(?:\.([0-9]{1,2}))?(?:\.([0-9]{1,2}))?(?![0-9])", i) for i in (1, 2, 3)]
-    value = [F.when(p != "", p.cast("int")).otherwise(0) for p in part]
-    return F.when(part[0] != "", value[0] * 10000 + value[1] * 100 + value[2])
+    """SF45: the number that begins an item, as one sortable int: 3.2.1 and 3.2 as a * 10000 + b * 100 + c; 3. or 3、 and 第三条 as
+    they are; null if none begins it."""
+    own = strip(text_or_empty(c))
+    part = lambda pattern, i: F.regexp_extract(own, pattern, i).try_cast("int")
+    three, two, one, article = r"^(\d{1,2})\.(\d{1,2})\.(\d{1,3})(?!\d)", r"^(\d{1,2})\.(\d{1,2})(?!\d)", r"^(\d{1,3})\s*[\.．、]", r"^第\s*([0-9一二三四五六七八九十百千零〇两]+)\s*条"
+    return (
+        F.when(own.rlike(three), part(three, 1) * 10000 + part(three, 2) * 100 + part(three, 3)).when(own.rlike(two), part(two, 1) * 10000 + part(two, 2) * 100)
+        .when(own.rlike(one), part(one, 1)).when(own.rlike(article), numeral(F.regexp_extract(own, article, 1)))
+    )
+
+
+def continuation_number(c: Column) -> Column:
+    """SF45: a number and a space, as of a list that goes on; null if it is an item's number, or none."""
+    own = strip(text_or_empty(c))
+    pattern = r"^0?(\d{1,2})(?!\s*[\.．、])\s+\S"
+    found = F.regexp_extract(own, pattern, 1).try_cast("int")
+    return F.when(item_number(own).isNull() & own.rlike(pattern) & (found > 0), found)
+
+
+def subitem_number(c: Column) -> Column:
+    """SF45: a number in brackets, as （三）; null if there is none."""
+    own = strip(text_or_empty(c))
+    pattern = r"^[（(]\s*([0-9一二三四五六七八九十百千零〇两]+)\s*[）)]"
+    return F.when(item_number(own).isNull() & own.rlike(pattern), numeral(F.regexp_extract(own, pattern, 1)))

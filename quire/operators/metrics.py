@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import squeeze, strip, text_or_empty
+from quire.functions.text import compact, squeeze, strip, text_or_empty
 
 
 def page_route(pages: DataFrame, text: str = "text") -> DataFrame:
     """Characters that aren't white space, and native or ocr by 32 of them."""
-    n = F.coalesce(F.length(F.regexp_replace(F.col(text), r"(?U)\s+", "")), F.lit(0)).cast("long")
+    n = F.coalesce(F.length(compact(F.col(text))), F.lit(0)).cast("long")
     return pages.withColumns({"native_chars": n, "route": F.when(n >= 32, "native").otherwise("ocr")})
 
 
 def coverage(pages: DataFrame, by: str, text: str = "text") -> DataFrame:
     """Share of a group's pages that have text."""
-    n = F.coalesce(F.length(F.regexp_replace(F.col(text), r"(?U)\s+", "")), F.lit(0))
+    n = F.coalesce(F.length(compact(F.col(text))), F.lit(0))
     return pages.groupBy(by).agg(F.count("*").alias("pages"), F.round(F.avg((n > 0).cast("int")), 9).alias("coverage"))
 
 
@@ -30,6 +30,39 @@ def kb_metrics(entries: DataFrame, blocks: DataFrame, assets: DataFrame) -> Data
     return one.union(two).union(three)
 
 
+def named_values(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """One aggregate as rows name, value."""
+    own = rows.agg(*[c.cast("double").alias(n) for n, c in values.items()])
+    return own.select(F.explode(F.create_map(*[x for n in values for x in (F.lit(n), F.col(n))])).alias("name", "value"))
+
+
+def block_counters(blocks: DataFrame, associations: DataFrame | None = None, references: DataFrame | None = None) -> DataFrame:
+    """A03, the counters of blocks: tables by structure, cells, pictures by where they came from, missing and repeated assets;
+    of links between figures and texts, and of references, where there are any: a count that wasn't made is no zero.
+
+    blocks: type, image_uri, asset_status, asset_source, structured, cells (filled ones). associations: figure_id, kind,
+    source. references: status, target_id. Each is aggregated by itself.
+    """
+    table, picture = F.col("type") == "table", F.col("type").isin("image", "figure")
+    uri = F.coalesce("image_uri", F.lit(""))
+    structured, gone = F.coalesce("structured", F.lit(False)), (F.coalesce("asset_status", F.lit("")) == "missing") | (uri == "")
+    there = F.when(picture & ~gone, uri)
+    out = named_values(blocks, {
+        "tables": F.count_if(table), "tables_structured": F.count_if(table & structured), "tables_image_only": F.count_if(table & ~structured), "table_cells": F.coalesce(F.sum(F.when(table & structured, F.col("cells"))), F.lit(0)),
+        "table_assets_missing": F.count_if(table & (uri == "")), "images": F.count_if(picture), "images_missing": F.count_if(picture & gone), "images_embedded": F.count_if(there.isNotNull() & (F.col("asset_source") == "embedded")),
+        "images_cropped": F.count_if(there.isNotNull() & (F.col("asset_source") == "page_crop")), "image_uris": F.countDistinct(there), "image_uris_repeated": F.count(there) - F.countDistinct(there),
+    })
+    if associations is not None:
+        read, kind = F.coalesce("source", F.lit("")) == "ocr", F.col("kind")
+        of = lambda test: (F.countDistinct(F.when(test, F.col("figure_id"))), F.count_if(test))
+        caption, legend, seen = of((kind == "caption") & ~read), of((kind == "legend") & ~read), of((kind == "caption") & read)
+        out = out.union(named_values(associations, {"figures_with_native_caption": caption[0], "native_captions_linked": caption[1], "figures_with_native_legend": legend[0], "native_legends_linked": legend[1], "figures_with_ocr_caption": seen[0], "ocr_captions_linked": seen[1]}))
+    if references is not None:
+        is_ = lambda name: F.col("status") == name
+        out = out.union(named_values(references, {"references": F.count("*"), "references_resolved": F.count_if(is_("resolved")), "references_unresolved": F.count_if(is_("unresolved")), "references_ambiguous": F.count_if(is_("ambiguous")), "referenced_figures": F.countDistinct(F.when(is_("resolved"), F.col("target_id")))}))
+    return out
+
+
 def entry_quality(entries: DataFrame) -> DataFrame:
     """0.35, +0.30 with a title, +0.25 with 8 characters or more, +0.10 with blocks; 0.98 at most."""
     titled, long = strip(text_or_empty(F.col("job_title"))) != "", F.length(strip(text_or_empty(F.col("content")))) >= 8

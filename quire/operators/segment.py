@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.roles import projection_class
+from quire.functions.roles import heading, projection_class
 from quire.functions.text import compact, let, strip, text_or_empty
 
 
@@ -87,29 +87,41 @@ def document_order(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("document_order", F.row_number().over(order).cast("long"))
 
 
-def gutters(boxes: DataFrame, page_width: float = 550.0) -> DataFrame:
+def gutters(boxes: DataFrame) -> DataFrame:
     """The widest gap between merged x-intervals of a page's narrow boxes, if it parts two columns.
 
-    Six narrow boxes (up to 62 % of the page), a gap of 12 points and 3 % at least, and three boxes on either side.
+    The page is as wide as its boxes reach, 200 points or more. Six narrow boxes (up to 62 % of that), merged where less than
+    1 % parts them; a gap of 12 points and 3 % at least, with three boxes on either side that stand beside each other.
     """
-    narrow = boxes.where(F.col("w") <= 0.62 * page_width)
     page = ["document_id", "page_number"]
-    order = Window.partitionBy(*page).orderBy("x", "seq")
-    reach = F.max(F.col("x") + F.col("w")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    own = narrow.withColumns({"reach": reach, "n": F.count("*").over(Window.partitionBy(*page)), "left": F.row_number().over(order) - 1})
-    gaps = own.where((F.col("n") >= 6) & (F.col("x") - F.col("reach") >= max(12.0, 0.03 * page_width)) & (F.col("left") >= 3) & (F.col("n") - F.col("left") >= 3))
-    best = gaps.groupBy(*page).agg(F.max(F.struct((F.col("x") - F.col("reach")).alias("gap"), (-F.col("x")).alias("neg"))).alias("g"))
-    return best.select(*page, F.col("g.gap").alias("gap"), (-F.col("g.neg") - F.col("g.gap") / 2.0).alias("gutter_x"))
+    whole = Window.partitionBy(*page)
+    own = boxes.where("w > 0 and h > 0").withColumns({"width": F.max(F.col("x") + F.col("w")).over(whole) - F.min("x").over(whole), "all": F.count("*").over(whole)})
+    narrow = own.where((F.col("all") >= 6) & (F.col("width") >= 200) & (F.col("w") <= F.col("width") * 0.62))
+    order = whole.orderBy("x", "seq")
+    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    bottom = F.col("y") + F.col("h")
+    own = narrow.withColumns({
+        "reach": F.max(F.col("x") + F.col("w")).over(before), "n": F.count("*").over(whole), "left": F.row_number().over(order) - 1,
+        "beside": F.least(F.max(bottom).over(before), F.max(bottom).over(after)) - F.greatest(F.min("y").over(before), F.min("y").over(after)),
+    })
+    gap = F.col("x") - F.col("reach")
+    gaps = own.where((F.col("n") >= 6) & (gap > F.col("width") * 0.01))
+    best = gaps.groupBy(*page).agg(F.max(F.struct(gap.alias("gap"), (-F.col("x")).alias("neg"), "width", "left", "n", "beside")).alias("g"))
+    fits = (F.col("g.gap") >= F.greatest(F.lit(12.0), F.col("g.width") * 0.03)) & (F.col("g.left") >= 3) & (F.col("g.n") - F.col("g.left") >= 3) & (F.col("g.beside") > 0)
+    return best.where(fits).select(*page, F.col("g.gap").alias("gap"), (-F.col("g.neg") - F.col("g.gap") / 2.0).alias("gutter_x"))
 
 
 def heading_context(blocks: DataFrame, level: str = "level") -> DataFrame:
-    """Unit, section and subsection carried on from the last headings; a higher heading resets the lower ones."""
+    """Unit, section and subsection carried on from the last headings; a higher heading resets the lower ones. Where blocks
+    have signal (heading_signal()) or contents (whether their page is a table of contents), headings count from a signal of 4 on,
+    and none of contents does."""
     order = Window.partitionBy("document_id").orderBy("page_number", "reading_order", "id")
+    counts = (F.col("signal") >= 4 if "signal" in blocks.columns else F.lit(True)) & (~F.col("contents") if "contents" in blocks.columns else F.lit(True))
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rank = {"unit": 1, "section": 2, "subsection": 3}
     place = F.row_number().over(order)
     own = blocks.withColumn("__at", place)
-    last = {name: F.last(F.when(F.col(level) == name, F.struct("__at", "text")), ignorenulls=True).over(so_far) for name in rank}
+    last = {name: F.last(F.when((F.col(level) == name) & counts, F.struct("__at", "text")), ignorenulls=True).over(so_far) for name in rank}
     own = own.withColumns({f"__{n}": c for n, c in last.items()})
     unit_at = F.coalesce(F.col("__unit.__at"), F.lit(0))
     section_ok = F.col("__section.__at") > unit_at
@@ -118,6 +130,15 @@ def heading_context(blocks: DataFrame, level: str = "level") -> DataFrame:
     return own.withColumn("path", F.concat_ws(" / ", "unit", "section", "subsection")).drop("__at", *[f"__{n}" for n in rank])
 
 
+def heading_signal(text: Column, role: Column, reading_order: Column, w: Column, h: Column, callout: Column) -> Column:
+    """How much speaks for a heading: its role and form (4 each), a place among the first six (2), its size (1 each), less 5
+    for the roles of visuals, and 6 for a callout."""
+    named = F.lower(strip(text_or_empty(role)))
+    visual = named.isin("caption", "table_note", "artifact", "figure_callout", "annotation", "ocr_annotation", "legend")
+    score = F.when(named == "heading", 4).when(visual, -5).otherwise(0) + F.when(heading(text).isNotNull(), 4).otherwise(0)
+    return score + F.when(reading_order.between(1, 6), 2).otherwise(0) + F.when(w >= 140, 1).otherwise(0) + F.when(h >= 20, 1).otherwise(0) - F.when(callout, 6).otherwise(0)
+
+
 def numbered_splits(items: DataFrame) -> DataFrame:
     """An entry whose numbered blocks rise strictly (two at least) is split at each; others stay whole.
 
@@ -208,6 +229,33 @@ def insertion_slots(items: DataFrame, group: str, order: str, slots: str) -> Dat
     return items.withColumn("slot", F.greatest(F.lit(0), F.least(F.col(slots), F.floor((rank * F.col(slots) - 1) / total))).cast("long"))
 
 
+TEXT_TYPES = ("text", "p", "paragraph", "h1", "h2", "h3", "heading1", "heading2", "heading3", "quote", "blockquote", "code")
+
+
+def inserted(blocks: DataFrame, items: DataFrame, mode: str = "after-page") -> DataFrame:
+    """An entry's blocks with items put in: at the end (append), or behind a block of the item's page (after-page; of its texts
+    alone, after-page-text), the one whose place fits the item's rank among `total`; at the end if the page has none.
+
+    blocks: entry_id, seq, page_number, type, id. items: entry_id, id, page_number, rank (from 0), total. Rows entry_id, position,
+    id. Items behind one block stand in order of rank.
+    """
+    if mode not in ("append", "after-page", "after-page-text"):
+        raise ValueError(f"no such mode: {mode}")
+    own = blocks.where(F.lower("type").isin(*TEXT_TYPES)) if mode == "after-page-text" else blocks
+    page = Window.partitionBy("entry_id", "page_number")
+    slots = own.select("entry_id", "page_number", "seq", (F.row_number().over(page.orderBy("seq")) - 1).alias("slot"), F.count("*").over(page).alias("slots"))
+    anchors = slots.select("entry_id", "page_number", "slot", "slots", F.col("seq").alias("anchor"))
+    if mode == "append":
+        placed = items.withColumn("anchor", F.lit(None).cast("long"))
+    else:
+        sizes = anchors.groupBy("entry_id", "page_number").agg(F.first("slots").alias("slots"))
+        mapped = F.greatest(F.lit(0), F.least(F.col("slots") - 1, F.floor(((F.col("rank") + 1) * F.col("slots") - 1) / F.greatest(F.lit(1), F.col("total")))))
+        placed = items.join(sizes, ["entry_id", "page_number"], "left").withColumn("slot", mapped).drop("slots").join(anchors.drop("slots"), ["entry_id", "page_number", "slot"], "left")
+    rows = blocks.select("entry_id", "id", F.col("seq").alias("anchor"), F.lit(0).alias("behind"), F.lit(0).alias("rank")).unionByName(placed.select("entry_id", "id", "anchor", F.lit(1).alias("behind"), "rank"))
+    order = Window.partitionBy("entry_id").orderBy(F.asc_nulls_last("anchor"), "behind", "rank", "id")
+    return rows.select("entry_id", F.row_number().over(order).alias("position"), "id")
+
+
 def snapshots_first(images: DataFrame) -> DataFrame:
     """An entry's pictures by page, index, name; legends before tables before others. Adds rank and is_main."""
     family = F.when(F.col("kind") == "legend", 0).when(F.col("kind") == "table", 1).otherwise(2)

@@ -488,6 +488,16 @@ def _(spark, d):
     return metrics.kb_metrics(turn_entries(spark, d), turns(spark, d), uris)
 
 
+@query("a03_block_counters", sql.BLOCK_COUNTERS)
+def _(spark, d):
+    item = ad.table(spark, d, "lineitem")
+    blocks = ad.mixed_blocks(item).withColumns({"asset_source": F.when(F.col("reading_order") % 3 == 0, "embedded").when(F.col("reading_order") % 3 == 1, "page_crop"), "structured": F.col("markdown").isNotNull(), "cells": F.col("reading_order") % 5})
+    links = item.select(F.col("l_partkey").alias("figure_id"), F.when(F.col("l_linenumber") % 2 == 0, "caption").otherwise("legend").alias("kind"), F.when(F.col("l_quantity") % 3 == 0, "ocr").alias("source"))
+    figures, refs = ad.references(item)
+    resolved = references.resolve(refs, figures).withColumn("target_id", F.concat_ws("-", "document_id", "target_id"))
+    return metrics.block_counters(blocks, links, resolved)
+
+
 @query("a06_entry_quality", sql.ENTRY_QUALITY)
 def _(spark, d):
     return metrics.entry_quality(turn_entries(spark, d)).select("document_id", "position", "quality")

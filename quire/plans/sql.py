@@ -81,15 +81,15 @@ PROJECTION = "SELECT CASE role WHEN 'system' THEN 'supporting' WHEN 'user' THEN
 READING_ORDER = f"WITH {BOXES} SELECT document_id, page_number, seq, row_number() OVER (PARTITION BY document_id, page_number ORDER BY y // 4 * 4, x, seq) AS reading_order FROM boxes"
 DOCUMENT_ORDER = f"""WITH {BOXES} SELECT document_id, page_number, seq,
   row_number() OVER (PARTITION BY document_id, page_number ORDER BY CASE kind WHEN 'text' THEN 2 ELSE 4 END, CASE WHEN x < 250 THEN 0 ELSE 1 END, y, x, seq) AS document_order FROM boxes"""
-GUTTERS = f"""WITH {BOXES}, own AS (
-  SELECT document_id // 10 AS document_id, page_number, document_id * 100 + seq AS seq, x, w FROM boxes WHERE w <= 341),
+GUTTERS = f"""WITH {BOXES}, a AS (SELECT document_id // 10 AS document_id, page_number, document_id * 100 + seq AS seq, x, y, w, h FROM boxes),
+p AS (SELECT document_id, page_number, max(x + w) - min(x) AS width FROM a GROUP BY 1, 2 HAVING count(*) >= 6 AND max(x + w) - min(x) >= 200),
+own AS (SELECT a.*, width FROM a JOIN p USING (document_id, page_number) WHERE w <= width * 0.62),
 g AS (
-  SELECT *, max(x + w) OVER (PARTITION BY document_id, page_number ORDER BY x, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach,
-    count(*) OVER (PARTITION BY document_id, page_number) AS n, row_number() OVER (PARTITION BY document_id, page_number ORDER BY x, seq) - 1 AS lefts FROM own),
-ranked AS (
-  SELECT document_id, page_number, x - reach AS gap, x - (x - reach) / 2.0 AS gutter_x, row_number() OVER (PARTITION BY document_id, page_number ORDER BY x - reach DESC, x) AS r
-  FROM g WHERE n >= 6 AND x - reach >= 16.5 AND lefts >= 3 AND n - lefts >= 3)
-SELECT document_id, page_number, gap, gutter_x FROM ranked WHERE r = 1"""
+  SELECT *, max(x + w) OVER b AS reach, count(*) OVER (PARTITION BY document_id, page_number) AS n, row_number() OVER (PARTITION BY document_id, page_number ORDER BY x, seq) - 1 AS lefts,
+    least(max(y + h) OVER b, max(y + h) OVER f) - greatest(min(y) OVER b, min(y) OVER f) AS beside FROM own
+  WINDOW b AS (PARTITION BY document_id, page_number ORDER BY x, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), f AS (PARTITION BY document_id, page_number ORDER BY x, seq ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY document_id, page_number ORDER BY x - reach DESC, x) AS r FROM g WHERE n >= 6 AND x - reach > width * 0.01)
+SELECT document_id, page_number, x - reach AS gap, x - (x - reach) / 2.0 AS gutter_x FROM ranked WHERE r = 1 AND x - reach >= greatest(12, width * 0.03) AND lefts >= 3 AND n - lefts >= 3 AND beside > 0"""
 HEADING_CONTEXT = f"""WITH {TURNS}, own AS (
   SELECT document_id, reading_order, id, CASE WHEN role = 'heading' THEN reading_order % 3 END AS level FROM turns),
 last AS (
@@ -409,3 +409,14 @@ FRAGMENTS = f"""WITH RECURSIVE {BOXES}, e AS (
 reach AS (SELECT document_id, page_number, i, j FROM e UNION SELECT r.document_id, r.page_number, r.i, e.j FROM reach r JOIN e ON e.document_id = r.document_id AND e.page_number = r.page_number AND e.i = r.j),
 g AS (SELECT document_id, page_number, i AS seq, min(j) AS group_seq FROM reach GROUP BY document_id, page_number, i)
 SELECT document_id, page_number, group_seq, count(*) AS members, min(x) - 6 AS x, min(y) - 6 AS y, max(x + w) + 12 - min(x) AS w, max(y + h) + 12 - min(y) AS h FROM g JOIN boxes USING (document_id, page_number, seq) GROUP BY document_id, page_number, group_seq"""
+
+BLOCK_COUNTERS = f"""{RESOLVED}, src AS (SELECT row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_shipdate) AS n, l_linenumber = 3 AS t, l_linenumber >= 5 AS p, l_suppkey % 2 = l_linenumber % 2 AS uri, l_quantity > 40 AS gone, l_partkey % 10 < 7 AS structured,
+  l_partkey AS figure, l_linenumber % 2 = 0 AS caption, l_quantity % 3 = 0 AS ocr FROM lineitem),
+counted AS (SELECT count(*) FILTER (t) AS tables, count(*) FILTER (t AND structured) AS tables_structured, count(*) FILTER (t AND NOT structured) AS tables_image_only, coalesce(sum(n % 5) FILTER (t AND structured), 0) AS table_cells, count(*) FILTER (t AND NOT uri) AS table_assets_missing,
+  count(*) FILTER (p) AS images, count(*) FILTER (p AND (gone OR NOT uri)) AS images_missing, count(*) FILTER (p AND uri AND NOT gone AND n % 3 = 0) AS images_embedded, count(*) FILTER (p AND uri AND NOT gone AND n % 3 = 1) AS images_cropped,
+  least(1, count(*) FILTER (p AND uri AND NOT gone)) AS image_uris, greatest(0, count(*) FILTER (p AND uri AND NOT gone) - 1) AS image_uris_repeated,
+  count(DISTINCT figure) FILTER (caption AND NOT ocr) AS figures_with_native_caption, count(*) FILTER (caption AND NOT ocr) AS native_captions_linked, count(DISTINCT figure) FILTER (NOT caption AND NOT ocr) AS figures_with_native_legend, count(*) FILTER (NOT caption AND NOT ocr) AS native_legends_linked,
+  count(DISTINCT figure) FILTER (caption AND ocr) AS figures_with_ocr_caption, count(*) FILTER (caption AND ocr) AS ocr_captions_linked FROM src),
+kinds AS (SELECT count(*) AS "references", count(*) FILTER (status = 'resolved') AS references_resolved, count(*) FILTER (status = 'unresolved') AS references_unresolved, count(*) FILTER (status = 'ambiguous') AS references_ambiguous, count(DISTINCT (document_id, target_id)) FILTER (status = 'resolved') AS referenced_figures FROM resolved),
+found AS (SELECT name, CAST(value AS DOUBLE) AS value FROM (UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM counted) ON COLUMNS(*) INTO NAME name VALUE value))
+SELECT name, value FROM found UNION ALL SELECT name, value FROM (UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM kinds) ON COLUMNS(*) INTO NAME name VALUE value)"""

@@ -1,7 +1,8 @@
 """Incremental ingest (an extension: the document model itself has no streams).
 
-New document files are read as a stream, turned into entries document by document, and upserted into a Parquet table in
-foreachBatch. A batch that runs twice gives the same table, as it is keyed by entry.
+New document files are read as a stream, turned into entries document by document, and appended to a Parquet table, a
+partition a batch, in foreachBatch. A batch that runs twice replaces its own partition, so it gives the same table; readers
+take each document's last batch, and no batch rewrites what is there.
 """
 
 from __future__ import annotations
@@ -28,10 +29,10 @@ def entries_of(docs: DataFrame) -> DataFrame:
 def ingest(docs: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Runs over what there is and stops. Each batch's entries go to a partition of its own; the latest batch of a
     document wins when the table is read by latest()."""
-    def upsert(batch: DataFrame, number: int) -> None:
+    def store(batch: DataFrame, number: int) -> None:
         entries_of(batch).write.mode("overwrite").parquet(f"{table}/batch={number}")
 
-    return docs.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return docs.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def latest(spark: SparkSession, table: str) -> DataFrame:

