@@ -311,7 +311,7 @@ TEXTS = ("Cafe\u0301，图 1-2 与表３", "图1.1 图11 附图二", "检查 设
 
 
 def literal(values: tuple) -> str:
-    return "[" + ", ".join("'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v) for v in values) + "]"
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" if isinstance(v, str) else f"{v}::DOUBLE" if isinstance(v, float) else str(v) for v in values) + "]"
 
 
 def picked(*lists: tuple, table: str = "part") -> str:

@@ -6,9 +6,10 @@ from pathlib import Path
 
 import pytest
 
-from quire.plans import catalog
+from quire.plans import catalog, rules
 
 SF = "/root/testdata/sf0.001"
+QUERIES, ORACLE_SQL = catalog.QUERIES | rules.QUERIES, catalog.ORACLE_SQL | rules.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -31,10 +32,10 @@ def rows_of(names, rows):
     return sorted([tuple(plain(r[i]) for i in order) for r in rows], key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_oracle(spark, duck, name):
-    own = catalog.QUERIES[name](spark, SF)
-    got = duck.execute(catalog.ORACLE_SQL[name])
+    own = QUERIES[name](spark, SF)
+    got = duck.execute(ORACLE_SQL[name])
     names = [d[0] for d in got.description]
     assert sorted(own.columns) == sorted(names)
     left, right = rows_of(own.columns, [tuple(r) for r in own.collect()]), rows_of(names, got.fetchall())
@@ -42,11 +43,11 @@ def test_oracle(spark, duck, name):
     assert [tuple(float(x) if isinstance(x, int) and not isinstance(x, bool) else x for x in r) for r in left] == [tuple(float(x) if isinstance(x, int) and not isinstance(x, bool) else x for x in r) for r in right]
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE_SQL)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_other_partitions(spark, name):
-    first = sorted(map(repr, catalog.QUERIES[name](spark, SF).collect()))
+    first = sorted(map(repr, QUERIES[name](spark, SF).collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "7")
     try:
-        assert sorted(map(repr, catalog.QUERIES[name](spark, SF).collect())) == first
+        assert sorted(map(repr, QUERIES[name](spark, SF).collect())) == first
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
