@@ -87,7 +87,8 @@ def _(spark, d):
 
 @query("p02_projection_class", sql.PROJECTION)
 def _(spark, d):
-    return ad.table(spark, d, "conversations").groupBy(roles.projection_class(F.when(F.col("role") == "system", "legend").when(F.col("role") == "user", "artifact").otherwise("odd role")).alias("projection")).agg(F.count("*").alias("n"))
+    role = F.when(F.col("role") == "system", " Legend ").when(F.col("role") == "user", "ARTIFACT").otherwise("odd role")
+    return ad.table(spark, d, "conversations").select("conv_id", "turn", roles.projection_class(role).alias("projection"))
 
 
 @query("w02_reading_order", sql.READING_ORDER)
@@ -181,6 +182,12 @@ def _(spark, d):
     return repetition.dynamic_signatures(zoned(spark, d))
 
 
+@query("a02_running_heads", sql.RUNNING_HEADS)
+def _(spark, d):
+    own = ad.table(spark, d, "events").select(F.col("event_type").alias("document_id"), (F.col("event_id") % 50).alias("page_number"), F.when(F.col("event_id") % 3 == 0, "top").when(F.col("event_id") % 3 == 1, "bottom").alias("zone"), F.concat(F.lit("Part "), F.col("event_id").cast("string"), F.lit(" of "), F.substring(F.lit("abcdefghij"), (F.col("user_id") % 10 + 1).cast("int"), F.lit(1)), F.col("user_id").cast("string")).alias("text"))
+    return repetition.dynamic_signatures(own)
+
+
 @query("p03_without_artifacts", sql.WITHOUT_ARTIFACTS)
 def _(spark, d):
     return repetition.without_artifacts(zoned(spark, d)).groupBy("document_id").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
@@ -322,7 +329,7 @@ def _(spark, d):
     own = boxes(spark, d)
     e = [F.col(c).cast("double") for c in "xywh"]
     reason = roles.figure_exclusion(e[0], e[1], e[0] + e[2] / 8, e[1] + e[3], F.lit(550.0), F.lit(120.0), F.col("w") - 22, F.col("h"), F.col("seq") % 5 == 0)
-    return own.groupBy(F.coalesce(reason, F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
+    return own.select("document_id", "seq", F.coalesce(reason, F.lit("kept")).alias("reason"))
 
 
 @query("j02_association_pairs", sql.ASSOCIATION)
@@ -580,7 +587,7 @@ def _(spark, d):
 @query("p14_preliminary", sql.PRELIMINARY)
 def _(spark, d):
     own = docs(spark, d).select("doc_id", (F.col("doc_id") % 6 + 1).alias("page_number"), F.col("text").alias("content"))
-    return metrics.preliminary(own).groupBy("preliminary", "search_weight").agg(F.count("*").alias("n"))
+    return metrics.preliminary(own).select("doc_id", "preliminary", "search_weight")
 
 
 @query("html_blocks", sql.HTML_BLOCKS)
@@ -599,7 +606,7 @@ def _(spark, d):
 @query("p07_effective_candidate", sql.EFFECTIVE)
 def _(spark, d):
     own = ad.line_blocks(docs(spark, d)).withColumn("ok", kb.effective_candidate(F.col("text")))
-    return own.groupBy("ok").agg(F.count("*").alias("n"))
+    return own.select("document_id", "reading_order", "ok")
 
 
 @query("j09_fallback_entries", sql.FALLBACK)
@@ -668,7 +675,7 @@ def _(spark, d):
 @query("sf11_cluster_keys", sql.CLUSTER_KEYS)
 def _(spark, d):
     title = F.concat(F.col("p_type"), F.lit(" / "), F.col("p_name"))
-    return ad.table(spark, d, "part").groupBy(captions.cluster_key(title).alias("key")).agg(F.count("*").alias("n"))
+    return ad.table(spark, d, "part").select("p_partkey", captions.cluster_key(title).alias("key"))
 
 
 @query("sf06_clean_text", sql.CLEAN_TEXT)

@@ -77,7 +77,7 @@ SELECT g.d AS document_id, g.d || '_b' || g.n AS entry_id, CASE WHEN fpage IS NU
 FROM grouped g"""
 MIXED_HEADING = MIXED.replace("{start}", "b.head OR w.entry = 0")
 MIXED_PAGE = MIXED.replace("{start}", "w.entry = 0 OR w.entry_page <> b.page")
-PROJECTION = "SELECT CASE role WHEN 'system' THEN 'supporting' WHEN 'user' THEN 'excluded' ELSE 'searchable' END AS projection, count(*) AS n FROM conversations GROUP BY 1"
+PROJECTION = "SELECT conv_id, turn, CASE role WHEN 'system' THEN 'supporting' WHEN 'user' THEN 'excluded' ELSE 'searchable' END AS projection FROM conversations"
 READING_ORDER = f"WITH {BOXES} SELECT document_id, page_number, seq, row_number() OVER (PARTITION BY document_id, page_number ORDER BY y // 4 * 4, x, seq) AS reading_order FROM boxes"
 DOCUMENT_ORDER = f"""WITH {BOXES} SELECT document_id, page_number, seq,
   row_number() OVER (PARTITION BY document_id, page_number ORDER BY CASE kind WHEN 'text' THEN 2 ELSE 4 END, CASE WHEN x < 250 THEN 0 ELSE 1 END, y, x, seq) AS document_order FROM boxes"""
@@ -127,6 +127,9 @@ sigs AS (
   FROM zoned JOIN pages USING (document_id) WHERE zone IS NOT NULL AND length(packed) BETWEEN 1 AND 40 AND pages > 2
   GROUP BY document_id, signature, pages HAVING count(DISTINCT page_number) >= greatest(3, least(40, (pages + 4) // 5)))"""
 SIGNATURES = f"WITH {ZONED} SELECT * FROM sigs"
+RUNNING_HEADS = """WITH own AS (SELECT event_type AS document_id, event_id % 50 AS page, CASE event_id % 3 WHEN 0 THEN 'top' WHEN 1 THEN 'bottom' END AS zone, 'Part#of' || substr('abcdefghij', user_id % 10 + 1, 1) || '#' AS sig FROM events),
+pages AS (SELECT document_id, count(DISTINCT page) AS pages FROM own GROUP BY 1)
+SELECT document_id, zone || '|' || sig AS signature, count(DISTINCT page) AS n_pages FROM own JOIN pages USING (document_id) WHERE zone IS NOT NULL AND pages > 2 GROUP BY document_id, zone, sig, pages HAVING count(DISTINCT page) >= greatest(3, least(40, (pages + 4) // 5))"""
 PLAUSIBLE = r"""length(line) BETWEEN 5 AND 24 AND NOT regexp_matches(text, '[。！？!?；;]') AND length(regexp_replace(line, '[^0-9]', '', 'g')) >= 3 AND regexp_matches(line, '[A-Za-z一-鿿]')
   AND length(regexp_replace(line, '[^一-鿿]', '', 'g')) <= 10"""
 WITHOUT_ARTIFACTS = f"""WITH {ZONED}, lined AS (SELECT *, {COMPACT} AS line FROM zoned),
@@ -177,8 +180,8 @@ WIDE = "greatest(0, least(a.x + a.w, b.x + b.w * 4) - greatest(a.x, b.x)) * grea
 SUPPRESSED = f"""WITH {BOXES} SELECT document_id, page_number, seq FROM boxes a WHERE kind = 'text'
   AND NOT EXISTS (SELECT 1 FROM boxes b WHERE b.kind = 'figure' AND b.document_id = a.document_id AND b.page_number = a.page_number AND {WIDE} >= 0.5)"""
 EXCLUSION = f"""WITH {BOXES}, o AS (SELECT *, seq % 5 = 0 AS m, w / 8 AS bw, (w / 8) * h / (550.0 * 120.0) AS share FROM boxes)
-SELECT CASE WHEN w - 22 <= 0 OR h <= 0 THEN 'invalid_pixel_size' WHEN (w - 22 < 8 OR h < 8) AND NOT m THEN 'tiny_decoration' WHEN share >= 0.9 AND NOT m THEN 'full_page_background' WHEN bw * h < 120 AND NOT m THEN 'tiny_decoration'
-  WHEN (y + h <= 9.6 OR y >= 110.4) AND NOT m AND share < 0.05 THEN 'edge_icon' ELSE 'kept' END AS reason, count(*) AS n FROM o GROUP BY 1"""
+SELECT document_id, seq, CASE WHEN w - 22 <= 0 OR h <= 0 THEN 'invalid_pixel_size' WHEN (w - 22 < 8 OR h < 8) AND NOT m THEN 'tiny_decoration' WHEN share >= 0.9 AND NOT m THEN 'full_page_background' WHEN bw * h < 120 AND NOT m THEN 'tiny_decoration'
+  WHEN (y + h <= 9.6 OR y >= 110.4) AND NOT m AND share < 0.05 THEN 'edge_icon' ELSE 'kept' END AS reason FROM o"""
 ASSOCIATION = f"""WITH {BOXES}, p AS (
   SELECT a.document_id, a.page_number, a.seq AS a_seq, b.seq AS b_seq, CASE WHEN b.kind = 'text' THEN 1 ELSE 0 END AS kind_rank, b.y - (a.y + a.h) AS gap, abs((a.x + a.w / 2.0) - (b.x + b.w / 2.0)) AS center,
     greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) AS inter, a.w AS fw, b.w AS tw, b.y >= a.y + a.h * 0.5 AS below
@@ -277,13 +280,13 @@ VIOLATIONS = """SELECT c_custkey, unnest(list_filter([CASE WHEN NOT c_acctbal >=
 FIRST_BY_KEY = f"WITH {BOXES}, r AS (SELECT *, row_number() OVER (PARTITION BY document_id, kind ORDER BY page_number, seq) AS r FROM boxes) SELECT document_id, kind, seq FROM r WHERE r = 1"
 BUDGET = "WITH r AS (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS rank FROM part) SELECT * FROM r WHERE rank <= 5"
 PRELIMINARY = r"""WITH own AS (
-  SELECT doc_id % 6 + 1 AS page, len(regexp_extract_all(text, '[.·…]{4,}\s*[0-9]+')) >= 3 AS toc, len(list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g') <> '')) AS n, regexp_matches(text, '(?m)^[0-9]{1,3}[.、)]') AS numbered FROM documents),
-p AS (SELECT toc, NOT numbered AND (toc OR page <= 3 AND n <= 2) AS preliminary FROM own)
-SELECT preliminary, CAST(CASE WHEN preliminary AND toc THEN 0.0 WHEN preliminary THEN 0.15 ELSE 1.0 END AS DOUBLE) AS search_weight, count(*) AS n FROM p GROUP BY ALL"""
+  SELECT doc_id, doc_id % 6 + 1 AS page, len(regexp_extract_all(text, '[.·…]{4,}\s*[0-9]+')) >= 3 AS toc, len(list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g') <> '')) AS n, regexp_matches(text, '(?m)^[0-9]{1,3}[.、)]') AS numbered FROM documents),
+p AS (SELECT doc_id, toc, NOT numbered AND (toc OR page <= 3 AND n <= 2) AS preliminary FROM own)
+SELECT doc_id, preliminary, CAST(CASE WHEN preliminary AND toc THEN 0.0 WHEN preliminary THEN 0.15 ELSE 1.0 END AS DOUBLE) AS search_weight FROM p"""
 IN_SCOPE = "SELECT p_partkey FROM part WHERE (contains(p_brand, '1') OR contains(p_brand, '2')) AND (contains(p_name, 'a') OR contains(p_name, 'e')) AND (CAST(p_partkey AS VARCHAR) LIKE '1%' OR CAST(p_partkey AS VARCHAR) LIKE '3%')"
 EFFECTIVE = rf"""WITH {LINES}, o AS (
-  SELECT text, length(regexp_replace(text, '[^0-9A-Za-z]', '', 'g')) AS alnum, length(regexp_replace(text, '[\p{{L}}\p{{N}}_一-鿿]', '', 'g')) AS odd FROM lines)
-SELECT text NOT IN ('[]', '{{}}', 'null', 'None', 'nan', 'N/A') AND length(text) > 1 AND (regexp_matches(text, '[一-鿿]') OR alnum >= 3 AND odd <= greatest(2, length(text) // 2)) AS ok, count(*) AS n FROM o GROUP BY 1"""
+  SELECT doc_id, reading_order, text, length(regexp_replace(text, '[^0-9A-Za-z]', '', 'g')) AS alnum, length(regexp_replace(text, '[\p{{L}}\p{{N}}_一-鿿]', '', 'g')) AS odd FROM lines)
+SELECT doc_id AS document_id, reading_order, text NOT IN ('[]', '{{}}', 'null', 'None', 'nan', 'N/A') AND length(text) > 1 AND (regexp_matches(text, '[一-鿿]') OR alnum >= 3 AND odd <= greatest(2, length(text) // 2)) AS ok FROM o"""
 FALLBACK = r"""WITH n AS (SELECT *, trim(regexp_replace(regexp_replace(p_name, '[^\p{L}\p{N}]', ' ', 'g'), ' +', ' ', 'g')) AS name, trim(regexp_replace(regexp_replace(p_type, '[^\p{L}\p{N}]', ' ', 'g'), ' +', ' ', 'g')) AS kind,
   trim(regexp_replace(regexp_replace(string_split(p_name, ' ')[1], '[^\p{L}\p{N}]', ' ', 'g'), ' +', ' ', 'g')) AS key FROM part),
 p AS (SELECT i.p_partkey AS item_id, e.p_partkey AS entry_id, e.p_size AS position, e.p_size % 30 = i.p_partkey % 30 AS dominant,
@@ -304,7 +307,7 @@ NEXT_NUMBERS = """SELECT p_partkey, p_size || '.' || CASE WHEN p_partkey % 2 = 0
 STYLE = rf"""WITH {LINES}, n AS (
   SELECT doc_id AS document_id, count(*) FILTER (regexp_matches(text, '^[AT]')) AS articles, count(*) FILTER (regexp_matches(text, '^[EO]n')) AS appendices, count(*) FILTER (regexp_matches(text, '(?i)^the ')) AS chapters, count(*) FILTER (regexp_matches(text, '[0-9]')) AS sections FROM lines GROUP BY 1)
 SELECT *, CASE WHEN articles >= 3 AND appendices >= 1 THEN 'table_appended_regulatory' WHEN articles >= 3 OR chapters >= 1 OR sections >= 2 THEN 'rule_provisions' ELSE 'standard_text' END AS style FROM n"""
-CLUSTER_KEYS = "SELECT replace(p_type, ' ', '') AS key, count(*) AS n FROM part GROUP BY 1"
+CLUSTER_KEYS = "SELECT p_partkey, replace(p_type, ' ', '') AS key FROM part"
 
 # fixed texts, each with what the rules make of it; parts stand for their rows
 TEXTS = ("Cafe\u0301，图 1-2 与表３", "图1.1 图11 附图二", "检查 设备 隔离开关\u3000的A\u030a", "\uf900\n  - x", "")
