@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.roles import anchor, loose_page_marker
-from quire.functions.text import CJK, FIGURE_LABEL, LABEL, compact, fingerprint, labels, match_tokens, matches_of, number_chain, replace_leading_number, semantic_similarity, single_line, strip, text_or_empty
+from quire.functions.text import CJK, FIGURE_LABEL, LABEL, base_name, compact, fingerprint, labels, match_tokens, matches_of, number_chain, replace_leading_number, semantic_similarity, single_line, strip, text_or_empty
 from quire.operators.align import align_items
 from quire.operators.groups import by_group
 
@@ -182,6 +182,17 @@ def overlaid(blocks: DataFrame, source: DataFrame, least: int = 180) -> DataFram
     return by_group(pairs, ["document_id", "page_number"], ["a_seq", "b_seq"], run, f"{keys}, seq long, source_seq long, score long")
 
 
+def overlaid_pictures(blocks: DataFrame, source: DataFrame) -> DataFrame:
+    """J12, pictures: each block takes the first source block of its page whose picture has the same file name, whatever the case.
+
+    Both: document_id, page_number, seq, uri. Rows document_id, page_number, seq, source_seq.
+    """
+    key = ["document_id", "page_number", "name"]
+    side = lambda rows: rows.withColumn("name", F.lower(base_name(F.col("uri")))).where("name <> ''")
+    first = side(source).groupBy(*key).agg(F.min("seq").alias("source_seq"))
+    return side(blocks).join(first, key).select("document_id", "page_number", "seq", "source_seq")
+
+
 def rebound(matches: DataFrame, current: DataFrame, score: int = 6, hits: int = 2) -> DataFrame:
     """Snapshots whose best entry beats the one they have by `score` points or `hits` hits, and isn't it."""
     own = current.select("fragment_id", F.col("entry_id").alias("old_entry"), F.col("score").alias("old_score"), F.col("hits").alias("old_hits"))

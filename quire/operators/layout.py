@@ -118,6 +118,15 @@ def merged_tables(native: DataFrame, visual: DataFrame, least: float = 0.3) -> D
     return kept.unionByName(alone.select(*PAGE, "seq", *"xywh", F.lit("image_only").alias("status"), F.lit(True).alias("visual_matched")))
 
 
+def figure_pictures(embedded: DataFrame, visual: DataFrame, least: float = 0.35) -> DataFrame:
+    """Embedded pictures, with the visual figure that each takes (the first free one that covers 35 % of it); visual
+    figures that none took are to be cropped from the page."""
+    links = first_fit(embedded, visual, lambda a, b: overlap_ratio(a, b) >= least)
+    own = embedded.join(links.withColumnRenamed("left_seq", "seq"), [*PAGE, "seq"], "left")
+    alone = visual.join(links.withColumnRenamed("right_seq", "seq"), [*PAGE, "seq"], "left_anti")
+    return own.select(*PAGE, "seq", *"xywh", "right_seq", F.lit("embedded").alias("asset_source")).unionByName(alone.select(*PAGE, "seq", *"xywh", F.lit(None).cast("long").alias("right_seq"), F.lit("page_crop").alias("asset_source")))
+
+
 def matched_versions(old: DataFrame, new: DataFrame, least: float = 0.3) -> DataFrame:
     """Tables of two versions of a page: by overlap first-fit, then the i-th with the i-th if that is free; leftovers of both."""
     tagged = old.withColumn("side", F.lit(0)).unionByName(new.withColumn("side", F.lit(1)))

@@ -150,6 +150,12 @@ def digest(entries: DataFrame, by: str = "document_id") -> DataFrame:
     return entries.groupBy(by).agg(item.alias("i")).select(by, F.sha2(F.array_join(F.transform("i", lambda x: x["t"]), "\n"), 256).alias("sha256"))
 
 
+def compared(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Documents of two snapshots (digest()'s rows, or any with document_id and sha256): same, changed, only_old, only_new."""
+    both = old.select("document_id", F.col("sha256").alias("before")).join(new.select("document_id", F.col("sha256").alias("after")), "document_id", "full_outer")
+    return both.select("document_id", F.when(F.col("after").isNull(), "only_old").when(F.col("before").isNull(), "only_new").when(F.col("before") == F.col("after"), "same").otherwise("changed").alias("status"))
+
+
 def preliminary(entries: DataFrame) -> DataFrame:
     """Covers and tables of contents are kept out of search; weights 0, 0.15 and 1.
 

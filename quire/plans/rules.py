@@ -376,3 +376,37 @@ TURN_AUDIT = """SELECT conv_id AS document_id, count(*) AS blocks, count(*) FILT
 @query("a08_audit", TURN_AUDIT)
 def _(spark, d):
     return metrics.semantic_audit(turns(spark, d)).select("document_id", "blocks", "headings")
+
+
+OVERLAID = f"""WITH {sql.BOXES}, o AS (SELECT document_id, page_number, seq, kind, 'img_' || (x % 4) AS name FROM boxes), f AS (SELECT document_id, page_number, name, min(seq) AS source_seq FROM o WHERE kind = 'figure' GROUP BY 1, 2, 3)
+SELECT o.document_id, o.page_number, o.seq, source_seq FROM o JOIN f USING (document_id, page_number, name) WHERE o.kind <> 'figure'"""
+
+
+@query("j12_pictures", OVERLAID)
+def _(spark, d):
+    name = F.concat(F.lit("img_"), (F.col("x") % 4).cast("string"), F.lit(".png"))
+    own = boxes(spark, d)
+    return kb.overlaid_pictures(own.where("kind <> 'figure'").withColumn("uri", F.concat(F.lit("a/"), name)), own.where("kind = 'figure'").withColumn("uri", F.concat(F.lit("file:///b/"), F.upper(name), F.lit("?v=1"))))
+
+
+COVERING = sql.OVERLAPPING.replace("(kind)", "caption").replace(f" OR {sql.SHARED} >= (least) * greatest(1, b.w * b.h)", "").replace("(least)", "0.1")
+CROPS = f"""WITH RECURSIVE {sql.BOXES}, {COVERING},
+{sql.FIRST_FIT.replace("(order)", "a_seq, b_seq").replace("(counts)", "TRUE")}
+SELECT a.document_id, a.page_number, a.seq, a.x, a.y, a.w, a.h, coalesce(l.b_seq, -1) AS right_seq, 'embedded' AS asset_source FROM boxes a LEFT JOIN link l ON l.document_id = a.document_id AND l.page_number = a.page_number AND l.a_seq = a.seq WHERE a.kind = 'figure'
+UNION ALL SELECT b.document_id, b.page_number, b.seq, b.x, b.y, b.w, b.h, -1, 'page_crop' FROM boxes b LEFT JOIN link l ON l.document_id = b.document_id AND l.page_number = b.page_number AND l.b_seq = b.seq WHERE b.kind = 'caption' AND l.b_seq IS NULL"""
+
+
+@query("j04_pictures", CROPS)
+def _(spark, d):
+    own = layout.figure_pictures(boxes(spark, d, "figure").drop("score", "kind"), boxes(spark, d, "caption").drop("score", "kind"), 0.1)
+    return own.withColumn("right_seq", F.coalesce("right_seq", F.lit(-1)))
+
+
+SNAPSHOT_DIFF = """SELECT conv_id AS document_id, CASE WHEN conv_id % 5 = 0 THEN 'only_old' WHEN conv_id % 7 = 0 THEN 'only_new' WHEN conv_id % 3 = 0 THEN 'changed' ELSE 'same' END AS status FROM (SELECT DISTINCT conv_id FROM conversations) WHERE conv_id % 35 <> 0"""
+
+
+@query("a16_snapshots", SNAPSHOT_DIFF)
+def _(spark, d):
+    own = segment.entries(turns(spark, d), "heading")
+    other = own.where("document_id % 5 <> 0").withColumn("content", F.when(F.col("document_id") % 3 == 0, F.concat("content", F.lit(" more"))).otherwise(F.col("content")))
+    return metrics.compared(metrics.digest(own.where("document_id % 7 <> 0")), metrics.digest(other))
