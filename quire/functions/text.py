@@ -59,7 +59,7 @@ def normal_form(c: Column, compatible: bool = False) -> Column:
     """Unicode's composed form (NFC, or NFKC if compatible), by the library that Spark's collations use.
 
     Only texts with characters that it may change are handed over. Reflection makes the expression one that Spark won't
-    move, so it can't stand in a join's condition.
+    move, so it can't stand in a join's condition or an aggregate.
     """
     own = text_or_empty(c)
     made = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), own, F.lit(compatible))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.roles import anchor, loose_page_marker
-from quire.functions.text import CJK, FIGURE_LABEL, LABEL, base_name, compact, fingerprint, labels, match_tokens, matches_of, number_chain, replace_leading_number, semantic_similarity, single_line, strip, text_or_empty
+from quire.functions.text import CJK, FIGURE_LABEL, LABEL, base_name, compact, fingerprint, labels, match_tokens, matches_of, number_chain, replace_leading_number, semantic_similarity, single_line, squeeze, strip, text_or_empty
 from quire.operators.align import align_items
 from quire.operators.groups import by_group
 
@@ -226,16 +226,68 @@ def heading_hints(crops: DataFrame, hints: DataFrame, radius: int = 2) -> DataFr
     return by_group(sides, ["document_id"], ["page_number", "seq", "side"], run, f"document_id {kind}, page_number long, seq long, hint_page long, heading string")
 
 
-def anchor_score(text: Column, above: Column, below: Column, gap: Column, overlap: Column, kind: Column, target: Column) -> Column:
-    """How well a text block of a page names a picture: where it stands, its label, and words of its kind."""
+# Words of a reference, and words of captions that may stand in a line of their own.
+REFERENCE_HINT, FRAGMENT_NAMES = "见|如|参见|所示|示例图|示意图|接线图|布置图|明细表", "示例图|示意图|接线图|布置图|明细表"
+
+
+def anchor_score(text: Column, above: Column, below: Column, gap: Column, overlap: Column, kind: Column, target: Column, reference: bool = False) -> Column:
+    """How well a text block of a page names a picture (or, if reference, refers to it): where it stands, its label, and words
+    of its kind."""
     own = F.try_element_at(labels(text, LABEL), F.lit(1))
     score = F.when(above, 120).when(below, 85).otherwise(70) - F.least(F.lit(260), gap.cast("int")) + F.floor(overlap * 90).cast("int")
     known, asked = own.isNotNull(), text_or_empty(target) != ""
-    score = score + F.when(known & asked, F.when(own == target, 260).when(F.contains(target, own), 170).otherwise(0)).when(known, 140).otherwise(0)
+    within = F.contains(target, own) | F.contains(compact(text), target)
+    score = score + F.when(known & asked, F.when(own == target, 260).when(within, 170).otherwise(0)).when(known, 140).otherwise(0)
     table, legend = kind == "table", kind == "legend"
-    figure = any_of(text, (*FIGURE_WORDS, "图"))
-    score = score + F.when(known, 150).otherwise(0) + F.when(table & any_of(text, TABLE_WORDS), 90).when(legend & figure, 80).otherwise(0)
-    return score - F.when(legend & ~known & ~any_of(text, (*FIGURE_WORDS, "明细表")), 220).otherwise(0) - F.when(table & ~known & ~any_of(text, ("表",)), 180).otherwise(0) - F.when(F.length(text) <= 2, 180).otherwise(0)
+    if reference:
+        words = F.when(table & any_of(text, ("明细表",)), 80).when(legend & any_of(text, FIGURE_WORDS), 70).otherwise(0)
+        score = score + F.when(any_of(text, (REFERENCE_HINT,)), 180).otherwise(0) + words
+    else:
+        figure = any_of(text, (*FIGURE_WORDS, "图"))
+        score = score + F.when(known, 150).otherwise(0) + F.when(table & any_of(text, TABLE_WORDS), 90).when(legend & figure, 80).otherwise(0)
+        score = score - F.when(legend & ~known & ~any_of(text, (*FIGURE_WORDS, "明细表")), 220).otherwise(0) - F.when(table & ~known & ~any_of(text, ("表",)), 180).otherwise(0)
+    return score - F.when(F.length(text) <= 2, 180).otherwise(0)
+
+
+def with_context(texts: DataFrame) -> DataFrame:
+    """Texts of a page with what belongs to them: the block before, if it ends in 见 or 如 or is a caption's rest, and a short
+    one after that refers or has a label. Adds context."""
+    order = Window.partitionBy("document_id", "entry_id", "page_number").orderBy("seq")
+    text = strip(text_or_empty(F.col("text")))
+    own = texts.withColumns({"__t": text, "__p": F.lag(text).over(order), "__n": F.lead(text).over(order), "__up": F.col("y") - F.lag(F.col("y") + F.col("h")).over(order), "__down": F.lead("y").over(order) - F.col("y") - F.col("h")})
+    named = lambda c: F.size(labels(c, LABEL)) > 0
+    rest = named(F.col("__t")) & (F.length("__p") <= 24) & F.col("__p").rlike(FRAGMENT_NAMES)
+    before = F.when((F.greatest(F.lit(0), "__up") <= 60) & (F.col("__p").rlike("(见|如|参见)$") | rest), F.col("__p"))
+    after = F.when((F.greatest(F.lit(0), "__down") <= 42) & (F.length("__n") <= 32) & (F.col("__n").rlike(REFERENCE_HINT) | named(F.col("__n")) | (F.length("__t") <= 16)), F.col("__n"))
+    merged = single_spaced(F.concat_ws(" ", F.nullif(before, F.lit("")), "__t", F.nullif(after, F.lit(""))))
+    return own.withColumn("context", F.when(F.col("__t") != "", merged)).drop("__t", "__p", "__n", "__up", "__down")
+
+
+def single_spaced(c: Column) -> Column:
+    return strip(squeeze(c))
+
+
+def visual_anchors(visuals: DataFrame, texts: DataFrame, entries: DataFrame) -> DataFrame:
+    """For each visual the text of its page that best refers to it and the one that best names it, the first of equals; where
+    the page has none, the entry's title.
+
+    visuals: document_id, entry_id, page_number, seq, kind, caption, x, y, w, h. texts: those but kind and caption, and text.
+    entries: document_id, entry_id, title. Rows document_id, entry_id, seq, anchor_text, heading_text.
+    """
+    page = ["document_id", "entry_id", "page_number"]
+    side = lambda rows, p, more: rows.select(*page, *[F.col(c).alias(f"{p}_{c}") for c in ("seq", *more, "x", "y", "w", "h")])
+    pairs = side(visuals, "v", ("kind", "caption")).join(side(with_context(texts).where("context is not null"), "t", ("context",)), page)
+    above, below = F.col("t_y") + F.col("t_h") <= F.col("v_y"), F.col("t_y") >= F.col("v_y") + F.col("v_h")
+    gap = F.greatest(F.lit(0), F.col("v_y") - F.col("t_y") - F.col("t_h"), F.col("t_y") - F.col("v_y") - F.col("v_h"))
+    shared = F.greatest(F.lit(0), F.least(F.col("t_x") + F.col("t_w"), F.col("v_x") + F.col("v_w")) - F.greatest("t_x", "v_x"))
+    base = F.least("t_w", "v_w")
+    label = F.coalesce(F.try_element_at(labels(F.col("v_caption"), LABEL), F.lit(1)), F.lit(""))
+    score = lambda reference: anchor_score(F.col("t_context"), above, below, gap, F.when(base > 0, shared / base).otherwise(0.0), F.col("v_kind"), label, reference)
+    scored = pairs.withColumns({"reference": -score(True), "name": -score(False)})
+    best = lambda c: F.min(F.struct(c, "t_seq", "t_context"))["t_context"]
+    found = scored.groupBy("document_id", "entry_id", F.col("v_seq").alias("seq")).agg(best("reference").alias("anchor"), best("name").alias("heading"))
+    own = visuals.select("document_id", "entry_id", "seq").join(found, ["document_id", "entry_id", "seq"], "left").join(entries.select("document_id", "entry_id", F.substring("title", 1, 120).alias("title")), ["document_id", "entry_id"], "left")
+    return own.select("document_id", "entry_id", "seq", F.substring(F.coalesce("anchor", "title", F.lit("")), 1, 160).alias("anchor_text"), F.substring(F.coalesce("heading", "title", F.lit("")), 1, 160).alias("heading_text"))
 
 
 def page_owners(blocks: DataFrame, entries: DataFrame) -> DataFrame:

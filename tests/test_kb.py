@@ -72,6 +72,15 @@ def test_overlay_and_anchor(spark):
     assert score("一般说明文字", "table", "") == 120 - 10 + 45 - 180
 
 
+def test_texts_that_name_a_visual(spark):
+    box = "x int, y int, w int, h int"
+    texts = spark.createDataFrame([(1, "e", 1, 1, "一般说明", 0, 0, 100, 10), (1, "e", 1, 2, "系统构成见", 0, 100, 100, 10), (1, "e", 1, 3, "图3 接线图", 0, 120, 100, 10), (1, "e", 1, 4, "正文内容很长很长很长很长很长很长很长很长", 0, 400, 100, 10), (1, "e", 1, 5, " ", 0, 410, 100, 10)], f"document_id int, entry_id string, page_number int, seq int, text string, {box}")
+    visuals = spark.createDataFrame([(1, "e", 1, 9, "legend", "图3", 0, 140, 100, 200), (1, "e", 2, 10, "table", "", 0, 0, 10, 10), (1, "f", 1, 11, "table", "", 0, 0, 10, 10)], f"document_id int, entry_id string, page_number int, seq int, kind string, caption string, {box}")
+    entries = spark.createDataFrame([(1, "e", "第一章")], "document_id int, entry_id string, title string")
+    got = {r.seq: (r.anchor_text, r.heading_text) for r in kb.visual_anchors(visuals, texts, entries).collect()}
+    assert got == {9: ("系统构成见 图3 接线图", "系统构成见 图3 接线图"), 10: ("第一章", "第一章"), 11: ("", "")}
+
+
 def test_moves(spark):
     blocks = spark.createDataFrame([(1, "a", 9, 2), (1, "a", 3, 2), (1, "a", 8, 2)], "document_id int, entry_id string, block_page int, entry_page int")
     entries = spark.createDataFrame([(1, "b", 9, 1), (1, "c", 9, 2), (1, "d", 3, 3)], "document_id int, entry_id string, page_number int, position int")
