@@ -530,7 +530,7 @@ def _(spark, d):
     return tables.keyed_diff(*ad.cells(ad.table(spark, d, "lineitem")))
 
 
-@query("j07_cell_diff")
+@query("j07_cell_diff", sql.CELL_DIFF)
 def _(spark, d):
     return tables.cell_diff(*ad.cells(ad.table(spark, d, "lineitem")))
 
@@ -645,7 +645,7 @@ def _(spark, d):
     return ad.table(spark, d, "part").select("p_partkey", tx.next_section_number(chapter, current).alias("next"), kb.full_clause(F.concat(F.lit("."), F.col("p_partkey") % 9, F.lit(".2 x")), chapter, current).alias("clause"))
 
 
-@query("j21_heading_hints")
+@query("j21_heading_hints", sql.HEADING_HINTS)
 def _(spark, d):
     own = boxes(spark, d).withColumn("page_number", F.col("seq"))
     return kb.heading_hints(own.where("kind <> 'text'"), own.where("kind = 'text'").withColumn("text", F.concat(F.lit("t"), F.col("seq").cast("string"))))

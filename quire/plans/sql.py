@@ -423,3 +423,23 @@ counted AS (SELECT count(*) FILTER (t) AS tables, count(*) FILTER (t AND structu
 kinds AS (SELECT count(*) AS "references", count(*) FILTER (status = 'resolved') AS references_resolved, count(*) FILTER (status = 'unresolved') AS references_unresolved, count(*) FILTER (status = 'ambiguous') AS references_ambiguous, count(DISTINCT (document_id, target_id)) FILTER (status = 'resolved') AS referenced_figures FROM resolved),
 found AS (SELECT name, CAST(value AS DOUBLE) AS value FROM (UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM counted) ON COLUMNS(*) INTO NAME name VALUE value))
 SELECT name, value FROM found UNION ALL SELECT name, value FROM (UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM kinds) ON COLUMNS(*) INTO NAME name VALUE value)"""
+
+HEADING_HINTS = f"""WITH RECURSIVE {BOXES}, h AS (SELECT document_id AS d, seq AS page, seq, 't' || seq AS heading, kind FROM boxes WHERE kind = 'text'),
+c AS (SELECT document_id AS d, seq AS page, seq, kind, row_number() OVER (PARTITION BY document_id ORDER BY seq) AS n FROM boxes WHERE kind <> 'text'),
+walk AS (
+  SELECT d, CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS used, CAST(NULL AS BIGINT) AS pick FROM c GROUP BY d
+  UNION ALL
+  SELECT d, n, CASE WHEN pick IS NULL THEN used ELSE list_append(used, pick) END, pick FROM (
+    SELECT w.d, c.n, w.used, (SELECT min(CASE WHEN h.kind <> c.kind THEN 1000000000000 ELSE 0 END + abs(h.page - c.page) * 1000000000 + h.page * 1000000 + h.seq) FROM h WHERE h.d = c.d AND abs(h.page - c.page) <= 2 AND NOT list_contains(w.used, h.seq)) % 1000000 AS pick
+    FROM walk w JOIN c ON c.d = w.d AND c.n = w.n + 1))
+SELECT c.d AS document_id, c.page AS page_number, c.seq, h.page AS hint_page, h.heading FROM walk w JOIN c USING (d, n) JOIN h ON h.d = w.d AND h.seq = w.pick"""
+CELL_DIFF = f"""{KEYED_DIFF[: KEYED_DIFF.rindex("SELECT table_id")].replace("WITH ", "WITH RECURSIVE ", 1).rstrip()},
+k AS (SELECT *, row_number() OVER (PARTITION BY table_id ORDER BY row, col) AS i FROM s),
+walk AS (
+  SELECT table_id, CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS old_used, CAST([] AS BIGINT[]) AS new_used, FALSE AS taken, CAST(NULL AS BIGINT) AS free FROM k GROUP BY table_id
+  UNION ALL
+  SELECT table_id, i, list_concat(old_used, CASE WHEN status <> 'only_new' THEN [i] WHEN free IS NOT NULL THEN [free] ELSE [] END), list_concat(new_used, CASE WHEN status <> 'only_old' THEN [i] WHEN free IS NOT NULL THEN [free] ELSE [] END), taken, free FROM (
+    SELECT *, CASE WHEN taken THEN NULL WHEN status = 'only_old' THEN (SELECT min(x.i) FROM k x WHERE x.table_id = t.table_id AND x.new_text = t.old_text AND NOT list_contains(t.new_used, x.i)) WHEN status = 'only_new' THEN (SELECT min(x.i) FROM k x WHERE x.table_id = t.table_id AND x.old_text = t.new_text AND NOT list_contains(t.old_used, x.i)) END AS free FROM (
+      SELECT w.table_id, k.i, w.old_used, w.new_used, k.status, k.old_text, k.new_text, k.status = 'only_old' AND list_contains(w.old_used, k.i) OR k.status = 'only_new' AND list_contains(w.new_used, k.i) AS taken FROM walk w JOIN k ON k.table_id = w.table_id AND k.i = w.i + 1) t))
+SELECT k.table_id, k.row, k.col, CASE WHEN w.taken THEN 'taken' WHEN w.free IS NOT NULL THEN 'moved' ELSE k.status END AS status, CASE WHEN w.free IS NOT NULL THEN 'position' WHEN k.status = 'changed' THEN k.f END AS fields, k.old_text, k.new_text, x.row || ',' || x.col AS moved_to
+FROM k JOIN walk w USING (table_id, i) LEFT JOIN k x ON x.table_id = k.table_id AND x.i = w.free"""
