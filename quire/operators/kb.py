@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.roles import anchor, loose_page_marker
-from quire.functions.text import CJK, FIGURE_LABEL, LABEL, base_name, compact, fingerprint, labels, match_tokens, matches_of, number_chain, replace_leading_number, semantic_similarity, single_line, squeeze, strip, text_or_empty
+from quire.functions.text import CJK, FIGURE_LABEL, LABEL, base_name, compact, fingerprint, labels, match_tokens, matches_of, number_chain, reference_labels, replace_leading_number, semantic_similarity, single_line, squeeze, strip, text_or_empty
 from quire.operators.align import align_items
 from quire.operators.groups import by_group
 
@@ -404,3 +404,51 @@ def nearest_pages(entries: DataFrame, targets: DataFrame, limit: int = 6) -> Dat
     pairs = entries.join(targets, "document_id").withColumn("apart", F.abs(F.col("page_number") - F.col("target_page")))
     order = Window.partitionBy("document_id", "target_page").orderBy("apart", "page_number", "entry_id")
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
+
+
+def snapshot_bridges(tables: DataFrame, pictures: DataFrame, entries: DataFrame) -> DataFrame:
+    """Snapshots of tables that go on from pictures of the page before: each moves to the earlier entry without a table whose
+    pictures there fit best, from 10 points on and 3 ahead of the next; the first of equals.
+
+    Points: 6, 4 or 2 for widths within 6, 12 or 20 %, 4 or 2 for left edges within 30 or 80 points, each picture; 5 for one that is
+    named as that page's, 2 for the only one, 2 for an entry that refers to labels, 8 for one that speaks of 明细表; less 1 for every
+    15 entries between, 6 at most. Judged on the input, each table by itself.
+
+    tables: document_id, entry_id, position, page_number, x, w. pictures: document_id, entry_id, page_number, x, w, uri. entries
+    (without tables): document_id, entry_id, position, content. Rows document_id, entry_id, target_id, score.
+    """
+    left = tables.select("document_id", F.col("entry_id").alias("source"), F.col("position").alias("at"), F.col("page_number").alias("page"), F.col("x").alias("tx"), F.col("w").alias("tw"))
+    right = pictures.select("document_id", "entry_id", (F.col("page_number") + 1).alias("page"), F.col("x").alias("px"), F.col("w").alias("pw"), base_name(F.col("uri")).alias("name"))
+    apart = F.abs(F.col("tw") - F.col("pw")) / F.greatest("tw", "pw")
+    edge = F.abs(F.col("tx") - F.col("px"))
+    width = F.when((F.col("tw") > 0) & (F.col("pw") > 0), F.when(apart <= 0.06, 6).when(apart <= 0.12, 4).when(apart <= 0.2, 2).otherwise(0)).otherwise(0)
+    match = width + F.when((F.col("tx") > 0) & (F.col("px") > 0), F.when(edge <= 30, 4).when(edge <= 80, 2).otherwise(0)).otherwise(0)
+    own = F.startswith(F.lower("name"), F.concat(F.lit("visual_p"), (F.col("page") - 1).cast("string"), F.lit("_")))
+    fits = left.where("page > 1").join(right, ["document_id", "page"]).groupBy("document_id", "source", "at", "entry_id").agg(F.count("*").alias("hits"), F.sum(match).alias("match"), F.max(own).alias("own"))
+    refers, listed = F.size(reference_labels(F.col("content"))) > 0, F.contains(compact(single_line(F.col("content"))), F.lit("明细表"))
+    known = entries.select("document_id", "entry_id", "position", (F.when(refers, 2).otherwise(0) + F.when(listed, 8).otherwise(0)).alias("said"))
+    pairs = fits.join(known, ["document_id", "entry_id"]).where(F.col("position") < F.col("at"))
+    score = F.col("match") + F.when(F.col("own"), 5).otherwise(0) + F.when(F.col("hits") == 1, 2).otherwise(0) + F.col("said") - F.least(F.lit(6), F.floor((F.col("at") - F.col("position")) / 15))
+    order = Window.partitionBy("document_id", "source").orderBy(F.desc("score"), "position", "entry_id")
+    ranked = pairs.withColumn("score", score).withColumns({"r": F.row_number().over(order), "second": F.lead("score").over(order)})
+    clear = (F.col("score") >= 10) & (F.col("second").isNull() | (F.col("score") - F.col("second") >= 3))
+    return ranked.where((F.col("r") == 1) & clear).select("document_id", F.col("source").alias("entry_id"), F.col("entry_id").alias("target_id"), F.col("score").cast("long").alias("score"))
+
+
+def legend_bridges(pictures: DataFrame) -> DataFrame:
+    """A table's entry whose first picture is legend_p{n}_... takes the one such picture of page n - 1 that stands in another
+    entry, if there is exactly one and no table's entry has any of that page; of entries that want the same page the first.
+
+    pictures: document_id, entry_id, position, is_table, uri. Rows document_id, entry_id, source_id, uri.
+    """
+    name = base_name(F.col("uri"))
+    page = F.regexp_extract(F.lower(name), r"legend_p(\d+)_idx\d+", 1)
+    own = pictures.withColumns({"page": F.when(page != "", page.try_cast("int")), "name": name}).where("page is not null")
+    first = own.where("is_table").groupBy("document_id", "entry_id", "position").agg((F.min(F.struct("page", "name"))["page"] - 1).alias("page"))
+    used = own.where("is_table").select("document_id", "page").distinct()
+    wanted = first.where("page > 0").join(used, ["document_id", "page"], "left_anti")
+    donors = own.select("document_id", "page", F.col("entry_id").alias("source_id"), "uri")
+    pairs = wanted.join(donors, ["document_id", "page"]).where(F.col("source_id") != F.col("entry_id"))
+    single = pairs.groupBy("document_id", "page", "entry_id", "position").agg(F.count("*").alias("n"), F.first("source_id").alias("source_id"), F.first("uri").alias("uri")).where("n = 1")
+    order = Window.partitionBy("document_id", "page").orderBy("position", "entry_id")
+    return single.withColumn("r", F.row_number().over(order)).where("r = 1").select("document_id", "entry_id", "source_id", "uri")

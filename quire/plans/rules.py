@@ -410,3 +410,32 @@ def _(spark, d):
     own = segment.entries(turns(spark, d), "heading")
     other = own.where("document_id % 5 <> 0").withColumn("content", F.when(F.col("document_id") % 3 == 0, F.concat("content", F.lit(" more"))).otherwise(F.col("content")))
     return metrics.compared(metrics.digest(own.where("document_id % 7 <> 0")), metrics.digest(other))
+
+
+BRIDGES = f"""WITH {sql.BOXES}, t AS (SELECT document_id, seq AS e, page_number + seq AS page, x, w FROM boxes WHERE kind = 'figure'), p AS (SELECT document_id, seq AS e, page_number + seq AS page, x, w, x % 2 = 0 AS own FROM boxes WHERE kind <> 'figure'),
+f AS (SELECT t.document_id, t.e AS source, p.e, count(*) AS hits, sum(CASE WHEN abs(t.w - p.w) / CAST(greatest(t.w, p.w) AS DOUBLE) <= 0.06 THEN 6 WHEN abs(t.w - p.w) / CAST(greatest(t.w, p.w) AS DOUBLE) <= 0.12 THEN 4 WHEN abs(t.w - p.w) / CAST(greatest(t.w, p.w) AS DOUBLE) <= 0.2 THEN 2 ELSE 0 END
+  + CASE WHEN t.x <= 0 OR p.x <= 0 THEN 0 WHEN abs(t.x - p.x) <= 30 THEN 4 WHEN abs(t.x - p.x) <= 80 THEN 2 ELSE 0 END) AS m, bool_or(own) AS own FROM t JOIN p ON p.document_id = t.document_id AND p.page = t.page - 1 AND t.page > 1 GROUP BY 1, 2, 3),
+g AS (SELECT *, m + CASE WHEN own THEN 5 ELSE 0 END + CASE WHEN hits = 1 THEN 2 ELSE 0 END + CASE e % 3 WHEN 0 THEN 10 WHEN 1 THEN 2 ELSE 0 END - least(6, (source - e) // 15) AS score FROM f WHERE e < source),
+r AS (SELECT *, row_number() OVER w AS r, lead(score) OVER w AS second FROM g WINDOW w AS (PARTITION BY document_id, source ORDER BY score DESC, e))
+SELECT document_id, source AS entry_id, e AS target_id, CAST(score AS BIGINT) AS score FROM r WHERE r = 1 AND score >= 10 AND (second IS NULL OR score - second >= 3)"""
+
+
+@query("j15_snapshot_bridges", BRIDGES)
+def _(spark, d):
+    own = boxes(spark, d).withColumns({"entry_id": F.col("seq"), "position": F.col("seq"), "page_number": F.col("page_number") + F.col("seq")})
+    prefix = F.when(F.col("x") % 2 == 0, "a/Visual_p").otherwise("a/other_p")
+    said = F.when(F.col("seq") % 3 == 0, "见图1的明细表").when(F.col("seq") % 3 == 1, "如图2").otherwise("无")
+    return kb.snapshot_bridges(own.where("kind = 'figure'"), own.where("kind <> 'figure'").withColumn("uri", F.concat(prefix, F.col("page_number").cast("string"), F.lit("_1.png"))), own.where("kind <> 'figure'").withColumn("content", said))
+
+
+LEGENDS = f"""WITH {sql.BOXES}, o AS (SELECT document_id, seq AS e, kind = 'figure' AS t, seq + page_number AS page, seq FROM boxes),
+f AS (SELECT document_id, e, min(page) - 1 AS page FROM o WHERE t GROUP BY 1, 2), w AS (SELECT * FROM f WHERE page > 0 AND NOT EXISTS (SELECT 1 FROM o WHERE o.t AND o.document_id = f.document_id AND o.page = f.page)),
+p AS (SELECT w.document_id, w.page, w.e, count(*) AS n, min(o.e) AS source, min(o.seq) AS seq FROM w JOIN o ON o.document_id = w.document_id AND o.page = w.page AND o.e <> w.e GROUP BY 1, 2, 3),
+r AS (SELECT *, row_number() OVER (PARTITION BY document_id, page ORDER BY e) AS r FROM p WHERE n = 1)
+SELECT document_id, e AS entry_id, source AS source_id, 'x/legend_p' || page || '_idx' || seq || '.png' AS uri FROM r WHERE r = 1"""
+
+
+@query("j15_legend_bridges", LEGENDS)
+def _(spark, d):
+    uri = F.concat(F.lit("x/legend_p"), (F.col("seq") + F.col("page_number")).cast("string"), F.lit("_idx"), F.col("seq").cast("string"), F.lit(".png"))
+    return kb.legend_bridges(boxes(spark, d).select("document_id", F.col("seq").alias("entry_id"), F.col("seq").alias("position"), (F.col("kind") == "figure").alias("is_table"), uri.alias("uri")))
