@@ -46,15 +46,20 @@ class Index:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Each key's place in the table; -1 if it isn't there."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int32)
         bucket = ((keys * ODD) >> self.shift).astype(np.int64)
-        at, end = self.start[bucket], self.start[bucket + 1]
-        out, todo = np.full(len(keys), -1, np.int32), np.flatnonzero(at < end)
-        while len(todo):
-            spot = at[todo]
-            hit = self.keys[spot] == keys[todo]
-            out[todo[hit]] = spot[hit]
-            at[todo] += 1
-            todo = todo[~hit & (at[todo] < end[todo])]
+        spot = np.minimum(self.start[bucket], len(self.keys) - 1)
+        out = np.where(self.keys[spot] == keys, spot, np.int32(-1))
+        todo = np.flatnonzero(out < 0)  # most keys are the first of their bucket
+        at, end = self.start[bucket[todo]] + 1, self.start[bucket[todo] + 1]
+        live = at < end
+        while live.any():
+            todo, at, end = todo[live], at[live], end[live]
+            hit = self.keys[at] == keys[todo]
+            out[todo[hit]] = at[hit]
+            at += 1
+            live = ~hit & (at < end)
         return out
 
 
