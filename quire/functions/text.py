@@ -19,8 +19,10 @@ LEADING_LABELS = (r"^(?:附件|附表|表|图)\s*[0-9一二三四五六七八九
 ALLOWED_PUNCTUATION = "，。；：？！、,.:;!?%（）()[]【】<>《》“”‘’+-—_/\\|=~*&@#·…'\""
 SUSPICIOUS = "�□■▢◻◼◾◽¦¤§"
 CJK = "一-鿿"
-#: White space, as the inside of a regex class.
-WHITE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: White space, as the inside of a regex class. Single Latin characters are one table look-up there, and one range keeps most
+#: others from being compared to what follows it.
+LATIN_WHITE, OTHER_WHITE = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x20\x85\xa0", r"\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WHITE = rf"{LATIN_WHITE}[\u1680-\u3000&&[{OTHER_WHITE}]]"
 WHITE_CHARS = "".join(map(chr, [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
@@ -68,7 +70,7 @@ def normal_form(c: Column, compatible: bool = False) -> Column:
 
 def search_normal(c: Column) -> Column:
     """Composed letters, digits and line breaks stay, all else is a space; spaces are squeezed and dropped around line breaks."""
-    c = F.regexp_replace(normal_form(c), r"[^\p{L}\p{N}\n]+", " ")
+    c = F.regexp_replace(normal_form(c), r"[^a-zA-Z0-9\n\p{L}\p{N}]+", " ")
     return strip(F.regexp_replace(c, r" *\n *", "\n"))
 
 
@@ -93,7 +95,7 @@ def fingerprint(c: Column) -> Column:
 
 
 #: What parts the characters of a printed watermark, as the inside of a regex class.
-WATERMARK_GAP = rf"{WHITE}\-_—–~〜·•,，.。:：;；|/\\（）()"
+WATERMARK_GAP = rf"{LATIN_WHITE}\-_~·,.:;|/\\()[\u1680-\uff1b&&[{OTHER_WHITE}—–〜•，。：；（）]]"
 
 
 def watermark_compact(c: Column) -> Column:
@@ -210,7 +212,7 @@ def suspicion(c: Column) -> Column:
     """
     own = text_or_empty(c)
     raw = F.when(F.contains(own, F.lit("[IMAGE_REF:")), F.regexp_replace(own, r"\[IMAGE_REF:[^\]]+\]", "")).otherwise(own)
-    symbols = lambda v: F.struct(v["raw"].alias("raw"), v["own"].alias("own"), F.regexp_replace(v["own"], rf"[\p{{L}}\p{{N}}{CJK}]+", "").alias("symbols"))
+    symbols = lambda v: F.struct(v["raw"].alias("raw"), v["own"].alias("own"), F.regexp_replace(v["own"], rf"[a-zA-Z0-9\p{{L}}\p{{N}}{CJK}]+", "").alias("symbols"))
     weird = lambda v: F.struct(v["raw"].alias("raw"), v["own"].alias("own"), v["symbols"].alias("symbols"), F.regexp_replace(v["symbols"], f"[{in_class(ALLOWED_PUNCTUATION)}]+", "").alias("weird"))
     parts = let(let(let(raw, lambda r: F.struct(r.alias("raw"), compact(r).alias("own"))), symbols), weird)
     return let(parts, lambda v: let(_counts(v["raw"], v["own"], v["symbols"], v["weird"]), lambda n: _judged(v["own"], n)))
