@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quire.llm.common import gram_hashes, slices, small_batches, trimmed, utf8, word_hashes
 
@@ -169,7 +170,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.4, bloc
     kind, item_kind = docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     schema = f"`{key}` {kind}, item_id {item_kind}, score double, start_word long, n_words long"
     own = docs.select(docs[key].alias(key), F.lower(docs[text]).alias("__text"))
-    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_kind]
+    kinds = to_arrow_type(items.schema[item_key].dataType)
 
     def found_by(index: Index) -> DataFrame:
         shared = spark.sparkContext.broadcast(index)

@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from quire.llm.common import give_back, gram_hashes, lean, materialize, mix, power_table, slices, utf8, word_hashes, words
 
@@ -142,8 +144,7 @@ def decided(classes: DataFrame, decide: Callable[[list[dict]], Callable[[dict, b
     dealt = classes.withColumn("own", F.pmod(F.xxhash64("span"), F.col("shards")).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
     dealt = dealt.withColumn("visits", F.col("own") != F.col("shard")).drop("shards", "own")
     dealt = dealt.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard", "visits", "span")
-    types = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
-    struct = pa.struct([(n, types[t.split(":")[1].strip()]) for n, t in zip(names, out.split(","), strict=True)])
+    struct = pa.struct(list(to_arrow_schema(T.StructType.fromDDL(out))))  # ids may be of any type
 
     def run(batches):
         key, homes, judge = None, [], None

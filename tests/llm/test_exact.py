@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from quire.llm import automaton, bpe, decontaminate, jaccard, jpeg, suffixes, warc
 from quire.llm.common import scratch_dir
@@ -130,6 +131,18 @@ def test_shards_of_a_hot_anchor(spark, monkeypatch, chunk):
     assert {r.doc_id: r.n_removed for r in automaton.remove_repeats(frame).collect()} == covered
 
 
+@pytest.mark.parametrize("kind", ["smallint", "string", "decimal(10,0)", "date"])
+def test_ids_of_other_types(spark, kind):
+    t = " ".join(f"w{i}" for i in range(60))
+    own = spark.createDataFrame([(1, t), (2, f"x {t}"), (3, "a b c"), (None, t)], "doc_id int, text string")
+    own = own.withColumn("doc_id", F.date_add(F.lit("2024-01-01").cast("date"), F.col("doc_id")) if kind == "date" else F.col("doc_id").cast(kind))
+    assert automaton.remove_repeats(own).where("n_removed >= 60").count() == 3
+    rows = suffixes.removed_passages(own).collect()
+    assert len(rows) == 2 and all(r.first_doc_id is None for r in rows)  # a row without an id comes before all others
+    items = own.where("doc_id is not null").select(F.col("doc_id").alias("item_id"), "text")
+    assert decontaminate.contaminated(own, items).count() >= 4 and jaccard.join(own).count() == 4
+
+
 def shingles(text):
     w = WORD.findall((text or "").translate({65 + i: 97 + i for i in range(26)}))
     return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
