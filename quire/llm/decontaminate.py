@@ -7,7 +7,8 @@ aligned with the item: match 2, mismatch -1, gap -1, local. The score is the bes
 score; from `threshold` on the document is contaminated by the item.
 
 The items are taken in blocks of `block` rows and `block_bytes` of text at most (a longer item is a block of its own), so
-what is broadcast has a bound; all documents are read for each block.
+what is broadcast has a bound; all documents are read for each block. Lower case is made where words are taken, by Python:
+the JVM's first call of its own fills its heap with some GB of garbage, and each text would be sent twice.
 
 Defined results: null and empty texts and items have no words and match nothing; items of fewer than three words use
 their whole sequence as the seed; equal items are scored each; among equal alignments the first in the document counts;
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quire.llm.common import gram_hashes, slices, small_batches, trimmed, utf8, word_hashes
+from quire.llm.common import gram_hashes, lean, slices, small_batches, trimmed, utf8, word_hashes
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 SEED = 3
@@ -150,10 +151,18 @@ def matches(index: Index, data: np.ndarray, off: np.ndarray, threshold: float) -
     return [(r, i, *x) for (r, i), x in sorted(best.items())]
 
 
+def lowered(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A slice's texts in lower case, each by itself; an ASCII text stays, as trimmed() does the same."""
+    raw, at = data.tobytes(), off.tolist()
+    texts = [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+    texts = [t if t.isascii() else t.decode("utf-8", "replace").lower().encode() for t in texts]
+    return np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+
+
 def indexes(items: DataFrame, block: int, block_bytes: int, item_key: str, item_text: str) -> Iterator[Index]:
     ids, texts, size = [], [], 0
-    for row in items.where(F.col(item_text).isNotNull()).select(F.col(item_key).alias("i"), F.lower(F.col(item_text)).alias("t")).orderBy("i", "t").toLocalIterator():
-        text = row["t"].encode()
+    for row in items.where(F.col(item_text).isNotNull()).select(F.col(item_key).alias("i"), F.col(item_text).alias("t")).orderBy("i", "t").toLocalIterator():
+        text = row["t"].lower().encode()
         if ids and (len(ids) == block or size + len(text) > block_bytes):
             yield Index(ids, texts)
             ids, texts, size = [], [], 0
@@ -169,7 +178,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.4, bloc
     spark = small_batches(docs.sparkSession)
     kind, item_kind = docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     schema = f"`{key}` {kind}, item_id {item_kind}, score double, start_word long, n_words long"
-    own = docs.select(docs[key].alias(key), F.lower(docs[text]).alias("__text"))
+    own = docs.select(docs[key].alias(key), docs[text].alias("__text"))
     kinds = to_arrow_type(items.schema[item_key].dataType)
 
     def found_by(index: Index) -> DataFrame:
@@ -180,12 +189,12 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.4, bloc
             for batch in batches:
                 data, off = utf8(batch, 1)
                 for a, b in slices(off):
-                    found = matches(idx, data[off[a] : off[b]], off[a : b + 1] - off[a], threshold)
+                    found = matches(idx, *lowered(data[off[a] : off[b]], off[a : b + 1] - off[a]), threshold)
                     rows = pa.array([a + f[0] for f in found], pa.int64())
                     made = [pa.array([f[k] for f in found], t) for k, t in ((2, pa.float64()), (3, pa.int64()), (4, pa.int64()))]
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array([idx.ids[f[1]] for f in found], kinds), *made], [key, "item_id", "score", "start_word", "n_words"])
 
-        return own.mapInArrow(run, schema)
+        return own.mapInArrow(lean(run), schema)
 
     parts = [found_by(i) for i in indexes(items, block, block_bytes, item_key, item_text)]
     return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], schema)
@@ -195,6 +204,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0
     """docs without the rows whose text holds an item: each row by its own text, so ids may be missing or repeated."""
     spark = small_batches(docs.sparkSession)
     names, schema = docs.columns, docs.schema
+    place = [n.lower() for n in names].index(text.lower())
 
     def kept_by(rows: DataFrame, index: Index) -> DataFrame:
         shared = spark.sparkContext.broadcast(index)
@@ -202,13 +212,13 @@ def without_contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0
         def run(batches):
             idx = shared.value
             for batch in batches:
-                data, off = utf8(batch, len(names))
+                data, off = utf8(batch, place)
                 keep = np.ones(batch.num_rows, bool)
                 for a, b in slices(off):
-                    keep[[a + f[0] for f in matches(idx, data[off[a] : off[b]], off[a : b + 1] - off[a], threshold)]] = False
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[: len(names)]], names)
+                    keep[[a + f[0] for f in matches(idx, *lowered(data[off[a] : off[b]], off[a : b + 1] - off[a]), threshold)]] = False
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns], names)
 
-        return rows.select("*", F.lower(rows[text]).alias("__lower")).mapInArrow(run, schema)
+        return rows.mapInArrow(lean(run), schema)
 
     for index in indexes(items, block, block_bytes, item_key, item_text):
         docs = kept_by(docs, index)

@@ -455,3 +455,27 @@ def test_decontaminate_leaks_in_many_documents(spark, copies):
     got = {(r.doc_id, r.item_id): round(r.score, 9) for r in decontaminate.contaminated(spark.createDataFrame(rows_of(texts), SCHEMA), bench).collect()}
     scores = [round(best_alignment(edited, item) / 60, 9), round(best_alignment(half[:14], half) / 62, 9)]
     assert got == {(i, 1 if i < copies else 2): scores[i >= copies] for i in range(2 * copies)}
+
+
+def test_decontaminate_sends_texts_once(spark):
+    """Letters of all scripts lose their capitals, and no text is sent to Python a second time as its own lower-case copy."""
+    items = ["Zwölf ÄPFEL lagen unter dem BAUM und keiner wollte sie", "ΟΔΟΣ ΚΑΙ ΛΟΓΟΣ στην ΑΡΧΗ του Ἔργου λέξη ἘΝ τέλει", "Twelve APPLES lay below the tree and none wanted them"]
+    bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    texts = [f"vorher {t} danach" for x in items for t in (x, x.upper(), x.lower())] + [None, "", "Éin anderer Text", "ANOTHER text"]
+    rows = spark.createDataFrame(rows_of(texts), SCHEMA)
+    assert {(r.doc_id, r.item_id, r.score) for r in decontaminate.contaminated(rows, bench).collect()} == {(i, i // 3, 1.0) for i in range(9)}
+    assert {r.doc_id: r.text for r in decontaminate.without_contaminated(rows, bench).collect()} == {i: texts[i] for i in range(9, 13)}
+    plain = spark.createDataFrame([(i, f"SOME Wörter number {i} " * 50) for i in range(64)], "doc_id long, text string")
+    sent = decontaminate.without_contaminated(plain, bench)
+    assert sent.count() == 64
+    sent.collect()
+    jvm = sent._jdf.queryExecution().executedPlan()
+    stack, moved = [jvm], 0
+    while stack:
+        node = stack.pop()
+        kids = node.children()
+        stack += [kids.apply(i) for i in range(kids.size())]
+        if node.nodeName() == "MapInArrow":
+            moved += node.metrics().apply("pythonDataSent").value()
+    size = sum(len((f"SOME Wörter number {i} " * 50).encode()) for i in range(64))
+    assert size < moved < 1.5 * size
