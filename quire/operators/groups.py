@@ -6,6 +6,7 @@ per-group call between the JVM and Python. A group (a page, a table) is held in
 
 from __future__ import annotations
 
+import math
 from collections import namedtuple
 from collections.abc import Callable, Iterable
 
@@ -17,6 +18,16 @@ from pyspark.sql.pandas.types import to_arrow_schema
 ROWS = 20_000
 
 
+def dealt(rows: DataFrame, *keys: str, mb: float = 8) -> DataFrame:
+    """The rows by key, over as many partitions as the session's setting says, or one for each `mb` MB of the files they are
+    read from, if those are more. Spark doesn't join such partitions; its own rule joins those that are small while compressed,
+    and one task then sorts a share of the rows that grows with the input."""
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    read = sum(x for x in sizes if x < 1 << 50)  # more is Spark's word for not known
+    return rows.repartition(max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(read / (mb * 1e6))), *keys)
+
+
 def by_group(rows: DataFrame, keys: list[str], order: list[str], run: Callable[[list], Iterable[tuple]], schema: str) -> DataFrame:
     """run: from a group's rows (named tuples, in the given order) to rows of the schema, whose first columns are the keys,
     which run leaves out."""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.operators.groups import dealt
+
 
 def grams(c: Column, low: int = 2, high: int = 4) -> Column:
     """All character n-grams of the lower-case text with white space squeezed."""
@@ -14,9 +16,10 @@ def grams(c: Column, low: int = 2, high: int = 4) -> Column:
 
 
 def counts(rows: DataFrame, key: str, text: str, weight: str | None = None) -> DataFrame:
-    """key, gram, tf."""
+    """key, gram, tf. Texts are dealt by key before they become grams, so that grams are counted where they are made."""
     w = F.col(weight) if weight else F.lit(1)
-    own = rows.select(F.col(key).alias("key"), w.alias("w"), F.explode(grams(F.col(text))).alias("gram"))
+    own = dealt(rows.select(F.col(key).alias("key"), w.alias("w"), F.col(text).alias("text")), "key", mb=0.5)
+    own = own.select("key", "w", F.explode(grams(F.col("text"))).alias("gram"))
     return own.groupBy("key", "gram").agg(F.sum("w").alias("tf"))
 
 
@@ -29,10 +32,13 @@ def index(rows: DataFrame, key: str, text: str, weight: str | None = None) -> tu
 
 
 def normed(tf: DataFrame, idf: DataFrame) -> DataFrame:
-    """Grams outside the index are left out before the length is taken."""
-    own = tf.join(idf, "gram").select("key", "gram", (F.col("tf") * F.col("idf")).alias("x"))
-    size = own.groupBy("key").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size"))
-    return own.join(size, "key").select("key", "gram", (F.col("x") / F.col("size")).alias("x"))
+    """Grams outside the index are left out before the length is taken.
+
+    The hint keeps grams from being broadcast: Spark judges them by the bytes of the texts, from before they are exploded.
+    """
+    own = dealt(tf.join(idf.hint("shuffle_hash"), "gram").select("key", "gram", (F.col("tf") * F.col("idf")).alias("x")), "key", mb=0.5)
+    size = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("key")))
+    return own.select("key", "gram", (F.col("x") / size).alias("x"))
 
 
 def top_k(queries: DataFrame, q_key: str, q_text: str, rows: DataFrame, key: str, text: str, k: int = 20) -> DataFrame:
@@ -43,6 +49,6 @@ def top_k(queries: DataFrame, q_key: str, q_text: str, rows: DataFrame, key: str
     """
     vectors, idf = index(rows, key, text)
     wanted = normed(counts(queries, q_key, q_text), idf).select(F.col("key").alias("query"), "gram", F.col("x").alias("q"))
-    scores = vectors.join(wanted, "gram").groupBy("query", "key").agg(F.round(F.sum(F.col("x") * F.col("q")), 9).alias("score"))
+    scores = vectors.join(wanted.hint("shuffle_hash"), "gram").groupBy("query", "key").agg(F.round(F.sum(F.col("x") * F.col("q")), 9).alias("score"))
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "key"))
     return scores.withColumn("rank", rank.cast("long")).where(F.col("rank") <= k)
