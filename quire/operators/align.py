@@ -121,34 +121,29 @@ def dominant_pages(block_pages: DataFrame) -> DataFrame:
     return own.groupBy("entry_id").agg(F.max_by("page_number", F.struct("n", -F.col("page_number"))).alias("page_number"))
 
 
-def grams(c: Column, n: int) -> Column:
-    """The distinct runs of n characters of a text."""
-    chars = F.regexp_extract_all(c, F.lit("(?s)."), 0)
-    run = lambda a: F.transform(F.sequence(F.lit(0), F.size(a) - n), lambda i: F.concat(*[a[i + k] for k in range(n)]))
-    return let(chars, lambda a: F.when(F.size(a) >= n, F.array_distinct(run(a))).otherwise(F.array().cast("array<string>")))
-
-
-def fragment_matches(fragments: DataFrame, entries: DataFrame) -> DataFrame:
+def fragment_matches(fragments: DataFrame, entries: DataFrame, most: int = 256) -> DataFrame:
     """The table entry whose text, without spaces, holds most of a fragment's tokens: min(length, 12) points a token, and
     6, 3 or 1 for pages at most 1, 3 or 6 apart; of equal points the one with more hits, then the first. It is accepted from
     two hits or ten points on. A fragment without tokens is looked for as a whole, if it has six characters.
 
-    Tokens meet entries by their first three characters (two, of shorter ones); longer tokens are then searched for.
+    Fragments with all their tokens meet the entries of their document; a document's fragments are dealt over shards of about
+    `most`, and its entries go to each. Merged by a hint: Spark takes either side for small, as it counts compressed bytes.
     """
     own = fragments.select("document_id", "fragment_id", F.col("page_number").alias("f_page"), match_tokens(F.col("text")).alias("tokens"), F.regexp_replace(single_line(F.col("text")), " ", "").alias("whole"))
     tokens = F.when(F.size("tokens") > 0, F.col("tokens")).when(F.length("whole") >= 6, F.array("whole"))
-    own = own.select("document_id", "fragment_id", "f_page", F.explode(tokens).alias("token")).groupBy("document_id", "fragment_id", "f_page", "token").agg(F.count("*").alias("times"))
+    shards = fragments.groupBy("document_id").agg(F.ceil(F.count("*") / most).alias("shards")).hint("merge")
+    own = own.select("document_id", "fragment_id", "f_page", tokens.alias("tokens")).where("tokens is not null").join(shards, "document_id").withColumn("shard", F.pmod(F.xxhash64("fragment_id"), "shards")).drop("shards")
     texts = entries.select("document_id", "entry_id", F.col("page_number").alias("e_page"), F.regexp_replace(single_line(F.col("text")), " ", "").alias("whole"))
-    keys = texts.select("document_id", "entry_id", "e_page", F.explode(F.concat(grams(F.col("whole"), 2), grams(F.col("whole"), 3))).alias("key"))
-    met = own.withColumn("key", F.substring("token", 1, 3)).join(keys, ["document_id", "key"]).drop("key")
-    long = met.where(F.length("token") > 3).join(texts.drop("e_page"), ["document_id", "entry_id"]).where(F.contains("whole", "token")).drop("whole")
-    held = met.where(F.length("token") <= 3).unionByName(long)
-    points = F.sum(F.least(F.length("token"), F.lit(12)) * F.col("times"))
-    hits = held.groupBy("document_id", "fragment_id", "f_page", "entry_id", "e_page").agg(F.sum("times").alias("hits"), points.alias("points"))
+    texts = texts.join(shards, "document_id").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))).drop("shards")
+    held = F.filter("tokens", lambda t: F.contains("whole", t))
+    points = lambda found: F.aggregate(found, F.lit(0).cast("long"), lambda n, t: n + F.least(F.length(t), F.lit(12)))
+    key = ["document_id", "shard", "fragment_id", "f_page", "entry_id", "e_page"]
+    met = own.join(texts.hint("merge"), ["document_id", "shard"]).select(*key, let(held, lambda found: F.struct(F.size(found).alias("hits"), points(found).alias("points"))).alias("m"))
+    hits = met.where("m.hits > 0").groupBy(*key).agg(F.sum("m.hits").alias("hits"), F.sum("m.points").alias("points"))
     far = F.abs(F.col("f_page") - F.col("e_page"))
     near = F.when((F.col("f_page") > 0) & (F.col("e_page") > 0), F.when(far <= 1, 6).when(far <= 3, 3).when(far <= 6, 1).otherwise(0)).otherwise(0)
     best = F.max(F.struct((F.col("points") + near).alias("score"), "hits", (-F.col("entry_id")).alias("neg"))).alias("best")
-    found = hits.groupBy("document_id", "fragment_id").agg(best).where("best.hits >= 2 or best.score >= 10")
+    found = hits.groupBy("document_id", "shard", "fragment_id").agg(best).where("best.hits >= 2 or best.score >= 10")
     return found.select("document_id", "fragment_id", (-F.col("best.neg")).alias("entry_id"), F.col("best.score").alias("score"), F.col("best.hits").alias("hits"))
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from quire.operators import retrieve
+from quire.operators import align, retrieve
 
 
 def plan(df):
@@ -28,3 +28,20 @@ def test_no_gram_is_broadcast(stored):
     for df in (retrieve.index(rows, "id", "name")[0], retrieve.top_k(asked, "id", "name", rows, "id", "name", 2)):
         assert "BroadcastHashJoin" not in plan(df)
     assert [(r.query, r.key) for r in retrieve.top_k(asked, "id", "name", rows, "id", "name", 1).collect()] == [(7, 1)]
+
+
+def test_fragments_meet_entries_without_grams(stored):
+    fragments = stored([(1, i, i, "alpha beta") for i in range(1, 8)], "document_id long, fragment_id long, page_number long, text string")
+    entries = stored([(1, 1, 1, "alpha gamma"), (1, 2, 9, "alpha beta")], "document_id long, entry_id long, page_number long, text string")
+    found = align.fragment_matches(fragments, entries)
+    assert "BroadcastHashJoin" not in plan(found)
+    got = {r.fragment_id: (r.entry_id, r.score, r.hits) for r in found.collect()}
+    assert got[1] == (1, 11, 1) and got[7] == (2, 12, 2)
+    # a document dealt over shards gives the same
+    assert {r.fragment_id: (r.entry_id, r.score, r.hits) for r in align.fragment_matches(fragments, entries, most=2).collect()} == got
+
+
+def test_repeated_entry_rows_count_once_each(spark):
+    entries = spark.createDataFrame([(1, 5, 1, "gammadelta")] * 2, "document_id long, entry_id long, page_number long, text string")
+    fragments = spark.createDataFrame([(1, 1, 1, "gammadelta")], "document_id long, fragment_id long, page_number long, text string")
+    assert [(r.hits, r.score) for r in align.fragment_matches(fragments, entries).collect()] == [(2, 26)]
