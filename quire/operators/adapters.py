@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quire.operators.groups import dealt
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -41,7 +43,7 @@ def mixed_blocks(lineitem: DataFrame) -> DataFrame:
     """Line items as blocks of all kinds: document is the supplier; texts of each role, tables with and without cells, pictures with and without files."""
     order = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
     k = F.col("l_partkey") % 10
-    return lineitem.withColumn("n", F.row_number().over(order)).select(
+    return dealt(lineitem, "l_suppkey").withColumn("n", F.row_number().over(order)).select(
         F.col("l_suppkey").alias("document_id"), (F.col("l_orderkey") % 97 + 1).cast("long").alias("page_number"), F.col("n").cast("long").alias("reading_order"), F.concat(F.lit("b"), F.col("n").cast("string")).alias("id"),
         F.when(k <= 1, "heading").when(k <= 4, "legend").when(k == 5, "artifact").otherwise("body").alias("role"), F.when(F.col("l_quantity") == 7, "").otherwise(F.concat(F.lit("p"), F.col("l_partkey").cast("string"))).alias("text"),
         F.when(F.col("l_linenumber") == 3, "table").when(F.col("l_linenumber") >= 5, "figure").otherwise("text").alias("type"), F.when(F.col("l_suppkey") % 2 == F.col("l_linenumber") % 2, F.lit("uri")).alias("image_uri"),
@@ -52,7 +54,7 @@ def mixed_blocks(lineitem: DataFrame) -> DataFrame:
 def references(lineitem: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Figures with a label, and blocks that refer to one: document is the supplier, label the part modulo 40."""
     order = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
-    own = lineitem.withColumn("seq", F.row_number().over(order)).select(
+    own = dealt(lineitem, "l_suppkey").withColumn("seq", F.row_number().over(order)).select(
         F.col("l_suppkey").alias("document_id"), (F.col("l_orderkey") % 30).cast("long").alias("page_number"), F.col("seq").cast("long").alias("block_id"),
         F.concat(F.lit("F"), (F.col("l_partkey") % 40).cast("string")).alias("label"), (F.col("l_linenumber") == 1).alias("is_figure"),
         (F.col("l_partkey") % 500).cast("double").alias("cx"), F.col("l_quantity").alias("cy"),

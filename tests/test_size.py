@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
-from quire.operators import align, retrieve
+from quire.operators import align, references, retrieve
 
 
 def plan(df):
@@ -45,3 +47,24 @@ def test_repeated_entry_rows_count_once_each(spark):
     entries = spark.createDataFrame([(1, 5, 1, "gammadelta")] * 2, "document_id long, entry_id long, page_number long, text string")
     fragments = spark.createDataFrame([(1, 1, 1, "gammadelta")], "document_id long, fragment_id long, page_number long, text string")
     assert [(r.hits, r.score) for r in align.fragment_matches(fragments, entries).collect()] == [(2, 26)]
+
+
+def test_references_meet_a_list_of_targets(spark):
+    schema = "document_id long, label string, page_number long, block_id long, cx double, cy double"
+    draw = random.Random(5)
+    row = lambda i: (1, draw.choice("ab"), draw.choice([None, 1, 2, 3, 9]), i, float(draw.randrange(4)), float(draw.randrange(4)))
+    figures, refs = [row(i) for i in range(12)], [row(i) for i in range(100, 160)]
+    refs += refs[:9]  # repeated rows are one
+    found = references.resolve(spark.createDataFrame(refs, schema), spark.createDataFrame(figures, schema))
+    shown = plan(found)
+    assert "REPARTITION_BY_NUM" in shown and "SortAggregate" not in shown
+    got = {r.block_id: (r.status, r.target_id, r.reason) for r in found.collect()}
+    assert len(got) == 60 and found.count() == 60
+    for _, label, page, i, x, y in refs:
+        if page is None:
+            continue
+        near = lambda f: (0, ((x - f[4]) ** 2 + (y - f[5]) ** 2) ** 0.5) if f[2] == page else (1, -1.0 if f[2] is None else float(abs(f[2] - page)))  # noqa: E731, B023
+        targets = sorted((near(f), f[3]) for f in figures if f[1] == label)
+        tied = [t for s, t in targets if s == targets[0][0]]
+        name = "same_page" if targets[0][0][0] == 0 else "page"
+        assert got[i] == (("resolved", tied[0], f"nearest_{name}") if len(tied) == 1 else ("ambiguous", None, f"tied_{name}_distance:{len(tied)}"))
