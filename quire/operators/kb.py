@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.roles import anchor, loose_page_marker
-from quire.functions.text import CJK, FIGURE_LABEL, LABEL, base_name, compact, fingerprint, labels, match_tokens, matches_of, number_chain, reference_labels, replace_leading_number, semantic_similarity, single_line, squeeze, strip, text_or_empty
+from quire.functions.text import CJK, FIGURE_LABEL, LABEL, base_name, compact, fingerprint, labels, match_tokens, matches_of, number_chain, reference_labels, replace_leading_number, single_line, squeeze, strip, text_or_empty
 from quire.operators.align import align_items
 from quire.operators.groups import by_group
 
@@ -154,32 +158,102 @@ def reattached(orphans: DataFrame, entries: DataFrame, radius: int = 8) -> DataF
     return found.join(kinds, ["document_id", "item_id"]).where(F.col("score") >= F.when(F.col("kind") == "table", 220).otherwise(180))
 
 
-def structure_score(target: Column, source: Column) -> Column:
-    """How well two texts of a page fit: containment 900 (760 without spaces), marks 950, 55 a token, similarity."""
-    a, b = single_line(target), single_line(source)
-    ac, bc, am, bm = compact(a), compact(b), fingerprint(target), fingerprint(source)
-    within = lambda x, y: (x != "") & (y != "") & (F.contains(x, y) | F.contains(y, x))
-    hits = F.size(F.filter(F.slice(match_tokens(target), 1, 12), lambda t: F.contains(bc, t) | F.contains(bm, t)))
-    return F.when(within(a, b), 900).when(within(ac, bc), 760).otherwise(0) + F.when(within(am, bm), 950).otherwise(0) + hits * 55 + F.floor(semantic_similarity(target, source, 0.35) * 220).cast("int")
+def distance(a: str, b: str) -> int:
+    """The Levenshtein distance of two texts; a column of its table is two whole numbers with a bit a character (Myers, Hyyrö)."""
+    if len(a) < len(b):
+        a, b = b, a
+    n = 0
+    while n < len(b) and a[n] == b[n]:
+        n += 1
+    a, b = a[n:], b[n:]
+    while b and a[-1] == b[-1]:
+        a, b = a[:-1], b[:-1]
+    if not b:
+        return len(a)
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    every, last, score = (1 << len(a)) - 1, 1 << len(a) - 1, len(a)
+    up, down = every, 0
+    for c in b:
+        same = places.get(c, 0)
+        level = (((same & up) + up) ^ up) | same
+        more, less = down | every & ~(level | up), up & level
+        score += bool(more & last) - bool(less & last)
+        more, kept = (more << 1 | 1) & every, same | down
+        up, down = (less << 1) & every | every & ~(kept | more), more & kept
+    return score
+
+
+class Compared:
+    """A text and its bag of characters, for the similarity of text.levenshtein_similarity() and an upper bound of it."""
+
+    def __init__(self, text: str):
+        self.text, self.bag = text, Counter(text)
+
+    def like(self, other: Compared, cutoff: float, exact: bool) -> float:
+        longer = max(len(self.text), len(other.text))
+        most = math.floor(longer * (1.0 - cutoff)) + 1
+        if not self.text or not other.text or abs(len(self.text) - len(other.text)) > most:
+            return 0.0
+        # what two bags don't share has to be put in, taken out or changed
+        few, many = sorted((self.bag, other.bag), key=len)
+        least = longer - sum(min(n, many[c]) for c, n in few.items() if c in many)
+        d = distance(self.text, other.text) if exact and least <= most else least
+        return 0.0 if d > most else 1.0 - d / longer
+
+
+class Structured:
+    """How well a text of a page fits another: containment 900 (760 without spaces), marks 950, 55 a token, similarity."""
+
+    def __init__(self, seq: int, line: str, mark: str, tokens: list[str]):
+        self.seq, self.line, self.mark, self.compact, self.tokens = seq, Compared(line), Compared(mark), line.replace(" ", ""), tokens
+
+    def base(self, other: Structured) -> int:
+        within = lambda x, y: x != "" and y != "" and (x in y or y in x)
+        score = 900 if within(self.line.text, other.line.text) else 760 if within(self.compact, other.compact) else 0
+        hits = sum(t in other.compact or t in other.mark.text for t in self.tokens)
+        return score + 950 * within(self.mark.text, other.mark.text) + hits * 55
+
+    def similar(self, other: Structured, exact: bool) -> int:
+        marks = self.mark.like(other.mark, 0.35, exact)
+        if exact and marks > 0:
+            return math.floor(marks * 220)
+        return math.floor(max(marks, self.line.like(other.line, 0.35, exact)) * 220)
 
 
 def overlaid(blocks: DataFrame, source: DataFrame, least: int = 180) -> DataFrame:
-    """Each block of a page takes, in order, the free source block of the best score (the first of equals)."""
-    a = blocks.select("document_id", "page_number", F.col("seq").alias("a_seq"), F.col("text").alias("a_text"))
-    b = source.select("document_id", "page_number", F.col("seq").alias("b_seq"), F.col("text").alias("b_text"))
-    pairs = a.join(b, ["document_id", "page_number"]).withColumn("score", structure_score(F.col("a_text"), F.col("b_text")).cast("long")).where(F.col("score") >= least).drop("a_text", "b_text")
+    """Each block of a page takes, in order, the free source block of the best score (the first of equals).
+
+    A block's sources are tried from the highest bound of their score down, until none can be better: so most pairs need no distance.
+    """
+    side = lambda rows, given: rows.select("document_id", "page_number", F.lit(given).alias("given"), F.col("seq").cast("long").alias("seq"), single_line(F.col("text")).alias("line"), fingerprint(F.col("text")).alias("mark"), F.slice(match_tokens(F.col("text")), 1, 12).alias("tokens"))
+    rows = side(blocks, False).unionByName(side(source, True)).where("document_id is not null and page_number is not null")
 
     def run(page: list) -> list[tuple]:
-        used, out, done = set(), [], set()
-        for r in sorted(page, key=lambda r: (r.a_seq, -r.score, r.b_seq)):
-            if r.a_seq not in done and r.b_seq not in used:
-                done.add(r.a_seq)
-                used.add(r.b_seq)
-                out.append((r.a_seq, r.b_seq, r.score))
+        made = lambda given: [Structured(r.seq, r.line, r.mark, r.tokens) for r in page if r.given == given]
+        free, out = made(True), []
+        for seq, same in groupby(made(False), key=lambda a: a.seq):
+            tried = []
+            for a in same:
+                for b in free:
+                    base = a.base(b)
+                    if (most := base + a.similar(b, False)) >= least:
+                        tried.append((most, base, a, b))
+            best = None
+            for most, base, a, b in sorted(tried, key=lambda x: -x[0]):
+                if best and most < best[0]:
+                    break
+                score = base + a.similar(b, True)
+                if score >= least and (best is None or (score, -b.seq) > best):
+                    best = (score, -b.seq)
+            if best:
+                free = [b for b in free if b.seq != -best[1]]
+                out.append((seq, -best[1], best[0]))
         return out
 
-    keys = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in ("document_id", "page_number"))
-    return by_group(pairs, ["document_id", "page_number"], ["a_seq", "b_seq"], run, f"{keys}, seq long, source_seq long, score long")
+    keys = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("document_id", "page_number"))
+    return by_group(rows, ["document_id", "page_number"], ["given", "seq"], run, f"{keys}, seq long, source_seq long, score long")
 
 
 def overlaid_pictures(blocks: DataFrame, source: DataFrame) -> DataFrame:

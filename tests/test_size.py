@@ -5,7 +5,9 @@ from __future__ import annotations
 import random
 
 import pytest
-from quire.operators import align, references, retrieve
+from pyspark.sql import functions as F
+
+from quire.operators import align, kb, references, retrieve
 
 
 def plan(df):
@@ -49,6 +51,23 @@ def test_repeated_entry_rows_count_once_each(spark):
     assert [(r.hits, r.score) for r in align.fragment_matches(fragments, entries).collect()] == [(2, 26)]
 
 
+def test_distance_is_that_of_spark(spark):
+    draw = random.Random(3)
+    word = lambda: "".join(draw.choice("ab c文") for _ in range(draw.randrange(9)))
+    rows = [(word(), word()) for _ in range(300)]
+    for a, b, d in spark.createDataFrame(rows, "a string, b string").select("a", "b", F.levenshtein("a", "b")).collect():
+        assert kb.distance(a, b) == d
+        assert kb.Compared(a).like(kb.Compared(b), 0.35, False) >= kb.Compared(a).like(kb.Compared(b), 0.35, True)
+
+
+def test_long_lines_are_overlaid_without_a_distance_for_each_pair(spark, monkeypatch):
+    counted = []
+    monkeypatch.setattr(kb, "distance", lambda a, b, own=kb.distance: counted.append(1) or own(a, b))
+    lines = [kb.Structured(i, "lorem ipsum dolor " * 300, "loremipsumdolor" * 300, []) for i in range(3)]
+    shouted = [kb.Structured(i, x.line.text.upper(), x.mark.text.upper(), []) for i, x in enumerate(lines)]
+    assert [a.base(b) + a.similar(b, True) for a in lines for b in shouted] == [0] * 9 and not counted
+
+
 def test_references_meet_a_list_of_targets(spark):
     schema = "document_id long, label string, page_number long, block_id long, cx double, cy double"
     draw = random.Random(5)
