@@ -12,6 +12,7 @@ from quire.functions import geometry as geo
 from quire.functions import text as tx
 from quire.operators import adapters as ad
 from quire.operators import align, kb, layout, metrics, references, repetition, retrieve, segment, tables
+from quire.operators.groups import dealt
 from quire.plans import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -246,9 +247,10 @@ def _(spark, d):
 
 
 def literal_rows(spark: SparkSession, d: str, *lists: tuple) -> DataFrame:
-    """Parts, each with one of some fixed texts (and what belongs to it), in turn: c0, c1, ..."""
+    """Parts, each with one of some fixed texts (and what belongs to it), in turn: c0, c1, ... Dealt, as a rule costs more than
+    reading a part: by the file's bytes alone, one or two tasks would do all."""
     at = (F.col("p_partkey") % len(lists[0]) + 1).cast("int")
-    return ad.table(spark, d, "part").select("p_partkey", *[F.element_at(F.array(*map(F.lit, values)), at).alias(f"c{i}") for i, values in enumerate(lists)])
+    return dealt(ad.table(spark, d, "part").select("p_partkey"), "p_partkey", mb=0.5).select("p_partkey", *[F.element_at(F.array(*map(F.lit, values)), at).alias(f"c{i}") for i, values in enumerate(lists)])
 
 
 @query("sf01_chinese", sql.CHINESE_NORMAL)

@@ -87,3 +87,10 @@ def test_references_meet_a_list_of_targets(spark):
         tied = [t for s, t in targets if s == targets[0][0]]
         name = "same_page" if targets[0][0][0] == 0 else "page"
         assert got[i] == (("resolved", tied[0], f"nearest_{name}") if len(tied) == 1 else ("ambiguous", None, f"tied_{name}_distance:{len(tied)}"))
+
+
+def test_rules_are_dealt_over_tasks(spark):
+    from quire.plans import catalog, rules
+
+    for name in ("sf35_titles", "sf37_page_roles"):
+        assert (catalog.QUERIES | rules.QUERIES)[name](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 4
